@@ -143,26 +143,37 @@ def acl_exposure(objects: DataFrame, acl: DataFrame, object_key: str = "object_i
 def role_closure(inherits: DataFrame, role_col: str = "role", parent_col: str = "inherits",
                  max_depth: int = 64) -> DataFrame:
     """Transitive closure ``(role, ancestor)`` (each role is its own ancestor)
-    by semi-naive iteration: each round joins only the edges found in the
-    previous round.  Every round is checkpointed to the shared checkpoint
-    folder, which cuts lineage and keeps lost executors from recomputing
-    the whole chain.  Stops when a round adds nothing (cycles terminate)."""
-    edges = (inherits.select(F.col(role_col).alias("role"), F.col(parent_col).alias("ancestor"))
-             .filter(F.col("ancestor").isNotNull()).distinct())
-    nodes = (inherits.select(F.col(role_col).alias("role"))
-             .union(inherits.select(F.col(parent_col).alias("role"))).filter(F.col("role").isNotNull())
-             .distinct())
-    closure = nodes.select("role", F.col("role").alias("ancestor")).union(edges).distinct().checkpoint()
-    frontier = edges.checkpoint()
-    for _ in range(max_depth):
+    by semi-naive iteration: each round joins only the pairs found in the
+    previous round to the edges and keeps what is new.
+
+    Every round is written as a table (``round=<k>``) under the shared
+    checkpoint folder and read back, which cuts lineage (a lost executor
+    recomputes one round, not the chain) and makes the accumulated closure
+    a plain file scan.  Stops when a round adds nothing (cycles terminate).
+    """
+    from ..session import scratch_path
+    spark = inherits.sparkSession
+    root = scratch_path(spark, "closure")
+    base = inherits.select(F.col(role_col).alias("r"), F.col(parent_col).alias("p"))
+    seed = F.array(F.struct(F.col("r").alias("role"), F.col("r").alias("ancestor")),
+                   F.struct(F.col("r").alias("role"), F.col("p").alias("ancestor")),
+                   F.struct(F.col("p").alias("role"), F.col("p").alias("ancestor")))
+    (base.select(F.explode(seed).alias("x")).select("x.*")
+     .filter(F.col("role").isNotNull() & F.col("ancestor").isNotNull()).distinct()
+     .write.mode("overwrite").parquet(f"{root}/round=0"))
+    (base.filter(F.col("p").isNotNull()).select(F.col("r").alias("role"), F.col("p").alias("ancestor"))
+     .distinct().write.mode("overwrite").parquet(f"{root}/edges"))
+    edges = spark.read.parquet(f"{root}/edges")
+    frontier = edges
+    for k in range(1, max_depth + 1):
+        closure = spark.read.parquet(*[f"{root}/round={i}" for i in range(k)])
         step = (frontier.alias("f").join(edges.alias("e"), F.col("f.ancestor") == F.col("e.role"))
                 .select(F.col("f.role").alias("role"), F.col("e.ancestor").alias("ancestor")).distinct())
-        new = step.join(closure, ["role", "ancestor"], "left_anti").checkpoint()
-        if new.isEmpty():
+        step.join(closure, ["role", "ancestor"], "left_anti").write.mode("overwrite").parquet(f"{root}/round={k}")
+        frontier = spark.read.parquet(f"{root}/round={k}")
+        if frontier.isEmpty():
             break
-        closure = closure.union(new).checkpoint()
-        frontier = new
-    return closure
+    return spark.read.parquet(*[f"{root}/round={i}" for i in range(k + 1)])
 
 
 def effective_capabilities(user_groups: DataFrame, group_roles: DataFrame, role_inherits: DataFrame,
@@ -170,13 +181,14 @@ def effective_capabilities(user_groups: DataFrame, group_roles: DataFrame, role_
     """User -> group -> role -> inherited roles -> capability.
 
     Inputs: (user, group), (group, role), (role, inherits), (role, capability).
-    Output: distinct (user, capability, via_role).
+    Output: distinct (user, capability, via_role).  A role with no
+    inheritance row is its own only ancestor.
     """
-    closure = role_closure(role_inherits.select("role", "inherits")
-                           .union(group_roles.select("role", F.lit(None).cast(role_inherits.schema["inherits"].dataType))))
+    closure = role_closure(role_inherits)
     user_roles = user_groups.join(group_roles, "group").select("user", "role")
-    reach = user_roles.join(closure, "role").select("user", F.col("role").alias("via_role"),
-                                                      F.col("ancestor").alias("role"))
+    reach = (user_roles.join(closure, "role", "left")
+             .select("user", F.col("role").alias("via_role"),
+                     F.coalesce(F.col("ancestor"), F.col("role")).alias("role")))
     return reach.join(role_caps, "role").select("user", "capability", "via_role").distinct()
 
 
@@ -204,8 +216,8 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
     regex = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(
         F.regexp_replace(F.col("pattern"), r"([.\\+^$()\[\]{}|])", r"\\$1"), r"\*", ".*"), r"\?", "."), F.lit("$"))
     r = rules.withColumn("__re", regex)
-    # the (class, app) targets named by class/app rules; bounded by the rule count checked above
-    targets = [(t[0], t[1]) for t in r.filter(F.col("level") != "global").select("class", "app").distinct().collect()]
+    # the (class, app) targets named by app rules; bounded by the rule count checked above
+    targets = [(t[0], t[1]) for t in r.filter(F.col("level") == "app").select("class", "app").distinct().collect()]
     target_arr = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(a).alias("app")) for c, a in targets]) \
         if targets else F.array().cast("array<struct<class:string,app:string>>")
     # a global rule applies to every target, a class rule to every app of its class

@@ -72,16 +72,17 @@ def blocked_last(df: DataFrame, keys: Sequence[str], t: str, is_obs: str, obs: s
 
 # ------------------------------------------------------------- W1, W2
 def latest_usable(df: DataFrame, key: str, ts_cols: Sequence[str] = ("updated_at", "created_at"),
-                  usable: str | Column | None = None) -> DataFrame:
+                  usable: str | Column | None = None, tiebreak: str | None = None) -> DataFrame:
     """Per key, the newest usable record (by the first non-null of
-    ``ts_cols``; ties broken by the greatest key).  Empty keys and rows
-    failing ``usable`` are skipped.  One ``max_by`` aggregate: partial
-    aggregation keeps a hot key from landing in one task whole."""
+    ``ts_cols``; equal times are broken by the greatest ``tiebreak`` value,
+    the record's own id).  Empty keys and rows failing ``usable`` are
+    skipped.  One ``max_by`` aggregate: partial aggregation keeps a hot key
+    from landing in one task whole."""
     x = df.filter(F.col(key).isNotNull() & (F.trim(F.col(key).cast("string")) != ""))
     if usable is not None:
         x = x.filter(F.expr(usable) if isinstance(usable, str) else usable)
     ts = F.coalesce(*[F.col(c) for c in ts_cols])
-    rank = F.struct(ts.alias("t"), F.col(key).alias("k"))
+    rank = F.struct(ts.alias("t"), (F.col(tiebreak) if tiebreak else F.lit(None)).alias("k"))
     rec = F.struct(*[F.col(c) for c in df.columns])
     return x.groupBy(key).agg(F.max_by(rec, rank).alias("__r")).select("__r.*")
 
@@ -107,7 +108,8 @@ def first_failing_phase(df: DataFrame, key: str, phase: str, status: str,
                           lambda p: p["s"])
     return per.select(
         key,
-        F.element_at(names, fail_idx + 1).alias("first_failing_phase"),
+        # get() (0-based, null-safe); element_at(names, <null expression> + 1) is not null-safe here
+        F.get(names, fail_idx).alias("first_failing_phase"),
         F.when(fail_idx.isNotNull(), F.coalesce(F.array_min(at_fail), F.lit("missing"))).alias("failing_status"))
 
 
