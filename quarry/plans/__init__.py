@@ -4,4 +4,5 @@ from . import registry  # noqa: F401
 from . import q_core  # noqa: F401
 from . import q_functions  # noqa: F401
 from . import q_relational  # noqa: F401
+from . import q_text  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
