@@ -177,28 +177,44 @@ def query_term_counts(queries: DataFrame, query_id: str = "query_id", text: str
 
 
 # ------------------------------------------------------------ T7 postings
-def doc_tokens(docs: DataFrame) -> DataFrame:
-    """Per document: token arrays per field and the row length in tokens."""
-    x = docs.select("doc_id", *[index_tokens(F.col(f)).alias(f"tok_{f}") for f in FIELDS])
-    length = sum((F.size(f"tok_{f}") for f in FIELDS), F.lit(0))
-    return x.withColumn("doc_len", length.cast("long"))
+LEN_FIELD = "__len"
+
+
+def doc_tokens(docs: DataFrame, length_row: bool = False) -> DataFrame:
+    """Per document, in one pass: ``__f`` = array of (field, tokens) and the
+    row length in tokens over all fields (``doc_len``).  ``length_row`` adds
+    an element with no tokens, which explodes to one marker row per document
+    (field ``__len``, null token) carrying ``doc_len``."""
+    items = [F.struct(F.lit(f).alias("field"), index_tokens(F.col(f)).alias("toks")) for f in FIELDS]
+    x = docs.select("doc_id", F.array(*items).alias("__f"))
+    x = x.withColumn("doc_len", F.aggregate("__f", F.lit(0).cast("long"),
+                                            lambda acc, s: acc + F.size(s["toks"])))
+    if length_row:
+        marker = F.struct(F.lit(LEN_FIELD).alias("field"), F.array().cast("array<string>").alias("toks"))
+        x = x.withColumn("__f", F.concat(F.col("__f"), F.array(marker)))
+    return x
+
+
+def _explode_postings(tok: DataFrame) -> DataFrame:
+    # *_outer on purpose: a plain explode makes Spark infer a
+    # ``size(array) > 0`` filter that re-evaluates the whole tokenising
+    # expression (and is pushed below the exchange); empty arrays are
+    # dropped by the explicit token filter instead.
+    x = tok.select("doc_id", "doc_len", F.explode_outer("__f").alias("__x"))
+    x = x.select("doc_id", "doc_len", F.col("__x.field").alias("field"),
+                 F.posexplode_outer("__x.toks").alias("pos", "token"))
+    return x.filter(F.col("token").isNotNull() | (F.col("field") == LEN_FIELD))
 
 
 def build_postings(docs: DataFrame) -> DataFrame:
-    """``(doc_id, field, pos, token)`` for every token of every field,
-    with a ``bucket`` (token hash mod 256) for partitioned storage."""
-    t = doc_tokens(docs)
-    parts = [t.select("doc_id", F.lit(f).alias("field"), F.posexplode(f"tok_{f}").alias("pos", "token"))
-             for f in FIELDS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(256)))
+    """``(doc_id, doc_len, field, pos, token)`` for every token of every
+    field, with a ``bucket`` (token hash mod 256) for partitioned storage."""
+    return _explode_postings(doc_tokens(docs)).withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(256)))
 
 
 def save_postings(postings: DataFrame, path: str) -> None:
-    """Persist postings partitioned by token bucket: a query batch reads only
-    the buckets of its tokens (partition pruning)."""
+    """Persist postings partitioned by token bucket: a query batch then reads
+    only the buckets of its tokens (partition pruning on ``bucket``)."""
     postings.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 
@@ -208,76 +224,141 @@ def token_stats(docs: DataFrame) -> DataFrame:
     return p.groupBy("token").agg(F.count_distinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("occurrences"))
 
 
-def _needed_postings(docs: DataFrame, needed: DataFrame, max_broadcast: int) -> DataFrame:
-    """Postings of the needed tokens only.  The token arrays are exploded and
-    filtered inside one stage; the token list is broadcast when its checked
-    size allows."""
-    n = needed.count()
-    side = F.broadcast(needed) if n <= max_broadcast else needed
-    t = doc_tokens(docs)
-    parts = [t.select("doc_id", F.lit(f).alias("field"), F.posexplode(f"tok_{f}").alias("pos", "token"))
-             for f in FIELDS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.join(side, "token", "left_semi")
+def term_index(docs: DataFrame, tokens: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
+    """``(doc_id, token, wtf, doc_len)`` for the given tokens (weighted term
+    frequency over the fields), plus one row per document with a null token
+    carrying its length: everything BM25 needs from one pass over the text.
+    The token list is broadcast (its size is bounded by the query batch)."""
+    weights = dict(FIELD_WEIGHTS, **(weights or {}))
+    wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
+    post = _explode_postings(doc_tokens(docs, length_row=True))
+    flagged = post.join(F.broadcast(tokens.select("token").distinct().withColumn("__need", F.lit(True))),
+                        "token", "left")
+    kept = flagged.filter(F.col("__need") | (F.col("field") == LEN_FIELD))
+    return kept.groupBy("doc_id", "token").agg(F.sum(wcol[F.col("field")]).alias("wtf"),
+                                               F.first("doc_len").alias("doc_len"))
+
+
+def corpus_stats(docs: DataFrame) -> tuple[int, float]:
+    """Row count and average row length in tokens (two scalars)."""
+    st = doc_tokens(docs).agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
+    return int(st["n"] or 0), float(st["avgdl"] or 0.0)
 
 
 # ------------------------------------------------------------- T8, T9
 def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
                 query_id: str = "query_id", text: str = "text",
                 weights: Mapping[str, float] | None = None, k1: float = BM25_K1, b: float = BM25_B,
-                max_broadcast_tokens: int = 2_000_000, explain: bool = False) -> DataFrame:
+                max_broadcast_tokens: int = 2_000_000, explain: bool = False,
+                postings: DataFrame | None = None, stats: tuple[int, float] | None = None) -> DataFrame:
     """BM25 top-k per query, all terms ANDed.
 
     ``docs``: doc_id, title, body, metadata, context.  ``queries``: query_id,
-    text.  Output: query_id, doc_id, rank, score (higher is better),
+    text.  Output: query_id, doc_id, score (higher is better), rank,
     truncated (more than k hits existed); with ``explain`` also the T10-T13
-    columns.  Ties rank by doc_id.
+    columns.  Ties rank by doc_id.  A saved index (``postings`` read from
+    ``save_postings`` plus its ``stats``) replaces the tokenising pass.
+
+    Conjunctive evaluation, exact scores:
+
+    * one pass over the text keeps the postings of the words the batch
+      needs and folds them into ``(doc, token) -> weighted frequency``;
+      each token's document frequency comes from that table, so IDF is exact;
+    * per query the term with the fewest documents is the *driver*: only
+      documents holding it can satisfy the AND rule, so only
+      (candidate document x query term) pairs are scored - never the full
+      posting list of a common word times every query using it;
+    * multi-word terms (``a_b``, ``don't``) are matched by position, and
+      only when the batch has any.
     """
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
-    phrases = query_phrases(queries, query_id, text)
-    needed = phrases.select("token").distinct()
-    postings = _needed_postings(docs, needed, max_broadcast_tokens)
-
-    # corpus statistics: two scalars (row count, average row length in tokens)
-    stats = doc_tokens(docs).agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"] or 0), float(stats["avgdl"] or 0.0)
-    if n_docs == 0:
-        return _empty_hits(docs.sparkSession, explain)
-    lengths = doc_tokens(docs).select("doc_id", "doc_len")
-
-    # phrase occurrences: every posting that could start a phrase at pos - offset
     pkey = ["query_id", "term_idx", "alt", "part"]
-    ph = phrases.select(*pkey, "n_tokens", "offset", "token")
+    ph = query_phrases(queries, query_id, text).select(*pkey, "n_tokens", "offset", "token")
     n_ph = ph.count()
-    ph_side = F.broadcast(ph) if n_ph <= max_broadcast_tokens else ph
-    cand = postings.join(ph_side, "token").withColumn("start", F.col("pos") - F.col("offset"))
-    occ = (cand.groupBy(*pkey, "doc_id", "field", "start")
-           .agg(F.count_distinct("offset").alias("hit_parts"), F.first("n_tokens").alias("n_tokens"))
-           .filter(F.col("hit_parts") == F.col("n_tokens")))
+    if n_ph > max_broadcast_tokens:
+        raise ValueError(f"query batch has {n_ph} phrase tokens; split it into batches of at most "
+                         f"{max_broadcast_tokens}")
+    has_multi = not ph.filter(F.col("n_tokens") > 1).isEmpty()
+    needed = ph.select("token").distinct()
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
-    per_phrase_doc = occ.groupBy(*pkey, "doc_id").agg(F.sum(wcol[F.col("field")]).alias("wfreq"))
+    spark = docs.sparkSession
+
+    if postings is None:
+        # one pass over the text, written to the shared checkpoint folder:
+        # (doc, token) -> weighted term frequency for the needed tokens and
+        # one length row per document.  Stats, IDF and scoring all read it.
+        from ..session import scratch_path
+        path = scratch_path(spark, "text-index")
+        term_index(docs, needed, weights).write.parquet(path)
+        idx = spark.read.parquet(path)
+        lens = idx.filter(F.col("token").isNull())
+        if stats is None:
+            st = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
+            stats = (int(st["n"] or 0), float(st["avgdl"] or 0.0))
+        dt = idx.filter(F.col("token").isNotNull())
+        post = None
+    else:
+        buckets = [r[0] for r in ph.select(F.pmod(F.xxhash64("token"), F.lit(256))).distinct().collect()]
+        post = postings.filter(F.col("bucket").isin(buckets)).join(F.broadcast(needed), "token", "left_semi")
+        dt = post.groupBy("doc_id", "token").agg(F.sum(wcol[F.col("field")]).alias("wtf"),
+                                                 F.first("doc_len").alias("doc_len"))
+    n_docs, avgdl = stats if stats is not None else corpus_stats(docs)
+    if n_docs == 0:
+        return _empty_hits(spark)
+    single = ph.filter(F.col("n_tokens") == 1).select(*pkey, "token")
+    tdf = dt.groupBy("token").agg(F.count(F.lit(1)).alias("n_hit"))
+    phrase_df = single.join(F.broadcast(tdf), "token", "left").select(
+        *pkey, F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit"))
+    multi_ppd = None
+    if has_multi:
+        mph = ph.filter(F.col("n_tokens") > 1)
+        if post is None:
+            post = _explode_postings(doc_tokens(docs))
+        occ = (post.join(F.broadcast(mph), "token").withColumn("start", F.col("pos") - F.col("offset"))
+               .groupBy(*pkey, "doc_id", "field", "start")
+               .agg(F.count(F.lit(1)).alias("hit_parts"), F.first("n_tokens").alias("n_tokens"),
+                    F.first("doc_len").alias("doc_len"))
+               .filter(F.col("hit_parts") == F.col("n_tokens")))
+        multi_ppd = occ.groupBy(*pkey, "doc_id").agg(F.sum(wcol[F.col("field")]).alias("wfreq"),
+                                                     F.first("doc_len").alias("doc_len"))
+        all_multi = mph.select(*pkey).distinct()
+        mdf = all_multi.join(multi_ppd.groupBy(*pkey).agg(F.count(F.lit(1)).alias("n_hit")), pkey, "left")
+        phrase_df = phrase_df.unionByName(mdf.select(*pkey, F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit")))
+
+    # driver term per query: smallest (documents with alternative 0) +
+    # (documents with the first part of alternative 1); ties -> lowest term
+    size = phrase_df.filter(F.col("part") == 0).groupBy("query_id", "term_idx").agg(F.sum("n_hit").alias("size"))
+    driver = size.groupBy("query_id").agg(
+        F.min_by(F.col("term_idx"), F.struct(F.col("size"), F.col("term_idx"))).alias("term_idx"))
+    drv = phrase_df.filter(F.col("part") == 0).join(F.broadcast(driver), ["query_id", "term_idx"]).select(*pkey)
+    cands = dt.join(F.broadcast(single.join(drv, pkey)), "token").select("query_id", "doc_id")
+    if multi_ppd is not None:
+        cands = cands.unionByName(multi_ppd.join(F.broadcast(drv), pkey).select("query_id", "doc_id"))
+    cands = cands.distinct()
+
+    # score candidate documents only: (candidate x query term) joined to dt
+    need = cands.join(F.broadcast(single), "query_id")
+    ppd = need.join(dt, ["doc_id", "token"]).select(*pkey, "doc_id", F.col("wtf").alias("wfreq"), "doc_len")
+    if multi_ppd is not None:
+        ppd = ppd.unionByName(multi_ppd.join(cands, ["query_id", "doc_id"], "left_semi"))
 
-    # phrase document frequency -> idf (FTS5 clamps non-positive idf to 1e-6)
-    df_ph = per_phrase_doc.groupBy(*pkey).agg(F.count(F.lit(1)).alias("n_hit"))
     idf = F.log((F.lit(float(n_docs)) - F.col("n_hit") + 0.5) / (F.col("n_hit") + 0.5))
-    df_ph = df_ph.withColumn("idf", F.when(idf <= 0, F.lit(1e-6)).otherwise(idf)).drop("n_hit")
-    scored = per_phrase_doc.join(df_ph, pkey)
-
-    # AND rule: every term needs alternative 0, or both parts of alternative 1
-    per_term = scored.groupBy("query_id", "term_idx", "doc_id").agg(
-        F.max(F.when(F.col("alt") == 0, 1).otherwise(0)).alias("a0"),
-        F.count_distinct(F.when(F.col("alt") == 1, F.col("part"))).alias("a1"))
-    ok_terms = (per_term.filter((F.col("a0") == 1) | (F.col("a1") == 2))
-                .groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("ok_terms")))
-    n_terms = query_term_counts(queries, query_id, text)
-    matched = ok_terms.join(n_terms, "query_id").filter(F.col("ok_terms") == F.col("n_terms")).select("query_id", "doc_id")
-
-    tf_part = scored.join(matched, ["query_id", "doc_id"], "left_semi").join(lengths, "doc_id")
+    idf_t = phrase_df.select(*pkey, F.when(idf <= 0, F.lit(1e-6)).otherwise(idf).alias("idf"))
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("doc_len") / F.lit(avgdl if avgdl > 0 else 1.0))
     contrib = F.col("idf") * (F.col("wfreq") * (k1 + 1.0)) / (F.col("wfreq") + norm)
-    hits = tf_part.groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("score"))
+    scored = ppd.join(F.broadcast(idf_t), pkey).withColumn("contrib", contrib)
+
+    # AND rule and score in one aggregation: a term holds when alternative 0
+    # matched, or both parts of alternative 1 did
+    t0 = F.collect_set(F.when(F.col("alt") == 0, F.col("term_idx")))
+    t10 = F.collect_set(F.when((F.col("alt") == 1) & (F.col("part") == 0), F.col("term_idx")))
+    t11 = F.collect_set(F.when((F.col("alt") == 1) & (F.col("part") == 1), F.col("term_idx")))
+    per_doc = scored.groupBy("query_id", "doc_id").agg(
+        F.size(F.array_union(t0, F.array_intersect(t10, t11))).alias("ok_terms"),
+        F.sum("contrib").alias("score"))
+    n_terms = query_term_counts(queries, query_id, text)
+    hits = (per_doc.join(F.broadcast(n_terms), "query_id")
+            .filter(F.col("ok_terms") == F.col("n_terms")).select("query_id", "doc_id", "score"))
 
     # top k + 1 per query (partial per-group limit before the shuffle)
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
@@ -294,7 +375,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     return explain_hits(ranked.join(qtext, "query_id").join(docs, "doc_id"))
 
 
-def _empty_hits(spark, explain: bool) -> DataFrame:
+def _empty_hits(spark) -> DataFrame:
     schema = "query_id long, doc_id long, score double, rank int, truncated boolean"
     return spark.createDataFrame([], schema)
 

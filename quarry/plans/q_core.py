@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import events as ev
 from ..operators import filters as fl
 from ..operators import summary as sm
+from ..session import spread
 from .registry import register, rounded, table
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"      # Spark pattern
@@ -293,7 +294,7 @@ SELECT d.doc_id, EXISTS (SELECT 1 FROM secrets WHERE contains(d.text, secrets.s)
 FROM documents d
 """)
 def p11_secret_rows(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     secrets = (docs.select(F.regexp_extract("text", SECRET_RE, 1).alias("secret"))
                .filter(F.col("secret") != ""))
     return fl.flag_secret_rows(docs, secrets).select("doc_id", "has_secret")

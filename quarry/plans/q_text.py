@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..operators import rollups as ru
 from ..operators import text as tx
+from ..session import spread
 from .registry import register, rounded, table
 
 
 def search_docs(spark, sf_dir):
     """The documents table as search documents (T4): title = source, body =
     ``lang .. n_chars .. text ..``, context = ``table documents``."""
-    return tx.build_documents(table(spark, sf_dir, "documents"), "documents", row_col="doc_id")
+    return tx.build_documents(spread(table(spark, sf_dir, "documents")), "documents", row_col="doc_id")
 
 
 def benchmark_queries(spark, sf_dir):

@@ -65,3 +65,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition a frame whose scan yields fewer partitions
+    than the cluster can run at once, before CPU-heavy per-row work
+    (tokenising, regex, JSON).  A large input already arrives in many
+    splits, so on a cluster this is a no-op."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
