@@ -6,4 +6,5 @@ from . import q_functions  # noqa: F401
 from . import q_relational  # noqa: F401
 from . import q_text  # noqa: F401
 from . import q_evidence  # noqa: F401
+from . import q_sources  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
