@@ -203,10 +203,12 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
     """Server-class membership.
 
     ``rules`` = (level, class, app, kind, pattern) with level in
-    global/class/app, kind allow/deny and ``*``/``?`` globs.  Global rules
-    apply to every class, class rules to every app of the class.  A client
-    belongs to (class, app) when some allow rule applies and matches and no
-    applicable deny rule matches (deny wins at every level).  The rule table
+    global/class/app, kind allow/deny and ``*``/``?`` globs.  Targets are
+    the (class, app) pairs named by app rules.  Global rules apply to every
+    target, class rules to every app of the class.  A client belongs to
+    (class, app) when a global or class allow rule matches (class
+    membership), the app's allow rules - if it has any - also match, and no
+    applicable deny rule at any level matches (deny wins).  The rule table
     is size-checked and broadcast; matching is a broadcast nested-loop join
     (patterns have no equality key), bounded by the rule count per client.
     """
@@ -229,10 +231,15 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
     app = r.filter(F.col("level") == "app")
     applied = glob.unionByName(cls).unionByName(app)
     hits = clients.join(F.broadcast(applied), F.expr(f"`{match_col}` RLIKE __re"))
+    app_allow = (r.filter((F.col("level") == "app") & (F.col("kind") == "allow"))
+                 .select("class", "app").distinct().withColumn("__app_rules", F.lit(True)))
     agg = hits.groupBy(client_key, "class", "app").agg(
-        F.bool_or(F.col("kind") == "allow").alias("allowed"),
+        F.bool_or((F.col("kind") == "allow") & (F.col("level") != "app")).alias("in_class"),
+        F.bool_or((F.col("kind") == "allow") & (F.col("level") == "app")).alias("app_allowed"),
         F.bool_or(F.col("kind") == "deny").alias("denied"))
-    return agg.filter(F.col("allowed") & ~F.col("denied")).select(client_key, "class", "app")
+    agg = agg.join(F.broadcast(app_allow), ["class", "app"], "left")
+    ok = F.col("in_class") & ~F.col("denied") & (F.col("app_allowed") | F.col("__app_rules").isNull())
+    return agg.filter(ok).select(client_key, "class", "app")
 
 
 # --------------------------------------------- J10 compatibility, J11
@@ -391,7 +398,7 @@ def cidr_bounds(col: Column) -> Column:
     """struct(lo, hi) of an IPv4 CIDR ``a.b.c.d/n`` (host bits ignored)."""
     ip = ipv4_to_long(F.split(col, "/").getItem(0))
     bits = F.coalesce(F.get(F.split(col, "/"), 1).cast("int"), F.lit(32))
-    size = F.shiftleft(F.lit(1).cast("long"), 32 - bits)
+    size = F.power(F.lit(2.0), F.lit(32) - bits).cast("long")
     lo = ip - F.pmod(ip, size)
     return F.when(ip.isNotNull() & bits.between(0, 32), F.struct(lo.alias("lo"), (lo + size - 1).alias("hi")))
 

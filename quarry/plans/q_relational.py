@@ -167,14 +167,18 @@ WITH rules AS (
   ) AS t(level, class, app, kind, pattern)),
 targets AS (SELECT DISTINCT class, app FROM rules WHERE level = 'app'),
 applied AS (
-  SELECT t.class, t.app, r.kind, r.pattern FROM rules r JOIN targets t ON r.level = 'global'
-  UNION ALL SELECT t.class, t.app, r.kind, r.pattern FROM rules r JOIN targets t ON r.level = 'class' AND r.class = t.class
-  UNION ALL SELECT class, app, kind, pattern FROM rules WHERE level = 'app'),
+  SELECT t.class, t.app, r.level, r.kind, r.pattern FROM rules r JOIN targets t ON r.level = 'global'
+  UNION ALL SELECT t.class, t.app, r.level, r.kind, r.pattern FROM rules r JOIN targets t ON r.level = 'class' AND r.class = t.class
+  UNION ALL SELECT class, app, level, kind, pattern FROM rules WHERE level = 'app'),
+app_rules AS (SELECT DISTINCT class, app FROM rules WHERE level = 'app' AND kind = 'allow'),
 hits AS (
-  SELECT p.p_partkey, a.class, a.app, a.kind FROM part p JOIN applied a
+  SELECT p.p_partkey, a.class, a.app, a.level, a.kind FROM part p JOIN applied a
   ON regexp_full_match(p.p_name, replace(replace(a.pattern, '*', '.*'), '?', '.')))
-SELECT p_partkey AS client, class, app FROM hits GROUP BY 1, 2, 3
-HAVING bool_or(kind = 'allow') AND NOT bool_or(kind = 'deny')
+SELECT h.p_partkey AS client, h.class, h.app FROM hits h
+LEFT JOIN app_rules ar ON ar.class = h.class AND ar.app = h.app
+GROUP BY 1, 2, 3, ar.class
+HAVING bool_or(h.kind = 'allow' AND h.level <> 'app') AND NOT bool_or(h.kind = 'deny')
+   AND (bool_or(h.kind = 'allow' AND h.level = 'app') OR ar.class IS NULL)
 """)
 def j9_server_classes(spark, sf_dir):
     """Parts act as clients (name = hostname); a fixed deployment rule set
