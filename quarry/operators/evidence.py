@@ -147,10 +147,11 @@ LANE_PATTERNS = (
 )
 
 
-def health_lanes(checks: DataFrame, check_col: str = "check", ledger: DataFrame | None = None) -> DataFrame:
+def health_lanes(checks: DataFrame, check_col: str = "check", ledger: DataFrame | None = None,
+                 id_col: str | None = None) -> DataFrame:
     """Lane per check (first matching pattern; else ``unmapped``), the
-    smallest evidence that lane needs, and - with a ledger keyed by the
-    check id - which of it is missing (G3)."""
+    smallest evidence that lane needs, and - with a ledger keyed by
+    ``id_col`` - which of it is missing (G3)."""
     lane = None
     for pat, name in LANE_PATTERNS:
         cond = F.col(check_col).rlike(pat)
@@ -161,7 +162,8 @@ def health_lanes(checks: DataFrame, check_col: str = "check", ledger: DataFrame
         "required_evidence", F.coalesce(need[F.col("lane")], F.array().cast("array<string>")))
     if ledger is not None:
         obs = ledger.groupBy("object_id").agg(F.collect_set("field").alias("__obs"))
-        out = out.join(obs, out[check_col].cast("string") == obs["object_id"], "left").drop("object_id")
+        key = id_col or check_col
+        out = out.join(obs, out[key].cast("string") == obs["object_id"], "left").drop("object_id")
         out = out.withColumn("missing_evidence", F.array_sort(F.array_except(
             "required_evidence", F.coalesce(F.col("__obs"), F.array().cast("array<string>"))))).drop("__obs")
     return out
