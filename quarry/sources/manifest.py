@@ -120,8 +120,9 @@ def accept_warning(manifest: DataFrame, table: str, code: str, now_epoch: int |
         now.alias("accepted_at"))).otherwise(x))
     found = target & F.exists(w, lambda x: x["code"] == c)
     changed = target & F.exists(w, lambda x: (x["code"] == c) & ~x["accepted"])
-    return manifest.withColumn("warnings", new).withColumn("accept_found", found) \
-                   .withColumn("accept_changed", changed)
+    # flags first: they must read the warnings as they were before accepting
+    return manifest.withColumn("accept_found", found).withColumn("accept_changed", changed) \
+                   .withColumn("warnings", new)
 
 
 # ------------------------------------------------------------------ M6
