@@ -8,6 +8,7 @@ is pushed into the scan and the ordered limit runs as a per-task top-k
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -96,10 +97,30 @@ def resolve_matcher(df: DataFrame, value: str | None = None, field: str | None =
     return Matcher("json_field", "json:" + json_field, json_path_value(F.col("_raw"), json_field), value)
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+_CANONICAL_INT = re.compile(r"^(0|-?[1-9][0-9]{0,18})$")
+
+
+def match_condition(df: DataFrame, m: Matcher) -> Column:
+    """The row predicate of a matcher.  Text equality on an integer column
+    is rewritten to numeric equality (exactly equivalent: an integer's text
+    is its canonical decimal form), which the scan can push down; a value
+    that is not a canonical integer cannot match such a column."""
+    if m.mode in ("field", "request_id") and not m.field.startswith("json:"):
+        dtype = dict(df.dtypes).get(m.field)
+        if dtype in _INTEGRAL:
+            if _CANONICAL_INT.match(m.value):
+                return F.col(m.field) == F.lit(int(m.value)).cast(dtype)
+            return F.lit(False)
+        if dtype == "string":
+            return F.col(m.field) == F.lit(m.value)
+    return m.expr == F.lit(m.value)
+
+
 def match_field(df: DataFrame, field: str, value: str) -> DataFrame:
     """Rows whose column, read as text, equals ``value``."""
     m = resolve_matcher(df, value=value, field=field)
-    return df.filter(m.expr == F.lit(m.value))
+    return df.filter(match_condition(df, m))
 
 
 def match_json(df: DataFrame, path: str, value: str, raw: str = "_raw") -> DataFrame:
@@ -111,7 +132,7 @@ def match_request_id(df: DataFrame, value: str) -> DataFrame:
     """P5: rows carrying correlation id ``value`` in the first id column that
     exists, else in any of the id paths of ``_raw``."""
     m = resolve_matcher(df, request_id=value)
-    return df.filter(m.expr == F.lit(m.value))
+    return df.filter(match_condition(df, m))
 
 
 def compact_columns(df: DataFrame) -> list[str]:
@@ -142,7 +163,7 @@ def event_sequence(df: DataFrame, value: str | None = None, field: str | None =
                    limit: int | None = DEFAULT_EVENT_LIMIT, flag_truncation: bool = False) -> DataFrame:
     """The ordered compact events of one correlation value."""
     m = resolve_matcher(df, value, field, json_field, request_id)
-    hits = df.filter(m.expr == F.lit(m.value))
+    hits = df.filter(match_condition(df, m))
     order = event_order(df)
     compact = compact_events(hits, m)
     if limit is None:

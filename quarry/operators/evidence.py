@@ -41,10 +41,19 @@ def latest_values(ledger: DataFrame) -> DataFrame:
 
 
 def from_ledger(ledger: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
-    """Ledger -> wide, newest value per field.  Pass ``fields`` to skip
-    the extra job that discovers the pivot values."""
+    """Ledger -> wide, newest value per field (ties: greatest value).
+
+    With ``fields`` this is one aggregation per object: a conditional
+    ``max_by`` per field (rows of other fields have a null ordering and are
+    ignored), combined map-side - one shuffle.  Without ``fields`` the
+    field names are discovered by a pivot over the newest values."""
+    if fields:
+        aggs = [F.max_by(F.when(F.col("field") == f, F.col("value")),
+                         F.when(F.col("field") == f, F.struct(F.col("observed_at"), F.col("value")))).alias(f)
+                for f in fields]
+        return ledger.groupBy("object_id").agg(*aggs)
     latest = latest_values(ledger)
-    return latest.groupBy("object_id").pivot("field", list(fields) if fields else None).agg(F.first("value"))
+    return latest.groupBy("object_id").pivot("field").agg(F.first("value"))
 
 
 # ------------------------------------------------------------------- G3
