@@ -14,6 +14,7 @@ from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
@@ -141,7 +142,7 @@ def acl_exposure(objects: DataFrame, acl: DataFrame, object_key: str = "object_i
 
 # ------------------------------------------ J8 effective capabilities
 def role_closure(inherits: DataFrame, role_col: str = "role", parent_col: str = "inherits",
-                 max_depth: int = 64) -> DataFrame:
+                 max_rounds: int = 100_000) -> DataFrame:
     """Transitive closure ``(role, ancestor)`` (each role is its own ancestor)
     by semi-naive iteration: each round joins only the pairs found in the
     previous round to the edges and keeps what is new.
@@ -165,7 +166,7 @@ def role_closure(inherits: DataFrame, role_col: str = "role", parent_col: str =
      .distinct().write.mode("overwrite").parquet(f"{root}/edges"))
     edges = spark.read.parquet(f"{root}/edges")
     frontier = edges
-    for k in range(1, max_depth + 1):
+    for k in range(1, max_rounds + 1):
         closure = spark.read.parquet(*[f"{root}/round={i}" for i in range(k)])
         step = (frontier.alias("f").join(edges.alias("e"), F.col("f.ancestor") == F.col("e.role"))
                 .select(F.col("f.role").alias("role"), F.col("e.ancestor").alias("ancestor")).distinct())
@@ -173,6 +174,9 @@ def role_closure(inherits: DataFrame, role_col: str = "role", parent_col: str =
         frontier = spark.read.parquet(f"{root}/round={k}")
         if frontier.isEmpty():
             break
+    else:
+        # never return a partial closure
+        raise RuntimeError(f"role closure did not converge in {max_rounds} rounds")
     return spark.read.parquet(*[f"{root}/round={i}" for i in range(k + 1)])
 
 
@@ -209,12 +213,11 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
     (class, app) when a global or class allow rule matches (class
     membership), the app's allow rules - if it has any - also match, and no
     applicable deny rule at any level matches (deny wins).  The rule table
-    is size-checked and broadcast; matching is a broadcast nested-loop join
-    (patterns have no equality key), bounded by the rule count per client.
+    is size-checked and broadcast in bounded chunks; matching is a broadcast
+    nested-loop join (patterns have no equality key).
     """
     n = rules.count()
-    if n > max_rules:
-        raise ValueError(f"{n} rules exceed the broadcast bound {max_rules}")
+    n_chunks = max(1, -(-n // max_rules))
     regex = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(
         F.regexp_replace(F.col("pattern"), r"([.\\+^$()\[\]{}|])", r"\\$1"), r"\*", ".*"), r"\?", "."), F.lit("$"))
     r = rules.withColumn("__re", regex)
@@ -230,7 +233,16 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
            .withColumn("app", F.explode(F.transform(cls_targets, lambda t: t["app"]))))
     app = r.filter(F.col("level") == "app")
     applied = glob.unionByName(cls).unionByName(app)
-    hits = clients.join(F.broadcast(applied), F.expr(f"`{match_col}` RLIKE __re"))
+    # patterns have no equality key: each client is tested against a
+    # broadcast chunk of at most ``max_rules`` rules; more rules are hashed
+    # into several chunks whose hits are unioned (exact, every broadcast
+    # bounded)
+    hits = None
+    for chunk in range(n_chunks):
+        part = applied if n_chunks == 1 else applied.filter(
+            F.pmod(F.xxhash64("pattern", "kind", "class", "app"), F.lit(n_chunks)) == chunk)
+        h = clients.join(F.broadcast(part), F.expr(f"`{match_col}` RLIKE __re"))
+        hits = h if hits is None else hits.unionByName(h)
     app_allow = (r.filter((F.col("level") == "app") & (F.col("kind") == "allow"))
                  .select("class", "app").distinct().withColumn("__app_rules", F.lit(True)))
     agg = hits.groupBy(client_key, "class", "app").agg(
@@ -361,26 +373,30 @@ def as_of(decisions: DataFrame, observations: DataFrame, key: Sequence[str] | st
 
 # ------------------------------------------- J17 member comparison
 def compare_members(df: DataFrame, object_key: Sequence[str] | str, member: str,
-                    attrs: Sequence[str], max_members: int = 10_000) -> DataFrame:
+                    attrs: Sequence[str], max_listed_members: int = 10_000) -> DataFrame:
     """Per object, which members have it, which lack it, and whether
     the members' metadata differ.
 
-    The member list is small by nature; its size is checked and it is
-    inlined as a literal array, so "missing" is an array difference per
-    object - no objects x members cross join.
+    ``n_missing`` (members lacking the object) is always exact: the member
+    count is one aggregate, so no objects x members product is formed.  The
+    names in ``missing_from`` are listed when the member list is within
+    ``max_listed_members`` (inlined as a literal array); beyond that the
+    column is null and the count still holds.
     """
     keys = [object_key] if isinstance(object_key, str) else list(object_key)
-    members = [r[0] for r in df.select(member).distinct().limit(max_members + 1).collect()]
-    if len(members) > max_members:
-        raise ValueError(f"more than {max_members} members")
-    members = sorted(members)
+    n_members = df.select(member).distinct().count()
     checksum = F.xxhash64(*[F.col(a) for a in attrs])
     per = df.groupBy(*keys).agg(
         F.array_sort(F.collect_set(F.col(member))).alias("present_in"),
         F.count_distinct(checksum).alias("variants"))
-    all_members = F.array(*[F.lit(m) for m in members])
-    return (per.withColumn("missing_from", F.array_except(all_members, F.col("present_in")))
-            .withColumn("consistent", (F.col("variants") <= 1) & (F.size("missing_from") == 0)))
+    per = per.withColumn("n_missing", F.lit(n_members) - F.size("present_in"))
+    if n_members <= max_listed_members:
+        members = sorted(r[0] for r in df.select(member).distinct().collect())
+        all_members = F.array(*[F.lit(m) for m in members])
+        per = per.withColumn("missing_from", F.array_except(all_members, F.col("present_in")))
+    else:
+        per = per.withColumn("missing_from", F.lit(None).cast(T.ArrayType(df.schema[member].dataType)))
+    return per.withColumn("consistent", (F.col("variants") <= 1) & (F.col("n_missing") == 0))
 
 
 # ------------------------------------------------------ J18 CIDR

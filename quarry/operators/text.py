@@ -224,16 +224,18 @@ def token_stats(docs: DataFrame) -> DataFrame:
     return p.groupBy("token").agg(F.count_distinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("occurrences"))
 
 
-def term_index(docs: DataFrame, tokens: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
+def term_index(docs: DataFrame, tokens: DataFrame, weights: Mapping[str, float] | None = None,
+               broadcast_tokens: bool = True) -> DataFrame:
     """``(doc_id, token, wtf, doc_len)`` for the given tokens (weighted term
     frequency over the fields), plus one row per document with a null token
     carrying its length: everything BM25 needs from one pass over the text.
-    The token list is broadcast (its size is bounded by the query batch)."""
+    The token list is broadcast when the caller has checked its size
+    (it grows with the query batch, not the corpus)."""
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
     post = _explode_postings(doc_tokens(docs, length_row=True))
-    flagged = post.join(F.broadcast(tokens.select("token").distinct().withColumn("__need", F.lit(True))),
-                        "token", "left")
+    need = tokens.select("token").distinct().withColumn("__need", F.lit(True))
+    flagged = post.join(F.broadcast(need) if broadcast_tokens else need, "token", "left")
     kept = flagged.filter(F.col("__need") | (F.col("field") == LEN_FIELD))
     return kept.groupBy("doc_id", "token").agg(F.sum(wcol[F.col("field")]).alias("wtf"),
                                                F.first("doc_len").alias("doc_len"))
@@ -275,9 +277,9 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     pkey = ["query_id", "term_idx", "alt", "part"]
     ph = query_phrases(queries, query_id, text).select(*pkey, "n_tokens", "offset", "token")
     n_ph = ph.count()
-    if n_ph > max_broadcast_tokens:
-        raise ValueError(f"query batch has {n_ph} phrase tokens; split it into batches of at most "
-                         f"{max_broadcast_tokens}")
+    # the phrase table grows with the query batch, not with the corpus; it is
+    # broadcast while its checked size allows, else joined by shuffle
+    bc = (lambda d: F.broadcast(d)) if n_ph <= max_broadcast_tokens else (lambda d: d)
     has_multi = not ph.filter(F.col("n_tokens") > 1).isEmpty()
     needed = ph.select("token").distinct()
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
@@ -289,7 +291,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         # one length row per document.  Stats, IDF and scoring all read it.
         from ..session import scratch_path
         path = scratch_path(spark, "text-index")
-        term_index(docs, needed, weights).write.parquet(path)
+        term_index(docs, needed, weights, broadcast_tokens=n_ph <= max_broadcast_tokens).write.parquet(path)
         idx = spark.read.parquet(path)
         lens = idx.filter(F.col("token").isNull())
         if stats is None:
@@ -299,7 +301,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         post = None
     else:
         buckets = [r[0] for r in ph.select(F.pmod(F.xxhash64("token"), F.lit(256))).distinct().collect()]
-        post = postings.filter(F.col("bucket").isin(buckets)).join(F.broadcast(needed), "token", "left_semi")
+        post = postings.filter(F.col("bucket").isin(buckets)).join(bc(needed), "token", "left_semi")
         dt = post.groupBy("doc_id", "token").agg(F.sum(wcol[F.col("field")]).alias("wtf"),
                                                  F.first("doc_len").alias("doc_len"))
     n_docs, avgdl = stats if stats is not None else corpus_stats(docs)
@@ -307,14 +309,14 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         return _empty_hits(spark)
     single = ph.filter(F.col("n_tokens") == 1).select(*pkey, "token")
     tdf = dt.groupBy("token").agg(F.count(F.lit(1)).alias("n_hit"))
-    phrase_df = single.join(F.broadcast(tdf), "token", "left").select(
+    phrase_df = single.join(bc(tdf), "token", "left").select(
         *pkey, F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit"))
     multi_ppd = None
     if has_multi:
         mph = ph.filter(F.col("n_tokens") > 1)
         if post is None:
             post = _explode_postings(doc_tokens(docs))
-        occ = (post.join(F.broadcast(mph), "token").withColumn("start", F.col("pos") - F.col("offset"))
+        occ = (post.join(bc(mph), "token").withColumn("start", F.col("pos") - F.col("offset"))
                .groupBy(*pkey, "doc_id", "field", "start")
                .agg(F.count(F.lit(1)).alias("hit_parts"), F.first("n_tokens").alias("n_tokens"),
                     F.first("doc_len").alias("doc_len"))
@@ -330,14 +332,14 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     size = phrase_df.filter(F.col("part") == 0).groupBy("query_id", "term_idx").agg(F.sum("n_hit").alias("size"))
     driver = size.groupBy("query_id").agg(
         F.min_by(F.col("term_idx"), F.struct(F.col("size"), F.col("term_idx"))).alias("term_idx"))
-    drv = phrase_df.filter(F.col("part") == 0).join(F.broadcast(driver), ["query_id", "term_idx"]).select(*pkey)
-    cands = dt.join(F.broadcast(single.join(drv, pkey)), "token").select("query_id", "doc_id")
+    drv = phrase_df.filter(F.col("part") == 0).join(bc(driver), ["query_id", "term_idx"]).select(*pkey)
+    cands = dt.join(bc(single.join(drv, pkey)), "token").select("query_id", "doc_id")
     if multi_ppd is not None:
-        cands = cands.unionByName(multi_ppd.join(F.broadcast(drv), pkey).select("query_id", "doc_id"))
+        cands = cands.unionByName(multi_ppd.join(bc(drv), pkey).select("query_id", "doc_id"))
     cands = cands.distinct()
 
     # score candidate documents only: (candidate x query term) joined to dt
-    need = cands.join(F.broadcast(single), "query_id")
+    need = cands.join(bc(single), "query_id")
     ppd = need.join(dt, ["doc_id", "token"]).select(*pkey, "doc_id", F.col("wtf").alias("wfreq"), "doc_len")
     if multi_ppd is not None:
         ppd = ppd.unionByName(multi_ppd.join(cands, ["query_id", "doc_id"], "left_semi"))
@@ -346,7 +348,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     idf_t = phrase_df.select(*pkey, F.when(idf <= 0, F.lit(1e-6)).otherwise(idf).alias("idf"))
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("doc_len") / F.lit(avgdl if avgdl > 0 else 1.0))
     contrib = F.col("idf") * (F.col("wfreq") * (k1 + 1.0)) / (F.col("wfreq") + norm)
-    scored = ppd.join(F.broadcast(idf_t), pkey).withColumn("contrib", contrib)
+    scored = ppd.join(bc(idf_t), pkey).withColumn("contrib", contrib)
 
     # AND rule and score in one aggregation: a term holds when alternative 0
     # matched, or both parts of alternative 1 did
@@ -357,7 +359,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         F.size(F.array_union(t0, F.array_intersect(t10, t11))).alias("ok_terms"),
         F.sum("contrib").alias("score"))
     n_terms = query_term_counts(queries, query_id, text)
-    hits = (per_doc.join(F.broadcast(n_terms), "query_id")
+    hits = (per_doc.join(bc(n_terms), "query_id")
             .filter(F.col("ok_terms") == F.col("n_terms")).select("query_id", "doc_id", "score"))
 
     # top k + 1 per query (partial per-group limit before the shuffle)
