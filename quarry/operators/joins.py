@@ -181,14 +181,14 @@ def role_closure(inherits: DataFrame, role_col: str = "role", parent_col: str =
 
 
 def effective_capabilities(user_groups: DataFrame, group_roles: DataFrame, role_inherits: DataFrame,
-                           role_caps: DataFrame) -> DataFrame:
+                           role_caps: DataFrame, closure: DataFrame | None = None) -> DataFrame:
     """User -> group -> role -> inherited roles -> capability.
 
     Inputs: (user, group), (group, role), (role, inherits), (role, capability).
     Output: distinct (user, capability, via_role).  A role with no
     inheritance row is its own only ancestor.
     """
-    closure = role_closure(role_inherits)
+    closure = closure if closure is not None else role_closure(role_inherits)
     user_roles = user_groups.join(group_roles, "group").select("user", "role")
     reach = (user_roles.join(closure, "role", "left")
              .select("user", F.col("role").alias("via_role"),

@@ -145,8 +145,9 @@ def j8_effective_capabilities(spark, sf_dir):
         F.col("n_nationkey").alias("role"), F.floor(F.col("n_nationkey") / 2).cast("int").alias("inherits"))
     caps = n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("role"), F.concat(F.lit("cap_"), F.col("r_name")).alias("capability"))
-    eff = jn.effective_capabilities(user_groups, group_roles, inherits, caps)
-    roles = jn.role_closure(inherits).withColumnRenamed("role", "group")
+    closure = jn.role_closure(inherits)
+    eff = jn.effective_capabilities(user_groups, group_roles, inherits, caps, closure=closure)
+    roles = closure.withColumnRenamed("role", "group")
     n_roles = (user_groups.join(roles, "group").groupBy("user")
                .agg(F.count_distinct("ancestor").alias("roles")))
     n_caps = eff.groupBy("user").agg(F.count_distinct("capability").alias("capabilities"))
