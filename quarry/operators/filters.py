@@ -95,20 +95,21 @@ def slice_rows(df: DataFrame, order: Sequence[Column], limit: int = 0, offset: i
     """``offset`` then ``limit`` rows (0 = all) of a stated order, with
     ``total`` and ``has_more = offset + returned < total`` on every row.
 
-    ``total`` comes from a global count aggregate, joined as a one-row side.
+    ``total`` is one count (a scalar); ``returned`` follows from it, so both
+    columns are literals on the page (no join).
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must be >= 0")
+    total = df.count()
+    left = max(total - offset, 0)
+    returned = min(limit, left) if limit else left
     page = df.orderBy(*order)
     if offset:
         page = page.offset(offset)
     if limit:
         page = page.limit(limit)
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    returned = page.agg(F.count(F.lit(1)).alias("returned"))
-    meta = total.crossJoin(returned).select(
-        "total", (F.lit(offset) + F.col("returned") < F.col("total")).alias("has_more"))
-    return page.crossJoin(F.broadcast(meta))
+    return page.withColumn("total", F.lit(total).cast("long")) \
+               .withColumn("has_more", F.lit(offset + returned < total))
 
 
 def sample_rows(df: DataFrame, n: int = 5, order: Sequence[Column] | None = None) -> DataFrame:

@@ -54,7 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        conf_dir = tempfile.mkdtemp(prefix="quarry-ckpt-")     # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir
