@@ -15,6 +15,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import first_occurrences
 from ..functions.evalfns import eval_columns
 
 # --------------------------------------------------------------- regexes
@@ -114,7 +115,7 @@ def extract_kv(df: DataFrame, col: str, out: str = "kv", max_keys: int | None =
     vals = F.transform(F.regexp_extract_all(src, F.lit(pat), 2),
                        lambda v: F.regexp_replace(v, r'^"(.*)"$', "$1"))
     pairs = F.arrays_zip(keys.alias("k"), vals.alias("v"))
-    firsts = F.filter(pairs, lambda p, i: F.array_position(keys, p["k"]) == i + 1)
+    firsts = first_occurrences(pairs, lambda p: p["k"])
     if max_keys:
         firsts = F.slice(firsts, 1, max_keys)
     entries = F.transform(firsts, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value")))
@@ -173,7 +174,7 @@ def xmlkv(df: DataFrame, col: str, out: str = "xmlkv") -> DataFrame:
     keys = F.regexp_extract_all(F.col(col), F.lit(pat), 1)
     vals = F.regexp_extract_all(F.col(col), F.lit(pat), 2)
     pairs = F.arrays_zip(keys.alias("k"), vals.alias("v"))
-    firsts = F.filter(pairs, lambda p, i: F.array_position(keys, p["k"]) == i + 1)
+    firsts = first_occurrences(pairs, lambda p: p["k"])
     return df.withColumn(out, F.map_from_entries(
         F.transform(firsts, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value")))))
 

@@ -499,12 +499,13 @@ def minimal_diff(current: DataFrame, desired: DataFrame, key: Sequence[str],
 
 
 def dedupe_tokens(col: Column | str) -> Column:
-    """Case-insensitive first-seen dedupe of an array of tokens; empty
-    and blank tokens are dropped, order of first appearance is kept."""
+    """Case-insensitive first-seen dedupe of an array of tokens; blank
+    tokens are dropped, order of first appearance is kept (O(n log n) per
+    array, see ``first_occurrences``)."""
+    from ..functions.arrays import first_occurrences
     arr = F.col(col) if isinstance(col, str) else col
     toks = F.filter(F.transform(arr, lambda t: F.trim(t)), lambda t: t != "")
-    low = F.transform(toks, lambda t: F.lower(t))
-    return F.filter(toks, lambda t, i: F.array_position(low, F.lower(t)) == i + 1)
+    return first_occurrences(toks, lambda t: F.lower(t))
 
 
 def dedupe_urls(df: DataFrame, url: str = "url", title: str | None = "title",

@@ -620,3 +620,45 @@ def a14_name_collisions(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("object_type"), F.col("p_type").alias("context"),
                                             F.col("p_name").alias("name"))
     return ru.name_collisions(p).drop("spellings")
+
+
+@register("j18_cidr_match", sql="""
+WITH t AS (SELECT c_custkey, '10.' || CAST(c_nationkey AS VARCHAR) || '.' || CAST((c_custkey // 256) % 256 AS VARCHAR)
+                  || '.' || CAST(c_custkey % 256 AS VARCHAR) AS ip FROM customer),
+c AS (SELECT '10.' || CAST(n_nationkey AS VARCHAR) || '.0.0/' || CASE WHEN n_regionkey = 0 THEN '16' ELSE '20' END AS cidr,
+             (10 * 16777216 + n_nationkey * 65536) AS lo,
+             (10 * 16777216 + n_nationkey * 65536) + CASE WHEN n_regionkey = 0 THEN 65536 ELSE 4096 END - 1 AS hi
+      FROM nation
+      UNION ALL SELECT '10.0.0.0/8', 10 * 16777216, 11 * 16777216 - 1),
+tn AS (SELECT c_custkey, ip, CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536
+              + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT) AS n FROM t)
+SELECT tn.c_custkey, tn.ip, c.cidr FROM tn JOIN c ON tn.n BETWEEN c.lo AND c.hi
+""")
+def j18_cidr_match(spark, sf_dir):
+    """Customers get addresses 10.<nation>.<key bytes>; every nation owns
+    10.<nation>.0.0/16 (region 0) or /20, and 10.0.0.0/8 covers all."""
+    c = table(spark, sf_dir, "customer")
+    ip = F.concat_ws(".", F.lit("10"), F.col("c_nationkey").cast("string"),
+                     F.pmod(F.floor(F.col("c_custkey") / 256), F.lit(256)).cast("string"),
+                     F.pmod(F.col("c_custkey"), F.lit(256)).cast("string"))
+    traffic = c.select("c_custkey", ip.alias("ip"))
+    n = table(spark, sf_dir, "nation")
+    cidrs = n.select(F.concat(F.lit("10."), F.col("n_nationkey").cast("string"), F.lit(".0.0/"),
+                              F.when(F.col("n_regionkey") == 0, F.lit("16")).otherwise(F.lit("20"))).alias("cidr"))
+    cidrs = cidrs.unionByName(spark.createDataFrame([("10.0.0.0/8",)], "cidr string"))
+    return jn.cidr_match(traffic, "ip", cidrs).select("c_custkey", "ip", "cidr")
+
+
+@register("u5_dedupe_tokens", sql=r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+') AS toks FROM documents)
+SELECT doc_id, CAST(len(list_distinct(list_transform(toks, lambda x: lower(x)))) AS INTEGER) AS n_unique,
+       toks[1] AS first_token
+FROM t
+""")
+def u5_dedupe_tokens(spark, sf_dir):
+    """Case-insensitive first-seen dedupe of every document's words."""
+    from ..session import spread
+    d = spread(table(spark, sf_dir, "documents"))
+    toks = F.regexp_extract_all(F.col("text"), F.lit(r"[\p{L}\p{N}]+"), 0)
+    u = d.select("doc_id", jn.dedupe_tokens(toks).alias("u"))
+    return u.select("doc_id", F.size("u").alias("n_unique"), F.get("u", 0).alias("first_token"))

@@ -119,3 +119,34 @@ def w5_thin_progress(spark, sf_dir):
                     F.least(F.col("value") / 5, F.lit(100.0)).alias("percent"),
                     F.lit(None).cast("string").alias("kind"))
     return wn.thin_progress(prog).select("job", F.date_format("ts", FMT_US).alias("ts"), "phase", "percent")
+
+
+@register("s9_job_status", sql="""
+WITH j AS (
+  SELECT l_orderkey, count(*) AS n, sum(CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END) AS done,
+         sum(l_quantity) AS qty, max(l_linenumber) AS results
+  FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey,
+       CASE WHEN done = n THEN 'DONE' ELSE 'RUNNING' END AS state,
+       round(least(greatest(CAST(done AS DOUBLE) / n, 0.0), 1.0), 6) AS done_progress,
+       CAST(n AS BIGINT) AS scan_count, CAST(floor(qty) AS BIGINT) AS event_count, CAST(results AS BIGINT) AS result_count,
+       done = n AS done
+FROM j
+""")
+def s9_job_status(spark, sf_dir):
+    """Each order becomes a search job whose status payload (the remote
+    job-status JSON shape, with numbers partly sent as text) is built from
+    its line items and parsed back leniently."""
+    li = table(spark, sf_dir, "lineitem")
+    j = li.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("l_linestatus") == "F", 1).otherwise(0)).alias("done"),
+        F.sum("l_quantity").alias("qty"), F.max("l_linenumber").alias("results"))
+    content = F.struct(
+        F.when(F.col("done") == F.col("n"), F.lit("done")).otherwise(F.lit("running")).alias("dispatchState"),
+        (F.col("done") == F.col("n")).cast("string").alias("isDone"),
+        (F.col("done") / F.col("n")).alias("doneProgress"),
+        F.col("n").cast("string").alias("scanCount"), F.col("qty").alias("eventCount"),
+        F.col("results").alias("resultCount"))
+    payload = F.to_json(F.struct(F.array(F.struct(content.alias("content"))).alias("entry")))
+    out = ig.parse_job_status(j.select("l_orderkey", payload.alias("value")))
+    return rounded(out.select("l_orderkey", "state", "done_progress", "scan_count", "event_count", "result_count", "done"))
