@@ -150,3 +150,70 @@ def s9_job_status(spark, sf_dir):
     payload = F.to_json(F.struct(F.array(F.struct(content.alias("content"))).alias("entry")))
     out = ig.parse_job_status(j.select("l_orderkey", payload.alias("value")))
     return rounded(out.select("l_orderkey", "state", "done_progress", "scan_count", "event_count", "result_count", "done"))
+
+
+def order_manifest(spark, sf_dir):
+    """A manifest of saved results derived from the data: every order is a
+    saved result (rows = units ordered x 100, created at its order date);
+    each line becomes a warning (code from the return flag, accepted once
+    the line is finished)."""
+    from ..sources import manifest as mf
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    code = (F.when(F.col("l_returnflag") == "R", F.lit("Returned-Line"))
+            .when(F.col("l_returnflag") == "A", F.lit("accepted-line")).otherwise(F.lit("")))
+    w = li.groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(code.alias("code"),
+                                F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("message"),
+                                (F.col("l_linestatus") == "F").alias("accepted"),
+                                F.unix_seconds(F.col("l_shipdate").cast("timestamp")).alias("accepted_at"))).alias("warnings"),
+        (F.sum("l_quantity") * 100).cast("long").alias("result_count"))
+    m = o.join(w, o.o_orderkey == w.l_orderkey).select(
+        F.concat(F.lit("result_"), F.col("o_orderkey").cast("string")).alias("table_name"),
+        "result_count", F.col("result_count").alias("rows"),
+        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("created_at"),
+        F.col("warnings").cast(mf.WARNING_TYPE).alias("warnings"))
+    return m
+
+
+_SQL_MANIFEST = """
+m AS (
+  SELECT 'result_' || CAST(o.o_orderkey AS VARCHAR) AS table_name, CAST(sum(l.l_quantity) * 100 AS BIGINT) AS result_count,
+         CAST(epoch(o.o_orderdate) AS BIGINT) AS created_at,
+         count(*) FILTER (WHERE l.l_linestatus <> 'F') AS warning_count,
+         count(*) FILTER (WHERE l.l_linestatus = 'F') AS accepted_warning_count,
+         count(*) FILTER (WHERE l.l_returnflag = 'R') AS returned_codes
+  FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderkey, o.o_orderdate)"""
+
+
+@register("m1_list_results", sql=f"""
+WITH {_SQL_MANIFEST}
+SELECT table_name, strftime(to_timestamp(created_at), '%Y-%m-%dT%H:%M:%SZ') AS created_at_utc,
+       CAST(warning_count AS INTEGER) AS warning_count, CAST(accepted_warning_count AS INTEGER) AS accepted_warning_count,
+       (SELECT count(*) FROM m) > 100 AS truncated
+FROM m ORDER BY created_at DESC, table_name LIMIT 100
+""")
+def m1_list_results(spark, sf_dir):
+    """The newest 100 saved results with warning counts (M1, M5 normalisation)."""
+    from ..sources import manifest as mf
+    out = mf.list_results(order_manifest(spark, sf_dir), limit=100)
+    return out.select("table_name", "created_at_utc", "warning_count", "accepted_warning_count", "truncated")
+
+
+@register("m4_m6_retention_and_broad_fetch", sql=f"""
+WITH {_SQL_MANIFEST}
+SELECT table_name, created_at < CAST(epoch(TIMESTAMP '2001-08-01') AS BIGINT) - 86400 AS expired,
+       result_count > 10000 AS full_fetch
+FROM m
+""")
+def m4_m6_retention_and_broad_fetch(spark, sf_dir):
+    """Per saved result: expired at 2001-08-01 under the 24 hour retention
+    (M4) and whether the broad-fetch warning applies (M6)."""
+    from ..sources import manifest as mf
+    m = order_manifest(spark, sf_dir)
+    anchor = int(__import__("datetime").datetime(2001, 8, 1, tzinfo=__import__("datetime").timezone.utc).timestamp())
+    expired = mf.expired_results(m, anchor).select("table_name", F.lit(True).alias("expired"))
+    bf = mf.broad_fetch_warning(m).select(
+        "table_name", F.exists("warnings", lambda x: x["code"] == mf.WARNING_FULL_FETCH).alias("full_fetch"))
+    return (bf.join(expired, "table_name", "left")
+            .select("table_name", F.coalesce("expired", F.lit(False)).alias("expired"), "full_fetch"))
