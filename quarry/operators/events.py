@@ -38,13 +38,9 @@ class Matcher:
     value: str
 
 
-def as_text(col: Column) -> Column:
-    """Render a value as text the way a user reads it: integral doubles print
-    without a fraction (200, not 200.0); other values use Spark's cast."""
-    return col.cast("string")
-
-
 def _text_of(df: DataFrame, name: str) -> Column:
+    """A value as text the way a user reads it: integral doubles print
+    without a fraction (200, not 200.0); nested values as JSON."""
     dtype = dict(df.dtypes)[name]
     col = F.col(name)
     if dtype in ("double", "float"):

@@ -25,7 +25,7 @@ No documents x queries product is ever formed.
 from __future__ import annotations
 
 import re
-from typing import Mapping, Sequence
+from typing import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F

@@ -19,7 +19,6 @@ from typing import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .joins import _bucket, _num
 
