@@ -150,7 +150,7 @@ HEALTH_LANES = {
 # Check-name patterns mapped to a lane, first match wins.
 LANE_PATTERNS = (
     ("(?i)index|ingest|parsing", "indexing"), ("(?i)search|scheduler|skipped", "search"),
-    ("(?i)forwarder|tcpin|splunktcp", "forwarder"), ("(?i)disk|volume|space", "disk"),
+    ("(?i)forwarder|tcpin|receiver", "forwarder"), ("(?i)disk|volume|space", "disk"),
     ("(?i)licen", "license"), ("(?i)memory|oom|swap", "memory"), ("(?i)queue|pipeline", "queues"),
     ("(?i)security|cert|tls|auth", "security"), ("(?i)workload|pool", "workload_management"),
 )

@@ -356,7 +356,7 @@ def field_coverage(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 FAILURE_CODES = (
     ("search_timeout", "search_timeout", True),
     ("search_failed", "search_failed", False),
-    ("http", "splunk_http_error", None),          # retryable for 5xx
+    ("http", "remote_http_error", None),          # retryable for 5xx
     ("dns", "dns_lookup_failed", None),           # retryable when temporary/timeout, never not-found
     ("deadline", "network_timeout", True),
     ("canceled", "operation_canceled", False),
@@ -373,7 +373,7 @@ def classify_failures(df: DataFrame, kind: str = "kind", status: str = "status_c
                       operation: str = "operation") -> DataFrame:
     """``error_code`` and ``retryable`` for failure log rows; first
     matching kind wins; an unknown kind with an operation becomes
-    ``splunk_operation_failed`` (not retryable), else no code."""
+    ``remote_operation_failed`` (not retryable), else no code."""
     k = F.lower(F.trim(F.col(kind)))
     code, retry = None, None
     for name, c, r in FAILURE_CODES:
@@ -386,7 +386,7 @@ def classify_failures(df: DataFrame, kind: str = "kind", status: str = "status_c
         code = F.when(k == name, F.lit(c)) if code is None else code.when(k == name, F.lit(c))
         retry = F.when(k == name, rv) if retry is None else retry.when(k == name, rv)
     has_op = F.coalesce(F.trim(F.col(operation)), F.lit("")) != ""
-    code = code.when(has_op, F.lit("splunk_operation_failed"))
+    code = code.when(has_op, F.lit("remote_operation_failed"))
     retry = retry.when(has_op, F.lit(False)).otherwise(F.lit(None).cast("boolean"))
     return df.withColumn("error_code", code).withColumn("retryable", F.coalesce(retry, F.lit(False)))
 

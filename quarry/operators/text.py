@@ -48,7 +48,7 @@ FALLBACK_TITLE_FIELDS = (
     "pod_name", "k8s_pod_name", "pod", "k8s_namespace", "namespace",
     "path", "method", "message", "error", "exception", "url", "query", "text", "_raw",
 )
-FALLBACK_TITLE = "splunk search"
+FALLBACK_TITLE = "saved search row"
 DEFAULT_K = 20
 BM25_K1 = 1.2
 BM25_B = 0.75

@@ -29,7 +29,7 @@ def benchmark_queries(spark, sf_dir):
 _SQL_DOCS = r"""
 docs AS (
   SELECT doc_id,
-         trim(regexp_replace(coalesce(NULLIF(trim(source), ''), 'splunk search'), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS title,
+         trim(regexp_replace(coalesce(NULLIF(trim(source), ''), 'saved search row'), '[ \t\n\x0B\f\r]+', ' ', 'g')) AS title,
          trim(regexp_replace(concat_ws(' ',
              CASE WHEN NULLIF(trim(lang), '') IS NOT NULL THEN 'lang ' || trim(lang) END,
              CASE WHEN n_chars IS NOT NULL THEN 'n_chars ' || CAST(n_chars AS VARCHAR) END,

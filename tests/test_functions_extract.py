@@ -126,10 +126,10 @@ def test_tags_join_path_equals_inline(spark):
 
 
 def test_url_normalisation(spark):
-    df = spark.createDataFrame([("Splunk.Example.com",), ("http://h:8089/x",), ("ftp://h",), ("https://h:9000",)],
+    df = spark.createDataFrame([("Search.Example.com",), ("http://h:8089/x",), ("ftp://h",), ("https://h:9000",)],
                                "u string")
     out = [r["n"] for r in df.select(ex.normalize_url("u").alias("n")).collect()]
-    assert out[0]["key"] == "https://splunk.example.com" and out[0]["api"] == "https://splunk.example.com:8089"
+    assert out[0]["key"] == "https://search.example.com" and out[0]["api"] == "https://search.example.com:8089"
     assert out[1]["web"] == "http://h:8000" and out[1]["api"] == "http://h:8089"
     assert out[1]["bases"] == ["http://h:8000", "http://h:8089"]
     assert out[2] is None
@@ -142,8 +142,8 @@ def test_failure_taxonomy(spark):
             ("weird", None, None, None, None), ("search_timeout", None, None, None, None)]
     df = spark.createDataFrame(rows, "kind string, status_code int, dns_temporary boolean, dns_not_found boolean, operation string")
     got = [(r["error_code"], r["retryable"]) for r in ex.classify_failures(df).collect()]
-    assert got == [("splunk_http_error", True), ("splunk_http_error", False), ("dns_lookup_failed", True),
-                   ("dns_lookup_failed", False), ("splunk_operation_failed", False), (None, False),
+    assert got == [("remote_http_error", True), ("remote_http_error", False), ("dns_lookup_failed", True),
+                   ("dns_lookup_failed", False), ("remote_operation_failed", False), (None, False),
                    ("search_timeout", True)]
 
 

@@ -33,7 +33,7 @@ def test_save_result_and_manifest(spark):
     d = fresh_dir("quarry-save-")
     df = spark.createDataFrame([("login",), ("logout",)], "event string")
     ig.save_result(df, d, "sample", manifest_path=f"{d}/_manifest",
-                   meta={"url": "https://splunk.example.com", "app": "search", "query": "search index=test",
+                   meta={"url": "https://search.example.com", "app": "search", "query": "search index=test",
                          "earliest": "-1m", "latest": "now", "run_duration": 0.3, "created_at": 1000})
     ig.save_result(df.limit(1), d, "sample2", manifest_path=f"{d}/_manifest", meta={"created_at": 2000})
     assert spark.read.parquet(f"{d}/sample").count() == 2

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from quarry.operators import filters as fl
 from quarry.operators import text as tx
 
-META = {"url": "https://splunk.example.com", "app": "search", "sid": "sid-text", "query": "search index=textsearch",
+META = {"url": "https://search.example.com", "app": "search", "sid": "sid-text", "query": "search index=textsearch",
         "earliest": "-15m", "latest": "now", "result_count": 2, "returned_rows": 2,
-        "source_command": "splsearch search"}
+        "source_command": "result search"}
 ROWS = [("2026-05-18T12:00:00Z", "identity", "ordinary login"),
         ("2026-05-18T12:01:00Z", "identity", "request_remote_tok returned 401 Unauthorized")]
 
