@@ -249,7 +249,7 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
         F.bool_or((F.col("kind") == "allow") & (F.col("level") != "app")).alias("in_class"),
         F.bool_or((F.col("kind") == "allow") & (F.col("level") == "app")).alias("app_allowed"),
         F.bool_or(F.col("kind") == "deny").alias("denied"))
-    agg = agg.join(F.broadcast(app_allow), ["class", "app"], "left")
+    agg = agg.join(F.broadcast(app_allow) if n <= max_rules else app_allow, ["class", "app"], "left")
     ok = F.col("in_class") & ~F.col("denied") & (F.col("app_allowed") | F.col("__app_rules").isNull())
     return agg.filter(ok).select(client_key, "class", "app")
 
