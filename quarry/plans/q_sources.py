@@ -217,3 +217,20 @@ def m4_m6_retention_and_broad_fetch(spark, sf_dir):
         "table_name", F.exists("warnings", lambda x: x["code"] == mf.WARNING_FULL_FETCH).alias("full_fetch"))
     return (bf.join(expired, "table_name", "left")
             .select("table_name", F.coalesce("expired", F.lit(False)).alias("expired"), "full_fetch"))
+
+
+@register("x3_unacked", sql="""
+SELECT p.event_id FROM events p
+WHERE p.event_type = 'purchase' AND NOT EXISTS (
+  SELECT 1 FROM events v WHERE v.event_type = 'view' AND v.user_id = p.user_id
+    AND v.ts >= p.ts AND v.ts <= p.ts + INTERVAL 1 HOUR)
+""")
+def x3_unacked(spark, sf_dir):
+    """The bounded-wait acknowledgement join run on the batch tables: a
+    purchase counts as acknowledged when the same user views within one
+    hour; the rest are retry candidates.  The same function joins two
+    streams with watermarks."""
+    e = table(spark, sf_dir, "events")
+    subs = e.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    acks = e.filter(F.col("event_type") == "view").select("user_id", "ts")
+    return st.stream_unacked(subs, acks, ["user_id"], "ts", "ts", "1 hour").select("event_id")
