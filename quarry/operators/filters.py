@@ -39,16 +39,31 @@ def query_results(spark: SparkSession, tables: Mapping[str, DataFrame] | DataFra
                   limit: int | None = DEFAULT_QUERY_LIMIT, flag_truncation: bool = False) -> DataFrame:
     """Run a caller SELECT over ``results`` (and any other named tables).
 
-    The statement is wrapped as a subquery, so anything that is not a query
-    (DDL, DML, commands) is a parse error.  With ``limit`` the outer plan is a
-    LIMIT over the caller's plan, which Spark pushes down.
+    The caller's text is not rewritten: each table is registered under a
+    unique temporary view, a CTE gives it the caller's name (``results`` ...)
+    and the statement is wrapped as a subquery after it, so concurrent
+    callers never share a view and anything that is not a query (DDL, DML,
+    commands) is a parse error.  The views are dropped once the plan is
+    analysed.  With ``limit`` the outer LIMIT is pushed down by Spark.
     """
+    import uuid
     q = normalize_query(sql)
     if isinstance(tables, DataFrame):
         tables = {"results": tables}
+    aliases = {}
     for name, frame in tables.items():
-        frame.createOrReplaceTempView(name)
-    wrapped = spark.sql(f"SELECT * FROM ({q}) AS q")
+        if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
+            raise ValueError(f"invalid table name {name!r}")
+        view = f"__quarry_{name}_{uuid.uuid4().hex[:12]}"
+        frame.createOrReplaceTempView(view)
+        aliases[name] = view
+    ctes = ", ".join(f"`{name}` AS (SELECT * FROM `{view}`)" for name, view in aliases.items())
+    try:
+        wrapped = spark.sql(f"WITH {ctes} SELECT * FROM ({q}) AS q")
+        wrapped.schema          # analysed now; the views can go
+    finally:
+        for view in aliases.values():
+            spark.catalog.dropTempView(view)
     if limit is None:
         return wrapped
     if flag_truncation:

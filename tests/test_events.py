@@ -108,3 +108,12 @@ def test_relative_time(spark):
     assert str(r["c"]) == "2026-05-18 00:00:00"
     with pytest.raises(ValueError):
         fl.relative_time(F.col("t"), "yesterday")
+
+
+def test_bounded_sql_callers_do_not_share_views(spark):
+    a = spark.createDataFrame([(1,), (2,)], "x int")
+    b = spark.createDataFrame([(10,)], "x int")
+    qa = fl.query_results(spark, a, "SELECT sum(x) AS s FROM results")
+    qb = fl.query_results(spark, {"results": b, "other": a}, "SELECT sum(r.x) + count(o.x) AS s FROM results r, other o")
+    assert qa.collect()[0]["s"] == 3 and qb.collect()[0]["s"] == 22
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("__quarry_")]
