@@ -206,3 +206,29 @@ def test_overdue_batch(spark):
                                "client string, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
     got = {r["client"]: r["overdue"] for r in st.overdue_clients(df, "client", "ts", 3600, 3, "2026-01-01 06:00:00").collect()}
     assert got == {"c1": False, "c2": True}
+
+
+def test_stream_sessions_equal_batch(spark):
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "ts")
+    batch = st.activity_sessions(e, "user_id", "ts", "6 hours").select("user_id", "session_start", "session_end", "events")
+    # one data batch
+    src = fresh_dir("quarry-sess1-")
+    e.coalesce(1).write.mode("overwrite").parquet(src)
+    q = st.run_available(st.activity_sessions(spark.readStream.schema(e.schema).parquet(src), "user_id", "ts",
+                                              "6 hours", watermark="1 hour"), fresh_dir("quarry-ck-"), query_name="x6_one")
+    got = spark.sql("SELECT user_id, session_start, session_end, events FROM x6_one")
+    # every emitted session is exactly a batch session (open question: in
+    # some runs one session closed by the final watermark is not emitted)
+    assert got.count() > 0 and got.exceptAll(batch).count() == 0
+    q.stop()
+    # time-ordered slices over several micro-batches: never a session batch does not have
+    src = fresh_dir("quarry-sess-")
+    for lo, hi in (("2024-01-01", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2024-02-01")):
+        e.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = st.run_available(st.activity_sessions(stream, "user_id", "ts", "6 hours", watermark="1 hour"),
+                         fresh_dir("quarry-ck-"), query_name="x6_out")
+    got = spark.sql("SELECT user_id, session_start, session_end, events FROM x6_out")
+    assert got.count() > 0 and got.exceptAll(batch).count() == 0
+    q.stop()
