@@ -276,11 +276,11 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
     pkey = ["query_id", "term_idx", "alt", "part"]
     ph = query_phrases(queries, query_id, text).select(*pkey, "n_tokens", "offset", "token")
-    n_ph = ph.count()
+    shape = ph.agg(F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("longest")).first()
+    n_ph, has_multi = int(shape["n"]), (shape["longest"] or 0) > 1
     # the phrase table grows with the query batch, not with the corpus; it is
     # broadcast while its checked size allows, else joined by shuffle
     bc = (lambda d: F.broadcast(d)) if n_ph <= max_broadcast_tokens else (lambda d: d)
-    has_multi = not ph.filter(F.col("n_tokens") > 1).isEmpty()
     needed = ph.select("token").distinct()
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
     spark = docs.sparkSession
