@@ -38,7 +38,7 @@ def j2_outer_join(spark, sf_dir):
 
 
 @register("j2_full_join", sql="""
-SELECT coalesce(a.k, b.k) AS k, a.n_a, b.n_b FROM
+SELECT coalesce(a.k, b.k) AS k, CAST(a.n_a AS DOUBLE) AS n_a, CAST(b.n_b AS DOUBLE) AS n_b FROM
   (SELECT o_orderpriority AS k, count(*) AS n_a FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) a
   FULL JOIN (SELECT o_orderpriority AS k, count(*) AS n_b FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT' GROUP BY 1) b
   ON a.k = b.k
@@ -48,7 +48,10 @@ def j2_full_join(spark, sf_dir):
     a = o.filter(F.col("o_orderstatus") == "F").groupBy(F.col("o_orderpriority").alias("k")).agg(F.count(F.lit(1)).alias("n_a"))
     b = (o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") != "1-URGENT"))
          .groupBy(F.col("o_orderpriority").alias("k")).agg(F.count(F.lit(1)).alias("n_b")))
-    return jn.outer_join(a, b, "k", "full")
+    j = jn.outer_join(a, b, "k", "full")
+    # counts as doubles on both sides: an outer join's null count must not
+    # turn an integer column into floats in one engine only
+    return j.select("k", F.col("n_a").cast("double").alias("n_a"), F.col("n_b").cast("double").alias("n_b"))
 
 
 @register("j3_semi_join", sql="""
@@ -274,7 +277,7 @@ def j15_verify_markers(spark, sf_dir):
 
 # ------------------------------------------------------------- J16 as-of
 @register("j16_as_of", bench=True, sql="""
-SELECT p.event_id, round(v.value, 6) AS obs_value, v.event_id AS obs_event_id
+SELECT p.event_id, round(v.value, 6) AS obs_value, CAST(v.event_id AS VARCHAR) AS obs_event_id
 FROM (SELECT * FROM events WHERE event_type = 'purchase') p
 ASOF LEFT JOIN (SELECT user_id, ts, value, event_id FROM events WHERE event_type = 'view') v
   ON p.user_id = v.user_id AND p.ts >= v.ts
@@ -285,7 +288,7 @@ def j16_as_of(spark, sf_dir):
     purchases = e.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     views = e.filter(F.col("event_type") == "view").select("user_id", "ts", "value", F.col("event_id").alias("vid"))
     out = jn.as_of(purchases, views, "user_id", "ts", ["value", "vid"], block_seconds=3 * 86400.0)
-    return rounded(out.select("event_id", F.col("obs_value"), F.col("obs_vid").alias("obs_event_id")))
+    return rounded(out.select("event_id", F.col("obs_value"), F.col("obs_vid").cast("string").alias("obs_event_id")))
 
 
 # ------------------------------------------------------------- J17
@@ -536,7 +539,7 @@ def w8_state_runs(spark, sf_dir):
 
 
 @register("w9_rank_hits", sql="""
-SELECT * FROM (
+SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT l_orderkey AS query_id, l_partkey AS doc_id, round(l_extendedprice, 6) AS score,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey) AS rank
   FROM lineitem) WHERE rank <= 3

@@ -114,7 +114,7 @@ def t9_search_text(spark, sf_dir):
 
 
 @register("t9_single_term_search", sql=f"""
-WITH {_SQL_DOCS}, {_SQL_TERMS.replace("FROM benchmark)", "FROM (SELECT 0 AS item_id, 'token' AS text UNION ALL SELECT 1, 'lang de' UNION ALL SELECT 2, 'src3 texts'))")}, {_SQL_SCORE}
+WITH {_SQL_DOCS}, {_SQL_TERMS.replace("FROM benchmark)", "FROM (SELECT CAST(0 AS BIGINT) AS item_id, 'token' AS text UNION ALL SELECT 1, 'lang de' UNION ALL SELECT 2, 'src3 texts'))")}, {_SQL_SCORE}
 SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank, n_hits > 50 AS truncated
 FROM ranked WHERE rank <= 50
 """)
