@@ -253,6 +253,8 @@ def add_tags(df: DataFrame, rules: DataFrame | Sequence[tuple], out: str = "tag"
 
 
 def _add_tags_join(df: DataFrame, rules: DataFrame, out: str) -> DataFrame:
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     fields = [r[0] for r in rules.select(rules.columns[0]).distinct().collect()]
     fields = [f for f in fields if f in df.columns]
     keyed = df.withColumn("__rid", F.monotonically_increasing_id()).checkpoint(eager=True)

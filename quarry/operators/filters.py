@@ -90,6 +90,8 @@ def with_row_number(df: DataFrame, order_cols: Sequence[str] | None = None, name
     """
     order_cols = list(order_cols or [])
     if order_cols:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
         n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         base = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
     else:
