@@ -147,3 +147,19 @@ def test_thin_progress_rule(spark):
         .withColumn("ts", F.col("ts").cast("timestamp"))
     kept = [r["percent"] for r in wn.thin_progress(df).orderBy("ts").collect()]
     assert kept == [0.0, 11.0, 12.0, 13.0, 100.0, 100.0]
+
+
+def test_as_of_with_hot_key_matches_pandas(spark):
+    import pandas as pd
+    dec = spark.range(0, 2000).select(
+        F.when(F.col("id") % 5 < 3, F.lit(0)).otherwise(F.col("id") % 4).alias("k"),
+        ((F.col("id") * 7919) % 100000).cast("double").alias("t"), F.col("id").alias("did"))
+    obs = spark.range(0, 1500).select(
+        F.when(F.col("id") % 5 < 3, F.lit(0)).otherwise(F.col("id") % 4).alias("k"),
+        ((F.col("id") * 104729 + 3) % 100000 + 0.5).cast("double").alias("t"), (F.col("id") * 10).alias("v"))
+    got = {r["did"]: r["obs_v"] for r in jn.as_of(dec, obs, "k", "t", ["v"], block_seconds=5000.0).collect()}
+    d = dec.toPandas().sort_values("t")
+    o = obs.toPandas().sort_values("t")
+    exp = pd.merge_asof(d, o, on="t", by="k", direction="backward")
+    for did, v in zip(exp["did"], exp["v"]):
+        assert (got[did] is None and pd.isna(v)) or got[did] == v
