@@ -172,6 +172,32 @@ FROM cov
 """
 
 
+_SQL_ROW_QUERY = r"""
+rq AS (
+  SELECT h.query_id, h.doc_id,
+         regexp_extract_all(h.query_text, '[\p{L}\p{N}_]+(?:''[\p{L}\p{N}_]+)*') AS raw,
+         list_distinct(regexp_extract_all(lower(h.title || ' ' || h.body || ' ' || h.metadata), '[\p{L}\p{N}]+')) AS row_set
+  FROM hits h),
+rq2 AS (
+  SELECT query_id, doc_id, row_set,
+         list_filter(raw, lambda t, i: list_position(list_transform(raw, lambda x: lower(x)), lower(t)) = i) AS uniq
+  FROM rq),
+rq3 AS (
+  SELECT query_id, doc_id,
+         list_filter(uniq, lambda t: list_contains(row_set, lower(t))
+             OR (len(list_distinct(regexp_extract_all(lower(t), '[\p{L}\p{N}]+'))) > 1
+                 AND len(list_filter(regexp_extract_all(lower(t), '[\p{L}\p{N}]+'), lambda p: NOT list_contains(row_set, p))) = 0)) AS kept
+  FROM rq2)
+SELECT query_id, doc_id,
+       CASE WHEN len(kept) = 0 THEN ''
+            WHEN len(kept) = 1 AND NOT (contains(kept[1], '_')
+                 OR (regexp_matches(kept[1], '[A-Za-z]') AND regexp_matches(kept[1], '[0-9]') AND octet_length(encode(kept[1])) >= 4)
+                 OR regexp_matches(kept[1], '[a-z].*[A-Z]') OR octet_length(encode(kept[1])) >= 8) THEN ''
+            ELSE array_to_string(kept, ' ') END AS row_text_query
+FROM rq3
+"""
+
+
 @register("t11_t12_explain_hits", sql=f"""
 WITH {_SQL_DOCS}, {_SQL_TERMS}, {_SQL_SCORE}, {_SQL_EXPLAIN}
 """)
@@ -183,6 +209,19 @@ def t11_t12_explain_hits(spark, sf_dir):
                        "coverage_context", "match_scope")
 
 
+@register("t13_row_text_query", sql=f"""
+WITH {_SQL_DOCS}, {_SQL_TERMS}, {_SQL_SCORE},
+{_SQL_EXPLAIN.split("tok AS (")[0].rstrip().rstrip(",")},
+{_SQL_ROW_QUERY}
+""")
+def t13_row_text_query(spark, sf_dir):
+    """T13 on the top-20 hits of every benchmark query: the query words (as
+    typed, first spelling kept) that the row itself contains, empty when
+    only one weak word remains."""
+    hits = tx.search_text(search_docs(spark, sf_dir), benchmark_queries(spark, sf_dir), k=20, explain=True)
+    return hits.select("query_id", "doc_id", "row_text_query")
+
+
 @register("a17_hit_scope_counts", sql=f"""
 WITH {_SQL_DOCS}, {_SQL_TERMS}, {_SQL_SCORE}, ex AS (WITH {_SQL_EXPLAIN})
 SELECT query_id, count(*) AS hits,
