@@ -338,3 +338,36 @@ def e18_compact_text(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     c = ex.compact_text("text")
     return d.select("doc_id", F.length(c).alias("n_chars_compact"), F.md5(c.cast("binary")).alias("digest"))
+
+
+@register("e5_multikv", sql=r"""
+SELECT conv_id, CAST(turn + 2 AS INTEGER) AS line, CAST(turn AS VARCHAR) AS turn, role,
+       CAST(len(regexp_split_to_array(trim(text), '\s+')) AS VARCHAR) AS words
+FROM conversations
+""")
+def e5_multikv(spark, sf_dir):
+    """Every conversation rendered as a small table (header ``turn role
+    words``, one line per turn in turn order; the collected list per
+    conversation is bounded by its turns) and read back with the tabular
+    extractor."""
+    c = table(spark, sf_dir, "conversations")
+    line = F.concat_ws(" ", F.col("turn").cast("string"), F.col("role"),
+                       F.size(F.split(F.trim(F.col("text")), r"\s+")).cast("string"))
+    tables = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))).alias("rows"))
+    text = F.concat(F.lit("turn role words\n"), F.array_join(F.transform("rows", lambda r: r["l"]), "\n"))
+    out = ex.extract_table(tables.select("conv_id", text.alias("raw")), "raw")
+    return out.select("conv_id", F.col("line").cast("int").alias("line"), F.col("fields")["turn"].alias("turn"),
+                      F.col("fields")["role"].alias("role"), F.col("fields")["words"].alias("words"))
+
+
+@register("e8_template", sql="""
+SELECT event_id, CAST(user_id AS VARCHAR) AS user_name, event_type AS kind
+FROM events
+""")
+def e8_template(spark, sf_dir):
+    """Every event written as ``user=<id> type=<event type>`` and read back
+    with a key/value template."""
+    e = table(spark, sf_dir, "events")
+    raw = F.concat(F.lit("user="), F.col("user_id").cast("string"), F.lit(" type="), F.col("event_type"))
+    out = ex.extract_template(e.select("event_id", raw.alias("raw")), "raw", "user={user_name} type={kind}")
+    return out.select("event_id", "user_name", "kind")
