@@ -371,3 +371,35 @@ def e8_template(spark, sf_dir):
     raw = F.concat(F.lit("user="), F.col("user_id").cast("string"), F.lit(" type="), F.col("event_type"))
     out = ex.extract_template(e.select("event_id", raw.alias("raw")), "raw", "user={user_name} type={kind}")
     return out.select("event_id", "user_name", "kind")
+
+
+@register("e17_failure_taxonomy", sql="""
+WITH f AS (
+  SELECT event_id,
+         CASE event_type WHEN 'error' THEN 'http' WHEN 'click' THEN 'DNS ' WHEN 'view' THEN 'net_timeout'
+                         WHEN 'signup' THEN 'unexpected' ELSE 'canceled' END AS kind,
+         400 + (user_id % 3) * 100 AS status_code, value > 50 AS dns_temporary, value > 400 AS dns_not_found,
+         CASE WHEN value > 100 THEN 'fetch' END AS operation
+  FROM events)
+SELECT event_id,
+  CASE lower(trim(kind)) WHEN 'http' THEN 'remote_http_error' WHEN 'dns' THEN 'dns_lookup_failed'
+       WHEN 'net_timeout' THEN 'network_timeout' WHEN 'canceled' THEN 'operation_canceled'
+       ELSE CASE WHEN coalesce(trim(operation), '') <> '' THEN 'remote_operation_failed' END END AS error_code,
+  CASE lower(trim(kind)) WHEN 'http' THEN status_code >= 500 AND status_code < 600
+       WHEN 'dns' THEN dns_temporary AND NOT dns_not_found
+       WHEN 'net_timeout' THEN true WHEN 'canceled' THEN false ELSE false END AS retryable
+FROM f
+""")
+def e17_failure_taxonomy(spark, sf_dir):
+    """Events read as failure log rows (event type -> failure kind, user ->
+    HTTP status 400/500/600, value -> DNS flags and whether an operation is
+    named), classified into code and retryable."""
+    e = table(spark, sf_dir, "events")
+    kind = (F.when(F.col("event_type") == "error", "http").when(F.col("event_type") == "click", "DNS ")
+            .when(F.col("event_type") == "view", "net_timeout").when(F.col("event_type") == "signup", "unexpected")
+            .otherwise("canceled"))
+    logs = e.select("event_id", kind.alias("kind"),
+                    (F.lit(400) + F.pmod(F.col("user_id"), F.lit(3)) * 100).alias("status_code"),
+                    (F.col("value") > 50).alias("dns_temporary"), (F.col("value") > 400).alias("dns_not_found"),
+                    F.when(F.col("value") > 100, F.lit("fetch")).alias("operation"))
+    return ex.classify_failures(logs).select("event_id", "error_code", "retryable")
