@@ -665,3 +665,30 @@ def u5_dedupe_tokens(spark, sf_dir):
     toks = F.regexp_extract_all(F.col("text"), F.lit(r"[\p{L}\p{N}]+"), 0)
     u = d.select("doc_id", jn.dedupe_tokens(toks).alias("u"))
     return u.select("doc_id", F.size("u").alias("n_unique"), F.get("u", 0).alias("first_token"))
+
+
+@register("a16_status_rollup", sql="""
+WITH s AS (
+  SELECT CASE event_type WHEN 'error' THEN 500 WHEN 'click' THEN 401 WHEN 'view' THEN 200
+                         WHEN 'signup' THEN 429 ELSE 418 END AS status_code FROM events),
+c AS (
+  SELECT CASE status_code WHEN 400 THEN 'bad_request' WHEN 401 THEN 'unauthorized' WHEN 403 THEN 'forbidden'
+                          WHEN 429 THEN 'throttled' WHEN 500 THEN 'server_error' WHEN 503 THEN 'unavailable'
+              ELSE CASE WHEN status_code BETWEEN 200 AND 299 THEN 'ok' WHEN status_code BETWEEN 400 AND 499 THEN 'client_error'
+                        WHEN status_code BETWEEN 500 AND 599 THEN 'server_error' ELSE 'other' END END AS status_class
+  FROM s)
+SELECT status_class, count(*) AS responses,
+       CASE status_class WHEN 'bad_request' THEN 'check event format and required fields'
+                         WHEN 'unauthorized' THEN 'check the token'
+                         WHEN 'forbidden' THEN 'check that the token is enabled and allowed for the index'
+                         WHEN 'throttled' THEN 'reduce the send rate or add capacity'
+                         WHEN 'server_error' THEN 'check receiver health'
+                         WHEN 'unavailable' THEN 'check receiver health and queue capacity' END AS next_check
+FROM c GROUP BY status_class
+""")
+def a16_status_rollup(spark, sf_dir):
+    """Events read as delivery responses (event type -> HTTP status)."""
+    e = table(spark, sf_dir, "events")
+    code = (F.when(F.col("event_type") == "error", 500).when(F.col("event_type") == "click", 401)
+            .when(F.col("event_type") == "view", 200).when(F.col("event_type") == "signup", 429).otherwise(418))
+    return ru.status_rollup(e.select(code.alias("status_code")))
