@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import packing, quality
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -17,3 +17,8 @@ def tokenizer_path() -> str:
 @register("op3_best_fit_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op7_host_quality_rules", quality.oracle_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rows(read_table(spark, sf_dir, "documents"))
