@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality
+from . import packing, quality, topk
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -22,3 +22,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_host_quality_rules", quality.oracle_sql())
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rows(read_table(spark, sf_dir, "documents"))
+
+
+@register("op9_branch_and_bound_topk", topk.oracle_sql())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
