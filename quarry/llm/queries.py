@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, topk
+from . import langid, packing, quality, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -27,3 +27,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_branch_and_bound_topk", topk.oracle_sql())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op6_factorization_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op2_ecoc_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(read_table(spark, sf_dir, "documents"))
