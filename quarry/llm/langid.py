@@ -28,6 +28,7 @@ BUCKETS = 1 << 14
 CHECK_ROWS = 4_000          # bound of the sample that weighs the bits
 EXHAUSTIVE = 7              # up to this many languages all 2^(k-1) - 1 bits are used
 AMBIGUOUS = 0.2             # least relative lead in loss
+FULL_GRAMS = 64             # n-grams from which a margin counts in full
 _CHUNK = 1 << 20            # characters handled at once
 
 
@@ -120,20 +121,10 @@ class Decoder:
                     f[lo:hi, bit] += np.bincount(o, weights=self.table[b, bit], minlength=hi - lo)
         return f / np.maximum(n, 1)[:, None], n
 
-    def weigh(self, texts: list[str], langs: list[str]) -> None:
-        """Bits by their log-odds of being right on these labelled texts."""
-        row = {x: i for i, x in enumerate(self.langs)}
-        f, n = self.margins(texts)
-        keep = n > 0
-        if keep.any():
-            truth = self.code[[row[x] for x in langs]][keep]
-            right = ((f[keep] * truth > 0).sum(0) + 1) / (keep.sum() + 2)
-            self.weight = np.maximum(np.log(right / (1 - right)), 0.05)
-
     def decode(self, texts: list[str]):
         """(language, score, ambiguous) lists."""
         f, n = self.margins(texts)
-        steep = np.clip(8 * f, -30, 30)
+        steep = np.clip(f * np.minimum(n, FULL_GRAMS)[:, None] / 8, -30, 30)   # short texts say less
         loss = np.stack([(self.weight * np.log1p(np.exp(-c * steep))).sum(1) for c in self.code], axis=1)
         like = np.exp(-(loss - loss.min(1, keepdims=True)))
         best = loss.argmin(1)

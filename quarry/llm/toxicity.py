@@ -22,45 +22,34 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import fold, stash
 
 BUCKET_BITS = 22
 TRAIN_ROWS = 20_000         # bound of the labelled sample
-TERMS = 4_096               # terms the machine keeps, by evidence and by frequency
+TERMS = 1_024               # terms the machine keeps, by evidence and by frequency
+SURE_Z = 8.0                # evidence from which a term starts with its log-odds as weight
 FACTORS = 8
 EPOCHS = 12
 BATCH = 128
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W\d_]+")
+_MASK = (1 << BUCKET_BITS) - 1
+
+
+def word_terms(word: str) -> list[int]:
+    """Hash buckets of a word and of its 4- and 5-letter beginnings, so that
+    inflected forms share a term."""
+    out = [zlib.crc32(word.encode()) & _MASK]
+    return out + [zlib.crc32(f"{word[:k]}*".encode()) & _MASK for k in (4, 5) if len(word) >= k]
+
+
+def words(text: str | None) -> set[str]:
+    return set(_WORD.findall(text.lower())) if text else set()
 
 
 def terms(text: str | None) -> set[int]:
-    """Hash buckets of the distinct lower-cased words of a text."""
-    mask = (1 << BUCKET_BITS) - 1
-    return {zlib.crc32(w.encode()) & mask for w in set(_WORD.findall(text.lower()))} if text else set()
-
-
-def _select(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Half of the kept buckets by how unevenly the classes use them, the
-    rest by document frequency (interaction partners may be neutral alone)."""
-    if not rows:
-        return np.zeros(0, dtype=np.int64)
-    flat = np.concatenate(rows)
-    of = np.repeat(y, [len(r) for r in rows])
-    ids, back = np.unique(flat, return_inverse=True)
-    pos = np.bincount(back, weights=of, minlength=len(ids))
-    neg = np.bincount(back, weights=1 - of, minlength=len(ids))
-    n1, n0 = max(y.sum(), 1), max((1 - y).sum(), 1)
-    p1, p0, p = pos / n1, neg / n0, (pos + neg) / (n1 + n0)
-    z = np.abs(p1 - p0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
-    z[pos + neg < 3] = 0
-    keep = set(np.argsort(-z, kind="stable")[:TERMS // 2].tolist())
-    for j in np.argsort(-(pos + neg), kind="stable").tolist():
-        if len(keep) >= TERMS:
-            break
-        keep.add(j)
-    return np.sort(ids[sorted(keep)])
+    return {b for w in words(text) for b in word_terms(w)}
 
 
 class Machine:
@@ -69,9 +58,19 @@ class Machine:
     def __init__(self, vocab, bias, w, v):
         self.vocab, self.bias, self.w, self.v = vocab, bias, w, v
         self.index = {int(b): j for j, b in enumerate(vocab)}
-
-    def margin(self, buckets) -> float:
-        j = [self.index[b] for b in buckets if b in self.index]
+        self.seen: dict = {}
+
+    def known(self, word: str) -> tuple:
+        """Kept terms of a word (remembered: most words have none)."""
+        got = self.seen.get(word)
+        if got is None:
+            if len(self.seen) > 500_000:
+                self.seen.clear()
+            got = self.seen[word] = tuple(self.index[b] for b in word_terms(word) if b in self.index)
+        return got
+
+    def margin(self, text: str | None) -> float:
+        j = sorted({i for w in words(text) for i in self.known(w)})
         if not j:
             return float(self.bias)
         v = self.v[j]
@@ -79,23 +78,23 @@ class Machine:
         return float(self.bias + self.w[j].sum() + 0.5 * (total @ total - (v * v).sum()))
 
 
-def train(rows: list[np.ndarray], labels: list[int], seed: int = 7) -> Machine:
+def train(rows: list[np.ndarray], labels: list[int], vocab: np.ndarray, odds: np.ndarray,
+          seed: int = 7) -> Machine:
     """Adam with decoupled weight decay on the logistic loss; the rarer class
-    is weighted up to a quarter of the total."""
+    is weighted up to a quarter of the total.  ``rows`` hold positions in
+    ``vocab``; ``odds`` are the weights to start from."""
     y = np.asarray(labels, dtype=np.float64)
-    vocab = _select(rows, y) if len(rows) else np.zeros(0, dtype=np.int64)
     rng = np.random.default_rng(seed)
     n = len(vocab)
     prior = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.0
     if not len(y):
         return Machine(vocab, -np.inf, np.zeros(0), np.zeros((0, FACTORS)))
     bias = np.log(prior / (1 - prior))
-    params = [np.array([bias]), np.zeros(n), rng.normal(0, 0.01, (n, FACTORS))]
+    params = [np.array([bias]), np.array(odds, dtype=np.float64), rng.normal(0, 0.01, (n, FACTORS))]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
     decay = (0.0, 2e-3, 2e-2)
     heavy = max(1.0, (len(y) - y.sum()) / max(y.sum(), 1) / 3)
-    cols = [np.searchsorted(vocab, r[np.isin(r, vocab, assume_unique=True)]) for r in rows]
     step = 0
     for epoch in range(EPOCHS):
         rate = 0.02 * (1 - epoch / EPOCHS) + 0.001
@@ -104,7 +103,7 @@ def train(rows: list[np.ndarray], labels: list[int], seed: int = 7) -> Machine:
             take = order[k:k + BATCH]
             x = np.zeros((len(take), n))
             for i, r in enumerate(take):
-                x[i, cols[r]] = 1.0
+                x[i, rows[r]] = 1.0
             _, w, v = params
             total = x @ v
             margin = params[0][0] + x @ w + 0.5 * ((total ** 2).sum(1) - x @ (v * v).sum(1))
@@ -129,17 +128,59 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, n_rows: int = TRAIN_ROWS
     return docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
 
 
+def select_terms(sample: DataFrame):
+    """(buckets, start weights) of at most ``TERMS`` terms: half by how
+    unevenly the classes use them, half by document frequency (interaction
+    partners may be neutral alone).  Only the chosen terms reach the driver."""
+    def run(batches):
+        import pyarrow as pa
+        neg = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
+        pos = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
+        for b in batches:
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                got = np.fromiter(terms(t), dtype=np.int64)
+                (pos if y else neg)[got] += 1
+        at = np.flatnonzero(pos + neg)
+        for k in range(0, len(at), 50_000):
+            i = at[k:k + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(pos[i]), pa.array(neg[i])],
+                                             names=["bucket", "pos", "neg"])
+
+    size = sample.groupBy("toxic").count().collect()                        # two rows
+    n1 = max(sum(r["count"] for r in size if r["toxic"]), 1)
+    n0 = max(sum(r["count"] for r in size if not r["toxic"]), 1)
+    p1, p0 = F.col("pos") / n1, F.col("neg") / n0
+    both = (F.col("pos") + F.col("neg")) / (n1 + n0)
+    z = F.abs(p1 - p0) / F.sqrt(both * (1 - both) * (1 / n1 + 1 / n0) + 1e-9)
+    odds = F.log((F.col("pos") + 0.5) / (n1 + 1)) - F.log((F.col("neg") + 0.5) / (n0 + 1))
+    counted = (sample.mapInArrow(run, "bucket int, pos int, neg int").groupBy("bucket")
+               .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+               .where(F.col("pos") + F.col("neg") >= 3)
+               .select("bucket", (F.col("pos") + F.col("neg")).alias("df"), z.alias("z"), odds.alias("odds")))
+    counted = stash(counted, "toxic-terms")
+    top = lambda c: counted.orderBy(F.desc(c), "bucket").limit(TERMS // 2).collect()
+    chosen = {r["bucket"]: r for r in [*top("z"), *top("df")]}
+    vocab = np.array(sorted(chosen), dtype=np.int64)
+    sure = [chosen[b] for b in vocab.tolist()]
+    return vocab, np.array([r["odds"] if r["z"] >= SURE_Z else 0.0 for r in sure])
+
+
 def fit(docs: DataFrame, labels: DataFrame, n_rows: int = TRAIN_ROWS) -> Machine:
+    sample = stash(labelled_sample(docs, labels, n_rows).select("text", F.col("toxic").cast("int").alias("toxic")),
+                   "toxic-sample")
+    vocab, odds = select_terms(sample)
+    index = {int(b): j for j, b in enumerate(vocab)}
+
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            got = [np.array(sorted(terms(t)), dtype=np.int32).tobytes() for t in b.column(0).to_pylist()]
+            got = [np.array(sorted(index[x] for x in terms(t) if x in index), dtype=np.int32).tobytes()
+                   for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary()), b.column(1)], names=["ids", "toxic"])
 
-    sample = labelled_sample(docs, labels, n_rows).select("text", F.col("toxic").cast("int").alias("toxic"))
-    got = sample.mapInArrow(run, "ids binary, toxic int").collect()
+    got = sample.mapInArrow(run, "ids binary, toxic int").collect()         # n_rows x TERMS small ints at most
     got.sort(key=lambda r: (r["toxic"], bytes(r["ids"])))                   # order of tasks must not matter
-    return train([np.frombuffer(r["ids"], dtype=np.int32) for r in got], [r["toxic"] for r in got])
+    return train([np.frombuffer(r["ids"], dtype=np.int32) for r in got], [r["toxic"] for r in got], vocab, odds)
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
@@ -151,7 +192,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            margin = np.array([machine.margin(terms(t)) for t in b.column(2).to_pylist()], dtype=np.float64)
+            margin = np.array([machine.margin(t) for t in b.column(2).to_pylist()], dtype=np.float64)
             p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
