@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, quality, topk, toxicity
+from . import langid, packing, quality, simhash, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -37,3 +37,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_ecoc_language_id")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(read_table(spark, sf_dir, "documents"))
+
+
+@register("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
