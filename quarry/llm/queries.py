@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, quality, simhash, topk, toxicity
+from . import langid, packing, quality, simhash, substring, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -42,3 +42,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_simhash_near_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@register("op8_count_min_substring_dedup", substring.oracle_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_rows(read_table(spark, sf_dir, "documents"))
