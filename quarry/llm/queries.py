@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, quality, simhash, substring, topk, toxicity
+from . import attention, langid, packing, quality, simhash, substring, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -47,3 +47,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_count_min_substring_dedup", substring.oracle_sql())
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_rows(read_table(spark, sf_dir, "documents"))
+
+
+@register("op5_attention_lm_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score(read_table(spark, sf_dir, "documents"), tokenizer_path())
