@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, langid, packing, quality, simhash, substring, topk, toxicity
+from . import attention, html, langid, packing, quality, simhash, substring, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -52,3 +52,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_attention_lm_scoring")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention.score(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op1_wrapper_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(read_table(spark, sf_dir, "pages"))
