@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, html, langid, packing, quality, simhash, substring, topk, toxicity
+from . import attention, html, langid, mixing, packing, quality, simhash, substring, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -57,3 +57,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_wrapper_html_extraction")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_text(read_table(spark, sf_dir, "pages"))
+
+
+@register("op10_proportional_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_rows(read_table(spark, sf_dir, "documents"))
