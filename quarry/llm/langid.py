@@ -58,11 +58,11 @@ def _grams(texts: list[str]):
     m2 = has[:-1] | has[1:]
     h2 = (((a[:-1] * one) ^ (a[1:] + two) * three)) * two >> shift
     out_b.append(h2[m2])
-    out_o.append(owner[:-1][m2])
+    out_o.append(np.where(has[:-1], owner[:-1], owner[1:])[m2])     # the letter's text, not the padding's
     m3 = has[1:-1]
     h3 = (((a[:-2] * three) ^ (a[1:-1] + one) * two) + (a[2:] + three) * one) * three >> shift
     out_b.append(h3[m3])
-    out_o.append(owner[:-2][m3])
+    out_o.append(owner[1:-1][m3])
     return out_b, out_o
 
 

@@ -26,10 +26,13 @@ from .common import fold, stash
 
 BUCKET_BITS = 22
 TRAIN_ROWS = 20_000         # bound of the labelled sample
-TERMS = 1_024               # terms the machine keeps, by evidence and by frequency
+TERMS = 1_024               # terms the machine keeps at most for their evidence
+FREQUENT_TERMS = 512        # terms it keeps for their frequency
+LEAST_Z = 5.0               # least evidence (z of the classes' document shares)
 SURE_Z = 8.0                # evidence from which a term starts with its log-odds as weight
 FACTORS = 8
 EPOCHS = 12
+MIN_STEPS = 1_000           # small samples get more epochs
 BATCH = 128
 THRESHOLD = 0.7
 
@@ -90,14 +93,15 @@ def train(rows: list[np.ndarray], labels: list[int], vocab: np.ndarray, odds: np
     if not len(y):
         return Machine(vocab, -np.inf, np.zeros(0), np.zeros((0, FACTORS)))
     bias = np.log(prior / (1 - prior))
-    params = [np.array([bias]), np.array(odds, dtype=np.float64), rng.normal(0, 0.01, (n, FACTORS))]
+    params = [np.array([bias]), np.array(odds, dtype=np.float64), rng.normal(0, 0.05, (n, FACTORS))]
     first = [np.zeros_like(p) for p in params]
     second = [np.zeros_like(p) for p in params]
-    decay = (0.0, 2e-3, 2e-2)
+    decay = (0.0, 2e-2, 5e-2)
     heavy = max(1.0, (len(y) - y.sum()) / max(y.sum(), 1) / 3)
     step = 0
-    for epoch in range(EPOCHS):
-        rate = 0.02 * (1 - epoch / EPOCHS) + 0.001
+    epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // len(y)))
+    for epoch in range(epochs):
+        rate = 0.02 * (1 - epoch / epochs) + 0.001
         order = rng.permutation(len(y))
         for k in range(0, len(order), BATCH):
             take = order[k:k + BATCH]
@@ -129,9 +133,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, n_rows: int = TRAIN_ROWS
 
 
 def select_terms(sample: DataFrame):
-    """(buckets, start weights) of at most ``TERMS`` terms: half by how
-    unevenly the classes use them, half by document frequency (interaction
-    partners may be neutral alone).  Only the chosen terms reach the driver."""
+    """(buckets, start weights) of the terms that the classes use most
+    unevenly, and of the most frequent ones (interaction partners may be
+    neutral alone).  Only the chosen terms reach the driver."""
     def run(batches):
         import pyarrow as pa
         neg = np.zeros(1 << BUCKET_BITS, dtype=np.int32)
@@ -158,8 +162,9 @@ def select_terms(sample: DataFrame):
                .where(F.col("pos") + F.col("neg") >= 3)
                .select("bucket", (F.col("pos") + F.col("neg")).alias("df"), z.alias("z"), odds.alias("odds")))
     counted = stash(counted, "toxic-terms")
-    top = lambda c: counted.orderBy(F.desc(c), "bucket").limit(TERMS // 2).collect()
-    chosen = {r["bucket"]: r for r in [*top("z"), *top("df")]}
+    top = lambda rows, c, n: rows.orderBy(F.desc(c), "bucket").limit(n).collect()
+    chosen = {r["bucket"]: r for r in [*top(counted.where(F.col("z") >= LEAST_Z), "z", TERMS),
+                                       *top(counted, "df", FREQUENT_TERMS)]}
     vocab = np.array(sorted(chosen), dtype=np.int64)
     sure = [chosen[b] for b in vocab.tolist()]
     return vocab, np.array([r["odds"] if r["z"] >= SURE_Z else 0.0 for r in sure])
@@ -193,7 +198,8 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
         import pyarrow as pa
         for b in batches:
             margin = np.array([machine.margin(t) for t in b.column(2).to_pylist()], dtype=np.float64)
-            p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
+            with np.errstate(over="ignore"):
+                p = 1 / (1 + np.exp(-margin))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 names=["doc_id", "held_out", "score", "predicted"])
