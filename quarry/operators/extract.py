@@ -103,10 +103,10 @@ def extract_delimited(df: DataFrame, col: str, delim: str, names: Sequence[str])
     return df
 
 
-def extract_kv(df: DataFrame, col: str, out: str = "kv", max_keys: int | None = 100,
+def extract_kv(df: DataFrame, col: str, out: str = "kv",
                pair_delim: str = r"[\s,;&]", kv_delim: str = "=") -> DataFrame:
-    """E4 (automatic key=value): ``map<string,string>`` of the first
-    ``max_keys`` distinct keys; double-quoted values are unquoted; the first
+    """E4 (automatic key=value): ``map<string,string>`` of all
+    distinct keys; double-quoted values are unquoted; the first
     occurrence of a key wins."""
     kd = re.escape(kv_delim)
     pat = rf'([A-Za-z_][A-Za-z0-9_.\-]*){kd}("[^"]*"|[^\s,;&"]*)'
@@ -116,8 +116,6 @@ def extract_kv(df: DataFrame, col: str, out: str = "kv", max_keys: int | None =
                        lambda v: F.regexp_replace(v, r'^"(.*)"$', "$1"))
     pairs = F.arrays_zip(keys.alias("k"), vals.alias("v"))
     firsts = first_occurrences(pairs, lambda p: p["k"])
-    if max_keys:
-        firsts = F.slice(firsts, 1, max_keys)
     entries = F.transform(firsts, lambda p: F.struct(p["k"].alias("key"), p["v"].alias("value")))
     return df.withColumn(out, F.map_from_entries(entries))
 
@@ -226,47 +224,29 @@ def event_types(df: DataFrame, predicates: Mapping[str, str], out: str = "eventt
     return df.withColumn(out, F.array_compact(arr))
 
 
-def add_tags(df: DataFrame, rules: DataFrame | Sequence[tuple], out: str = "tag",
-             max_inline_rules: int = 5000) -> DataFrame:
+def add_tags(df: DataFrame, rules: DataFrame | Sequence[tuple], out: str = "tag") -> DataFrame:
     """Rules ``(field, value, tag)``; a row gets the sorted distinct tags
-    of every rule whose field has that value (as text).
+    of every rule whose field has that value (as text; null matches nothing).
 
-    The rule table is small by nature; its size is checked (a count) and,
-    below ``max_inline_rules``, it becomes one conditional array expression
-    (no join, no shuffle).  A larger table is joined: the row's
-    (field, value) pairs are exploded and equi-joined to the rules, then
-    the tags are re-grouped by a row key made stable by a checkpoint.
+    Per rule field the tags are first combined per value and then joined to
+    the rows on that value; Spark picks the join from the measured size.
     """
-    if isinstance(rules, DataFrame):
-        n = rules.count()
-        if n <= max_inline_rules:
-            triples = [(r[0], r[1], r[2]) for r in rules.select(*rules.columns[:3]).collect()]
-        else:
-            return _add_tags_join(df, rules, out)
-    else:
-        triples = list(rules)
-    conds = [F.when(F.col(f).cast("string") == F.lit(str(v)), F.lit(t))
-             for f, v, t in triples if f in df.columns]
-    if not conds:
-        return df.withColumn(out, F.array().cast("array<string>"))
-    return df.withColumn(out, F.array_sort(F.array_distinct(F.array_compact(F.array(*conds)))))
-
-
-def _add_tags_join(df: DataFrame, rules: DataFrame, out: str) -> DataFrame:
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    fields = [r[0] for r in rules.select(rules.columns[0]).distinct().collect()]
-    fields = [f for f in fields if f in df.columns]
-    keyed = df.withColumn("__rid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    pairs = keyed.select("__rid", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields
-    ])).alias("p")).select("__rid", "p.field", "p.value")
-    r = rules.toDF("field", "value", "tag").withColumn("value", F.col("value").cast("string"))
-    tags = (pairs.join(r, ["field", "value"]).groupBy("__rid")
-            .agg(F.array_sort(F.collect_set("tag")).alias(out)))
-    return (keyed.join(tags, "__rid", "left")
-            .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))
-            .drop("__rid"))
+    if not isinstance(rules, DataFrame):
+        text = lambda v: None if v is None else str(v)
+        rules = df.sparkSession.createDataFrame([(f, text(v), t) for f, v, t in rules],
+                                                "field string, value string, tag string")
+    rules = rules.toDF("field", "value", "tag").withColumn("value", F.col("value").cast("string"))
+    rules = rules.filter(F.col("field").isin(df.columns) & F.col("value").isNotNull())
+    fields = sorted(r[0] for r in rules.select("field").distinct().collect())       # at most the columns of df
+    held = []
+    for k, name in enumerate(fields):
+        per = (rules.filter(F.col("field") == name).groupBy(F.col("value").alias(f"__v{k}"))
+               .agg(F.collect_set("tag").alias(f"__t{k}")))
+        df = df.join(per, F.col(name).cast("string") == F.col(f"__v{k}"), "left").drop(f"__v{k}")
+        held.append(f"__t{k}")
+    none = F.array().cast("array<string>")
+    tags = [F.coalesce(F.col(c), none) for c in held]
+    return df.withColumn(out, F.array_sort(F.array_distinct(F.concat(none, *tags)))).drop(*held)
 
 
 @dataclass

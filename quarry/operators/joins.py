@@ -2,8 +2,7 @@
 
 Physical strategy is Catalyst's and AQE's: equi-joins become sort-merge or
 (broadcast) hash joins, and AQE converts to broadcast at runtime when the
-measured side is small, or splits skewed partitions.  Explicit broadcasts are
-used only behind a row-count check (``small``).  Range joins (J4, J12, J18)
+measured side is small, or splits skewed partitions.  Range joins (J4, J12, J18)
 never fall back to a nested loop: both sides get a bucket key and are
 equi-joined on it, then filtered exactly.
 """
@@ -14,17 +13,6 @@ from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it has at most ``max_rows``
-    rows; otherwise return it unchanged (shuffle join, AQE may still
-    broadcast it at runtime from measured sizes)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 # ------------------------------------------------------------ J1-J3
@@ -81,15 +69,13 @@ def range_join(points: DataFrame, point_col: str, ranges: DataFrame, lo_col: str
 
 # ------------------------------------------------------- J5 lookups
 def enrich(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], cols: Sequence[str] | None = None,
-           default: Mapping[str, object] | object | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           default: Mapping[str, object] | object | None = None) -> DataFrame:
     """Left join to a lookup table; unmatched rows stay, optional
-    defaults fill what the lookup did not provide.  The lookup is broadcast
-    when its checked row count allows."""
+    defaults fill what the lookup did not provide.  Spark broadcasts the
+    lookup when its measured size allows."""
     keys = [on] if isinstance(on, str) else list(on)
     cols = list(cols) if cols is not None else [c for c in lookup.columns if c not in keys]
-    side = small(lookup.select(*keys, *cols), max_broadcast_rows)
-    out = df.join(side, keys, "left")
+    out = df.join(lookup.select(*keys, *cols), keys, "left")
     if default is not None:
         defaults = default if isinstance(default, Mapping) else {c: default for c in cols}
         for c, v in defaults.items():
@@ -107,9 +93,10 @@ def orphans(objects: DataFrame, users: DataFrame, owner_col: str = "owner", user
     (null owner, or a user row whose status is unknown) -> ``unconfirmed``,
     which is never reported as a finding.
     """
-    u = users.select(F.col(user_col).alias("__u"),
-                     (F.col(active_col) if active_col else F.lit(True)).alias("__active"),
-                     F.lit(True).alias("__known"))
+    # one row per user: active if any of its rows says so, unknown if none is known
+    u = users.groupBy(F.col(user_col).alias("__u")).agg(
+        F.bool_or(F.col(active_col) if active_col else F.lit(True)).alias("__active"),
+        F.lit(True).alias("__known"))
     j = objects.join(u, F.col(owner_col) == F.col("__u"), "left")
     status = (F.when(F.col(owner_col).isNull(), "unconfirmed")
               .when(F.col("__known").isNull(), "confirmed")
@@ -197,13 +184,39 @@ def effective_capabilities(user_groups: DataFrame, group_roles: DataFrame, role_
 
 
 # --------------------------------------------- J9 class/pattern match
-def glob_to_regex(pattern: str) -> str:
-    import re
-    return "^" + "".join(".*" if ch == "*" else "." if ch == "?" else re.escape(ch) for ch in pattern) + "$"
+def _pattern_hits(clients: DataFrame, patterns: DataFrame, match_col: str) -> DataFrame:
+    """(client columns, pattern) for every glob that matches the client.
+
+    Literal patterns and those with one leading or trailing ``*`` meet the
+    clients by equality of a prefix or suffix of the pattern's length; only
+    globs with wildcards inside are tried one by one."""
+    p = patterns.select("pattern").distinct()
+    head, tail = F.col("pattern").startswith("*"), F.col("pattern").endswith("*")
+    core = F.regexp_replace("pattern", r"^\*|\*$", "")
+    p = p.withColumn("core", core).withColumn("kind", F.when(
+        F.col("core").rlike(r"[*?]") | (head & tail & (F.col("pattern") != "*")), "inner")
+        .when(F.col("pattern") == "*", "prefix").when(tail, "prefix").when(head, "suffix").otherwise("literal"))
+    name = F.col(match_col)
+
+    def by_part(kind: str, part) -> DataFrame:
+        own = p.filter(F.col("kind") == kind).select("core", "pattern", F.length("core").alias("n"))
+        lengths = own.agg(F.sort_array(F.collect_set("n")).alias("ns"))     # one short array: host names are short
+        cut = clients.join(F.broadcast(lengths.withColumn("__one", F.lit(1))), F.lit(1) == F.col("__one")).drop("__one")
+        cut = cut.withColumn("n", F.explode(F.filter("ns", lambda n: n <= F.length(name)))).drop("ns")
+        return (cut.withColumn("core", part(F.col("n"))).join(own, ["core", "n"]).drop("core", "n"))
+
+    literal = clients.join(p.filter(F.col("kind") == "literal").select("pattern"), name == F.col("pattern"))
+    start = by_part("prefix", lambda n: F.substring(name, F.lit(1), n))
+    end = by_part("suffix", lambda n: F.substring(name, F.length(name) - n + 1, n))
+    regex = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(
+        F.regexp_replace(F.col("pattern"), r"([.\\+^$()\[\]{}|])", r"\\$1"), r"\*", ".*"), r"\?", "."), F.lit("$"))
+    inner = clients.join(p.filter(F.col("kind") == "inner").select("pattern", regex.alias("__re")),
+                         F.expr(f"`{match_col}` RLIKE __re")).drop("__re")
+    return literal.unionByName(start).unionByName(end).unionByName(inner)
 
 
 def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "client",
-                  match_col: str = "hostname", max_rules: int = 100_000) -> DataFrame:
+                  match_col: str = "hostname") -> DataFrame:
     """Server-class membership.
 
     ``rules`` = (level, class, app, kind, pattern) with level in
@@ -212,46 +225,30 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
     target, class rules to every app of the class.  A client belongs to
     (class, app) when a global or class allow rule matches (class
     membership), the app's allow rules - if it has any - also match, and no
-    applicable deny rule at any level matches (deny wins).  The rule table
-    is size-checked and broadcast in bounded chunks; matching is a broadcast
-    nested-loop join (patterns have no equality key).
+    applicable deny rule at any level matches (deny wins).
+
+    Each distinct pattern is matched once; its hits meet the rules and the
+    targets by equi-joins on pattern and class.
     """
-    n = rules.count()
-    n_chunks = max(1, -(-n // max_rules))
-    regex = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(
-        F.regexp_replace(F.col("pattern"), r"([.\\+^$()\[\]{}|])", r"\\$1"), r"\*", ".*"), r"\?", "."), F.lit("$"))
-    r = rules.withColumn("__re", regex)
-    # the (class, app) targets named by app rules; bounded by the rule count checked above
-    targets = [(t[0], t[1]) for t in r.filter(F.col("level") == "app").select("class", "app").distinct().collect()]
-    target_arr = F.array(*[F.struct(F.lit(c).alias("class"), F.lit(a).alias("app")) for c, a in targets]) \
-        if targets else F.array().cast("array<struct<class:string,app:string>>")
-    # a global rule applies to every target, a class rule to every app of its class
-    glob = (r.filter(F.col("level") == "global").drop("class", "app")
-            .withColumn("__t", F.explode(target_arr)).select("*", "__t.class", "__t.app").drop("__t"))
-    cls_targets = F.filter(target_arr, lambda t: t["class"] == F.col("class"))
-    cls = (r.filter(F.col("level") == "class").drop("app")
-           .withColumn("app", F.explode(F.transform(cls_targets, lambda t: t["app"]))))
-    app = r.filter(F.col("level") == "app")
-    applied = glob.unionByName(cls).unionByName(app)
-    # patterns have no equality key: each client is tested against a
-    # broadcast chunk of at most ``max_rules`` rules; more rules are hashed
-    # into several chunks whose hits are unioned (exact, every broadcast
-    # bounded)
-    hits = None
-    for chunk in range(n_chunks):
-        part = applied if n_chunks == 1 else applied.filter(
-            F.pmod(F.xxhash64("pattern", "kind", "class", "app"), F.lit(n_chunks)) == chunk)
-        h = clients.join(F.broadcast(part), F.expr(f"`{match_col}` RLIKE __re"))
-        hits = h if hits is None else hits.unionByName(h)
-    app_allow = (r.filter((F.col("level") == "app") & (F.col("kind") == "allow"))
-                 .select("class", "app").distinct().withColumn("__app_rules", F.lit(True)))
-    agg = hits.groupBy(client_key, "class", "app").agg(
-        F.bool_or((F.col("kind") == "allow") & (F.col("level") != "app")).alias("in_class"),
-        F.bool_or((F.col("kind") == "allow") & (F.col("level") == "app")).alias("app_allowed"),
-        F.bool_or(F.col("kind") == "deny").alias("denied"))
-    agg = agg.join(F.broadcast(app_allow) if n <= max_rules else app_allow, ["class", "app"], "left")
-    ok = F.col("in_class") & ~F.col("denied") & (F.col("app_allowed") | F.col("__app_rules").isNull())
-    return agg.filter(ok).select(client_key, "class", "app")
+    app_rules = rules.filter(F.col("level") == "app")
+    targets = app_rules.select("class", "app").distinct()
+    hits = (_pattern_hits(clients.select(client_key, match_col), rules, match_col).select(client_key, "pattern")
+            .join(rules, "pattern").select(client_key, "level", "class", "app", "kind").distinct())
+    level = lambda name, kind: hits.filter((F.col("level") == name) & (F.col("kind") == kind))
+    by_class = level("class", "allow").select(client_key, "class").join(targets, "class")
+    # a global allow reaches every target: as many rows as the answer needs
+    everywhere = (level("global", "allow").select(client_key, F.lit(1).alias("__t"))
+                  .join(targets.withColumn("__t", F.lit(1)), "__t").drop("__t"))
+    member = by_class.select(client_key, "class", "app").unionByName(everywhere.select(client_key, "class", "app")).distinct()
+    member = member.join(level("global", "deny").select(client_key).distinct(), client_key, "left_anti")
+    member = member.join(level("class", "deny").select(client_key, "class").distinct(), [client_key, "class"], "left_anti")
+    member = member.join(level("app", "deny").select(client_key, "class", "app").distinct(),
+                         [client_key, "class", "app"], "left_anti")
+    limited = (app_rules.filter(F.col("kind") == "allow").select("class", "app").distinct()
+               .withColumn("__limited", F.lit(True)))
+    allowed = (level("app", "allow").select(client_key, "class", "app").distinct().withColumn("__allowed", F.lit(True)))
+    return (member.join(limited, ["class", "app"], "left").join(allowed, [client_key, "class", "app"], "left")
+            .filter(F.col("__limited").isNull() | F.col("__allowed").isNotNull()).select(client_key, "class", "app"))
 
 
 # --------------------------------------------- J10 compatibility, J11
@@ -344,17 +341,17 @@ def verify_markers(submitted: DataFrame, observed: DataFrame, on: Sequence[str],
 
 # ----------------------------------------------------- J16 as-of
 def as_of(decisions: DataFrame, observations: DataFrame, key: Sequence[str] | str, ts: str,
-          value_cols: Sequence[str], obs_ts: str | None = None, block_seconds: float = 86400.0,
+          value_cols: Sequence[str], obs_ts: str | None = None, blocks: int | None = None,
           prefix: str = "obs_") -> DataFrame:
     """For every decision row, the newest observation with the same key
-    at or before the decision time (ties: the observation wins).
+    at or before the decision time (equal-time observations: the greatest
+    values).  A decision without key or time stays, with no observation.
 
     Scales without a range join and without a per-key window: decisions and
-    observations are unioned and tagged with a time block.  Inside a
-    (key, block) partition a ``last(ignorenulls)`` window carries the newest
-    observation forward; the newest observation of every earlier block comes
-    from a per-(key, block) ``max_by`` aggregate (a small table) carried
-    forward over blocks.  A hot key is therefore spread over its blocks.
+    observations are unioned and tagged with a block of the time order.
+    Inside a (key, block) partition a ``last(ignorenulls)`` window carries the
+    newest observation forward; the newest observation of every earlier block
+    comes from a per-(key, block) aggregate carried forward over blocks.
     """
     from .windows import blocked_last
     keys = [key] if isinstance(key, str) else list(key)
@@ -364,39 +361,47 @@ def as_of(decisions: DataFrame, observations: DataFrame, key: Sequence[str] | st
     o = observations.select(*keys, F.col(obs_ts).alias("__t"),
                             F.struct(F.col(obs_ts).alias(prefix + obs_ts if obs_ts == ts else obs_ts),
                                      *[F.col(v).alias(prefix + v) for v in vals]).alias("__obs"))
-    o = o.withColumn("__is_obs", F.lit(1))
+    timed = F.col("__t").isNotNull()
+    for k in keys:
+        timed = timed & F.col(k).isNotNull()
+    o = o.withColumn("__is_obs", F.lit(1)).filter(timed)
     u = d.unionByName(o, allowMissingColumns=True)
-    carried = blocked_last(u, keys, "__t", "__is_obs", "__obs", block_seconds)
+    carried = blocked_last(u, keys, "__t", "__is_obs", "__obs", blocks)
     out = carried.filter(F.col("__is_obs") == 0)
     return out.select(*decisions.columns, F.col("__carried.*"))
 
 
 # ------------------------------------------- J17 member comparison
 def compare_members(df: DataFrame, object_key: Sequence[str] | str, member: str,
-                    attrs: Sequence[str], max_listed_members: int = 10_000) -> DataFrame:
-    """Per object, which members have it, which lack it, and whether
-    the members' metadata differ.
-
-    ``n_missing`` (members lacking the object) is always exact: the member
-    count is one aggregate, so no objects x members product is formed.  The
-    names in ``missing_from`` are listed when the member list is within
-    ``max_listed_members`` (inlined as a literal array); beyond that the
-    column is null and the count still holds.
-    """
+                    attrs: Sequence[str]) -> DataFrame:
+    """Per object, how many members have it (``n_present``), how many
+    lack it (``n_missing``), how many variants of its metadata they hold, and
+    whether all agree.  The member count is one aggregate, so no objects x
+    members product is formed; ``member_presence`` and ``missing_members``
+    give the names."""
     keys = [object_key] if isinstance(object_key, str) else list(object_key)
-    n_members = df.select(member).distinct().count()
+    n_members = df.select(member).filter(F.col(member).isNotNull()).distinct().count()
     checksum = F.xxhash64(*[F.col(a) for a in attrs])
-    per = df.groupBy(*keys).agg(
-        F.array_sort(F.collect_set(F.col(member))).alias("present_in"),
-        F.count_distinct(checksum).alias("variants"))
-    per = per.withColumn("n_missing", F.lit(n_members) - F.size("present_in"))
-    if n_members <= max_listed_members:
-        members = sorted(r[0] for r in df.select(member).distinct().collect())
-        all_members = F.array(*[F.lit(m) for m in members])
-        per = per.withColumn("missing_from", F.array_except(all_members, F.col("present_in")))
-    else:
-        per = per.withColumn("missing_from", F.lit(None).cast(T.ArrayType(df.schema[member].dataType)))
-    return per.withColumn("consistent", (F.col("variants") <= 1) & (F.col("n_missing") == 0))
+    # per (object, member) first: distinct counts of a hot object stay partial
+    per = df.groupBy(*keys).agg(F.count_distinct(F.col(member)).alias("n_present"),
+                                F.count_distinct(checksum).alias("variants"))
+    return (per.withColumn("n_missing", F.lit(n_members).cast("long") - F.col("n_present"))
+            .withColumn("consistent", (F.col("variants") <= 1) & (F.col("n_missing") == 0)))
+
+
+def member_presence(df: DataFrame, object_key: Sequence[str] | str, member: str) -> DataFrame:
+    """J17 (long form): one row per object and member that has it."""
+    keys = [object_key] if isinstance(object_key, str) else list(object_key)
+    return df.select(*keys, member).filter(F.col(member).isNotNull()).distinct()
+
+
+def missing_members(df: DataFrame, object_key: str, member: str, objects: Sequence) -> DataFrame:
+    """(object, member) for every member that lacks one of the asked
+    ``objects`` (the caller's list; never all objects x members)."""
+    asked = F.array(*[F.lit(o).cast(df.schema[object_key].dataType) for o in objects])
+    members = df.select(member).filter(F.col(member).isNotNull()).distinct()
+    pairs = members.select(F.explode(asked).alias(object_key), member)
+    return pairs.join(member_presence(df, object_key, member), [object_key, member], "left_anti")
 
 
 # ------------------------------------------------------ J18 CIDR

@@ -6,10 +6,14 @@ holding a third of the data would be one task holding a third of the data.
 Operators whose answer is an aggregate (W1 latest, W2 first failing phase)
 use ``max_by``/``min_by`` aggregates instead, which combine map-side.
 Operators that need a value per row (running counts, carried values,
-islands) use a *blocked* scan: rows are partitioned by (key, time block);
+islands) use a *blocked* scan: rows are partitioned by (key, block of the order column);
 each block is scanned by a window; a per-(key, block) summary (one row per
 block, far smaller than the data) supplies what happened in earlier blocks.
-A hot key is thus spread over as many tasks as it has blocks.
+The block bounds are approximate quantiles of the data, so every block holds
+about the same number of rows and a hot key, a burst or an operator without a
+key is spread over as many tasks as there are blocks.  Keys and order values
+may be null: null keys form a group of their own, rows without an order value
+form the first block.
 """
 
 from __future__ import annotations
@@ -22,51 +26,82 @@ from pyspark.sql import functions as F
 
 from .joins import _bucket, _num
 
-DEFAULT_BLOCK_SECONDS = 86400.0
+QUANTILE_ACCURACY = 10_000
 
 
-def _block(df: DataFrame, t: str, block_seconds: float) -> Column:
-    return _bucket(_num(F.col(t), dict(df.dtypes)[t]), block_seconds)
+def _bounds(df: DataFrame, t: str, blocks: int | None) -> list[float]:
+    """Strictly increasing inner block bounds of column ``t`` (as a number):
+    one aggregate that returns ``blocks - 1`` values."""
+    n = blocks or max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    at = _num(F.col(t), dict(df.dtypes)[t])
+    got = df.select(F.percentile_approx(at, [i / n for i in range(1, n)], QUANTILE_ACCURACY)).first()
+    return sorted({float(x) for x in (got[0] or []) if x == x})
+
+
+def _with_block(df: DataFrame, t: str, blocks: int | None) -> DataFrame:
+    """``df`` plus ``__blk``, increasing with ``t``; null values are in block -1."""
+    from pyspark.ml.feature import Bucketizer
+    bounds = _bounds(df, t, blocks) if blocks is None or blocks > 1 else []
+    x = df.withColumn("__num", _num(F.col(t), dict(df.dtypes)[t]).cast("double"))
+    if bounds:
+        cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="__num", outputCol="__blk",
+                         handleInvalid="keep")
+        x = cut.transform(x)
+    else:
+        x = x.withColumn("__blk", F.lit(0.0))
+    return (x.withColumn("__blk", F.when(F.col("__num").isNull(), -1).otherwise(F.col("__blk").cast("int")))
+            .drop("__num"))
+
+
+def _join_blocks(x: DataFrame, per: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach one row per (key, block) to the rows of that block, nulls equal."""
+    names = [*keys, "__blk"]
+    side = per.select(*[F.col(c).alias(f"__j_{c}") for c in names], *[c for c in per.columns if c not in names])
+    on = [F.col(c).eqNullSafe(F.col(f"__j_{c}")) for c in names]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return x.join(side, cond, "left").drop(*[f"__j_{c}" for c in names])
+
+
+def _earlier(keys: Sequence[str]):
+    w = Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk")
+    return w.rowsBetween(Window.unboundedPreceding, -1)
 
 
 # ------------------------------------------------------ blocked helpers
 def blocked_running_sum(df: DataFrame, keys: Sequence[str], t: str, value: Column | None,
-                        out: str, tiebreak: Sequence[str] = (),
-                        block_seconds: float = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+                        out: str, tiebreak: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
     """Running sum of ``value`` (1 per row when None) per key, in (t, tiebreak)
-    order, inclusive of the current row."""
+    order (nulls first), inclusive of the current row."""
     keys = list(keys)
     v = F.lit(1).cast("long") if value is None else value
-    x = df.withColumn("__blk", _block(df, t, block_seconds)).withColumn("__v", v)
-    order = [F.col(t)] + [F.col(c) for c in tiebreak]
-    w_in = (Window.partitionBy(*keys, "__blk").orderBy(*order)
+    x = _with_block(df, t, blocks).withColumn("__v", v)
+    w_in = (Window.partitionBy(*keys, "__blk").orderBy(*[F.col(c) for c in (t, *tiebreak)])
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("__in", F.sum("__v").over(w_in))
-    per_block = x.groupBy(*keys, "__blk").agg(F.sum("__v").alias("__bs"))
-    w_prev = (Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select(*keys, "__blk", F.coalesce(F.sum("__bs").over(w_prev), F.lit(0)).alias("__off"))
-    joined = x.join(offsets, [*keys, "__blk"])
-    return joined.withColumn(out, F.col("__off") + F.col("__in")).drop("__blk", "__v", "__in", "__off")
+    per = x.groupBy(*keys, "__blk").agg(F.sum("__v").alias("__bs"))
+    offsets = per.select(*keys, "__blk", F.coalesce(F.sum("__bs").over(_earlier(keys)), F.lit(0)).alias("__off"))
+    return (_join_blocks(x, offsets, keys).withColumn(out, F.col("__off") + F.coalesce(F.col("__in"), F.lit(0)))
+            .drop("__blk", "__v", "__in", "__off"))
 
 
 def blocked_last(df: DataFrame, keys: Sequence[str], t: str, is_obs: str, obs: str,
-                 block_seconds: float = DEFAULT_BLOCK_SECONDS, out: str = "__carried") -> DataFrame:
+                 blocks: int | None = None, out: str = "__carried") -> DataFrame:
     """Carry the newest non-null ``obs`` (a struct, set on observation rows)
     forward to every row at or after it, per key.  Observation rows sort
-    before other rows at an equal time."""
+    before other rows at an equal time, equal-time observations by their
+    values (the greatest is carried)."""
     keys = list(keys)
-    x = df.withColumn("__blk", _block(df, t, block_seconds))
-    w_in = (Window.partitionBy(*keys, "__blk").orderBy(F.col(t), F.col(is_obs).desc())
+    x = _with_block(df, t, blocks)
+    w_in = (Window.partitionBy(*keys, "__blk").orderBy(F.col(t), F.col(is_obs).desc(), F.col(obs))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("__in", F.last(F.col(obs), ignorenulls=True).over(w_in))
-    per_block = x.groupBy(*keys, "__blk").agg(
-        F.max_by(F.col(obs), F.when(F.col(obs).isNotNull(), F.col(t))).alias("__bl"))
-    w_prev = (Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    prev = per_block.select(*keys, "__blk", F.last("__bl", ignorenulls=True).over(w_prev).alias("__prev"))
-    joined = x.join(prev, [*keys, "__blk"])
-    return joined.withColumn(out, F.coalesce(F.col("__in"), F.col("__prev"))).drop("__blk", "__in", "__prev")
+    newest = F.when(F.col(obs).isNotNull(), F.struct(F.col(t).alias("t"), F.col(obs).alias("o")))
+    per = x.groupBy(*keys, "__blk").agg(F.max(newest)["o"].alias("__bl"))
+    prev = per.select(*keys, "__blk", F.last("__bl", ignorenulls=True).over(_earlier(keys)).alias("__prev"))
+    return (_join_blocks(x, prev, keys).withColumn(out, F.coalesce(F.col("__in"), F.col("__prev")))
+            .drop("__blk", "__in", "__prev"))
 
 
 # ------------------------------------------------------------- W1, W2
@@ -91,20 +126,21 @@ def first_failing_phase(df: DataFrame, key: str, phase: str, status: str,
     """Per object, the earliest phase (in ``phase_order``) that did not
     pass: its status is not ``pass_value``, is null ("unknown is not
     pass"), or the phase has no row at all (status ``missing``).  Objects
-    whose phases all passed get nulls.  Each object's list is bounded by the
-    number of phases, and the grouping combines map-side."""
+    whose phases all passed get nulls.  Observations are first combined to
+    one row per (object, phase), so an object's list is bounded by the number
+    of phases."""
     order_map = F.create_map(*[x for i, p in enumerate(phase_order) for x in (F.lit(p), F.lit(i))])
     x = df.withColumn("__ord", order_map[F.col(phase)]).filter(F.col("__ord").isNotNull())
-    per = x.groupBy(key).agg(F.collect_list(F.struct(
-        F.col("__ord").alias("o"), F.coalesce(F.col(status).cast("string"), F.lit("unknown")).alias("s"))).alias("__ps"))
-    passed = F.transform(F.filter("__ps", lambda p: p["s"] == F.lit(pass_value)), lambda p: p["o"])
-    failed = F.transform(F.filter("__ps", lambda p: p["s"] != F.lit(pass_value)), lambda p: p["o"])
-    ok = F.array_except(passed, failed)          # a phase passes only if all its rows pass
+    seen = F.coalesce(F.col(status).cast("string"), F.lit("unknown"))
+    # one row per (key, phase) after a partial aggregate
+    per_phase = x.groupBy(key, "__ord").agg(F.min(F.when(seen != pass_value, seen)).alias("__bad"))
+    per = per_phase.groupBy(key).agg(
+        F.collect_set(F.when(F.col("__bad").isNull(), F.col("__ord"))).alias("__ok"),
+        F.collect_list(F.struct(F.col("__ord").alias("o"), F.col("__bad").alias("s"))).alias("__ps"))
     all_idx = F.sequence(F.lit(0), F.lit(len(phase_order) - 1))
-    fail_idx = F.array_min(F.array_except(all_idx, ok))
+    fail_idx = F.array_min(F.array_except(all_idx, F.col("__ok")))
     names = F.array(*[F.lit(p) for p in phase_order])
-    at_fail = F.transform(F.filter("__ps", lambda p: (p["o"] == fail_idx) & (p["s"] != F.lit(pass_value))),
-                          lambda p: p["s"])
+    at_fail = F.transform(F.filter("__ps", lambda p: p["o"] == fail_idx), lambda p: p["s"])
     return per.select(
         key,
         # get() (0-based, null-safe); element_at(names, <null expression> + 1) is not null-safe here
@@ -147,10 +183,10 @@ def series_lag(df: DataFrame, ts: str, value: str, by: Sequence[str] = (), span:
 
 # ------------------------------------------------------------------ W4
 def running_count(df: DataFrame, order: str, by: Sequence[str] = (), tiebreak: Sequence[str] = (),
-                  out: str = "count", block_seconds: float = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+                  out: str = "count", blocks: int | None = None) -> DataFrame:
     """W4 (streamstats count): 1-based running count per ``by`` in
-    (order, tiebreak) order, by a blocked scan."""
-    return blocked_running_sum(df, by, order, None, out, tiebreak, block_seconds)
+    (order, tiebreak) order, nulls first, by a blocked scan."""
+    return blocked_running_sum(df, by, order, None, out, tiebreak, blocks)
 
 
 # ------------------------------------------------------------------ W5
@@ -224,38 +260,49 @@ def with_eta(df: DataFrame, mode: str = "mode", done: str = "done_fraction", row
 
 # ------------------------------------------------------------------ W7
 def concurrency(df: DataFrame, start: str, end: str, tiebreak: Sequence[str] = (),
-                block_seconds: float = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+                blocks: int | None = None) -> DataFrame:
     """For every invocation, how many invocations are running at its
     start (itself included): a +1/-1 sweep whose running sum is a blocked
     scan over time (global order, no single-partition window).  An end at
-    the same instant as a start is processed first (half-open intervals)."""
-    ev = df.select(*df.columns, F.col(start).alias("__t"), F.lit(1).alias("__d"), F.lit(1).alias("__s"))
-    ends = df.select(*df.columns, F.col(end).alias("__t"), F.lit(-1).alias("__d"), F.lit(0).alias("__s"))
-    u = ev.unionByName(ends)
-    r = blocked_running_sum(u, [], "__t", F.col("__d").cast("long"), "concurrent",
-                            ["__s", *tiebreak], block_seconds)
-    return r.filter(F.col("__s") == 1).drop("__t", "__d", "__s")
-
-
-def cadence(df: DataFrame, key: str, ts: str) -> DataFrame:
+    the same instant as a start is processed first (half-open intervals).
+    An invocation without an end is still running; one without a start is
+    never counted and gets null."""
+    known = df.filter(F.col(start).isNotNull())
+    ev = known.select(*df.columns, F.col(start).alias("__t"), F.lit(1).alias("__d"), F.lit(1).alias("__s"))
+    ends = (known.filter(F.col(end).isNotNull())
+            .select(*df.columns, F.col(end).alias("__t"), F.lit(-1).alias("__d"), F.lit(0).alias("__s")))
+    r = blocked_running_sum(ev.unionByName(ends), [], "__t", F.col("__d").cast("long"), "concurrent",
+                            ["__s", *tiebreak], blocks)
+    unknown = df.filter(F.col(start).isNull()).withColumn("concurrent", F.lit(None).cast("long"))
+    return r.filter(F.col("__s") == 1).drop("__t", "__d", "__s").unionByName(unknown)
+
+
+def cadence(df: DataFrame, key: str, ts: str, blocks: int | None = None) -> DataFrame:
     """Seconds since the same key's previous invocation, summarised per
-    key (count, min/avg/max gap) so the window output stays per-key."""
-    w = Window.partitionBy(key).orderBy(ts)
+    key (count, min/avg/max gap).  The previous time comes from the row's
+    block or, for a block's first row, from the key's earlier blocks, so a
+    busy key is spread over its blocks.  Rows without a time count as
+    invocations and have no gap."""
     t = _num(F.col(ts), dict(df.dtypes)[ts])
-    g = df.withColumn("__gap", t - F.lag(t).over(w))
+    x = _with_block(df.select(F.col(key), F.col(ts)), ts, blocks).withColumn("__t", t)
+    x = x.withColumn("__in", F.lag("__t").over(Window.partitionBy(key, "__blk").orderBy("__t")))
+    per = x.groupBy(key, "__blk").agg(F.max("__t").alias("__last"))
+    prev = per.select(key, "__blk", F.max("__last").over(_earlier([key])).alias("__prev"))
+    g = _join_blocks(x, prev, [key]).withColumn("__gap", F.col("__t") - F.coalesce("__in", "__prev"))
     return g.groupBy(key).agg(F.count(F.lit(1)).alias("invocations"), F.min("__gap").alias("min_gap"),
                               F.avg("__gap").alias("avg_gap"), F.max("__gap").alias("max_gap"))
 
 
 # ------------------------------------------------------------------ W8
 def state_runs(df: DataFrame, key: str, ts: str, state: str, tiebreak: Sequence[str] = (),
-               min_length: int = 1, block_seconds: float = DEFAULT_BLOCK_SECONDS) -> DataFrame:
+               min_length: int = 1, blocks: int | None = None) -> DataFrame:
     """Maximal runs of consecutive observations with the same state per
     key (gaps and islands): ``run_id = n(key) - n(key, state)`` with both
     ordinals from blocked running counts.  Output: key, state, start, end,
-    length; runs shorter than ``min_length`` are dropped."""
-    a = blocked_running_sum(df, [key], ts, None, "__n1", tiebreak, block_seconds)
-    b = blocked_running_sum(a, [key, state], ts, None, "__n2", tiebreak, block_seconds)
+    length; runs shorter than ``min_length`` are dropped.  A null state is a
+    state like any other."""
+    a = blocked_running_sum(df, [key], ts, None, "__n1", tiebreak, blocks)
+    b = blocked_running_sum(a, [key, state], ts, None, "__n2", tiebreak, blocks)
     isl = b.withColumn("__run", F.col("__n1") - F.col("__n2"))
     runs = isl.groupBy(key, state, "__run").agg(
         F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("length"))

@@ -182,7 +182,7 @@ FROM pages
 """)
 def e4_kv(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select("page_id", "url")
-    out = ex.extract_kv(p, "url", max_keys=100)
+    out = ex.extract_kv(p, "url")
     return out.select("page_id", F.size("kv").alias("n_keys"), F.col("kv")["page"].alias("page"),
                       F.col("kv")["ref"].alias("ref"))
 

@@ -287,29 +287,35 @@ def j16_as_of(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     purchases = e.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     views = e.filter(F.col("event_type") == "view").select("user_id", "ts", "value", F.col("event_id").alias("vid"))
-    out = jn.as_of(purchases, views, "user_id", "ts", ["value", "vid"], block_seconds=3 * 86400.0)
+    out = jn.as_of(purchases, views, "user_id", "ts", ["value", "vid"])
     return rounded(out.select("event_id", F.col("obs_value"), F.col("obs_vid").cast("string").alias("obs_event_id")))
 
 
 # ------------------------------------------------------------- J17
 @register("j17_compare_members", sql="""
-WITH members AS (SELECT DISTINCT l_suppkey AS m FROM lineitem WHERE l_suppkey < 5),
-per AS (
-  SELECT l_partkey, list_sort(list_distinct(list(l_suppkey))) AS present_in,
-         count(DISTINCT l_returnflag || '|' || l_linestatus) AS variants
-  FROM lineitem WHERE l_suppkey < 5 GROUP BY l_partkey)
-SELECT l_partkey, array_to_string(present_in, ',') AS present_in, variants,
-       array_to_string(list_sort(list_filter((SELECT list(m) FROM members), lambda x: NOT list_contains(present_in, x))), ',') AS missing_from
-FROM per
+WITH n AS (SELECT count(DISTINCT l_suppkey) AS n FROM lineitem)
+SELECT l_partkey, count(DISTINCT l_suppkey) AS n_present, count(DISTINCT l_returnflag || '|' || l_linestatus) AS variants,
+       n - count(DISTINCT l_suppkey) AS n_missing,
+       count(DISTINCT l_returnflag || '|' || l_linestatus) <= 1 AND n = count(DISTINCT l_suppkey) AS consistent
+FROM lineitem, n GROUP BY l_partkey, n
 """)
 def j17_compare_members(spark, sf_dir):
-    """Suppliers 0-4 act as members holding parts; a part's metadata is its
+    """All suppliers act as members holding parts; a part's metadata is its
     return flag and line status."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_suppkey") < 5)
-    out = jn.compare_members(li, "l_partkey", "l_suppkey", ["l_returnflag", "l_linestatus"])
-    return out.select("l_partkey", F.array_join(F.transform("present_in", lambda x: x.cast("string")), ",").alias("present_in"),
-                      "variants",
-                      F.array_join(F.transform(F.array_sort("missing_from"), lambda x: x.cast("string")), ",").alias("missing_from"))
+    li = table(spark, sf_dir, "lineitem")
+    return jn.compare_members(li, "l_partkey", "l_suppkey", ["l_returnflag", "l_linestatus"])
+
+
+@register("j17_missing_members", sql="""
+WITH m AS (SELECT DISTINCT l_suppkey FROM lineitem),
+p AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
+SELECT a.l_partkey, m.l_suppkey FROM (VALUES (1), (2), (3), (5), (8)) AS a(l_partkey), m
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.l_partkey = a.l_partkey AND p.l_suppkey = m.l_suppkey)
+""")
+def j17_missing_members(spark, sf_dir):
+    """Which suppliers lack the asked parts."""
+    li = table(spark, sf_dir, "lineitem")
+    return jn.missing_members(li, "l_partkey", "l_suppkey", [1, 2, 3, 5, 8])
 
 
 # ------------------------------------------------------------- J19 chain
@@ -506,7 +512,7 @@ def w7_concurrency(spark, sf_dir):
     """Each order is an invocation running 45 days from its order date."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").alias("s"),
                                               (F.col("o_orderdate") + F.expr("INTERVAL 45 DAY")).alias("e"))
-    out = wn.concurrency(o, "s", "e", tiebreak=["o_orderkey"], block_seconds=30 * 86400.0)
+    out = wn.concurrency(o, "s", "e", tiebreak=["o_orderkey"])
     return out.select("o_orderkey", "concurrent")
 
 
@@ -538,6 +544,84 @@ def w8_state_runs(spark, sf_dir):
                     F.date_format("end", fmt).alias("end"), "length")
 
 
+# Rows with gaps, made by rule from the events: every 7th user id, every 11th
+# time and every 5th state is unknown.
+_GAPS = """SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE user_id END AS user_id,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS ts,
+  CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_type END AS event_type, value FROM events"""
+
+
+def _gaps(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    blank = lambda c, n: F.when(F.col("event_id") % n != 0, F.col(c)).alias(c)
+    return e.select("event_id", blank("user_id", 7), blank("ts", 11), blank("event_type", 5), "value")
+
+
+@register("w4_running_count_gaps", sql=f"""
+SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS "count" FROM ({_GAPS})
+""")
+def w4_running_count_gaps(spark, sf_dir):
+    return wn.running_count(_gaps(spark, sf_dir), "ts", ["user_id"], ["event_id"]).select("event_id", "count")
+
+
+@register("w7_concurrency_open", sql="""
+WITH inv AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderdate END AS s,
+  CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 45 DAY END AS e FROM orders),
+ev AS (SELECT o_orderkey, s AS t, 1 AS d, 1 AS is_start FROM inv WHERE s IS NOT NULL
+  UNION ALL SELECT o_orderkey, e, -1, 0 FROM inv WHERE s IS NOT NULL AND e IS NOT NULL)
+SELECT o_orderkey, CAST(running AS BIGINT) AS concurrent FROM (
+  SELECT o_orderkey, is_start, sum(d) OVER (ORDER BY t, is_start, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+  FROM ev) WHERE is_start = 1
+UNION ALL SELECT o_orderkey, NULL FROM inv WHERE s IS NULL
+""")
+def w7_concurrency_open(spark, sf_dir):
+    """Open orders never ended; every 13th has no known start."""
+    o = table(spark, sf_dir, "orders")
+    inv = o.select("o_orderkey", F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderdate")).alias("s"),
+                   F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate") + F.expr("INTERVAL 45 DAY")).alias("e"))
+    return wn.concurrency(inv, "s", "e", tiebreak=["o_orderkey"]).select("o_orderkey", "concurrent")
+
+
+@register("w7_cadence_gaps", sql=f"""
+WITH g AS (SELECT user_id, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST) AS gap FROM ({_GAPS}))
+SELECT user_id, count(*) AS invocations, round(min(gap), 3) AS min_gap, round(avg(gap), 3) AS avg_gap, round(max(gap), 3) AS max_gap
+FROM g GROUP BY user_id
+""")
+def w7_cadence_gaps(spark, sf_dir):
+    return rounded(wn.cadence(_gaps(spark, sf_dir), "user_id", "ts"), 3)
+
+
+@register("w8_state_runs_gaps", sql=f"""
+WITH x AS (
+  SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id)
+    - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts NULLS FIRST, event_id) AS run FROM ({_GAPS}))
+SELECT user_id, event_type, length, count(*) AS runs FROM (
+  SELECT user_id, event_type, run, count(*) AS length FROM x GROUP BY ALL) GROUP BY ALL
+""")
+def w8_state_runs_gaps(spark, sf_dir):
+    """Unknown users and unknown states form runs of their own."""
+    r = wn.state_runs(_gaps(spark, sf_dir), "user_id", "ts", "event_type", tiebreak=["event_id"])
+    return r.groupBy("user_id", "event_type", "length").agg(F.count(F.lit(1)).alias("runs"))
+
+
+@register("j16_as_of_gaps", sql=f"""
+WITH g AS ({_GAPS}),
+v AS (SELECT user_id, date_trunc('hour', ts) AS t, max(event_id) AS vid FROM g
+      WHERE event_type = 'view' AND user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL),
+p AS (SELECT event_id, user_id, date_trunc('hour', ts) AS t FROM g WHERE event_type = 'purchase')
+SELECT p.event_id, CAST(v.vid AS VARCHAR) AS obs_event_id FROM p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.t >= v.t
+""")
+def j16_as_of_gaps(spark, sf_dir):
+    """Decisions without user or time stay; views of the same hour tie and
+    the greatest id is taken."""
+    g = _gaps(spark, sf_dir).withColumn("t", F.date_trunc("hour", "ts"))
+    out = jn.as_of(g.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "t"),
+                   g.filter(F.col("event_type") == "view").select("user_id", "t", F.col("event_id").alias("vid")),
+                   "user_id", "t", ["vid"])
+    return out.select("event_id", F.col("obs_vid").cast("string").alias("obs_event_id"))
+
+
 @register("w9_rank_hits", sql="""
 SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT l_orderkey AS query_id, l_partkey AS doc_id, round(l_extendedprice, 6) AS score,

@@ -80,8 +80,8 @@ def test_transforms_delims_kv(spark):
     df = spark.createDataFrame([('a=1, b="two words"; a=3 c=4',)], "raw string")
     kv = ex.extract_kv(df, "raw").collect()[0]["kv"]
     assert kv == {"a": "1", "b": "two words", "c": "4"}
-    kv2 = ex.extract_kv(df, "raw", max_keys=2).collect()[0]["kv"]
-    assert kv2 == {"a": "1", "b": "two words"}
+    many = spark.createDataFrame([(" ".join(f"k{i}={i}" for i in range(150)),)], "raw string")
+    assert len(ex.extract_kv(many, "raw").collect()[0]["kv"]) == 150
     d = spark.createDataFrame([("x|y",)], "raw string")
     r = ex.extract_delimited(d, "raw", "|", ["f1", "f2", "f3"]).collect()[0]
     assert (r["f1"], r["f2"], r["f3"]) == ("x", "y", None)
@@ -117,12 +117,14 @@ def test_alias_calc_eventtype_tags_pipeline(spark):
     assert conf[1]["missing_fields"] == ["user"] and conf[1]["missing_tags"] == []
 
 
-def test_tags_join_path_equals_inline(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, v string")
-    rules = spark.createDataFrame([("v", "a", "t1"), ("v", "a", "t2"), ("v", "c", "t3")], "f string, val string, tag string")
-    inline = {r["id"]: r["tag"] for r in ex.add_tags(df, rules).collect()}
-    joined = {r["id"]: r["tag"] for r in ex.add_tags(df, rules, max_inline_rules=0).collect()}
-    assert inline == joined == {1: ["t1", "t2"], 2: [], 3: ["t3"]}
+def test_tags_of_tables_and_lists_agree(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, None), (5, "None")], "id int, v string")
+    triples = [("v", "a", "t1"), ("v", "a", "t2"), ("v", "c", "t3"), ("v", None, "never"), ("absent", "a", "never")]
+    want = {1: ["t1", "t2"], 2: [], 3: ["t3"], 4: [], 5: []}
+    table = spark.createDataFrame(triples, "f string, val string, tag string")
+    for rules in (triples, table):
+        assert {r["id"]: r["tag"] for r in ex.add_tags(df, rules).collect()} == want
+    assert {tuple(r["tag"]) for r in ex.add_tags(df, []).collect()} == {()}
 
 
 def test_url_normalisation(spark):

@@ -44,8 +44,12 @@ def test_orphans_acl_members(spark):
     ex = {r["object_id"]: r["exposure"] for r in jn.acl_exposure(o2, acl).collect()}
     assert ex == {"o1": "restricted_write", "o2": "broad_write", "o3": "unknown", "o4": "unknown"}
     m = spark.createDataFrame([("k1", "m1", "x"), ("k1", "m2", "y"), ("k2", "m1", "x")], "obj string, member string, sum string")
-    cm = {r["obj"]: (r["missing_from"], r["variants"], r["consistent"]) for r in jn.compare_members(m, "obj", "member", ["sum"]).collect()}
-    assert cm == {"k1": ([], 2, False), "k2": (["m2"], 1, False)}
+    cm = {r["obj"]: (r["n_present"], r["n_missing"], r["variants"], r["consistent"])
+          for r in jn.compare_members(m, "obj", "member", ["sum"]).collect()}
+    assert cm == {"k1": (2, 0, 2, False), "k2": (1, 1, 1, False)}
+    assert [tuple(r) for r in jn.missing_members(m, "obj", "member", ["k1", "k2"]).select("obj", "member").collect()] == [("k2", "m2")]
+    twice = spark.createDataFrame([("ann", True), ("ann", False)], "user string, active boolean")
+    assert jn.orphans(objs, twice).count() == objs.count()              # two user rows, one status
 
 
 def test_effective_capabilities_with_cycle(spark):
@@ -68,6 +72,49 @@ def test_server_classes_deny_wins(spark):
     assert got == [(1, "web", "nginx"), (3, "db", "pg")]
 
 
+def test_server_class_patterns(spark):
+    """Every glob shape against a plain regex."""
+    import re
+    names = ["web01", "web", "w", "", "db.web", "xweby", "a*b", "axb", "web01.example"]
+    clients = spark.createDataFrame(list(enumerate(names)), "client int, hostname string")
+    globs = ["*", "web*", "*web", "*web*", "web01", "w?b", "a*b", "*.example", "we*1", "", "?"]
+    rules = spark.createDataFrame([(g,) for g in globs], "pattern string")
+    rx = {g: re.compile("".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in g)) for g in globs}
+    want = {(n, g) for n in names for g in globs if rx[g].fullmatch(n)}
+    got = [(r["hostname"], r["pattern"]) for r in jn._pattern_hits(clients, rules, "hostname").collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_ordered_operators_keep_null_rows(spark):
+    rows = [(1, "a", 10), (2, "a", None), (3, None, 5), (4, None, 7), (5, "a", 12)]
+    df = spark.createDataFrame(rows, "id int, k string, t int")
+    got = {r["id"]: r["count"] for r in wn.running_count(df, "t", ["k"], ["id"], blocks=3).collect()}
+    assert got == {2: 1, 1: 2, 5: 3, 3: 1, 4: 2}
+    inv = spark.createDataFrame([(1, 0, None), (2, 1, None), (3, 2, 9), (4, 3, None), (5, None, 4)], "id int, s int, e int")
+    got = {r["id"]: r["concurrent"] for r in wn.concurrency(inv, "s", "e", ["id"], blocks=3).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: None}
+    obs = spark.createDataFrame([("k", 1, "up"), ("k", 2, None), ("k", 3, None), ("k", 4, "up"), (None, 1, "up")],
+                                "k string, t int, s string")
+    runs = {(r["k"], r["s"], r["start"], r["length"]) for r in wn.state_runs(obs, "k", "t", "s", blocks=2).collect()}
+    assert runs == {("k", "up", 1, 1), ("k", None, 2, 2), ("k", "up", 4, 1), (None, "up", 1, 1)}
+    dec = spark.createDataFrame([(1, "k", 5), (2, "k", None), (3, None, 5), (4, "z", 5), (5, "k", 2)], "did int, k string, t int")
+    seen = spark.createDataFrame([("k", 2, 20), ("k", 2, 21), ("k", None, 99), (None, 1, 98)], "k string, t int, v int")
+    got = {r["did"]: r["obs_v"] for r in jn.as_of(dec, seen, "k", "t", ["v"], blocks=3).collect()}
+    assert got == {1: 21, 2: None, 3: None, 4: None, 5: 21}
+    gaps = {r["k"]: (r["invocations"], r["min_gap"], r["max_gap"]) for r in wn.cadence(df, "k", "t", blocks=2).collect()}
+    assert gaps == {"a": (3, 2.0, 2.0), None: (2, 2.0, 2.0)}
+
+
+def test_secrets_are_found_raw(spark):
+    from quarry.operators import filters as fl
+    rows = [(1, 'x "q\\b" y', {"k": "v"}), (2, "plain", {"tok-77": "v"}), (3, None, None), (4, "s1", {"k": "zz"})]
+    df = spark.createDataFrame(rows, "id int, t string, m map<string,string>")
+    for secrets in (['"q\\b"', "tok-77", "zz"], [], ["", "1\",\"t"]):
+        s = spark.createDataFrame([(x,) for x in secrets], "secret string")
+        got = {r["id"]: r["has_secret"] for r in fl.flag_secret_rows(df, s, max_bytes=6).collect()}
+        assert got == ({1: True, 2: True, 3: False, 4: True} if len(secrets) == 3 else dict.fromkeys((1, 2, 3, 4), False))
+
+
 def test_set_ops_and_diff(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "k int")
     b = spark.createDataFrame([(1,), (3,)], "k int")
@@ -85,7 +132,7 @@ def test_blocked_running_count_with_hot_key_equals_window(spark):
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 5 < 3, F.lit(0)).otherwise(F.col("id") % 7).alias("k"),
         (F.col("id") * 37 % 1000).cast("double").alias("t"), F.col("id"))
-    got = wn.running_count(df, "t", ["k"], ["id"], block_seconds=50.0)
+    got = wn.running_count(df, "t", ["k"], ["id"], blocks=5)
     w = Window.partitionBy("k").orderBy("t", "id")
     exp = df.withColumn("count", F.row_number().over(w))
     assert got.select("id", "count").exceptAll(exp.select("id", "count")).count() == 0
@@ -97,7 +144,7 @@ def test_as_of_matches_brute_force(spark):
                                      F.col("id").alias("did"))
     obs = spark.range(0, 120).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 480).cast("double").alias("t"),
                                      (F.col("id") * 10).alias("v"))
-    got = {r["did"]: r["obs_v"] for r in jn.as_of(dec, obs, "k", "t", ["v"], block_seconds=37.0).collect()}
+    got = {r["did"]: r["obs_v"] for r in jn.as_of(dec, obs, "k", "t", ["v"], blocks=7).collect()}
     o = obs.collect()
     for r in dec.collect():
         cands = [x for x in o if x["k"] == r["k"] and x["t"] <= r["t"]]
@@ -109,11 +156,11 @@ def test_as_of_matches_brute_force(spark):
 
 def test_concurrency_and_state_runs(spark):
     inv = spark.createDataFrame([(1, 0.0, 10.0), (2, 5.0, 15.0), (3, 10.0, 12.0), (4, 20.0, 21.0)], "id int, s double, e double")
-    got = {r["id"]: r["concurrent"] for r in wn.concurrency(inv, "s", "e", ["id"], block_seconds=7.0).collect()}
+    got = {r["id"]: r["concurrent"] for r in wn.concurrency(inv, "s", "e", ["id"], blocks=6).collect()}
     assert got == {1: 1, 2: 2, 3: 2, 4: 1}
     obs = spark.createDataFrame([("a", 1.0, "down"), ("a", 2.0, "down"), ("a", 3.0, "up"), ("a", 4.0, "down")],
                                 "k string, t double, s string")
-    runs = sorted((r["s"], r["length"]) for r in wn.state_runs(obs, "k", "t", "s", block_seconds=2.0).collect())
+    runs = sorted((r["s"], r["length"]) for r in wn.state_runs(obs, "k", "t", "s", blocks=4).collect())
     assert runs == [("down", 1), ("down", 2), ("up", 1)]
 
 
@@ -157,7 +204,7 @@ def test_as_of_with_hot_key_matches_pandas(spark):
     obs = spark.range(0, 1500).select(
         F.when(F.col("id") % 5 < 3, F.lit(0)).otherwise(F.col("id") % 4).alias("k"),
         ((F.col("id") * 104729 + 3) % 100000 + 0.5).cast("double").alias("t"), (F.col("id") * 10).alias("v"))
-    got = {r["did"]: r["obs_v"] for r in jn.as_of(dec, obs, "k", "t", ["v"], block_seconds=5000.0).collect()}
+    got = {r["did"]: r["obs_v"] for r in jn.as_of(dec, obs, "k", "t", ["v"], blocks=8).collect()}
     d = dec.toPandas().sort_values("t")
     o = obs.toPandas().sort_values("t")
     exp = pd.merge_asof(d, o, on="t", by="k", direction="backward")
