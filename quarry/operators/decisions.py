@@ -84,20 +84,22 @@ def control_readiness(evidence: DataFrame, control: str = "control") -> DataFram
     """D3 pass / fail / unknown per control.
 
     Evidence rows: ``result`` ('pass' | 'fail' | null), ``authoritative``,
-    ``current``.  fail: some current authoritative row fails and none
-    passes; pass: current authoritative rows all pass and cover every row;
-    anything missing, stale, non-authoritative or conflicting: unknown.
+    ``current``.  Only current authoritative rows count; stale or
+    non-authoritative ones are context.  fail: some of them fail and none
+    passes; pass: all of them pass; no such row, a row without a result, or
+    a conflict: unknown.
     """
     good = _true("authoritative") & _true("current")
     r = F.lower(F.col("result"))
     agg = evidence.groupBy(control).agg(
         F.count(F.lit(1)).alias("rows"),
+        F.sum(F.when(good, 1).otherwise(0)).alias("counted"),
         F.sum(F.when(good & (r == "pass"), 1).otherwise(0)).alias("passes"),
         F.sum(F.when(good & (r == "fail"), 1).otherwise(0)).alias("fails"))
     status = (F.when((F.col("fails") > 0) & (F.col("passes") == 0), "fail")
-              .when((F.col("passes") == F.col("rows")) & (F.col("fails") == 0), "pass")
+              .when((F.col("passes") > 0) & (F.col("passes") == F.col("counted")), "pass")
               .otherwise("unknown"))
-    return agg.withColumn("readiness", status)
+    return agg.withColumn("readiness", status).drop("counted")
 
 
 # ------------------------------------------------------------------- D4
@@ -173,44 +175,46 @@ def governance_priority(objects: DataFrame) -> DataFrame:
 def lifecycle_candidates(objects: DataFrame, usage: DataFrame | None, deps: DataFrame | None,
                          key: str = "object_id", last_used: str = "last_used", anchor=None,
                          stale_after: str = "90 days") -> DataFrame:
-    """Stale / unused candidates need inventory + usage + dependency
-    evidence; with any of them missing the status is ``unconfirmed``.
+    """Lifecycle per object.  A recent use is ``active`` and a dependent
+    is ``in use by dependents`` on its own evidence; ``stale candidate`` needs
+    both a usage row and a dependency row for the object; anything less is
+    ``unconfirmed``.
 
-    ``usage``: (key, last_used) observations (absent -> no usage evidence);
-    ``deps``: (key, dependents) counts (absent -> no dependency evidence).
+    ``usage``: (key, last_used) observations; ``deps``: (key, dependents)
+    counts.  A table that is not given is evidence for no object.
     """
     out = objects
     if usage is not None:
-        u = usage.groupBy(key).agg(F.max(last_used).alias("last_used"), F.lit(True).alias("__usage_ev"))
+        u = usage.groupBy(key).agg(F.max(last_used).alias("last_used"), F.lit(True).alias("__used"))
         out = out.join(u, key, "left")
     else:
-        out = out.withColumn("last_used", F.lit(None).cast("timestamp")).withColumn("__usage_ev", F.lit(None))
+        out = out.withColumn("last_used", F.lit(None).cast("timestamp")).withColumn("__used", F.lit(None).cast("boolean"))
     if deps is not None:
         d = deps.groupBy(key).agg(F.sum("dependents").alias("dependents"))
         out = out.join(d, key, "left")
     else:
         out = out.withColumn("dependents", F.lit(None).cast("long"))
     a = F.current_timestamp() if anchor is None else F.lit(anchor).cast("timestamp")
-    cutoff = a - F.expr(f"INTERVAL {stale_after}")
-    usage_known = F.lit(usage is not None)
-    deps_known = F.lit(deps is not None)
-    recent = F.col("last_used").cast("timestamp") >= cutoff
-    status = (F.when(~usage_known | ~deps_known, "unconfirmed")
-              .when(F.coalesce(recent, F.lit(False)), "active")
+    recent = F.col("last_used").cast("timestamp") >= a - F.expr(f"INTERVAL {stale_after}")
+    status = (F.when(F.coalesce(recent, F.lit(False)), "active")
               .when(F.coalesce(F.col("dependents"), F.lit(0)) > 0, "in use by dependents")
-              .otherwise("stale candidate"))
-    return out.withColumn("lifecycle", status).drop("__usage_ev")
+              .when(F.col("__used").isNotNull() & F.col("last_used").isNotNull() & F.col("dependents").isNotNull(),
+                    "stale candidate")
+              .otherwise("unconfirmed"))
+    return out.withColumn("lifecycle", status).drop("__used")
 
 
 # ------------------------------------------------------------------- D9
 def change_readiness(changes: DataFrame) -> DataFrame:
     """D9 ready / not-ready / blocked per change.  blocked: a freeze or
-    maintenance conflict (``conflicts`` > 0) or missing evidence
-    (``missing`` non-empty); not-ready: a failed prerequisite; else ready."""
-    return changes.withColumn("readiness", F.when(
-        (F.coalesce(F.col("conflicts"), F.lit(0)) > 0) | (F.size(F.coalesce(F.col("missing"),
-                                                                           F.array().cast("array<string>"))) > 0),
-        "blocked").when(_true("prerequisite_failed"), "not-ready").otherwise("ready"))
+    maintenance conflict (``conflicts`` > 0), missing evidence (``missing``
+    non-empty), or any of the three columns unknown; not-ready: a failed
+    prerequisite; ready only when all three are known and clear."""
+    known = F.col("conflicts").isNotNull() & F.col("missing").isNotNull() & F.col("prerequisite_failed").isNotNull()
+    open_ = (F.col("conflicts") > 0) | (F.size("missing") > 0)
+    return changes.withColumn("readiness", F.when(F.coalesce(open_, F.lit(False)), "blocked")
+                              .when(_true("prerequisite_failed"), "not-ready")
+                              .when(~known, "blocked").otherwise("ready"))
 
 
 # ------------------------------------------------------------------ D10

@@ -75,7 +75,7 @@ def query_results(spark: SparkSession, tables: Mapping[str, DataFrame] | DataFra
 # S2 arrival ordinal, S4 slices, P10 templates
 # --------------------------------------------------------------------------
 
-def with_row_number(df: DataFrame, order_cols: Sequence[str] | None = None, name: str = "_row") -> DataFrame:
+def with_row_number(df: DataFrame, order_cols: Sequence[str | Column] | None = None, name: str = "_row") -> DataFrame:
     """1-based ordinal column, without a single-partition window.
 
     Each partition numbers its own rows (``monotonically_increasing_id`` keeps
@@ -119,15 +119,32 @@ def slice_rows(df: DataFrame, order: Sequence[Column], limit: int = 0, offset: i
     total = df.count()
     left = max(total - offset, 0)
     returned = min(limit, left) if limit else left
-    page = df.orderBy(*order)
-    if offset:
-        page = page.offset(offset)
-    if limit:
-        page = page.limit(limit)
+    page = page_rows(df, order, limit, offset)
     return page.withColumn("total", F.lit(total).cast("long")) \
                .withColumn("has_more", F.lit(offset + returned < total))
 
 
+TOP_ROWS = 10_000               # pages that end earlier are a top-k
+
+
+def page_rows(df: DataFrame, order: Sequence[str | Column], limit: int = 0, offset: int = 0) -> DataFrame:
+    """Rows ``offset`` .. ``offset + limit`` (0: to the end) of a stated order.
+
+    A page near the start is a per-task top-k.  Any other page is cut from
+    the range-partitioned order by ordinal (S2), so no task or driver holds
+    what precedes it; the rows are the same."""
+    if not offset and not limit:
+        return df.orderBy(*order)
+    if limit and offset + limit <= TOP_ROWS:
+        page = df.orderBy(*order)
+        return (page.offset(offset) if offset else page).limit(limit)
+    numbered = with_row_number(df, order, "__ord")
+    keep = F.col("__ord") > offset
+    if limit:
+        keep = keep & (F.col("__ord") <= offset + limit)
+    return numbered.filter(keep).drop("__ord")
+
+
 def sample_rows(df: DataFrame, n: int = 5, order: Sequence[Column] | None = None) -> DataFrame:
     """P10: the first ``n`` rows of an order (a preview)."""
     return (df.orderBy(*order) if order else df).limit(n)

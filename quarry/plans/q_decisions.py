@@ -68,21 +68,24 @@ def d2_compatibility_label(spark, sf_dir):
 
 
 @register("d3_control_readiness", sql="""
+WITH e AS (
+  SELECT l_orderkey, l_returnflag <> 'R' AND l_shipdate >= TIMESTAMP '1997-01-01' AS counts,
+         CASE WHEN l_linenumber = 7 THEN NULL ELSE l_linestatus = 'F' END AS ok FROM lineitem)
 SELECT l_orderkey AS control,
-  CASE WHEN sum(CASE WHEN l_returnflag <> 'R' AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_linestatus <> 'F' THEN 1 ELSE 0 END) > 0
-        AND sum(CASE WHEN l_returnflag <> 'R' AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_linestatus = 'F' THEN 1 ELSE 0 END) = 0 THEN 'fail'
-       WHEN sum(CASE WHEN l_returnflag <> 'R' AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_linestatus = 'F' THEN 1 ELSE 0 END) = count(*)
-        AND sum(CASE WHEN l_returnflag <> 'R' AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_linestatus <> 'F' THEN 1 ELSE 0 END) = 0 THEN 'pass'
-       ELSE 'unknown' END AS readiness
-FROM lineitem GROUP BY l_orderkey
+  CASE WHEN NOT coalesce(bool_or(counts), false) THEN 'unknown'
+       WHEN bool_or(counts AND ok IS NULL) AND NOT bool_or(counts AND ok IS NOT NULL AND NOT ok) THEN 'unknown'
+       WHEN bool_or(counts AND coalesce(ok, false)) AND bool_or(counts AND NOT coalesce(ok, true)) THEN 'unknown'
+       WHEN bool_or(counts AND NOT coalesce(ok, true)) THEN 'fail' ELSE 'pass' END AS readiness
+FROM e GROUP BY l_orderkey
 """)
 def d3_control_readiness(spark, sf_dir):
     """Orders as controls, their lines as evidence: finished lines pass,
-    open lines fail; returned lines are not authoritative; lines shipped
-    before 1997 are not current."""
+    open lines fail, seventh lines have no result; returned lines are not
+    authoritative; lines shipped before 1997 are not current."""
     li = table(spark, sf_dir, "lineitem")
     ev = li.select(F.col("l_orderkey").alias("control"),
-                   F.when(F.col("l_linestatus") == "F", "pass").otherwise("fail").alias("result"),
+                   F.when(F.col("l_linenumber") == 7, None).when(F.col("l_linestatus") == "F", "pass")
+                    .otherwise("fail").alias("result"),
                    (F.col("l_returnflag") != "R").alias("authoritative"),
                    (F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz")).alias("current"))
     return dc.control_readiness(ev).select("control", "readiness")
@@ -165,22 +168,25 @@ def d7_governance_priority(spark, sf_dir):
 
 
 @register("d9_change_readiness", sql="""
-WITH r AS (SELECT l_orderkey, count(*) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)
+WITH r AS (SELECT l_orderkey, sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned FROM lineitem GROUP BY l_orderkey)
 SELECT o.o_orderkey,
-  CASE WHEN coalesce(r.returned, 0) > 0 OR o.o_orderpriority = '5-LOW' THEN 'blocked'
-       WHEN o.o_orderstatus = 'P' THEN 'not-ready' ELSE 'ready' END AS readiness
+  CASE WHEN r.returned > 0 OR o.o_orderpriority = '5-LOW' THEN 'blocked'
+       WHEN o.o_orderstatus = 'P' THEN 'not-ready'
+       WHEN r.returned IS NULL OR o.o_orderkey % 9 = 0 THEN 'blocked' ELSE 'ready' END AS readiness
 FROM orders o LEFT JOIN r ON r.l_orderkey = o.o_orderkey
 """)
 def d9_change_readiness(spark, sf_dir):
-    """Orders as planned changes: returned lines are conflicts, low priority
-    lacks the approval evidence, pending status is a failed prerequisite."""
+    """Orders as planned changes: returned lines are conflicts (orders without
+    lines have no such evidence), low priority lacks the approval, every
+    ninth has no list of evidence, pending is a failed prerequisite."""
     o = table(spark, sf_dir, "orders")
-    r = (table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
-         .groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("conflicts")))
+    r = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+         .agg(F.sum((F.col("l_returnflag") == "R").cast("int")).alias("conflicts")))
+    none = F.array().cast("array<string>")
     x = o.join(r, "o_orderkey", "left").select(
         "o_orderkey", "conflicts",
-        F.when(F.col("o_orderpriority") == "5-LOW", F.array(F.lit("approval"))).otherwise(F.array().cast("array<string>"))
-         .alias("missing"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.array(F.lit("approval")))
+         .when(F.col("o_orderkey") % 9 != 0, none).alias("missing"),
         (F.col("o_orderstatus") == "P").alias("prerequisite_failed"))
     return dc.change_readiness(x).select("o_orderkey", "readiness")
 

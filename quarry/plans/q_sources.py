@@ -24,6 +24,58 @@ def s1_ingest_json(spark, sf_dir):
     return ig.ingest_rows(e, "props", keep=["event_id"]).drop("_json")
 
 
+# One text per event: scalars, arrays, odd key names, keys that differ by case
+# or type, broken JSON.
+_MIXED = """CASE event_id % 6 WHEN 0 THEN '5' WHEN 1 THEN '[1,2]' WHEN 2 THEN '{"bad'
+  WHEN 3 THEN '{"n": ' || event_id || ', "a,b": "x", "Mix": 1, "nest": {"t": "' || event_type || '"}}'
+  WHEN 4 THEN '{"N": ' || event_id || '.5, "mix": "t", "q: r": true, "nest": null}'
+  ELSE '{"a,b": "' || event_type || '", "mix": [1]}' END"""
+
+
+@register("s1_ingest_mixed", sql="""
+SELECT event_id, CASE event_id % 6 WHEN 3 THEN '1' WHEN 4 THEN 't' WHEN 5 THEN '[1]' END AS "Mix",
+  CASE event_id % 6 WHEN 3 THEN CAST(event_id AS DOUBLE) WHEN 4 THEN event_id + 0.5 END AS "N",
+  CASE event_id % 6 WHEN 3 THEN 'x' WHEN 5 THEN event_type END AS "a,b",
+  CASE event_id % 6 WHEN 3 THEN '{"t":"' || event_type || '"}' END AS nest,
+  CASE event_id % 6 WHEN 4 THEN true END AS "q: r"
+FROM events
+""")
+def s1_ingest_mixed(spark, sf_dir):
+    """Rows of every shape become one table."""
+    e = table(spark, sf_dir, "events").select("event_id", F.expr(_MIXED).alias("line"))
+    return ig.ingest_rows(e, "line", keep=["event_id"]).drop("_json")
+
+
+_BODY = """'{"event":"' || event_type || '}{x","fields":{"v":"' || event_id || '"}}' ||
+  CASE event_id % 3 WHEN 0 THEN '{"event":"second"}' WHEN 1 THEN chr(10) || '{broken}' || chr(10) || '{"event":"third"}' ELSE ' ' END"""
+
+
+@register("s8_split_envelopes", sql="""
+SELECT event_id, 0 AS part, event_type || '}{x' AS event, CAST(event_id AS VARCHAR) AS v, false AS bad FROM events
+UNION ALL SELECT event_id, 1, 'second', NULL, false FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT event_id, 1, NULL, NULL, true FROM events WHERE event_id % 3 = 1
+UNION ALL SELECT event_id, 2, 'third', NULL, false FROM events WHERE event_id % 3 = 1
+""")
+def s8_split_envelopes(spark, sf_dir):
+    """Bodies of several envelopes, braces inside strings and broken pieces."""
+    e = table(spark, sf_dir, "events").select("event_id", F.expr(_BODY).alias("value"))
+    parts = ig.split_envelopes(e)
+    p = F.from_json("value", ig.ENVELOPE_SCHEMA)
+    bad = F.col("error").isNotNull()
+    return parts.select("event_id", "part", F.when(~bad, p["event"]).alias("event"),
+                        F.when(~bad, p["fields"]["v"]).alias("v"), bad.alias("bad"))
+
+
+@register("o6_offset_to_end", sql="""
+SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey OFFSET 700
+""")
+def o6_offset_to_end(spark, sf_dir):
+    """Everything after the 700 dearest orders (by ordinal, no single task)."""
+    from ..operators import summary as sm
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sm.head(o, 0, 700, [F.col("o_totalprice").desc(), F.col("o_orderkey")]).select("o_orderkey")
+
+
 def event_envelopes(spark, sf_dir):
     """Events re-encoded as delivery envelopes (one JSON document each)."""
     e = table(spark, sf_dir, "events")

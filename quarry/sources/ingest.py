@@ -1,14 +1,16 @@
 """Sources and sinks (S1, S3, S5-S10): loosely typed JSON rows, event
 envelopes, raw lines, job-status payloads, JSON-lines output.
 
-Schema inference is one distributed aggregate (``schema_of_variant_agg``);
+Schema inference is one distributed aggregate over (key, type) pairs;
 everything after it is column expressions, so parsing runs in the scan tasks.
 """
 
 from __future__ import annotations
 
+import re
 from typing import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,89 +20,76 @@ RESERVED = ("_row", "_json")
 
 
 # ------------------------------------------------------------------ S1
-def variant_fields(schema_text: str) -> list[tuple[str, str]]:
-    """Top-level ``(key, type)`` pairs of a ``schema_of_variant_agg`` result
-    such as ``OBJECT<a: BIGINT, b: OBJECT<c: STRING>>``."""
-    s = (schema_text or "").strip()
-    if not s.startswith("OBJECT<") or not s.endswith(">"):
-        return []
-    body, out, depth, cur = s[len("OBJECT<"):-1], [], 0, []
-    for ch in body + ",":
-        if ch == "," and depth == 0:
-            item = "".join(cur).strip()
-            if item:
-                name, _, typ = item.partition(": ")
-                out.append((name.strip().strip("`"), typ.strip()))
-            cur = []
-            continue
-        depth += ch in "<("
-        depth -= ch in ">)"
-        cur.append(ch)
-    return out
-
-
-def _scalar_type(typ: str) -> str | None:
-    t = typ.upper()
-    if t in ("BIGINT", "INT", "SMALLINT", "TINYINT"):
+_RAW_MAP = "map<string,string>"
+_VARIANT_MAP = "map<string,variant>"
+
+
+def _json_object(col: Column) -> Column:
+    """The text if it is a JSON object, else null (other JSON is no row)."""
+    return F.when(F.ltrim(col).startswith("{") & F.try_parse_json(col).isNotNull(), col)
+
+
+def field_types(df: DataFrame, json_col: str) -> list[tuple[str, str]]:
+    """Distinct ``(key, type)`` pairs over the object rows: one aggregate whose
+    result is as long as the union of keys."""
+    keyed = df.select(F.explode(F.from_json(_json_object(F.col(json_col)), _VARIANT_MAP)).alias("k", "v"))
+    pairs = keyed.select("k", F.coalesce(F.schema_of_variant("v"), F.lit("VOID")).alias("t"))
+    kind = F.regexp_extract("t", r"^[A-Z]+", 0)
+    return [(r["k"], r["t"]) for r in pairs.select("k", kind.alias("t")).distinct().collect()]
+
+
+def _column_type(kinds: set[str]) -> str | None:
+    """Spark type of a column holding these variant types; None: as text."""
+    kinds = kinds - {"VOID"}
+    if kinds and kinds <= {"BIGINT", "INT", "SMALLINT", "TINYINT"}:
         return "bigint"
-    if t in ("DOUBLE", "FLOAT") or t.startswith("DECIMAL"):
+    if kinds and kinds <= {"BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT", "DECIMAL"}:
         return "double"
-    if t == "BOOLEAN":
+    if kinds == {"BOOLEAN"}:
         return "boolean"
-    if t == "STRING":
-        return "string"
-    return None        # OBJECT, ARRAY, VARIANT (mixed): kept as JSON text
+    return None
 
 
-def result_columns(fields: Sequence[tuple[str, str]]) -> list[tuple[str, list[tuple[str, str]]]]:
-    """Column plan for a result table: drop reserved, empty and NUL names;
-    keys differing only by case merge into one column named by the smallest
-    spelling (a deterministic choice); sorted by name."""
+def result_columns(fields: Sequence[tuple[str, str]]) -> list[tuple[str, list[str], str | None]]:
+    """``(column, spellings, type)`` plan of a result table: drop reserved,
+    empty and NUL names; keys differing only by case merge into one column
+    named by the smallest spelling (a deterministic choice); sorted by name."""
     groups: dict[str, list[tuple[str, str]]] = {}
-    for name, typ in fields:
-        if not name or "\x00" in name or name.lower() in RESERVED:
-            continue
-        groups.setdefault(name.lower(), []).append((name, typ))
-    plan = [(min(n for n, _ in sp), sorted(sp)) for sp in groups.values()]
-    return sorted(plan, key=lambda p: p[0])
-
-
-def _path(key: str) -> str:
-    return "$[" + '"' + key.replace('"', '\\"') + '"' + "]"
+    for name, kind in fields:
+        if name and "\x00" not in name and name.lower() not in RESERVED:
+            groups.setdefault(name.lower(), []).append((name, kind))
+    plan = []
+    for pairs in groups.values():
+        names = sorted({n for n, _ in pairs})
+        plan.append((names[0], names, _column_type({k for _, k in pairs})))
+    return sorted(plan)
 
 
 def ingest_rows(df: DataFrame, json_col: str = "value", keep: Sequence[str] = (),
-                schema_text: str | None = None) -> DataFrame:
+                fields: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """S1 (+S3): JSON rows -> result table: ``_json`` (the row as received),
     then one column per key seen in any row (union of keys), sorted by name.
 
-    The union schema comes from one distributed aggregate
-    (``schema_of_variant_agg``; only the schema string reaches the driver).
-    Scalars keep their JSON type (integers as bigint, other numbers as
-    double); nested and mixed-type values become JSON text, as the reference
-    stores them.  Keys differing only by case are coalesced into one column.
-    Rows that are not JSON keep their ``_json`` and get nulls.  ``keep``
-    carries other input columns through (e.g. an id); ``_row`` comes from
-    ``with_row_number``.
+    Keys and their types come from one distributed aggregate over the rows
+    that are objects (or from ``fields``).  Integers become bigint, other
+    numbers double, booleans boolean; text, nested values and keys of mixed
+    types become text, scalars as they stand and nested values as JSON.  Any
+    key name is allowed.  Keys differing only by case are coalesced into one
+    column.  Rows that are no JSON object keep their ``_json`` and get nulls.
+    ``keep`` carries other input columns through (e.g. an id); ``_row`` comes
+    from ``with_row_number``.
     """
-    v = F.try_parse_json(F.col(json_col))
-    if schema_text is None:
-        schema_text = df.select(F.schema_of_variant_agg(v)).first()[0]
-    plan = result_columns(variant_fields(schema_text))
-    x = df.select(*keep, F.col(json_col).alias("_json"), v.alias("__v"))
+    plan = result_columns(field_types(df, json_col) if fields is None else fields)
+    text = _json_object(F.col(json_col))
+    x = df.select(*keep, F.col(json_col).alias("_json"), F.from_json(text, _RAW_MAP).alias("__m"),
+                  F.from_json(text, _VARIANT_MAP).alias("__v"))
     cols = []
-    for name, spellings in plan:
-        vals = []
-        for key, typ in spellings:
-            target = _scalar_type(typ)
-            if target is None:
-                vals.append(F.to_json(F.try_variant_get(F.col("__v"), _path(key), "variant")))
-            else:
-                vals.append(F.try_variant_get(F.col("__v"), _path(key), target))
-        types = {str(_scalar_type(t)) for _, t in spellings}
-        if len(types) > 1:      # the spellings disagree on type: keep text
-            vals = [c.cast("string") for c in vals]
-        cols.append((vals[0] if len(vals) == 1 else F.coalesce(*vals)).alias(name))
+    for name, spellings, kind in plan:
+        if kind is None:
+            vals = [F.col("__m")[F.lit(k)] for k in spellings]
+        else:
+            vals = [F.try_variant_get(F.col("__v")[F.lit(k)], "$", kind) for k in spellings]
+        cols.append(F.coalesce(*vals).alias(name))
     return x.select(*keep, "_json", *cols)
 
 
@@ -125,23 +114,21 @@ def stringify_nested(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 def save_result(df: DataFrame, path: str, name: str, manifest_path: str | None = None,
                 meta: Mapping[str, object] | None = None) -> None:
     """Write a result table (replacing an existing one of that name) and
-    append its manifest row (M1 schema) next to it."""
-    import re
+    its manifest row (M1 schema), which replaces the row of that name."""
     import time
     if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]{0,127}", name):
         raise ValueError(f"invalid result table name {name!r}")
     target = f"{path.rstrip('/')}/{name}"
     df.write.mode("overwrite").parquet(target)
     if manifest_path:
-        from .manifest import manifest_row
+        from .manifest import manifest_row, replace_row
         spark = df.sparkSession
-        written = spark.read.parquet(target)
-        rows = written.count()
+        rows = spark.read.parquet(target).count()
         m = dict(meta or {})
         m.setdefault("rows", rows)
         m.setdefault("result_count", rows)
         m.setdefault("created_at", int(time.time()))
-        manifest_row(spark, name, **m).write.mode("append").parquet(manifest_path)
+        replace_row(manifest_row(spark, name, **m), manifest_path)
 
 
 # ------------------------------------------------------------------ S6
@@ -180,6 +167,15 @@ def read_envelopes(df: DataFrame, col: str = "value", defaults: Mapping[str, obj
     return out.filter(F.col("event").isNotNull())
 
 
+def rejected_envelopes(df: DataFrame, col: str = "value") -> DataFrame:
+    """The rows ``read_envelopes`` does not turn into events, with the
+    reason: ``not_json``, ``not_an_object`` or ``no_event``."""
+    p = F.from_json(F.col(col), ENVELOPE_SCHEMA)
+    reason = (F.when(F.try_parse_json(F.col(col)).isNull(), "not_json")
+              .when(~F.ltrim(F.col(col)).startswith("{"), "not_an_object").otherwise("no_event"))
+    return df.filter(p["event"].isNull()).withColumn("reason", reason)
+
+
 # ------------------------------------------------------------------ S7
 def read_raw(df: DataFrame, col: str = "value", defaults: Mapping[str, object] | None = None,
              received_at: Column | None = None, split_lines: bool = True) -> DataFrame:
@@ -195,15 +191,41 @@ def read_raw(df: DataFrame, col: str = "value", defaults: Mapping[str, object] |
 
 
 # ------------------------------------------------------------------ S8
-def split_envelopes(df: DataFrame, col: str = "value") -> DataFrame:
+_PARTS = "array<struct<value:string,error:string>>"
+
+
+def _json_objects(body: str | None) -> list[tuple]:
+    """(object text, error) of the JSON objects in a body, in order."""
+    import json
+    decoder, out, at = json.JSONDecoder(), [], 0
+    body = body or ""
+    while True:
+        while at < len(body) and body[at] in " \t\r\n,":
+            at += 1
+        if at == len(body):
+            return out
+        try:
+            value, end = decoder.raw_decode(body, at)
+            out.append((body[at:end], None if isinstance(value, dict) else "not an object"))
+        except ValueError as e:
+            # go on at the next object that starts after a closing brace or on a new line
+            nxt = re.compile(r"(?<=\})\s*(?=\{)|\n\s*(?=\{)").search(body, at + 1)
+            end = nxt.end() if nxt else len(body)
+            out.append((body[at:end].strip(), str(e).split(":")[0].lower()))
+        at = end
+
+
+def split_envelopes(df: DataFrame, col: str = "value", error: str = "error") -> DataFrame:
     """A body holding several concatenated JSON objects (``{..}{..}`` or
-    whitespace-separated) -> one row per object.  The body is rewritten to a
-    JSON array at object boundaries and parsed; a boundary sequence inside a
-    string value would be split too (documented limit)."""
-    arr = F.concat(F.lit("["), F.regexp_replace(F.trim(F.col(col)), r"\}\s*\{", "},{"), F.lit("]"))
-    parts = F.from_json(arr, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
-    x = df.select(*[c for c in df.columns if c != col], F.posexplode(parts).alias("part", "__m"))
-    return x.withColumn(col, F.to_json("__m")).drop("__m")
+    whitespace-separated) -> one row per object, its text as received.  A
+    piece that is no JSON object stays as a row with the reason in ``error``;
+    the objects after it are still read."""
+    @F.pandas_udf(_PARTS)
+    def parts(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda b: [{"value": v, "error": e} for v, e in _json_objects(b)])
+
+    x = df.select(*[c for c in df.columns if c != col], F.posexplode(parts(F.col(col))).alias("part", "__p"))
+    return x.select(*[c for c in x.columns if c != "__p"], F.col("__p.value").alias(col), F.col("__p.error").alias(error))
 
 
 # ------------------------------------------------------------------ S9

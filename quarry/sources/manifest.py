@@ -95,16 +95,24 @@ def normalize_warnings(warnings: Column) -> Column:
 def parse_warnings(raw: Column) -> Column:
     """M5: stored warning text -> array.  A JSON array of objects is read
     directly; an old JSON array of strings becomes ``legacy`` entries;
-    anything malformed becomes an empty list."""
-    as_struct = F.from_json(raw, WARNING_TYPE)
+    anything malformed becomes an empty list.  The parsed type decides, so
+    white space does not."""
+    empty = F.array().cast(WARNING_TYPE)
+    kind = F.schema_of_variant(F.try_parse_json(raw))
     as_text = F.from_json(raw, T.ArrayType(T.StringType()))
     legacy = F.transform(F.filter(as_text, lambda m: F.trim(m) != ""), lambda m: F.struct(
         F.lit(WARNING_LEGACY).alias("code"), F.trim(m).alias("message"), F.lit(False).alias("accepted"),
         F.lit(0).cast("long").alias("accepted_at")))
-    structured = F.when(F.trim(raw).startswith("[{"), as_struct)
-    out = F.coalesce(structured, F.when(F.trim(raw).startswith('["'), legacy),
-                     F.when(F.trim(raw) == "[]", F.array().cast(WARNING_TYPE)))
-    return normalize_warnings(F.coalesce(out, F.array().cast(WARNING_TYPE)))
+    out = (F.when(kind.startswith("ARRAY<OBJECT"), F.from_json(raw, WARNING_TYPE))
+           .when(kind.startswith("ARRAY<STRING"), legacy).otherwise(empty))
+    return normalize_warnings(F.coalesce(out, empty))
+
+
+def replace_row(row: DataFrame, path: str) -> None:
+    """Put one manifest row in place of the rows of its name.  The manifest is
+    partitioned by table name, so only that name's folder is rewritten."""
+    (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("table_name").parquet(path))
 
 
 def accept_warning(manifest: DataFrame, table: str, code: str, now_epoch: int | Column) -> DataFrame:

@@ -78,10 +78,10 @@ def test_compatibility_and_readiness(spark):
                                      "migration_path string, expected string")
     assert [r["compatibility"] for r in dc.compatibility_label(df).collect()] == [r[-1] for r in rows]
     ev_rows = [("c1", "pass", True, True), ("c1", "pass", True, True), ("c2", "fail", True, True),
-               ("c3", "pass", True, False), ("c4", "pass", True, True), ("c4", "fail", True, True), ("c5", None, True, True)]
+               ("c3", "pass", True, False), ("c6", "pass", True, True), ("c6", "fail", True, False), ("c7", "pass", True, True), ("c7", None, True, True), ("c4", "pass", True, True), ("c4", "fail", True, True), ("c5", None, True, True)]
     e = spark.createDataFrame(ev_rows, "control string, result string, authoritative boolean, current boolean")
     got = {r["control"]: r["readiness"] for r in dc.control_readiness(e).collect()}
-    assert got == {"c1": "pass", "c2": "fail", "c3": "unknown", "c4": "unknown", "c5": "unknown"}
+    assert got == {"c1": "pass", "c2": "fail", "c3": "unknown", "c4": "unknown", "c5": "unknown", "c6": "pass", "c7": "unknown"}
 
 
 def test_go_no_go_dependency_recovery(spark):
@@ -112,10 +112,14 @@ def test_priority_lifecycle_change_cost_fit_stage(spark):
     got = {r["object_id"]: r["lifecycle"] for r in dc.lifecycle_candidates(o, use, deps, anchor="2026-06-01").collect()}
     assert got == {"a": "active", "b": "stale candidate", "c": "in use by dependents"}
     got2 = {r["object_id"]: r["lifecycle"] for r in dc.lifecycle_candidates(o, use, None, anchor="2026-06-01").collect()}
-    assert set(got2.values()) == {"unconfirmed"}
-    ch = spark.createDataFrame([(0, [], False), (1, [], False), (0, ["owner"], False), (0, [], True)],
+    assert got2 == {"a": "active", "b": "unconfirmed", "c": "unconfirmed"}
+    none = dc.lifecycle_candidates(o, use.limit(0), deps.limit(0), anchor="2026-06-01").collect()
+    assert {r["lifecycle"] for r in none} == {"unconfirmed"}
+    ch = spark.createDataFrame([(0, [], False), (1, [], False), (0, ["owner"], False), (0, [], True), (None, None, None),
+                                (0, None, False), (0, [], None), (None, [], True)],
                                "conflicts int, missing array<string>, prerequisite_failed boolean")
-    assert [r["readiness"] for r in dc.change_readiness(ch).collect()] == ["ready", "blocked", "blocked", "not-ready"]
+    assert [r["readiness"] for r in dc.change_readiness(ch).collect()] == [
+        "ready", "blocked", "blocked", "not-ready", "blocked", "blocked", "blocked", "not-ready"]
     jobs = spark.createDataFrame([(3.0, None, None, None), (1.0, 20, None, None), (1.0, 1, 5.0, None), (1.0, 1, 600.0, 5000.0),
                                   (None, None, None, None)],
                                  "imbalance double, concurrent int, min_gap double, scan_to_result double")

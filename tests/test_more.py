@@ -84,6 +84,10 @@ def test_head_offset_and_row_generator(spark):
     df = spark.range(0, 10)
     assert [r["id"] for r in sm.head(df, 3, offset=4, order=[F.col("id")]).collect()] == [4, 5, 6]
     assert sm.head(df, 0, order=[F.col("id")]).count() == 10
+    assert [r["id"] for r in sm.head(df, 0, offset=7, order=[F.col("id").desc()]).collect()] == [2, 1, 0]
+    from quarry.operators import filters as fl
+    far = fl.page_rows(spark.range(0, 30_000, 1, 5), [F.col("id")], 3, 20_000)
+    assert [r["id"] for r in far.collect()] == [20_000, 20_001, 20_002]
     mk = fl.make_results(spark, 5)
     assert mk.count() == 5 and mk.columns == ["id", "_time"]
     r = spark.range(1).select(ef.now().alias("n"), ef.random(7).alias("r"), ef.exact(F.lit(1)).alias("e")).collect()[0]

@@ -29,6 +29,35 @@ def test_ingest_rows_union_case_reserved(spark):
     assert rows[1]["Event"] == "X" and rows[2]["service"] is None and rows[2]["_json"] == "plain text"
 
 
+def test_ingest_rows_of_any_shape(spark):
+    lines = ["5", "[1,2]", "{bad", None, '{"a,b": 1, "c: d": "x", "e<f": [1], "q\\"r": true, "m": 1, "n": 1}',
+             '{"a,b": 2.5, "m": "t", "n": {"z": "y"}, "void": null}']
+    df = spark.createDataFrame(list(enumerate(lines)), "id int, value string")
+    out = {r["id"]: r for r in ig.ingest_rows(df, keep=["id"]).collect()}
+    assert all(out[k]["a,b"] is None and out[k]["_json"] == lines[k] for k in range(4))
+    r, s = out[4], out[5]
+    assert (r["a,b"], r["c: d"], r["e<f"], r['q"r'], r["m"], r["n"]) == (1.0, "x", "[1]", True, "1", "1")
+    assert (s["a,b"], s["m"], s["n"], s["void"]) == (2.5, "t", '{"z":"y"}', None)
+    assert ig.ingest_rows(df.limit(2)).columns == ["_json"]
+
+
+def test_saving_a_name_twice_leaves_one_manifest_row(spark):
+    d = fresh_dir("quarry-twice-")
+    df = spark.createDataFrame([(1,), (2,)], "n int")
+    for k in (1, 2):
+        ig.save_result(df.limit(k), d, "same", manifest_path=f"{d}/_manifest", meta={"created_at": k})
+        ig.save_result(df, d, f"other{k}", manifest_path=f"{d}/_manifest", meta={"created_at": 9})
+    got = sorted((r["table_name"], r["result_count"]) for r in spark.read.parquet(f"{d}/_manifest").collect())
+    assert got == [("other1", 2), ("other2", 2), ("same", 2)]
+
+
+def test_warning_text_is_parsed_by_type(spark):
+    raw = ['[ {"code":"x","message":"m"}]', '[ "old"]', "[]", "nope", None, '{"code":"x"}']
+    df = spark.createDataFrame([(r,) for r in raw], "w string")
+    got = [[(x["code"], x["message"]) for x in r["p"]] for r in df.select(mf.parse_warnings(F.col("w")).alias("p")).collect()]
+    assert got == [[("x", "m")], [("legacy", "old")], [], [], [], []]
+
+
 def test_save_result_and_manifest(spark):
     d = fresh_dir("quarry-save-")
     df = spark.createDataFrame([("login",), ("logout",)], "event string")
@@ -99,6 +128,13 @@ def test_envelopes_raw_split_jsonl(spark):
     body = spark.createDataFrame([('{"event":"a"}{"event":"b"} {"event":"c"}',)], "value string")
     parts = [json.loads(r["value"])["event"] for r in ig.split_envelopes(body).collect()]
     assert parts == ["a", "b", "c"]
+    odd = [('{"event":"a}{b","fields":{"k":"v"}}{oops {"x":1}}\n{"event":"z"} 5',), (None,), ("",)]
+    got = [(r["value"], r["error"] is None) for r in ig.split_envelopes(spark.createDataFrame(odd, "value string")).collect()]
+    assert got == [('{"event":"a}{b","fields":{"k":"v"}}', True), ('{oops {"x":1}}', False), ('{"event":"z"}', True), ("5", False)]
+    kept = ig.read_envelopes(ig.split_envelopes(spark.createDataFrame(odd[:1], "value string"))).collect()
+    assert kept[0]["fields"] == {"k": "v"} and [r["event"] for r in kept] == ["a}{b", "z"]
+    bad = spark.createDataFrame([("{x",), ("[1]",), ('{"host":"h"}',), ('{"event":1}',)], "value string")
+    assert [r["reason"] for r in ig.rejected_envelopes(bad).collect()] == ["not_json", "not_an_object", "no_event"]
     j = ig.to_jsonl(spark.createDataFrame([(1, "x")], "n int, s string"), "result").collect()[0]["value"]
     assert json.loads(j) == {"type": "result", "n": 1, "s": "x"}
 
@@ -170,11 +206,12 @@ def test_stream_unacked_and_retention(spark):
     q2.stop()
     assert set(got) <= {1, 2, 4, 5, 99} and {1, 2, 4, 5} & set(got)
     rd = fresh_dir("quarry-ret-")
-    spark.createDataFrame([("a", base), ("a", base + 1), ("b", base + 2)], "k string, t long") \
+    spark.createDataFrame([("a", base), ("a", base), ("b", base + 2), ("old", base - 4000), ("none", None)], "k string, t long") \
         .withColumn("t", F.timestamp_seconds("t")).write.mode("overwrite").parquet(rd)
-    r = st.stream_retention(spark.readStream.schema("k string, t timestamp").parquet(rd), "t", "1 hour", ["k"])
+    now = str(spark.range(1).select(F.timestamp_seconds(F.lit(base + 10)).cast("string")).first()[0])
+    r = st.stream_retention(spark.readStream.schema("k string, t timestamp").parquet(rd), "t", "1 hour", now)
     q3 = st.run_available(r, fresh_dir("quarry-ck-"), query_name="x7_out")
-    assert sorted(x["k"] for x in spark.sql("SELECT k FROM x7_out").collect()) == ["a", "b"]
+    assert sorted(x["k"] for x in spark.sql("SELECT k FROM x7_out").collect()) == ["a", "a", "b"]
     q3.stop()
 
 
