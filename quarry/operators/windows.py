@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from typing import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -190,50 +189,63 @@ def running_count(df: DataFrame, order: str, by: Sequence[str] = (), tiebreak: S
 
 
 # ------------------------------------------------------------------ W5
-PROGRESS_STEP = 10.0          # fixed value: percentage points between kept events
-PROGRESS_SECONDS = 10.0       # fixed value: seconds between kept events
-
-
-def _thin_group(pdf: pd.DataFrame, ts: str, phase: str, state: str, pct: str, kind: str) -> pd.DataFrame:
-    pdf = pdf.sort_values(ts, kind="stable").reset_index(drop=True)
-    keep = []
-    last = None
-    reached_full = False
-    for i, row in pdf.iterrows():
-        k = False
-        p = row[pct]
-        if last is None or row.get(kind) in ("start", "end"):
-            k = True
-        elif row[phase] != last[phase] or row[state] != last[state]:
-            k = True
-        elif p is not None and last[pct] is not None and not pd.isna(p) and not pd.isna(last[pct]) \
-                and p - last[pct] >= PROGRESS_STEP:
-            k = True
-        elif p is not None and not pd.isna(p) and p >= 100 and not reached_full:
-            k = True
-        elif (row[ts] - last[ts]).total_seconds() >= PROGRESS_SECONDS:
-            k = True
-        if k:
-            last = row
-            if p is not None and not pd.isna(p) and p >= 100:
-                reached_full = True
-        keep.append(k)
-    return pdf[pd.Series(keep, dtype=bool).values]
-
-
-def thin_progress(df: DataFrame, job: str = "job", ts: str = "ts", phase: str = "phase",
-                  state: str = "state", pct: str = "percent", kind: str = "kind") -> DataFrame:
-    """Keep a progress event when phase or state changes, the percentage
-    gained 10 points since the last *kept* event, 100 % is first reached,
-    the event is a start/end marker, or 10 s passed since the last kept
-    event.  Because the rule reads the last kept row (not the previous row)
-    no window function can express it; it runs per job in
-    ``applyInPandas``.  A job's progress log is small (one event per poll)."""
-    schema = df.schema
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _thin_group(pdf, ts, phase, state, pct, kind)
-    return df.groupBy(job).applyInPandas(fn, schema=schema)
+# Percentage points and seconds after which an event is kept.
+PROGRESS_STEP = 10.0
+PROGRESS_SECONDS = 10.0
+PROGRESS_COLUMNS = ("ts", "phase", "state", "percent", "fetched", "written", "total")
+
+
+def keep_progress(event: tuple, last: tuple | None) -> bool:
+    """Whether a progress event is kept, given the last *kept* one of its job;
+    both are (microseconds, phase, state, percent, fetched, written, total)."""
+    if last is None or event[1:3] != last[1:3]:
+        return True
+    at, phase, _, percent, fetched, written, total = event
+    gained = percent - last[3] >= PROGRESS_STEP or percent >= 100 > last[3]
+    # the first and the last row of a transfer, told by the counter that moved
+    rows, before = {"fetch": (fetched, last[4]), "write": (written, last[5])}.get(phase, (0, 0))
+    edge = total > 0 and rows != before and not 0 < rows < total
+    return gained or edge or at - last[0] >= PROGRESS_SECONDS * 1_000_000
+
+
+def progress_events(columns: Sequence[Sequence]) -> list[tuple]:
+    """Rows of (ts, phase, state, percent, fetched, written, total) lists, ts
+    in microseconds; an unknown number is 0."""
+    number = lambda c: [0 if v is None or v != v else v for v in c]
+    ts, phase, state, *rest = columns
+    return list(zip(number(ts), phase, state, *map(number, rest)))
+
+
+def thin_progress(df: DataFrame, job: str = "job", columns: Sequence[str] = PROGRESS_COLUMNS,
+                  tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Keep a progress event when it is its job's first, phase or state
+    changed, the percentage gained 10 points or first reached 100 since the
+    last *kept* event, a fetch or write begins or ends (its row counter moved
+    to 0 or to the total), or 10 s passed since the last kept event.
+
+    ``columns`` name time, phase, state, percent, fetched, written and total
+    rows.  The rule reads the last kept event, so each job is walked in time
+    order: rows are sorted inside the partitions and pass batch by batch, with
+    one event of state per job."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        current, last = object(), None
+        for b in batches:
+            at = lambda c: b.column(b.schema.get_field_index(c))
+            times = pc.cast(pc.cast(at(columns[0]), pa.timestamp("us", at(columns[0]).type.tz)), pa.int64())
+            events = progress_events([times.to_pylist(), *[at(c).to_pylist() for c in columns[1:]]])
+            keep = []
+            for key, event in zip(at(job).to_pylist(), events):
+                if key != current:
+                    current, last = key, None
+                keep.append(keep_progress(event, last))
+                if keep[-1]:
+                    last = event
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return (df.repartition(job).sortWithinPartitions(job, columns[0], *tiebreak)
+            .mapInArrow(run, df.schema))
 
 
 # ------------------------------------------------------------------ W6

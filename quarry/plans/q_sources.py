@@ -3,6 +3,7 @@ tables (X; the same functions serve streams), and progress thinning (W5)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import windows as wn
@@ -160,17 +161,48 @@ def x6_activity_sessions(spark, sf_dir):
                       F.date_format("session_end", FMT_US).alias("session_end"), "events")
 
 
-@register("w5_thin_progress")
+# A progress log per supplier: its lines in order are one event every 3 s; 60
+# events are one search (fetching from the 20th, writing from the 45th).
+_PROGRESS = """SELECT l_suppkey AS job, n, n * 3 AS sec,
+  CASE WHEN n % 60 < 20 THEN 'search' WHEN n % 60 < 45 THEN 'fetch' ELSE 'write' END AS phase,
+  CASE WHEN n % 180 = 70 THEN 'PAUSED' ELSE 'RUNNING' END AS state,
+  least(n % 60 * 4, 100) AS percent, CASE WHEN n % 60 < 22 THEN 0 ELSE least((n % 60 - 22) * 50, 1000) END AS fetched,
+  CASE WHEN n % 60 < 47 THEN 0 ELSE least((n % 60 - 47) * 100, 1000) END AS written, 1000 AS total
+FROM (SELECT l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) - 1 AS n FROM lineitem)"""
+
+
+@register("w5_thin_progress", sql=f"""
+WITH RECURSIVE p AS MATERIALIZED ({_PROGRESS}),
+k AS (
+  SELECT job, n, sec, phase, state, percent, fetched, written, true AS kept FROM p WHERE n = 0
+  UNION ALL
+  SELECT job, n, CASE WHEN keep THEN sec ELSE l_sec END, CASE WHEN keep THEN phase ELSE l_phase END,
+    CASE WHEN keep THEN state ELSE l_state END, CASE WHEN keep THEN percent ELSE l_percent END,
+    CASE WHEN keep THEN fetched ELSE l_fetched END, CASE WHEN keep THEN written ELSE l_written END, keep
+  FROM (
+    SELECT p.*, k.sec AS l_sec, k.phase AS l_phase, k.state AS l_state, k.percent AS l_percent, k.fetched AS l_fetched,
+      k.written AS l_written,
+      p.phase <> k.phase OR p.state <> k.state OR p.percent >= 100 AND k.percent < 100 OR p.percent - k.percent >= 10
+      OR p.phase = 'fetch' AND p.total > 0 AND p.fetched <> k.fetched AND (p.fetched = 0 OR p.fetched >= p.total)
+      OR p.phase = 'write' AND p.total > 0 AND p.written <> k.written AND (p.written = 0 OR p.written >= p.total)
+      OR p.sec - k.sec >= 10 AS keep
+    FROM k JOIN p ON p.job = k.job AND p.n = k.n + 1))
+SELECT job, n FROM k WHERE kept
+""")
 def w5_thin_progress(spark, sf_dir):
-    """Each user's event series read as job progress (phase = event type,
-    percent = value / 5 capped at 100); kept events by the thinning rule.
-    No SQL oracle: the rule depends on the last kept row."""
-    e = table(spark, sf_dir, "events")
-    prog = e.select(F.col("user_id").alias("job"), F.col("ts").cast("timestamp").alias("ts"),
-                    F.col("event_type").alias("phase"), F.lit("RUNNING").alias("state"),
-                    F.least(F.col("value") / 5, F.lit(100.0)).alias("percent"),
-                    F.lit(None).cast("string").alias("kind"))
-    return wn.thin_progress(prog).select("job", F.date_format("ts", FMT_US).alias("ts"), "phase", "percent")
+    """Kept events of a progress log made from the lines of each supplier."""
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
+    w = Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber")
+    x = li.withColumn("n", F.row_number().over(w) - 1)
+    k = F.col("n") % 60
+    prog = x.select(
+        F.col("l_suppkey").alias("job"), "n", F.timestamp_seconds(F.col("n") * 3).alias("ts"),
+        F.when(k < 20, "search").when(k < 45, "fetch").otherwise("write").alias("phase"),
+        F.when(F.col("n") % 180 == 70, "PAUSED").otherwise("RUNNING").alias("state"),
+        F.least(k * 4, F.lit(100)).alias("percent"),
+        F.when(k < 22, 0).otherwise(F.least((k - 22) * 50, F.lit(1000))).alias("fetched"),
+        F.when(k < 47, 0).otherwise(F.least((k - 47) * 100, F.lit(1000))).alias("written"), F.lit(1000).alias("total"))
+    return wn.thin_progress(prog).select("job", "n")
 
 
 @register("s9_job_status", sql="""

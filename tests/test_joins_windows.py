@@ -180,20 +180,22 @@ def test_latest_first_failing_trend(spark):
     assert t["sparkline"] == [1.0, 7.0] and t["latest"] == 7.0 and t["trend"] == 6.0
 
 
+PROGRESS = "job string, ts string, phase string, state string, percent double, fetched long, written long, total long"
+
+
 def test_thin_progress_rule(spark):
-    rows = [("j", "2026-01-01 00:00:00", "run", "RUNNING", 0.0, "start"),
-            ("j", "2026-01-01 00:00:01", "run", "RUNNING", 5.0, None),
-            ("j", "2026-01-01 00:00:02", "run", "RUNNING", 9.0, None),
-            ("j", "2026-01-01 00:00:03", "run", "RUNNING", 11.0, None),
-            ("j", "2026-01-01 00:00:04", "fetch", "RUNNING", 12.0, None),
-            ("j", "2026-01-01 00:00:15", "fetch", "RUNNING", 13.0, None),
-            ("j", "2026-01-01 00:00:16", "fetch", "RUNNING", 100.0, None),
-            ("j", "2026-01-01 00:00:17", "fetch", "RUNNING", 100.0, None),
-            ("j", "2026-01-01 00:00:18", "fetch", "DONE", 100.0, "end")]
-    df = spark.createDataFrame(rows, "job string, ts string, phase string, state string, percent double, kind string") \
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    kept = [r["percent"] for r in wn.thin_progress(df).orderBy("ts").collect()]
-    assert kept == [0.0, 11.0, 12.0, 13.0, 100.0, 100.0]
+    rows = [(0, "search", "RUN", 0.0, 0, 0, True), (1, "search", "RUN", 5.0, 0, 0, False), (2, "search", "RUN", 9.0, 0, 0, False),
+            (3, "search", "RUN", 11.0, 0, 0, True), (4, "search", "HOLD", 11.0, 0, 0, True), (5, "fetch", "HOLD", 12.0, 0, 0, True),
+            (6, "fetch", "HOLD", 12.0, 40, 0, False), (7, "fetch", "HOLD", 12.0, 100, 0, True), (8, "fetch", "HOLD", 12.0, 100, 0, False),
+            (17, "fetch", "HOLD", None, 100, 0, True), (18, "write", "HOLD", 95.0, 100, 5, True), (19, "write", "HOLD", 100.0, 100, 6, True),
+            (20, "write", "HOLD", 100.0, 100, 7, False), (21, "write", "HOLD", 90.0, 100, 100, True),
+            (22, "write", "HOLD", 100.0, 100, 100, True), (23, "write", "HOLD", 100.0, 100, 0, True)]
+    data = [(j, f"2026-01-01 00:00:{t:02d}", ph, st, pc, f, w, 100) for j in ("a", "b", None) for t, ph, st, pc, f, w, _ in rows]
+    df = spark.createDataFrame(data, PROGRESS).withColumn("ts", F.col("ts").cast("timestamp"))
+    want = [t for t, *_, keep in rows if keep]
+    for job in ("a", "b", None):
+        got = wn.thin_progress(df).filter(F.col("job").eqNullSafe(job)).select(F.second("ts").alias("s")).collect()
+        assert sorted(r["s"] for r in got) == want
 
 
 def test_as_of_with_hot_key_matches_pandas(spark):
