@@ -79,3 +79,19 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)
     return df
+
+
+def ship_package(spark: SparkSession) -> str:
+    """Zip this package and add it to the job, so that Python workers without
+    an installed copy can import it.  Returns the archive's path."""
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-ship-"), "quarry.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)          # served by the driver to every executor
+    return path
