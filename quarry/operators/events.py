@@ -58,39 +58,48 @@ def json_path_value(raw: Column, path: str) -> Column:
     return F.get_json_object(raw, path)
 
 
+def _by_request_id(df: DataFrame, value: str) -> tuple[str, Column]:
+    """The first known id column, else the known id paths of ``_raw``."""
+    named = [c for c in REQUEST_ID_FIELDS if c in df.columns]
+    if named:
+        return named[0], _text_of(df, named[0])
+    paths = [json_path_value(F.col("_raw"), f"$.{c}") for c in REQUEST_ID_FIELDS]
+    return "json:auto", F.coalesce(*paths)
+
+
+def _by_field(df: DataFrame, name: str) -> tuple[str, Column]:
+    return name, _text_of(df, name)
+
+
+def _by_path(df: DataFrame, path: str) -> tuple[str, Column]:
+    return f"json:{path}", json_path_value(F.col("_raw"), path)
+
+
+# selector -> (how it reads a value, the columns of which it needs one)
+SELECTORS = {
+    "request_id": (_by_request_id, lambda arg: (*REQUEST_ID_FIELDS, "_raw")),
+    "field": (_by_field, lambda arg: (arg,)),
+    "json_field": (_by_path, lambda arg: ("_raw",)),
+}
+
+
 def resolve_matcher(df: DataFrame, value: str | None = None, field: str | None = None,
                     json_field: str | None = None, request_id: str | None = None) -> Matcher:
-    """Pick how rows are matched, with the reference's conflicts."""
-    cols = set(df.columns)
-    request_id = (request_id or "").strip()
-    field = (field or "").strip()
-    json_field = (json_field or "").strip()
-    value = (value or "").strip()
-    if request_id:
-        if field or json_field or value:
-            raise ValueError("use either request_id or field/json_field with value, not both")
-        for cand in REQUEST_ID_FIELDS:
-            if cand in cols:
-                return Matcher("request_id", cand, _text_of(df, cand), request_id)
-        if "_raw" in cols:
-            expr = F.coalesce(*[json_path_value(F.col("_raw"), "$." + c) for c in REQUEST_ID_FIELDS])
-            return Matcher("request_id", "json:auto", expr, request_id)
-        raise ValueError("no request-id field was found; use field=/value= or json_field=$.requestId")
-    if not field and not json_field:
-        raise ValueError("missing match selector; use field+value, json_field+value or request_id")
-    if field and json_field:
-        raise ValueError("use either field or json_field, not both")
-    if not value:
-        raise ValueError("missing value")
-    if field:
-        if field not in cols:
-            raise ValueError(f"field column {field!r} was not found")
-        return Matcher("field", field, _text_of(df, field), value)
-    if not json_field.startswith("$"):
-        raise ValueError("json_field must be a JSON path starting with $")
-    if "_raw" not in cols:
-        raise ValueError("json_field requires _raw in the table")
-    return Matcher("json_field", "json:" + json_field, json_path_value(F.col("_raw"), json_field), value)
+    """How rows are matched.  Exactly one selector of ``SELECTORS``
+    is given; a request id is its own value, the others come with ``value``."""
+    text = {k: (v or "").strip() for k, v in
+            {"request_id": request_id, "field": field, "json_field": json_field, "value": value}.items()}
+    chosen = [k for k in SELECTORS if text[k]]
+    if len(chosen) != 1:
+        raise ValueError(f"give exactly one of {', '.join(SELECTORS)}; got {', '.join(chosen) or 'none'}")
+    mode = chosen[0]
+    if (mode == "request_id") == bool(text["value"]):
+        raise ValueError(f"{mode} takes {'no' if mode == 'request_id' else 'a'} value")
+    read, needs = SELECTORS[mode]
+    if not set(needs(text[mode])) & set(df.columns):
+        raise ValueError(f"{mode} needs one of the columns {', '.join(needs(text[mode]))}")
+    label, expr = read(df, text[mode])
+    return Matcher(mode, label, expr, text["request_id"] or text["value"])
 
 
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")

@@ -19,20 +19,23 @@ DEFAULT_QUERY_LIMIT = 100
 # P1 bounded read-only SQL
 # --------------------------------------------------------------------------
 
-def normalize_query(sql: str) -> str:
-    """One statement, starting with SELECT; a trailing ``;`` is allowed."""
-    q = (sql or "").strip()
-    if not q:
-        raise ValueError("missing query")
-    if q.count(";") > 1:
-        raise ValueError("query must contain exactly one read-only SELECT statement")
-    if q.endswith(";"):
-        q = q[:-1].strip()
-    if ";" in q:
-        raise ValueError("query must contain exactly one read-only SELECT statement")
-    if not q.lower().startswith("select"):
-        raise ValueError("query must start with SELECT and be read-only")
-    return q
+def normalize_query(spark: SparkSession, sql: str) -> str:
+    """The text of one SELECT, checked on Spark's own parse of it: a single
+    query (no command, no second statement) that calls no unsafe function."""
+    from pyspark.errors import ParseException
+
+    from .summary import UNSAFE_FUNCTIONS, _called
+    text = re.sub(r"\s*;\s*$", "", (sql or "").strip())
+    if not re.match(r"(?i)select\b", text):
+        raise ValueError("the statement must be a SELECT")
+    try:
+        # as a subquery only a query parses
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(f"SELECT * FROM ({text})")
+    except ParseException as e:
+        raise ValueError("the statement must be one SELECT") from e
+    if _called(spark, plan) & UNSAFE_FUNCTIONS:
+        raise ValueError(f"the statement may not call {', '.join(sorted(UNSAFE_FUNCTIONS))}")
+    return text
 
 
 def query_results(spark: SparkSession, tables: Mapping[str, DataFrame] | DataFrame, sql: str,
@@ -47,7 +50,7 @@ def query_results(spark: SparkSession, tables: Mapping[str, DataFrame] | DataFra
     analysed.  With ``limit`` the outer LIMIT is pushed down by Spark.
     """
     import uuid
-    q = normalize_query(sql)
+    q = normalize_query(spark, sql)
     if isinstance(tables, DataFrame):
         tables = {"results": tables}
     aliases = {}

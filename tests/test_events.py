@@ -56,13 +56,14 @@ def test_numbers_match_as_text(spark):
 
 
 @pytest.mark.parametrize("kwargs,msg", [
-    (dict(request_id="x", field="a", value="b"), "either request_id"),
-    (dict(), "missing match selector"),
-    (dict(field="session_id", json_field="$.a", value="x"), "either field or json_field"),
-    (dict(field="session_id"), "missing value"),
-    (dict(field="nope", value="x"), "not found"),
-    (dict(json_field="a.b", value="x"), "must be a JSON path"),
-    (dict(json_field="$.a", value="x"), "requires _raw"),
+    (dict(request_id="x", field="a", value="b"), "exactly one of .* got request_id, field"),
+    (dict(), "exactly one of .* got none"),
+    (dict(field="session_id", json_field="$.a", value="x"), "exactly one of"),
+    (dict(field=" ", json_field=None, value="x"), "exactly one of"),
+    (dict(field="session_id"), "field takes a value"),
+    (dict(request_id="x", value="y"), "request_id takes no value"),
+    (dict(field="nope", value="x"), "needs one of the columns nope"),
+    (dict(json_field="$.a", value="x"), "needs one of the columns _raw"),
 ])
 def test_selector_conflicts(spark, kwargs, msg):
     df = with_rows(spark, EVENTS, EVENTS_SCHEMA)
@@ -77,7 +78,21 @@ def test_bounded_sql_limit_flag(spark):
     assert len(out) == 1 and out[0]["truncated"] is True
 
 
-@pytest.mark.parametrize("sql", ["", "DELETE FROM results", "SELECT 1; SELECT 2", "SELECT 1;;"])
+def test_json_selector_needs_a_path(spark):
+    with pytest.raises(ValueError, match="JSON path"):
+        ev.resolve_matcher(spark.createDataFrame([("{}",)], "_raw string"), json_field="a.b", value="x")
+
+
+def test_bounded_sql_accepts_semicolons_in_text(spark):
+    df = spark.createDataFrame([("a;b",), ("drop table x",)], "t string")
+    assert fl.query_results(spark, df, "SELECT t FROM results WHERE t = 'a;b';").count() == 1
+    assert fl.query_results(spark, df, "select t from results where t like 'drop%'").count() == 1
+
+
+@pytest.mark.parametrize("sql", ["", "DELETE FROM results", "SELECT 1; SELECT 2", "SELECT 1;;", "INSERT INTO results SELECT 1",
+                                 "SELECT reflect('java.lang.System', 'exit', 1)", "SELECT 1) UNION (SELECT 2; DROP TABLE x",
+                                 "SELECT (SELECT max(java_method('java.lang.Math', 'abs', a)) FROM results)",
+                                 "SELECT a FROM results WHERE a IN (SELECT try_reflect('x', 'y') FROM results)"])
 def test_bounded_sql_rejects(spark, sql):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(ValueError):
