@@ -81,15 +81,27 @@ def missing_evidence(ledger: DataFrame, required: Mapping[str, Sequence[str]],
 
 # ------------------------------------------------------------- G4, G5, G6
 def conflicts(ledger: DataFrame, current_only: bool = True) -> DataFrame:
-    """Object fields with more than one distinct value; all values kept.
-    With ``current_only``, stale rows (``stale`` column) are ignored."""
-    x = ledger.filter(~F.col("stale")) if current_only and "stale" in ledger.columns else ledger
-    return (x.groupBy("object_id", "field")
-            .agg(F.count_distinct("value").alias("n_values"), F.array_sort(F.collect_set("value")).alias("values"),
-                 F.array_sort(F.collect_set("source")).alias("sources"))
+    """Object fields with more than one distinct value: how many, the
+    first and the last value, and the number of sources.  With
+    ``current_only``, stale rows (``stale`` column) are ignored.
+    ``conflicting_values`` keeps every value."""
+    return (_usable(ledger, current_only).groupBy("object_id", "field")
+            .agg(F.count_distinct("value").alias("n_values"), F.min("value").alias("first_value"),
+                 F.max("value").alias("last_value"), F.count_distinct("source").alias("n_sources"))
             .filter(F.col("n_values") > 1))
 
 
+def conflicting_values(ledger: DataFrame, current_only: bool = True) -> DataFrame:
+    """G4 (long form): every (object, field, value, source) in conflict."""
+    keys = ["object_id", "field"]
+    rows = _usable(ledger, current_only).select(*keys, "value", "source").distinct()
+    return rows.join(conflicts(ledger, current_only).select(*keys), keys, "left_semi")
+
+
+def _usable(ledger: DataFrame, current_only: bool) -> DataFrame:
+    return ledger.filter(~F.col("stale")) if current_only and "stale" in ledger.columns else ledger
+
+
 def mark_stale(ledger: DataFrame, anchor, horizon: str) -> DataFrame:
     """``stale`` when observed before ``anchor - horizon`` (e.g.
     ``"7 days"``); an unknown observation time is not stale, but not current

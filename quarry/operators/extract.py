@@ -284,7 +284,7 @@ def normalize_url(col: ColumnOrName) -> Column:  # noqa: F821
     No scheme means https; scheme and host are lower-cased; the web base
     maps port 8089 to 8000 and the API base maps no port or 8000 to 8089;
     ``bases`` is the sorted distinct list of the three.  Anything that is
-    not an http(s) URL with a host gives null.
+    not an http(s) URL with a host, or whose port is no number, gives null.
     """
     raw = F.trim(F.col(col) if isinstance(col, str) else col)
     value = F.when(raw.contains("://"), raw).otherwise(F.concat(F.lit("https://"), raw))
@@ -297,7 +297,7 @@ def normalize_url(col: ColumnOrName) -> Column:  # noqa: F821
     key = F.concat(prefix, hostport)
     api = F.when((port == "") | (port == "8000"), F.concat(prefix, host, F.lit(":8089"))).otherwise(key)
     web = F.when(port == "8089", F.concat(prefix, host, F.lit(":8000"))).otherwise(key)
-    ok = scheme.isin("http", "https") & (host != "")
+    ok = scheme.isin("http", "https") & (host != "") & hostport.rlike(r"^(\[[^\]]*\]|[^:]*)(:\d*)?$")
     return F.when(ok & (raw != ""), F.struct(
         key.alias("key"), web.alias("web"), api.alias("api"),
         F.array_sort(F.array_distinct(F.array(key, web, api))).alias("bases"),

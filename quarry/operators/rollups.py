@@ -92,26 +92,43 @@ def peer_skew(df: DataFrame, job: str, peer: str, seconds: str) -> DataFrame:
 # ------------------------------------------------------------------ A13
 def group_findings(df: DataFrame, keys: Sequence[str], finding: str = "finding") -> DataFrame:
     """Group findings only by evidenced shared keys; a row with a null
-    key never merges with others (it forms its own single group)."""
+    key never merges with others (it forms its own single group).  Per group:
+    distinct findings, the first of them and the rows; ``grouped_findings``
+    names them all."""
     keys = list(keys)
-    has_all = F.lit(True)
-    for k in keys:
-        has_all = has_all & F.col(k).isNotNull()
-    grouped = (df.filter(has_all).groupBy(*keys)
-               .agg(F.array_sort(F.collect_set(finding)).alias("findings"), F.count(F.lit(1)).alias("rows")))
-    singles = (df.filter(~has_all)
-               .select(*keys, F.array(F.col(finding)).alias("findings"), F.lit(1).cast("long").alias("rows")))
+    evidenced = _all_known(keys)
+    grouped = df.filter(evidenced).groupBy(*keys).agg(
+        F.count_distinct(finding).alias("n_findings"), F.min(finding).alias("first_finding"),
+        F.count(F.lit(1)).alias("rows"))
+    singles = df.filter(~evidenced).select(
+        *keys, F.col(finding).isNotNull().cast("long").alias("n_findings"), F.col(finding).alias("first_finding"),
+        F.lit(1).cast("long").alias("rows"))
     return grouped.unionByName(singles)
 
 
+def grouped_findings(df: DataFrame, keys: Sequence[str], finding: str = "finding") -> DataFrame:
+    """A13 (long form): one row per group and distinct finding; rows with a
+    null key stay apart."""
+    keys = list(keys)
+    evidenced = _all_known(keys)
+    return (df.filter(evidenced).select(*keys, finding).distinct()
+            .unionByName(df.filter(~evidenced).select(*keys, finding)))
+
+
+def _all_known(keys: Sequence[str]) -> Column:
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return known
+
+
 # ------------------------------------------------------------------ A14
 def name_collisions(df: DataFrame, name: str = "name", scope: Sequence[str] = ("object_type", "context")) -> DataFrame:
     """Names that occur more than once (case-insensitively) within one
-    object type and context; the spellings seen are listed."""
-    scope = list(scope)
+    object type and context, with the number of spellings and the first."""
     return (df.groupBy(*scope, F.lower(F.col(name)).alias("name_key"))
-            .agg(F.count(F.lit(1)).alias("occurrences"),
-                 F.array_sort(F.collect_set(F.col(name))).alias("spellings"))
+            .agg(F.count(F.lit(1)).alias("occurrences"), F.count_distinct(name).alias("n_spellings"),
+                 F.min(name).alias("first_spelling"))
             .filter(F.col("occurrences") > 1))
 
 

@@ -303,6 +303,28 @@ def e15_url(spark, sf_dir):
                     F.array_join(n["bases"], " ").alias("bases"), n["host"].alias("host"))
 
 
+_TARGETS = """CASE c_custkey % 7 WHEN 0 THEN 'H' || c_nationkey || '.example' WHEN 1 THEN 'http://h' || c_nationkey || ':8089/x'
+  WHEN 2 THEN 'https://user@h:8000?q=1' WHEN 3 THEN 'https://h:abc' WHEN 4 THEN 'ftp://h' WHEN 5 THEN ' https://[::1]:9000/ ' ELSE '' END"""
+
+
+@register("e15_url_ports", sql="""
+WITH k AS (SELECT c_custkey, c_custkey % 7 AS k, CAST(c_nationkey AS VARCHAR) AS n FROM customer)
+SELECT c_custkey,
+  CASE k WHEN 0 THEN 'https://h' || n || '.example' WHEN 1 THEN 'http://h' || n || ':8089' WHEN 2 THEN 'https://h:8000'
+    WHEN 5 THEN 'https://[::1]:9000' END AS key,
+  CASE k WHEN 0 THEN 'https://h' || n || '.example' WHEN 1 THEN 'http://h' || n || ':8000' WHEN 2 THEN 'https://h:8000'
+    WHEN 5 THEN 'https://[::1]:9000' END AS web,
+  CASE k WHEN 0 THEN 'https://h' || n || '.example:8089' WHEN 1 THEN 'http://h' || n || ':8089' WHEN 2 THEN 'https://h:8089'
+    WHEN 5 THEN 'https://[::1]:9000' END AS api
+FROM k
+""")
+def e15_url_ports(spark, sf_dir):
+    """Targets without scheme, with ports, users, brackets, and malformed ones."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_TARGETS).alias("url"))
+    n = ex.normalize_url("url")
+    return c.select("c_custkey", n["key"].alias("key"), n["web"].alias("web"), n["api"].alias("api"))
+
+
 @register("e16_conformance", sql="""
 SELECT event_id,
        array_to_string(list_filter([CASE WHEN props IS NULL THEN 'props' END, 'dest'], lambda x: x IS NOT NULL), ',') AS missing_fields,

@@ -685,28 +685,41 @@ def a12_peer_skew(spark, sf_dir):
 
 
 @register("a13_group_findings", sql="""
-SELECT p_brand, p_type, array_to_string(list_sort(list_distinct(list(CAST(p_partkey AS VARCHAR)))), ',') AS findings, count(*) AS "rows"
+SELECT p_brand, p_type, count(DISTINCT p_partkey) AS n_findings, min(CAST(p_partkey AS VARCHAR)) AS first_finding, count(*) AS rows
 FROM (SELECT p_partkey, CASE WHEN p_size > 45 THEN NULL ELSE p_brand END AS p_brand, p_type FROM part)
 WHERE p_brand IS NOT NULL GROUP BY 1, 2
 UNION ALL
-SELECT NULL, p_type, CAST(p_partkey AS VARCHAR), 1 FROM part WHERE p_size > 45
+SELECT NULL, p_type, 1, CAST(p_partkey AS VARCHAR), 1 FROM part WHERE p_size > 45
 """)
 def a13_group_findings(spark, sf_dir):
-    p = table(spark, sf_dir, "part").select(
+    return ru.group_findings(_findings(spark, sf_dir), ["p_brand", "p_type"])
+
+
+def _findings(spark, sf_dir):
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("finding"),
         F.when(F.col("p_size") > 45, F.lit(None)).otherwise(F.col("p_brand")).alias("p_brand"), "p_type")
-    g = ru.group_findings(p, ["p_brand", "p_type"])
-    return g.select("p_brand", "p_type", F.array_join(F.array_sort("findings"), ",").alias("findings"), "rows")
+
+
+@register("a13_grouped_findings", sql="""
+SELECT CASE WHEN p_size > 45 THEN NULL ELSE p_brand END AS p_brand, p_type, CAST(p_partkey AS VARCHAR) AS finding FROM part
+""")
+def a13_grouped_findings(spark, sf_dir):
+    return ru.grouped_findings(_findings(spark, sf_dir), ["p_brand", "p_type"])
 
 
 @register("a14_name_collisions", sql="""
-SELECT p_brand AS object_type, p_type AS context, lower(p_name) AS name_key, count(*) AS occurrences
-FROM part GROUP BY 1, 2, 3 HAVING count(*) > 1
+SELECT p_brand AS object_type, p_type AS context, lower(n) AS name_key, count(*) AS occurrences,
+       count(DISTINCT n) AS n_spellings, min(n) AS first_spelling
+FROM (SELECT p_brand, p_type, CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) ELSE p_name END AS n FROM part)
+GROUP BY 1, 2, 3 HAVING count(*) > 1
 """)
 def a14_name_collisions(spark, sf_dir):
+    """Every second part name is written in capitals."""
+    name = F.when(F.col("p_partkey") % 2 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
     p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("object_type"), F.col("p_type").alias("context"),
-                                            F.col("p_name").alias("name"))
-    return ru.name_collisions(p).drop("spellings")
+                                            name.alias("name"))
+    return ru.name_collisions(p)
 
 
 @register("j18_cidr_match", sql="""
