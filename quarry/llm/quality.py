@@ -111,7 +111,8 @@ def assess(measured: DataFrame, host_col: str = "source",
     q = F.col("__q")
     measured = measured.withColumn(
         "__failed", (q.n_words < MIN_WORDS) | (100 * q.n_repeat_words > MAX_REPEAT_PCT * q.n_words))
-    hosts = host_verdicts(measured, host_col, max_host_rate)
+    # written: its measured size lets Spark send the few rows to the documents
+    hosts = stash(host_verdicts(measured, host_col, max_host_rate), "quality-hosts")
     soft = ((100 * q.n_symbols <= MAX_SYMBOLS_PER_100_WORDS * q.n_words)
             & (q.n_dup_lines <= MAX_DUP_LINES)
             & (q.word_chars >= MEAN_WORD_CHARS[0] * q.n_words)

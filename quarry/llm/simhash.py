@@ -272,12 +272,18 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS,
 def keep_one(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group, the one with the smallest id."""
-    cols = docs.columns
-    marked = stash(docs.withColumn("__fp", fingerprint_column(text_col, k)), "simhash-docs")
-    found = stash(roots(marked.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col("__fp").alias("fp")),
-                        max_bits), "simhash-roots")
-    best = marked.join(found.select(F.col("fp").alias("__fp"), F.col("root").alias("__root"),
-                                    F.col("component_id").alias("__id")), "__fp")
-    # only the first document and exact repeats of its id are left per root
-    return (best.where(F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")))
-            .dropDuplicates(["__root"]).select(*[F.col(f"`{c}`") for c in cols]))
+    key = F.col(id_col).cast("bigint")
+    fp = fingerprint_column(text_col, k)
+    marked = stash(docs.select(key.alias("doc_id"), fp.alias("fp")), "simhash-fingerprints")
+    found = roots(marked, max_bits).withColumnRenamed("component_id", "doc_id")
+    # one (id, fingerprint) per group: the smallest id, then the smallest fingerprint that has it
+    held = marked.withColumn("none", F.col("doc_id").isNull()).na.fill(0, ["doc_id"]).distinct()
+    want = found.withColumn("none", F.col("doc_id").isNull()).na.fill(0, ["doc_id"])
+    keepers = (held.join(want, ["fp", "doc_id", "none"]).groupBy("root", "doc_id", "none").agg(F.min("fp").alias("fp"))
+               .select(F.col("doc_id").alias("__id"), F.col("none").alias("__none"), F.col("fp").alias("__fp")))
+    # fingerprints are computed again rather than writing every text once more;
+    # the join and the removal of exact repeats share one exchange
+    names = ["__id", "__none", "__fp"]
+    tagged = docs.withColumns({"__fp": fp, "__id": F.coalesce(key, F.lit(0)), "__none": key.isNull()})
+    return (tagged.join(stash(keepers, "simhash-keepers"), names).dropDuplicates(names)
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
