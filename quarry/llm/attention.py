@@ -43,7 +43,7 @@ CLASSES = 64
 SINGLE = 24                 # classes of one frequent symbol each
 ROWS = 8192                 # embedding rows; rarer symbols share rows by hash
 STEPS, BATCH = 1500, 48
-_WINDOWS = 256              # windows scored at once
+_WINDOWS = 64              # windows scored at once
 
 
 class Subwords:
@@ -92,6 +92,14 @@ class Network:
         p = self.p
         return p["emb"], p["emb"] @ p["q"], p["emb"] @ p["k"], p["emb"] @ p["v"]
 
+    def scoring_tables(self):
+        """Tables for ``class_log_probs``: the values with a column of ones
+        (their weighted sum is the softmax denominator), and the position
+        biases with hidden positions masked."""
+        emb, q, k, v = self.tables()
+        return (emb, q, k, np.concatenate([v, np.ones((len(v), 1), v.dtype)], axis=1),
+                np.where(self.hidden, np.float32(-1e9), self.p["bias"][self.gap]))
+
     def forward(self, rows: np.ndarray, tables, keep: bool = False):
         """Class logits (windows * STRIDE, classes) of (windows, width) rows."""
         p, (emb, tq, tk, tv) = self.p, tables
@@ -108,6 +116,33 @@ class Network:
         z = g @ p["out"] + p["prior"]
         return (z, (x, q, k, v, a, mix, h, u, g)) if keep else z
 
+    def class_log_probs(self, rows: np.ndarray, kind: np.ndarray, tables) -> np.ndarray:
+        """Log-probability of the class of each scored slot: ``forward`` with
+        the sums of both softmaxes taken from matrix products, and without
+        shifts where the logits are provably small."""
+        p, (emb, tq, tk, tv1, shift) = self.p, tables
+        part = rows[:, CONTEXT:]
+        s = tq.take(part, axis=0) @ tk.take(rows, axis=0).transpose(0, 2, 1)
+        s += shift
+        if s.max() > 60 or s[:, -1].max(-1).min() < -60:
+            s -= s.max(-1, keepdims=True)
+        np.exp(s, out=s)
+        mix = (s @ tv1.take(rows, axis=0)).reshape(-1, WIDTH + 1)
+        h = (mix[:, :WIDTH] / mix[:, WIDTH:]) @ p["o"]
+        h += emb.take(part, axis=0).reshape(-1, WIDTH)
+        u = h @ p["up"]
+        np.maximum(u, 0, out=u)
+        h += u @ p["down"]
+        z = h @ p["out"]
+        z += p["prior"]
+        own = z[np.arange(len(z)), kind]
+        if z.max() > 60 or z.min() < -60:
+            top = z.max(-1)
+            z -= top[:, None]
+            own = own - top
+        np.exp(z, out=z)
+        return own - np.log(z @ np.ones(z.shape[1], z.dtype))
+
     def step(self, rows, target, weight):
         """Gradients of the weighted mean log-loss of one batch of windows."""
         p = self.p
@@ -238,12 +273,10 @@ class Model:
         kind = np.full(len(rows) * STRIDE, 0, dtype=np.int64)
         kind[place] = np.where(at >= 0, self.kind[np.maximum(at, 0)], CLASSES) if len(self.symbols) else CLASSES
         got = np.zeros(len(kind))
-        tables = self.net.tables()
+        tables = self.net.scoring_tables()
         for lo in range(0, len(rows), _WINDOWS):
-            z = self.net.forward(rows[lo:lo + _WINDOWS], tables)
-            k = kind[lo * STRIDE:lo * STRIDE + len(z)]
-            m = z.max(-1)
-            got[lo * STRIDE:lo * STRIDE + len(z)] = z[np.arange(len(z)), k] - m - np.log(np.exp(z - m[:, None]).sum(-1))
+            span = slice(lo * STRIDE, min(lo + _WINDOWS, len(rows)) * STRIDE)
+            got[span] = self.net.class_log_probs(rows[lo:lo + _WINDOWS], kind[span], tables)
         # symbols the corpus lacks share their class evenly (ids of the vocabulary, either flag)
         inside = self.inside[np.maximum(at, 0)] if len(self.symbols) else 0.0
         of_class = got[place]

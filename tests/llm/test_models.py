@@ -137,6 +137,18 @@ def test_gradients_are_right():
         assert math.isclose((up - down) / (2 * eps), g[at], rel_tol=1e-3, abs_tol=1e-6), name
 
 
+@pytest.mark.parametrize("scale", [1, 30])
+def test_fast_scoring_equals_forward(scale):
+    rng = np.random.default_rng(4)
+    net = attention.Network(50, 9)
+    net.p["emb"] *= scale                                                # large logits take the shifted path
+    rows = rng.integers(0, 50, (7, attention.CONTEXT + attention.STRIDE))
+    kind = rng.integers(0, 9, 7 * attention.STRIDE)
+    want = attention._softmax_loss(net.forward(rows, net.tables()).astype(np.float64), kind)[0]
+    got = net.class_log_probs(rows, kind, net.scoring_tables())
+    assert np.allclose(got, want, rtol=1e-3, atol=1e-2 * scale)
+
+
 def test_windows_score_each_symbol_once_and_causally():
     syms = np.arange(40) * 2
     model = attention.Model(syms, np.ones(40), np.ones(40), 10 ** 8)
