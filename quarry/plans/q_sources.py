@@ -77,6 +77,27 @@ def o6_offset_to_end(spark, sf_dir):
     return sm.head(o, 0, 700, [F.col("o_totalprice").desc(), F.col("o_orderkey")]).select("o_orderkey")
 
 
+@register("s10_jsonl", sql="""
+SELECT '{"type":"result","event_id":' || event_id || ',"event_type":"' || event_type || '","user_id":' || user_id || '}' AS value
+FROM events
+""")
+def s10_jsonl(spark, sf_dir):
+    """Events as tagged JSON lines."""
+    return ig.to_jsonl(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id"), "result")
+
+
+@register("a7_json_group_by", sql="""
+SELECT json_extract_string(props, '$.k') AS k, count(DISTINCT event_type) AS kinds, count(*) AS n, max(value) AS top
+FROM events GROUP BY 1 HAVING count(*) > 60
+""")
+def a7_json_group_by(spark, sf_dir):
+    """Caller SQL that groups by a JSON path, with DISTINCT and HAVING."""
+    from ..operators import filters as fl
+    return fl.query_results(spark, table(spark, sf_dir, "events"), """
+        SELECT get_json_object(props, '$.k') AS k, count(DISTINCT event_type) AS kinds, count(*) AS n, max(value) AS top
+        FROM results GROUP BY 1 HAVING count(*) > 60""", limit=None)
+
+
 def event_envelopes(spark, sf_dir):
     """Events re-encoded as delivery envelopes (one JSON document each)."""
     e = table(spark, sf_dir, "events")
