@@ -40,3 +40,27 @@ def byte_texts(column) -> list:
     """The UTF-8 bytes of an Arrow string column; null becomes ``b''``."""
     import pyarrow as pa
     return [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]
+
+
+SLICE = 512                 # rows of an Arrow batch turned into Python objects at once
+
+
+def slices(batch, size: int = SLICE):
+    """An Arrow batch (or array) in pieces, so that only a few rows' texts are
+    Python objects at a time."""
+    for lo in range(0, len(batch), size):
+        yield batch.slice(lo, size)
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers are kept between tasks
+    and would otherwise hold their peak."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)

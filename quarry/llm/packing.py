@@ -30,10 +30,10 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import release, slices, stash
 
 SEQ_LEN = 2048
-CACHE_CHUNKS = 1_000_000     # tokenised chunks a worker remembers (speed only)
+CACHE_CHUNKS = 400_000      # tokenised chunks a worker remembers (speed only)
 
 _PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
            "task int, task_rank bigint")
@@ -135,7 +135,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, e
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
         seen = [0] * (seq_len + 1)
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole)):
             cols: list[list] = [[] for _ in range(7)]
             ids = batch.column(0).to_pylist()
             texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
@@ -152,6 +152,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, e
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(cols, kinds)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "task_rank"])
+        _tokenizer(tokenizer_path)[2].clear()
+        release()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(run, _PIECES)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, stash
+from .common import byte_texts, release, slices, stash
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -79,7 +79,9 @@ def fingerprint_column(text_col, k: int = SHINGLE):
     """The fingerprint as a signed 64-bit column."""
     @F.arrow_udf("bigint")
     def simhash(texts: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t, k) for t in byte_texts(texts)], dtype=np.uint64).view(np.int64))
+        fps = [fingerprint(t, k) for part in slices(texts) for t in byte_texts(part)]
+        release()
+        return pa.array(np.array(fps, dtype=np.uint64).view(np.int64))
 
     return simhash(F.col(text_col).cast("string"))
 

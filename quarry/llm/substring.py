@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts
+from .common import byte_texts, release, slices
 
 WINDOW = 35
 GRAM = 8
@@ -44,7 +44,7 @@ CELLS_PER_ANCHOR = 8
 MAX_CELLS = 1 << 30         # per row: 128 MB of bits at most
 SHARD_BITS = 20
 FREQUENT = 64               # estimated count from which windows are grouped by digest
-CHUNK_WORDS = 1 << 19       # words handled at once (a longer document is one chunk)
+CHUNK_WORDS = 1 << 17       # words handled at once (a longer document is one chunk)
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -86,7 +86,7 @@ class Chunk:
         first = np.cumsum(size) - size
         n, self.window = len(flat), window
         gram = min(GRAM, window)
-        up, down = _powers(1 << max(20, n.bit_length()))
+        up, down = _powers(1 << max(18, n.bit_length()))
         sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(two[:, k][flat] * up[:n])]) for k in (0, 1)]
         over = lambda s, w: _mixed((s[w:] - s[:-w]) * down[:n + 1 - w])
         grams = np.maximum(over(sums[0], gram), np.uint64(1))
@@ -153,7 +153,7 @@ def build_sketch(docs: DataFrame, window: int, bits: int) -> Sketch:
     shard_bits = min(SHARD_BITS, bits)
 
     def partial(batches):
-        rows = ((None, t.split()) for b in batches for t in byte_texts(b.column(0)))
+        rows = ((None, t.split()) for b in batches for x in slices(b) for t in byte_texts(x.column(0)))
         for _, chunk in _chunks(rows, window):
             for row in range(ROWS):
                 cell, n = np.unique(_cells(chunk.anchors, row, bits), return_counts=True)
@@ -165,6 +165,7 @@ def build_sketch(docs: DataFrame, window: int, bits: int) -> Sketch:
                     [pa.array([row] * (len(at) - 1), pa.int32()), pa.array(shard[at[:-1]].astype(np.int32)),
                      pa.array([packed[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
                     names=["row", "shard", "cells"])
+        release()
 
     def merge(batches):
         sums: dict = {}
@@ -289,12 +290,13 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_
 
     def emit(batches):
         known = Sketch(*held.value)
-        rows = (((i, h), t.split()) for b in batches for i, h, t in
-                zip(b.column(0).to_pylist(), b.column(1).to_pylist(), byte_texts(b.column(2))))
+        rows = (((i, h), t.split()) for b in batches for x in slices(b) for i, h, t in
+                zip(x.column(0).to_pylist(), x.column(1).to_pylist(), byte_texts(x.column(2))))
         for keys, chunk in _chunks(rows, window):
             out = _runs(chunk, keys, known)
             if out is not None:
                 yield out
+        release()
 
     def group(batches):
         kept = None
@@ -346,7 +348,7 @@ def removal_rows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole)):
             n_words, n_removed, sha = [], [], []
             for t, ranges in zip(byte_texts(b.column(1)), b.column(2).to_pylist()):
                 words = t.split()
@@ -392,7 +394,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     words and keep none are dropped."""
     @F.arrow_udf("string")
     def cut(texts: pa.Array, ranges: pa.Array) -> pa.Array:
-        return pa.array([without_ranges(t, r) for t, r in zip(texts.to_pylist(), ranges.to_pylist())], pa.string())
+        out = [pa.array([without_ranges(t, r) for t, r in zip(a.to_pylist(), b.to_pylist())], pa.string())
+               for a, b in zip(slices(texts), slices(ranges))]
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     text = F.col(text_col).cast("string")
     held = _with_ranges(docs, id_col, text_col, window).withColumn(
