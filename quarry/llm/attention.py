@@ -8,12 +8,15 @@ symbol; the symbol inside its class follows the counts of the whole training
 corpus.  Windows overlap by ``CONTEXT`` symbols and each symbol is scored in
 exactly one of them, all windows of a block in batched masked attention.  The
 probability of a word is a mixture of the attention model and the word's
-share of the training tokens; the mixture weight is set by EM on sample
-documents the network was not trained on.
+share of the training tokens.
 
-What covers the corpus: word counts (N, V, c), subword and class counts, and
-the scores.  What is fitted on a bounded sample: the network, the classes and
-the mixture weights (``SAMPLE_DOCS`` whole training documents, chosen by a hash of the id).
+Everything is learned from all training documents: word, subword and class
+counts; the classes, by neighbour counts summed per symbol; the network, whose
+copies are trained inside the tasks and averaged after each of ``ROUNDS``
+rounds, so that steps grow with the corpus and every window is used (small
+corpora several times, up to ``STEPS`` steps); and the mixture weights, by EM on
+the last round's documents before the network is trained on them.  Averages
+depend slightly on how the documents are dealt to tasks.
 
 Documents travel as blocks of about ``BLOCK_WORDS`` words.  Only the distinct
 words of a block are exchanged: their counts are summed per word and the sums
@@ -35,14 +38,15 @@ from pyspark.sql import functions as F
 from .common import byte_texts, fold, stash
 
 HELD_OUT = (7, 2)           # crc32(id) mod 7 == 2 is held out
-SAMPLE_DOCS = 600           # bound of the sample the network is trained on
 BLOCK_WORDS = 400_000
 CONTEXT, STRIDE = 8, 24
 WIDTH = 16                  # model dimension
 CLASSES = 64
 SINGLE = 24                 # classes of one frequent symbol each
 ROWS = 8192                 # embedding rows; rarer symbols share rows by hash
-STEPS, BATCH = 1500, 48
+STEPS, BATCH = 1500, 48    # least steps, and the least a task gets before another one trains beside it
+ROUNDS = 4                  # averages of the tasks' networks; the last round's documents set the mixture first
+SALT = 16                   # groups in which the tasks' networks are summed first
 _WINDOWS = 64              # windows scored at once
 
 
@@ -197,7 +201,7 @@ class Model:
         self.row = np.where(rank < own, rank + 1, own + 1 + shared).astype(np.int32)
         self.rank, self.end = rank, end
         self.kind = np.zeros(len(symbols), dtype=np.int64)
-        self.net = Network(ROWS, CLASSES + 1, seed)
+        self.net = Network(ROWS, CLASSES + 2, seed)
         self.mixture = np.array([0.4, 0.5, 0.1])             # class and share, share, subwords
 
     def positions(self, symbols: np.ndarray) -> np.ndarray:
@@ -207,41 +211,38 @@ class Model:
         at = np.minimum(np.searchsorted(self.symbols, symbols), len(self.symbols) - 1)
         return np.where(self.symbols[at] == symbols, at, -1)
 
-    def set_classes(self, seqs: list[np.ndarray], seed: int = 5) -> None:
-        """The most frequent symbols alone; the rest by k-means over the
-        neighbours they have in the sample.  Class CLASSES holds what the
-        corpus lacks."""
-        feats = np.zeros((len(self.symbols), 256))
-        for s in seqs:
-            s = s[s >= 0]
-            if len(s) > 1:
-                np.add.at(feats, (s[1:], self.rank[s[:-1]] % 128), 1.0)
-                np.add.at(feats, (s[:-1], 128 + self.rank[s[1:]] % 128), 1.0)
-        total = feats.sum(1, keepdims=True)
-        feats = np.sqrt(feats / np.maximum(total, 1))
+    def set_classes(self, feats: np.ndarray, total: np.ndarray, seed: int = 5) -> None:
+        """The most frequent symbols alone; the rest by k-means over their
+        neighbours in the training documents (``feats``: roots of the shares,
+        ``total``: their number).  Class CLASSES holds what the corpus lacks,
+        CLASSES + 1 symbols without neighbours."""
         rng = np.random.default_rng(seed)
-        free = np.flatnonzero((self.rank >= SINGLE) & (total[:, 0] > 0))
-        self.kind = np.where(self.rank < SINGLE, self.rank, SINGLE)
+        free = np.flatnonzero((self.rank >= SINGLE) & (total > 0))
+        self.kind = np.where(self.rank < SINGLE, self.rank, CLASSES + 1)
         groups = CLASSES - SINGLE
         if len(free) > groups:
             f = feats[free]
-            weight = np.minimum(total[free, 0], 50)
+            weight = np.minimum(total[free], 50)
             centre = f[rng.choice(len(free), groups, replace=False, p=weight / weight.sum())]
             for _ in range(8):
                 near = (centre @ f.T).argmax(0)
                 for c in range(groups):
                     mine = near == c
                     if mine.any():
-                        m = (f[mine] * weight[mine, None]).sum(0)
+                        m = weight[mine].astype(f.dtype) @ f[mine]
                         centre[c] = m / max(np.linalg.norm(m), 1e-9)
             self.kind[free] = SINGLE + near
+        else:
+            self.kind[free] = SINGLE + np.arange(len(free))
         self.finish()
+        share = np.bincount(self.kind, weights=self.counts, minlength=CLASSES + 2) + 0.5
+        self.net.p["prior"][:] = np.log(share / share.sum())
 
     def finish(self) -> None:
         """log P(symbol | class) from the corpus counts, and the number of
         training tokens that start with a symbol of the class."""
-        self.class_tokens = np.bincount(self.kind, weights=self.starts, minlength=CLASSES + 1)
-        size = np.bincount(self.kind, weights=self.counts, minlength=CLASSES + 1)
+        self.class_tokens = np.bincount(self.kind, weights=self.starts, minlength=CLASSES + 2)
+        size = np.bincount(self.kind, weights=self.counts, minlength=CLASSES + 2)
         self.inside = np.log(np.maximum(self.counts, 1e-9)) - np.log(np.maximum(size[self.kind], 1e-9))
 
     def windows(self, symbols: np.ndarray, first: np.ndarray, size: np.ndarray):
@@ -290,35 +291,42 @@ class Model:
         return np.stack([np.exp(of_class[word_first]) * np.minimum(total / tokens, 1.0), total / max(n_all, 1),
                          np.exp(np.add.reduceat(lp, word_first))])
 
-    def train(self, docs: list[np.ndarray], seed: int = 3) -> None:
-        """Adam over random windows of the sample documents (symbol arrays)."""
-        docs = [d for d in docs if len(d)]
-        if not docs:
-            return
-        size = np.array([len(d) for d in docs])
-        first = np.cumsum(size) - size
-        flat = np.concatenate(docs)
-        rows, at, place = self.windows(flat, first, size)
+    def train(self, symbols: np.ndarray, size: np.ndarray, state: "Adam", repeat: int, rate: float) -> None:
+        """Adam over the windows of documents, ``repeat`` times in random order."""
+        rows, at, place = self.windows(symbols, np.cumsum(size) - size, size)
         target = np.zeros(len(rows) * STRIDE, dtype=np.int64)
         weight = np.zeros(len(rows) * STRIDE, dtype=np.float32)
         target[place] = np.where(at >= 0, self.kind[np.maximum(at, 0)], CLASSES)
         weight[place] = 1
-        share = np.bincount(target[place], minlength=CLASSES + 1) + 0.5
-        p = self.net.p
-        p["prior"][:] = np.log(share / share.sum())
-        rng = np.random.default_rng(seed)
-        m = {k: np.zeros_like(x) for k, x in p.items()}
-        s = {k: np.zeros_like(x) for k, x in p.items()}
-        for t in range(1, STEPS + 1):
-            pick = rng.integers(0, len(rows), min(BATCH, len(rows)))
-            slots = (pick[:, None] * STRIDE + np.arange(STRIDE)).reshape(-1)
-            _, grad = self.net.step(rows[pick], target[slots], weight[slots])
-            rate = 0.02 * min(1.0, t / 20) * (1 - 0.9 * t / STEPS)
-            for k, g in grad.items():
-                g = np.clip(g, -1, 1)
-                m[k] += 0.1 * (g - m[k])
-                s[k] += 0.01 * (g * g - s[k])
-                p[k] -= (rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(s[k] / (1 - 0.99 ** t)) + 1e-6)).astype(np.float32)
+        for _ in range(repeat):
+            order = state.rng.permutation(len(rows))
+            for lo in range(0, len(order), BATCH):
+                pick = order[lo:lo + BATCH]
+                slots = (pick[:, None] * STRIDE + np.arange(STRIDE)).reshape(-1)
+                _, grad = self.net.step(rows[pick], target[slots], weight[slots])
+                state.update(self.net.p, grad, rate)
+        state.windows += len(rows)
+        state.used += np.bincount(rows.reshape(-1), minlength=ROWS)
+
+
+class Adam:
+    """Moments of a task's training, and what it was trained on."""
+
+    def __init__(self, p: dict, seed: int):
+        self.m = {k: np.zeros_like(x) for k, x in p.items()}
+        self.s = {k: np.zeros_like(x) for k, x in p.items()}
+        self.t, self.windows, self.used = 0, 0, np.zeros(ROWS)
+        self.rng = np.random.default_rng(seed)
+
+    def update(self, p: dict, grad: dict, rate: float) -> None:
+        self.t += 1
+        rate, t = rate * min(1.0, self.t / 20), self.t
+        for k, g in grad.items():
+            g = np.clip(g, -1, 1)
+            m, s = self.m[k], self.s[k]
+            m += 0.1 * (g - m)
+            s += 0.01 * (g * g - s)
+            p[k] -= (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-6)).astype(np.float32)
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -422,41 +430,215 @@ def _symbol_counts(totals: DataFrame, tokenizer_path: str):
             np.array([r["f"] for r in got], dtype=np.float64))
 
 
-def fit(docs: DataFrame, totals: DataFrame, n_tokens: int, tokenizer_path: str,
-        sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Train on (doc_id, held_out, text); ``totals`` as from ``_totals``."""
-    sub = Subwords(tokenizer_path)
-    model = Model(*_symbol_counts(totals, tokenizer_path), sub.end)
-    rows = (docs.where(~F.col("held_out")).select("doc_id", "text", F.xxhash64("text").alias("h"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "h").limit(sample_docs).collect())
-    texts = [(r["text"] or "").encode().lower().split() + [b""] for r in rows]
-    coded = [sub.flat(t) for t in texts]
-    tune = [k % 5 == 0 for k in range(len(texts))]
-    learn = [s for (s, _), t in zip(coded, tune) if not t]
-    model.set_classes([model.positions(s) for s in learn])
-    model.train(learn)
-    # mixture weight by EM on the other sample documents, leaving each token out of its count
-    words = sorted({w for t, x in zip(texts, tune) if x for w in t})
-    if words and n_tokens > 1:
-        asked = docs.sparkSession.createDataFrame([(bytearray(w),) for w in words], "word binary")
-        known = {bytes(r["word"]): r["total"] for r in
-                 totals.where("lead").join(F.broadcast(asked), "word").select("word", "total").collect()}
-        ways = []
-        for t, (s, size), x in zip(texts, coded, tune):
-            if x:
-                others = np.array([max(known.get(w, 0) - 1, 0) for w in t])
-                ways.append(model.ways(s, np.zeros(1, np.int64), np.array([len(s)]), np.cumsum(size) - size,
-                                       others, n_tokens - 1))
-        p = np.maximum(np.concatenate(ways, axis=1), 1e-300)
-        for _ in range(30):
-            part = model.mixture[:, None] * p
-            model.mixture = np.maximum((part / part.sum(0)).mean(1), 1e-4)
-            model.mixture /= model.mixture.sum()
+def _counted(blocks: DataFrame, totals: DataFrame, tokenizer_path: str) -> DataFrame:
+    """The blocks with their words' training counts (totals) and symbols
+    (symbols, per) in place of the words."""
+    def run(key, left, right):
+        import pyarrow as pa
+        r = left.slice(0, 1)
+        words = r.column("words")[0].as_py().split(b" ")
+        total = np.zeros(len(words), dtype=np.int64)
+        total[right.column("local").to_numpy()] = right.column("total").to_numpy()
+        symbols, per = Subwords(tokenizer_path).flat(words)
+        same = {c: r.column(c) for c in ("block", "ids", "nulls", "held", "sizes", "locals")}
+        return pa.table({**same, "totals": [total.tobytes()], "symbols": [symbols.astype(np.int32).tobytes()],
+                         "per": [per.astype(np.int32).tobytes()]})
+
+    return (blocks.select("block", "ids", "nulls", "held", "sizes", "locals", "words").groupBy("block")
+            .cogroup(totals.select("block", "local", "total").groupBy("block")).applyInArrow(
+                run, "block bigint, ids binary, nulls binary, held binary, sizes binary, locals binary, "
+                     "totals binary, symbols binary, per binary"))
+
+
+class _Block:
+    """A row of ``_counted``."""
+
+    def __init__(self, r: dict):
+        read = lambda c, kind: np.frombuffer(r[c], dtype=kind)
+        self.number = r["block"]
+        self.held, self.locals = read("held", bool), read("locals", np.int32)
+        self.sizes = read("sizes", np.int32).astype(np.int64)
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.total, self.symbols = read("totals", np.int64), read("symbols", np.int32).astype(np.int64)
+        self.per = read("per", np.int32).astype(np.int64)
+        self.off = np.cumsum(self.per) - self.per
+        self.spelled = np.add.reduceat(self.per[self.locals], self.first)
+
+    def round(self) -> np.ndarray:
+        """The round of each document; -1 where it is held out."""
+        k = (self.number + (self.number >> 24) + np.arange(len(self.sizes))) % ROUNDS
+        return np.where(self.held, -1, k)
+
+    def parts(self, which: np.ndarray, most: int = 400_000):
+        """(documents, words, symbols, symbols per word) of whole documents."""
+        docs = np.flatnonzero(which)
+        done = np.cumsum(self.spelled[docs])
+        lo = 0
+        while lo < len(docs):
+            hi = max(lo + 1, int(np.searchsorted(done, most + (done[lo - 1] if lo else 0))))
+            d = docs[lo:hi]
+            size = self.sizes[d]
+            at = np.repeat(self.first[d] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            w = self.locals[at]
+            k = self.per[w]
+            flat = self.symbols[np.repeat(self.off[w] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
+            yield d, w, flat, k
+            lo = hi
+
+
+def _each(batches):
+    for b in batches:
+        for k in range(len(b)):
+            yield _Block(b.slice(k, 1).to_pylist()[0])
+
+
+_GROUP = 64                 # symbols of one row of neighbour counts
+
+
+def _neighbours(counted: DataFrame, model: Model):
+    """(roots of neighbour shares, number of neighbours) of each symbol over
+    all training documents, summed per symbol in Spark."""
+    n = len(model.symbols)
+
+    def run(batches):
+        import pyarrow as pa
+        feats = np.zeros(-(-n // _GROUP) * _GROUP * 256, dtype=np.int32)
+        for block in _each(batches):
+            for d, _, flat, _ in block.parts(~block.held):
+                at = model.positions(flat)
+                size = block.spelled[d]
+                inner = np.ones(len(at), dtype=bool)
+                inner[np.cumsum(size) - size] = False                # its left neighbour is another document's
+                inner = np.flatnonzero(inner)
+                a, b = at[inner - 1], at[inner]
+                np.add.at(feats, b * 256 + model.rank[a] % 128, 1)
+                np.add.at(feats, a * 256 + 128 + model.rank[b] % 128, 1)
+        feats = feats.reshape(-1, _GROUP * 256)
+        for g in np.flatnonzero(feats.any(axis=1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([g], pa.int32()), pa.array([feats[g].tobytes()], pa.binary())],
+                                             names=["g", "counts"])
+
+    def add(table):
+        import pyarrow as pa
+        total = np.zeros(_GROUP * 256, dtype=np.int64)
+        for x in table.column("counts"):
+            total += np.frombuffer(x.as_py(), dtype=np.int32)
+        total = total.reshape(_GROUP, 256)
+        size = total.sum(axis=1)
+        root = np.sqrt(total / np.maximum(size, 1)[:, None]).astype(np.float16)
+        return pa.table({"g": table.column("g")[:1], "size": [size.tobytes()], "root": [root.tobytes()]})
+
+    rows = (counted.select("block", "ids", "nulls", "held", "sizes", "locals", "totals", "symbols", "per")
+            .mapInArrow(run, "g int, counts binary").groupBy("g")
+            .applyInArrow(add, "g int, size binary, root binary").collect())     # 512 bytes a symbol of the vocabulary
+    feats = np.zeros((-(-n // _GROUP) * _GROUP, 256), dtype=np.float32)
+    total = np.zeros(len(feats))
+    for r in rows:
+        span = slice(r["g"] * _GROUP, (r["g"] + 1) * _GROUP)
+        feats[span] = np.frombuffer(r["root"], dtype=np.float16).reshape(_GROUP, 256)
+        total[span] = np.frombuffer(r["size"], dtype=np.int64)
+    return feats[:n], total[:n]
+
+
+def _train_round(counted: DataFrame, model: Model, k: int, repeat: int) -> int:
+    """One round: every task trains a copy on its documents of the round, the
+    copies are averaged (embedding rows by how often a task used them, the
+    rest by windows).  Returns the windows used."""
+    names = Network.NAMES
+
+    def run(batches):
+        import copy
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+        task = TaskContext.get().partitionId()
+        own = copy.deepcopy(model)
+        state = Adam(own.net.p, 1000 * k + task)
+        rate = 0.02 * (1 - 0.9 * k / ROUNDS)
+        for block in _each(batches):
+            when = block.round()
+            # small corpora: all but the last round's documents again and again, then all
+            which = when == k if repeat == 1 else (when >= 0) & ((when < ROUNDS - 1) | (k == ROUNDS - 1))
+            for d, _, flat, _ in block.parts(which):
+                own.train(flat, block.spelled[d], state, -(-repeat // ROUNDS), rate)
+        if state.windows:
+            p = own.net.p
+            sums = [(p[c] * (state.used[:, None] if c == "emb" else state.windows)).reshape(-1) for c in names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([task % SALT], pa.int32()),
+                 pa.array([np.concatenate([[state.windows], state.used, *sums]).astype(np.float64).tobytes()],
+                          pa.binary())], names=["salt", "sums"])
+
+    def add(table):
+        import pyarrow as pa
+        total = sum(np.frombuffer(x.as_py()) for x in table.column("sums"))
+        return pa.table({"salt": table.column("salt")[:1], "sums": [total.tobytes()]})
+
+    kind = "salt int, sums binary"
+    rows = counted.mapInArrow(run, kind).groupBy("salt").applyInArrow(add, kind).collect()   # at most SALT rows
+    if not rows:
+        return 0
+    total = sum(np.frombuffer(r["sums"]) for r in sorted(rows, key=lambda r: r["salt"]))
+    windows, used, at = total[0], total[1:1 + ROWS], 1 + ROWS
+    for c in names:
+        p = model.net.p[c]
+        x = total[at:at + p.size].reshape(p.shape)
+        at += p.size
+        if c == "emb":
+            p[used > 0] = (x[used > 0] / used[used > 0, None]).astype(np.float32)
+        else:
+            p[...] = (x / windows).astype(np.float32)
+    return int(windows)
+
+
+def _fit_mixture(counted: DataFrame, model: Model, n_tokens: int) -> None:
+    """Mixture weights by EM per block over the last round's documents,
+    leaving each token out of its count; averaged by tokens."""
+    def run(batches):
+        import pyarrow as pa
+        total, n = np.zeros(3), 0
+        for block in _each(batches):
+            ways = [model.ways(flat, np.cumsum(block.spelled[d]) - block.spelled[d], block.spelled[d],
+                               np.cumsum(k) - k, np.maximum(block.total[w] - 1, 0), n_tokens - 1)
+                    for d, w, flat, k in block.parts(block.round() == ROUNDS - 1)]
+            if ways:
+                p = np.maximum(np.concatenate(ways, axis=1), 1e-300)
+                mixture = model.mixture
+                for _ in range(30):
+                    part = mixture[:, None] * p
+                    mixture = np.maximum((part / part.sum(0)).mean(1), 1e-4)
+                    mixture = mixture / mixture.sum()
+                total += mixture * p.shape[1]
+                n += p.shape[1]
+        yield pa.RecordBatch.from_pydict({"a": [total[0]], "b": [total[1]], "c": [total[2]],
+                                          "n": pa.array([n], pa.int64())})
+
+    got = (counted.mapInArrow(run, "a double, b double, c double, n bigint")
+           .agg(F.sum("a"), F.sum("b"), F.sum("c"), F.sum("n")).first())
+    if got[3]:
+        model.mixture = np.array(got[:3]) / sum(got[:3])
+
+
+def fit(counted: DataFrame, totals: DataFrame, n_tokens: int, tokenizer_path: str) -> Model:
+    """Train on the blocks of ``_counted``; ``totals`` as from ``_totals``."""
+    model = Model(*_symbol_counts(totals, tokenizer_path), 2 * 50_000_000)
+    model.learned = 0                                                # windows the network was trained on
+    if not n_tokens:
+        model.set_classes(np.zeros((0, 256), np.float32), np.zeros(0))
+        return model
+    model.set_classes(*_neighbours(counted, model))
+    about = model.counts.sum() / STRIDE
+    repeat = max(1, -(-STEPS * BATCH // max(int(about), 1)))
+    few = counted.coalesce(max(1, int(about) // (STEPS * BATCH)))
+    for k in range(ROUNDS):
+        if k == ROUNDS - 1 and n_tokens > 1:
+            _fit_mixture(counted, model, n_tokens)
+        windows = _train_round(few, model, k, repeat)
+        model.learned = model.learned + windows if repeat == 1 else windows
     return model
 
 
-def score(docs: DataFrame, tokenizer_path: str, sample_docs: int = SAMPLE_DOCS,
-          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     every, rest = HELD_OUT
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
@@ -466,48 +648,29 @@ def score(docs: DataFrame, tokenizer_path: str, sample_docs: int = SAMPLE_DOCS,
     totals = stash(_totals(blocks), "lm-totals")
     size = totals.where("lead").agg(F.sum("total").alias("n"), F.sum((F.col("total") > 0).cast("long")).alias("v")).first()
     n_all, n_kinds = int(size["n"] or 0), int(size["v"] or 0)
-    model = fit(slim, totals, n_all, tokenizer_path, sample_docs)
+    counted = stash(_counted(blocks, totals, tokenizer_path), "lm-counted")
+    model = fit(counted, totals, n_all, tokenizer_path)
 
-    def run(key, left, right):
+    def run(batches):
         import pyarrow as pa
-        sub = Subwords(tokenizer_path)
-        r = left.to_pylist()[0]
-        words = r["words"].split(b" ")
-        total = np.zeros(len(words), dtype=np.int64)
-        total[right.column("local").to_numpy()] = right.column("total").to_numpy()
-        loc = np.frombuffer(r["locals"], dtype=np.int32)
-        sizes = np.frombuffer(r["sizes"], dtype=np.int32).astype(np.int64)
-        first = np.cumsum(sizes) - sizes
-        base = np.log10((total + 1) / (n_all + n_kinds + 1))
-        symbols, per = sub.flat(words)
-        # spell the documents out and score them in slices of whole documents
-        off = np.cumsum(per) - per
-        lm = np.zeros(len(loc))
-        mixture = model.mixture if n_all else np.array([0.0, 0.0, 1.0])      # no training tokens: the model alone
-        lengths = per[loc]
-        spelled = np.add.reduceat(lengths, first)
-        lo = 0
-        while lo < len(sizes):
-            hi = max(lo + 1, int(np.searchsorted(np.cumsum(spelled[lo:]), 400_000)) + lo)
-            span = slice(first[lo], first[hi - 1] + sizes[hi - 1])
-            w, k = loc[span], lengths[span]
-            start = np.cumsum(k) - k
-            flat = symbols[np.repeat(off[w] - start, k) + np.arange(int(k.sum()))]
-            n_doc = spelled[lo:hi]
-            lm[span] = np.log10(np.maximum(mixture @ model.ways(
-                flat, np.cumsum(n_doc) - n_doc, n_doc, start, total[w], n_all), 1e-300))
-            lo = hi
-        sums = lambda x: np.add.reduceat(x, first)
-        nulls = np.frombuffer(r["nulls"], dtype=bool)
-        return pa.table({
-            "doc_id": pa.array(np.frombuffer(r["ids"], dtype=np.int64), mask=nulls),
-            "held_out": pa.array(np.frombuffer(r["held"], dtype=bool)), "n_tokens": pa.array(sizes),
-            "n_known": pa.array(sums((total[loc] > 0).astype(np.int64))),
-            "train_tokens": pa.array(np.full(len(sizes), n_all)), "base_score": pa.array(sums(base[loc])),
-            "score": pa.array(sums(lm))})
-
-    back = totals.select("block", "local", "total")
-    return (blocks.select("block", "ids", "nulls", "held", "sizes", "locals", "words").groupBy("block")
-            .cogroup(back.groupBy("block")).applyInArrow(
-                run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
-                     "base_score double, score double"))
+        for b in batches:
+            for j in range(len(b)):
+                r = b.slice(j, 1).to_pylist()[0]
+                block = _Block(r)
+                total, loc, first = block.total, block.locals, block.first
+                base = np.log10((total + 1) / (n_all + n_kinds + 1))
+                mixture = model.mixture if n_all else np.array([0.0, 0.0, 1.0])  # no training tokens: the model alone
+                # spell the documents out and score them in slices of whole documents
+                lm = [np.log10(np.maximum(mixture @ model.ways(
+                    flat, np.cumsum(block.spelled[d]) - block.spelled[d], block.spelled[d], np.cumsum(k) - k,
+                    total[w], n_all), 1e-300)) for d, w, flat, k in block.parts(np.ones(len(first), dtype=bool))]
+                sums = lambda x: np.add.reduceat(x, first)
+                nulls = np.frombuffer(r["nulls"], dtype=bool)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(r["ids"], dtype=np.int64), mask=nulls), pa.array(block.held),
+                     pa.array(block.sizes), pa.array(sums((total[loc] > 0).astype(np.int64))),
+                     pa.array(np.full(len(first), n_all)), pa.array(sums(base[loc])), pa.array(sums(np.concatenate(lm)))],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return counted.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+                                   "train_tokens bigint, base_score double, score double")

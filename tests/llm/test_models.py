@@ -194,3 +194,18 @@ def test_scores_without_training_rows(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)]
     assert math.isfinite(got[0].score)
     assert attention.score(docs_frame(spark, []), PATH).count() == 0
+
+
+def test_all_training_documents_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(attention, "STEPS", 1)
+    held = {}
+    fit = attention.fit
+    monkeypatch.setattr(attention, "fit", lambda *a: held.setdefault("m", fit(*a)))
+    rows = [(i, prose(random.Random(i), 30), "en", "s", 1) for i in range(900)]
+    attention.score(docs_frame(spark, rows).repartition(3), PATH)
+    model, sub = held["m"], attention.Subwords(PATH)
+    docs = [sub.flat(r[1].encode().lower().split() + [b""])[0] for r in rows if fold_of(r[0], 7) != 2]
+    assert len(docs) > 700 and model.learned == sum(-(-len(d) // attention.STRIDE) for d in docs)
+    asked = set(np.concatenate(docs).tolist())                           # each has neighbours, so a class of its kind
+    assert asked == set(model.symbols.tolist()) and (model.kind < attention.CLASSES).all()
+    assert len(set(model.kind.tolist())) > attention.SINGLE + 10
