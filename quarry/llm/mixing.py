@@ -3,8 +3,13 @@
 Token sums per cell (source, language, topic) are raked until their margins
 meet the targets: source factors, then language factors, then topic factors,
 again and again.  Documents are then sampled with the probability of their
-cell, scaled so that the expected tokens are ``keep`` of all tokens (no
-document more than once).
+cell.  The expected tokens are ``keep`` of all tokens, no document is drawn
+more than once, and the margins are fitted again under that bound: cells that
+would need more than their tokens are kept whole and the others of the margin
+make up for them.  Where a whole source, language or topic has fewer tokens
+than its target's part of the budget, the target cannot be met by any draw:
+all of it is kept, and the other values share the rest in proportion to their
+targets.  ``attained`` gives target and expected share of each value.
 
 The cell table is aggregated from the documents once and written.  Source
 factors, of which there may be many, are closed-form sums per source inside
@@ -33,6 +38,8 @@ KEEP = 0.8                  # expected share of tokens kept
 ROUNDS = 60
 TOLERANCE = 1e-6
 SEED = 20
+LOCAL_CELLS = 20_000        # up to so many cells the bounded fit runs in the driver, with LOCAL_ROUNDS rounds
+LOCAL_ROUNDS = 2_000        # (targets near the edge of what the tokens allow converge slowly)
 _STEPS = 64                 # ratio classes per octave when the scale is solved
 
 
@@ -115,25 +122,158 @@ def rake(cells: DataFrame, lang_target: dict | None = None, topic_target: dict |
     return cells.join(out, keys, "left").withColumn("weight", F.coalesce("weight", F.lit(0.0)))
 
 
-def probabilities(raked: DataFrame, keep: float = KEEP) -> DataFrame:
-    """``raked`` plus ``probability`` = min(1, scale * weight / tokens), the
-    scale solving for the expected tokens.  Solved on classes of equal ratio,
-    a bounded number of rows whatever the number of cells."""
-    raked = stash(raked, "mix-raked")
-    ratio = F.col("weight") / F.col("tokens")
+def fill(goal: np.ndarray, room: np.ndarray, budget: float) -> np.ndarray:
+    """Token goals min(room, level * goal) that add up to the budget."""
+    lo, hi = 0.0, 1.0
+    while np.minimum(room, hi * goal).sum() < min(budget, room[goal > 0].sum()) * (1 - 1e-12) and hi < 1e300:
+        hi *= 2
+    for _ in range(200):
+        level = (lo + hi) / 2
+        lo, hi = (level, hi) if np.minimum(room, level * goal).sum() < budget else (lo, level)
+    return np.minimum(room, hi * goal)
+
+
+def _solve(at, goal, t, u):
+    """Factors at which the bounded sums min(t, factor * u) meet the goals."""
+    lo, hi = np.full(len(goal), -10.0), np.full(len(goal), 10.0)
+    for _ in range(50):
+        mid = (lo + hi) / 2
+        low = np.bincount(at, weights=np.minimum(t, u * np.exp(mid)[at]), minlength=len(goal)) < goal
+        lo, hi = np.where(low, mid, lo), np.where(low, hi, mid)
+    return np.exp((lo + hi) / 2)
+
+
+def _fit_bounded(t: np.ndarray, w: np.ndarray, margins: list, budget: float) -> np.ndarray:
+    """Expected tokens of the cells; ``margins`` hold the cells' position in
+    each margin, the source last, so that the budget is met exactly."""
+    goals = [fill(np.bincount(at, weights=w), np.bincount(at, weights=t), budget) for at in margins]
+    u = w * budget
+    for _ in range(LOCAL_ROUNDS):
+        for at, goal in zip(margins, goals):
+            u = np.clip(u * _solve(at, goal, t, u)[at], 1e-250, 1e250)
+        x = np.minimum(t, u)
+        if max(np.abs(np.bincount(at, weights=x) - goal).max() for at, goal in zip(margins, goals)) <= TOLERANCE * budget:
+            break
+    return x
+
+
+def _level(rows: DataFrame, budget: float) -> float:
+    """The level of ``fill`` for a table (goal, room), solved on classes of
+    equal ratio, a bounded number of rows; refined within the class hit."""
+    ratio = F.col("room") / F.col("goal")
     kind = F.floor(F.log2(ratio) * _STEPS)
-    rows = (raked.where("tokens > 0 AND weight > 0").groupBy(kind.alias("k"))
-            .agg(F.sum("tokens").alias("t"), F.sum("weight").alias("w"), F.max(ratio).alias("r")).collect())
-    scale = 0.0
-    if rows:
-        t, w = np.array([r["t"] for r in rows], float), np.array([r["w"] for r in rows], float)
-        want = keep * (raked.agg(F.sum("tokens")).first()[0] or 0)
-        lo, hi = 0.0, 2.0 * float((t / w).max())
-        for _ in range(200):
-            scale = (lo + hi) / 2
-            lo, hi = (scale, hi) if np.minimum(t, scale * w).sum() < want else (lo, scale)
-    return raked.withColumn("probability", F.when(
-        F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(float(scale)) * ratio)).otherwise(F.lit(1.0)))
+    got = (rows.where("goal > 0 AND room > 0").groupBy(kind.alias("k"))
+           .agg(F.sum("room").alias("t"), F.sum("goal").alias("w"), F.min(ratio).alias("lo"),
+                F.max(ratio).alias("hi")).orderBy("k").collect())
+    below, above, level = 0.0, sum(r["w"] for r in got), 0.0
+    for r in got:
+        if below + r["hi"] * (above - r["w"]) + r["t"] >= budget:            # the level lies in or before this class
+            level = (budget - below) / above
+            if level <= r["lo"]:
+                return level
+            inner = np.array(rows.where((F.col("goal") > 0) & (F.col("room") > 0) & (kind == r["k"]))
+                             .groupBy(ratio.alias("r")).agg(F.sum("room"), F.sum("goal")).orderBy("r")
+                             .limit(100_000).collect(), dtype=float)
+            for q, t, w in inner:
+                level = (budget - below) / above
+                if level <= q:
+                    return level
+                below, above = below + t, above - w
+            return (budget - below) / above if above > 0 else r["hi"]
+        below, above = below + r["t"], above - r["w"]
+    return got[-1]["hi"] * 2 if got else 0.0
+
+
+def probabilities(raked: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
+    """``raked`` plus ``probability``: the expected tokens are ``keep`` of all,
+    and their margins those of ``weight`` as far as the tokens allow.
+
+    A cell's expected tokens are min(tokens, weight * source factor * language
+    factor * topic factor).  Source factors are closed-form sums inside Spark;
+    the others are solved on classes of equal ratio per (language, topic), a
+    bounded number of rows whatever the number of cells."""
+    raked = stash(raked, "mix-raked")
+    spark = raked.sparkSession
+    live = raked.where("tokens > 0 AND weight > 0").select("source", "lang", "topic", "tokens", "weight")
+    sums = live.groupBy("lang", "topic").agg(F.sum("tokens").alias("t"), F.sum("weight").alias("w")).collect()
+    zero = F.when(F.col("tokens") > 0, 0.0).otherwise(1.0)
+    if not sums:
+        return raked.withColumn("probability", zero)
+    budget = min(keep * (raked.agg(F.sum("tokens")).first()[0] or 0), float(sum(r["t"] for r in sums)))
+    langs, topics = sorted({r["lang"] for r in sums}), sorted({r["topic"] for r in sums})
+    at_l, at_t = {x: i for i, x in enumerate(langs)}, {x: i for i, x in enumerate(topics)}
+    keys = ["source", "lang", "topic"]
+    if live.count() <= LOCAL_CELLS:
+        rows = live.orderBy(*keys).collect()                         # at most LOCAL_CELLS
+        t, w = (np.array([float(r[c]) for r in rows]) for c in ("tokens", "weight"))
+        x = _fit_bounded(t, w, [np.unique([r[c] for r in rows], return_inverse=True)[1] for c in reversed(keys)], budget)
+        out = spark.createDataFrame([(*r[:3], float(p)) for r, p in zip(rows, x / t)],
+                                    "source string, lang string, topic string, probability double")
+        return (raked.join(F.broadcast(out), keys, "left")
+                .withColumn("probability", F.coalesce(F.least(F.col("probability"), F.lit(1.0)), zero)))
+    margin = lambda c, at, v: np.bincount([at[r[c]] for r in sums], weights=[float(r[v]) for r in sums])
+    goal_l = fill(margin("lang", at_l, "w"), margin("lang", at_l, "t"), budget)
+    goal_t = fill(margin("topic", at_t, "w"), margin("topic", at_t, "t"), budget)
+    by_source = stash(live.groupBy("source").agg(F.sum("weight").alias("goal"), F.sum("tokens").cast("double").alias("room")),
+                      "mix-sources")
+    level = _level(by_source, budget)
+    by_source = by_source.select("source", F.least(F.col("room"), F.col("goal") * float(level)).alias("goal"))
+    live = stash(live.join(by_source, "source"), "mix-live")
+    factor = np.ones((len(langs), len(topics)))
+
+    def expected(f: np.ndarray) -> DataFrame:
+        """Cells with ``x``, the tokens expected of them, and ``u`` before the bound."""
+        rows = [(x, y, float(f[i, j])) for i, x in enumerate(langs) for j, y in enumerate(topics)]
+        small = F.broadcast(spark.createDataFrame(rows, "lang string, topic string, f double"))
+        part = live.join(small, ["lang", "topic"]).withColumn("u", F.col("weight") * F.col("f"))
+        part = part.withColumn("r", F.col("tokens") / F.col("u"))
+        own = Window.partitionBy("source")                           # languages x topics rows per source
+        upto = own.orderBy("r", "lang", "topic").rowsBetween(Window.unboundedPreceding, 0)
+        after = own.orderBy("r", "lang", "topic").rowsBetween(1, Window.unboundedFollowing)
+        part = part.withColumn("__rest", F.coalesce(F.sum("u").over(after), F.lit(0.0)))
+        # a cell is kept whole if its source's goal is not reached when its factor meets the bound
+        part = part.withColumn("whole", F.sum("tokens").over(upto) + F.col("r") * F.col("__rest")
+                               <= F.col("goal") * (1 + 1e-12))
+        full = F.sum(F.when(F.col("whole"), F.col("tokens")).otherwise(0)).over(own)
+        free = F.sum(F.when(F.col("whole"), 0.0).otherwise(F.col("u"))).over(own)
+        part = part.withColumn("a", F.when(free > 0, F.greatest(F.col("goal") - full, F.lit(0.0)) / free)
+                               .otherwise(F.max("r").over(own)))
+        return (part.withColumn("u", F.col("u") * F.col("a"))
+                .withColumn("x", F.when(F.col("whole"), F.col("tokens").cast("double"))
+                            .otherwise(F.least(F.col("tokens").cast("double"), F.col("u")))))
+
+    for _ in range(rounds):
+        kind = F.when(F.col("whole") | (F.col("u") >= F.col("tokens")), -1 - F.floor(F.log2(F.greatest(
+            F.col("u") / F.col("tokens"), F.lit(1.0))) * _STEPS)).otherwise(
+            F.floor(F.log2(F.col("tokens") / F.col("u")) * _STEPS))
+        got = (expected(factor).groupBy("lang", "topic", kind.alias("k"))
+               .agg(F.sum("tokens").alias("t"), F.sum("u").alias("u"), F.sum("x").alias("x")).collect())
+        i, j = np.array([at_l[r["lang"]] for r in got]), np.array([at_t[r["topic"]] for r in got])
+        t, u, x = (np.array([float(r[c]) for r in got]) for c in "tux")
+        off = max(np.abs(np.bincount(i, weights=x, minlength=len(langs)) - goal_l).max(),
+                  np.abs(np.bincount(j, weights=x, minlength=len(topics)) - goal_t).max())
+        if off <= TOLERANCE * budget:
+            break
+        for _ in range(10):                                          # languages, then topics
+            for axis, (at, goal) in enumerate(((i, goal_l), (j, goal_t))):
+                step = _solve(at, goal, t, u)
+                u = u * step[at]
+                factor = factor * (step[None, :] if axis else step[:, None])
+        factor = np.clip(factor / np.exp(np.log(factor).mean()), 1e-30, 1e30)
+    out = expected(factor).select("source", "lang", "topic", (F.col("x") / F.col("tokens")).alias("probability"))
+    return (raked.join(out, keys, "left")
+            .withColumn("probability", F.coalesce(F.least(F.col("probability"), F.lit(1.0)), zero)))
+
+
+def attained(cells: DataFrame) -> DataFrame:
+    """(margin, value, target, share) of a table of ``probabilities``: each
+    value's raked weight and its share of the expected tokens."""
+    x = F.when(F.col("tokens") > 0, F.col("tokens") * F.col("probability")).otherwise(0.0)
+    whole = cells.agg(F.sum(x).alias("__all"))
+    one = lambda c: (cells.groupBy(F.lit(c).alias("margin"), F.col(c).alias("value"))
+                     .agg(F.sum("weight").alias("target"), F.sum(x).alias("x")))
+    return (one("source").unionByName(one("lang")).unionByName(one("topic")).crossJoin(F.broadcast(whole))
+            .select("margin", "value", "target", (F.col("x") / F.col("__all")).alias("share")))
 
 
 def calibrate(docs: DataFrame, topic=None, lang_target: dict | None = None, topic_target: dict | None = None,

@@ -48,6 +48,36 @@ def test_probabilities_meet_the_budget(spark):
     assert abs(sum(r.tokens * r.probability for r in got) / sum(cells.values()) - 0.6) < 1e-4
 
 
+@pytest.mark.parametrize("local, keep", [(20_000, 0.4), (0, 0.3)])
+def test_probabilities_meet_the_margins(spark, monkeypatch, local, keep):
+    monkeypatch.setattr(mixing, "LOCAL_CELLS", local)
+    rng = np.random.default_rng(5)
+    # a hot source and many small ones; cells of one size apart, so that the bound acts on many
+    cells = {(f"s{i}", x, y): int(n * rng.integers(1, 40)) for i in range(30) for x, n in (("en", 50), ("de", 20), ("fr", 9))
+             for y in ("prose", "table")}
+    cells |= {("hot", x, y): 20_000 for x in ("en", "de", "fr") for y in ("prose", "table")}
+    df = spark.createDataFrame([(*k, t) for k, t in cells.items()], "source string, lang string, topic string, tokens bigint")
+    got = mixing.probabilities(mixing.rake(df, {"en": 0.35, "de": 0.35, "fr": 0.3}, {"prose": 0.6, "table": 0.4}), keep)
+    rows = got.collect()
+    whole = sum(cells.values())
+    assert sum(r.probability > 1 - 1e-9 for r in rows) > 20              # the bound acts
+    assert abs(sum(r.tokens * r.probability for r in rows) / whole - keep) < 1e-5
+    report = {(r.margin, r.value): r for r in mixing.attained(got).collect()}
+    for axis, name in enumerate(("source", "lang", "topic")):
+        room, want = defaultdict(int), defaultdict(float)
+        for k, t in cells.items():
+            room[k[axis]] += t
+        for r in rows:
+            want[r[name]] += r.weight
+        names = sorted(room)
+        goal = mixing.fill(np.array([want[v] for v in names]), np.array([room[v] for v in names], float), keep * whole)
+        assert abs(goal.sum() - keep * whole) < 1e-3
+        for v, g in zip(names, goal):
+            assert abs(report[name, v].share - g / (keep * whole)) < 1e-4 and abs(report[name, v].target - want[v]) < 1e-9
+            if name != "source":                                         # within reach here: the targets themselves
+                assert abs(report[name, v].share - want[v]) < 1e-4
+
+
 def test_rows_and_draws(spark):
     rows = corpus(200)
     df = docs_frame(spark, rows, extra=True)
