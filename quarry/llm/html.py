@@ -19,7 +19,8 @@ feed; ``br`` is white space.  A title element is not part of the article.
 Defined cases: null, empty and markup-free html give the plain text there is
 (none: an empty string); unclosed and misnested elements are closed where a
 block begins; a host whose pages are all equal, or too few, has no template;
-if the template would leave nothing, the page is read without it; a null or
+if the template would leave nothing, the page is read without it, and if
+names alone still leave nothing, without them; a null or
 malformed url is a host of its own; repeated rows give equal results; an
 empty table gives no rows; further columns are ignored.
 """
@@ -56,6 +57,8 @@ BOILERPLATE_WORDS = set(
     "newsletter notice notices notification outbrain overlay pager pagination popup promo promoted promotion "
     "recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored "
     "subscribe subscription taboola teaser toolbar topbar widget widgets".split())
+STATE_WORDS = set("has no not with without is".split())      # "has-sidebar" tells of a page, not of the element
+REMARKS = set("comment comments disqus replies reply respond responses".split())
 BOILERPLATE_WORDS |= {"alert", "responses", "sidenav", "sidemenu", "leaderboard", "adsense", "adslot", "adbox"}
 
 _TOKEN = re.compile(
@@ -70,25 +73,30 @@ class Node:
     """A structural element: its key, whether it is boilerplate, and its
     blocks and child nodes in page order."""
 
-    __slots__ = ("tag", "key", "drop", "items", "title", "head")
+    __slots__ = ("tag", "key", "drop", "items", "title", "head", "named")
 
-    def __init__(self, tag: str, key: str, drop: bool):
-        self.tag, self.key, self.drop, self.items, self.title = tag, key, drop, [], False
+    def __init__(self, tag: str, key: str, drop: bool, named: frozenset = frozenset()):
+        self.tag, self.key, self.drop, self.items, self.title = tag, key, drop or bool(named), [], False
+        self.named = frozenset() if drop else named              # words that alone make it boilerplate
         self.head = tag == "header" or tag == "div" and "header" in key.split()
 
     def children(self):
         return [x for x in self.items if isinstance(x, Node)]
 
 
-def _open(tag: str, raw: str) -> Node:
+def _open(tag: str, raw: str, by_name: bool = True) -> Node:
     attrs = {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)} if raw.strip() else {}
     names = [w.lower() for w in _NAME.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}")]
     drop = (tag in BOILERPLATE or attrs.get("role", "").lower() in BOILERPLATE_ROLES or "hidden" in attrs
             or attrs.get("aria-hidden", "").lower() == "true"
             or "display:none" in attrs.get("style", "").replace(" ", "").lower())
-    if tag not in ("html", "body", "main"):
-        drop = drop or any(w in BOILERPLATE_WORDS for w in names)
-    return Node(tag, " ".join([tag, *sorted(set(names))]), drop)
+    named: set = set()
+    if by_name and tag not in ("html", "body", "main"):
+        for token in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+            parts = {w.lower() for w in _NAME.findall(token)}
+            if not parts & STATE_WORDS:
+                named |= parts & BOILERPLATE_WORDS
+    return Node(tag, " ".join([tag, *sorted(set(names))]), drop, frozenset(named))
 
 
 class _Blocks:
@@ -109,8 +117,9 @@ class _Blocks:
         self.parts, self.linked = [], 0
 
 
-def parse(html: str | None) -> Node:
-    """The tree of a page; never fails on malformed markup."""
+def parse(html: str | None, by_name: bool = True) -> Node:
+    """The tree of a page; never fails on malformed markup.  Without
+    ``by_name``, class and id words make nothing boilerplate."""
     root = Node("html", "html", False)
     stack = [root]
     held = _Blocks()
@@ -147,7 +156,7 @@ def parse(html: str | None) -> Node:
             if tag in ("html", "body"):
                 continue
             if not closing:
-                node = _open(tag, m[3])
+                node = _open(tag, m[3], by_name)
                 if len(stack) < MAX_DEPTH and not m[3].rstrip().endswith("/"):
                     stack[-1].items.append(node)
                     stack.append(node)
@@ -163,7 +172,7 @@ def parse(html: str | None) -> Node:
             else:
                 if skip and skip[-1] == tag and tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                     skip.pop()                  # an unclosed one of the same kind ends here
-                if skip or ("=" in m[3] or "hidden" in m[3]) and _open(tag, m[3]).drop:
+                if skip or ("=" in m[3] or "hidden" in m[3]) and _open(tag, m[3], by_name).drop:
                     if tag not in VOID:
                         skip.append(tag)
                 if tag == "h1":
@@ -177,9 +186,26 @@ def parse(html: str | None) -> Node:
         # a header may hold the title of its article; elsewhere it is page furniture
         if node.head and not any(n.title for n in _walk(node)):
             node.drop = True
+    _restore(root)
     return root
 
 
+def _restore(root: Node) -> None:
+    """What is boilerplate by its names alone stays if it holds an article,
+    a main element or a title, or (remarks aside) most of the page's text."""
+    size: dict = {}
+    holds: dict = {}
+    nodes = list(_walk(root))[::-1]                                  # children first
+    for n in nodes:
+        kids = n.children()
+        size[id(n)] = sum(size[id(c)] for c in kids) + sum(len(b[0]) for b in n.items if not isinstance(b, Node))
+    for n in nodes:
+        kids = [c for c in n.children() if not c.drop]
+        holds[id(n)] = n.title or any(c.tag in ("article", "main") or holds[id(c)] for c in kids)
+        if n.named and (holds[id(n)] or 2 * size[id(n)] > size[id(root)] and not n.named & REMARKS):
+            n.drop = False
+
+
 def _walk(node: Node):
     todo = [node]
     while todo:
@@ -310,10 +336,11 @@ def _main_nodes(root: Node, tag: str) -> list[Node]:
 
 def extract(html: str | None, wrapper: list | None = None) -> str:
     """Main text of a page, given the wrapper of its host."""
-    root = parse(html)
     pages = wrapper[1] if wrapper else 0
     usable = wrapper if wrapper and pages >= MIN_PAGES and wrapper[4] else None
-    for template in ([usable, None] if usable else [None]):
+    # if nothing is left: without the template, then without the names
+    for template, by_name in [(usable, True), *([(None, True)] if usable else []), (usable, False), (None, False)]:
+        root = parse(html, by_name)
         marked: list = []
         _text(root, template, pages, False, marked)
         for tag in ("article", "main"):

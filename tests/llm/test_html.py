@@ -44,6 +44,18 @@ def test_article_wins_and_keeps_its_own_header():
     assert html.extract(page) == "H\nx <y>\na\nb"
 
 
+def test_names_do_not_drop_the_article():
+    body = "<h2>T</h2><p>The first paragraph.</p><p>The second paragraph.</p>"
+    want = "T\nThe first paragraph.\nThe second paragraph."
+    for page in (f'<div class="layout no-sidebar"><article>{body}</article></div>',
+                 f'<div id="content" class="has-menu">{body}</div>', f'<article class="post has-comments">{body}</article>',
+                 f'<div class="related-work">{body}</div><div class="sidebar"><p>x</p></div>',
+                 f'<div class="banner"><article>{body}</article></div>', f'<ul class="menu"><li>T<li>The first paragraph.'
+                 '<li>The second paragraph.</ul>'):
+        assert html.extract(f"<body>{page}</body>") == want, page
+    assert html.extract(f'<div>{body}</div><div class="comments"><p>{"long remark " * 50}</p></div>') == want
+
+
 def test_simple_tree_matching():
     leaf = lambda k: [k, 1, [], []]
     size, pairs = html.match([leaf("a"), leaf("b"), ["c", 1, [], [leaf("d"), leaf("e")]]],
