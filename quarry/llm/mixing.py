@@ -210,7 +210,7 @@ def probabilities(raked: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) ->
         out = spark.createDataFrame([(*r[:3], float(p)) for r, p in zip(rows, x / t)],
                                     "source string, lang string, topic string, probability double")
         return (raked.join(F.broadcast(out), keys, "left")
-                .withColumn("probability", F.coalesce(F.least(F.col("probability"), F.lit(1.0)), zero)))
+                .withColumn("probability", F.least(F.coalesce(F.col("probability"), zero), F.lit(1.0))))
     margin = lambda c, at, v: np.bincount([at[r[c]] for r in sums], weights=[float(r[v]) for r in sums])
     goal_l = fill(margin("lang", at_l, "w"), margin("lang", at_l, "t"), budget)
     goal_t = fill(margin("topic", at_t, "w"), margin("topic", at_t, "t"), budget)
@@ -262,7 +262,7 @@ def probabilities(raked: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) ->
         factor = np.clip(factor / np.exp(np.log(factor).mean()), 1e-30, 1e30)
     out = expected(factor).select("source", "lang", "topic", (F.col("x") / F.col("tokens")).alias("probability"))
     return (raked.join(out, keys, "left")
-            .withColumn("probability", F.coalesce(F.least(F.col("probability"), F.lit(1.0)), zero)))
+            .withColumn("probability", F.least(F.coalesce(F.col("probability"), zero), F.lit(1.0))))
 
 
 def attained(cells: DataFrame) -> DataFrame:
