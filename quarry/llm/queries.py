@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, html, langid, mixing, packing, quality, simhash, substring, topk, toxicity
+from . import attention, html, langid, mixing, packing, quality, resampling, simhash, substring, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -62,3 +62,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_proportional_mixing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture_rows(read_table(spark, sf_dir, "documents"))
+
+
+@register("op11_importance_resampling", resampling.oracle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
