@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import attention, html, langid, mixing, packing, quality, resampling, simhash, substring, topk, toxicity
+from . import alignment, attention, html, langid, mixing, packing, pii, quality, resampling, simhash, substring, topk, toxicity
 from .common import read_table
 from .registry import REGISTRY, register  # noqa: F401
 
@@ -67,3 +67,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_importance_resampling", resampling.oracle_sql())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return alignment.align(read_table(spark, sf_dir, "documents"), tokenizer_path(),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op13_skip_chain_pii")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(read_table(spark, sf_dir, "documents"))
