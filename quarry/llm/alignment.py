@@ -6,10 +6,12 @@ tokens are sorted by start (``lexsort``), ``maximum.accumulate`` gives the
 furthest end so far, and a group starts where a token's start reaches it.
 Inside a group the overlapping pairs are expanded from the sorted ends.
 
-A lone space between two characters that are not white space starts a token
-in both vocabularies (no pattern or piece holds such a space inside), so no
-group crosses one.  Texts are cut there and the distinct chunks of a block of
-texts are encoded and coalesced together, once.
+A lone space or line break between two characters that are not white space
+starts a token in both vocabularies, and so does a comma or full stop between
+a Latin letter and white space (checked on the vocabulary: no piece holds a line
+break, or a letter before such a mark), so no group crosses one.  Texts are
+cut there and the distinct chunks of a block of texts are encoded and
+coalesced together, once.
 
 Links are the A-B token pairs whose byte ranges end together
 (``links="end"``) or overlap (``links="overlap"``).  Corpus-wide counts of
@@ -31,7 +33,7 @@ import os
 import re
 from functools import lru_cache
 from hashlib import sha256
-from operator import itemgetter
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,10 +42,9 @@ from pyspark.sql import functions as F
 from .common import byte_texts, release, slices, stash
 
 HEAD = 1 << 18              # broadcast pairs hold at least 1/HEAD of all links each
-CACHE_CHUNKS = 100_000      # aligned chunks a worker remembers (speed only)
-LONG_CHUNK = 64             # longer chunks are not remembered
+CACHE_CHUNKS = 300_000      # aligned chunks a worker remembers (speed only)
 
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _COLUMNS = ("doc_id bigint, row bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
             "groups string, groups_sha256 string, pairs array<bigint>, times array<int>")
 
@@ -84,91 +85,170 @@ _PAIRS = {"end": end_pairs, "overlap": overlap_pairs}
 
 # ---- the two vocabularies ---------------------------------------------------
 
-@lru_cache(maxsize=2)
-def _vocabularies(a_path: str, b_path: str):
-    """(A's encode_batch, bytes of A's ids, B's encode, bytes of B's ids)."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    import sentencepiece
-    from tokenizers import Tokenizer
-    a = Tokenizer.from_file(a_path)
-    a.encode_special_tokens = True
-    # byte-level vocabularies write each byte as a printable character
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    shown = {chr(x): x for x in plain}
-    shown.update({chr(256 + k): x for k, x in enumerate(sorted(set(range(256)) - set(plain)))})
-    a_bytes = [b""] * a.get_vocab_size()
-    special = {t.content for t in a.get_added_tokens_decoder().values()}
-    for token, i in a.get_vocab().items():
-        a_bytes[i] = token.encode() if token in special else bytes(map(shown.__getitem__, token))
-    b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-    b_bytes = [bytes([int(b.id_to_piece(i)[1:-1], 16)]) if b.is_byte(i) else
-               b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.get_piece_size())]
-    return (lambda texts: [e.ids for e in a.encode_batch(texts, add_special_tokens=False)], a_bytes,
-            lambda texts: b.encode(texts, num_threads=1), b_bytes)
+class _Vocabularies:
+    """Ids and token bytes of both tokenizers, for whole chunks of text."""
+
+    def __init__(self, a_path: str, b_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import sentencepiece
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        from .packing import SPLIT_PATTERN
+        self.a = Tokenizer.from_file(a_path)
+        self.a.encode_special_tokens = True
+        # byte-level vocabularies write each byte as a printable character
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        shown = {chr(x): x for x in plain}
+        shown.update({chr(256 + k): x for k, x in enumerate(sorted(set(range(256)) - set(plain)))})
+        special = {t.content for t in self.a.get_added_tokens_decoder().values()}
+        self.a_bytes = [b""] * self.a.get_vocab_size()
+        for token, i in self.a.get_vocab().items():
+            self.a_bytes[i] = token.encode() if token in special else bytes(map(shown.__getitem__, token))
+        # the same merges, faster for single chunks; used where both engines know every letter
+        ranks = {self.a_bytes[i]: i for token, i in self.a.get_vocab().items() if token not in special}
+        self.fast = tiktoken.Encoding("chunks", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.b_bytes = [bytes([int(n[1:-1], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode()
+                        for i, n in enumerate(names)]
+        whole = [n for i, n in enumerate(names) if not self.b.is_byte(i)]
+        # where no token of either vocabulary crosses: see the module's text
+        marks = [m for m in ",." if not any(re.search(f"[{_LETTERS}]{re.escape(m)}", n) for n in whole)]
+        cuts = [r"(?<=\S)(?= \S)"]
+        self.breaks = not any("\n" in n for n in whole)
+        if self.breaks:
+            cuts.append(r"(?<=\S)(?=\n\S)")
+            if marks:
+                cuts.append(f"(?<=[{_LETTERS}])(?=[{''.join(marks)}](?:[ \\n]|$))")
+        self.cut = re.compile("|".join(cuts))
+
+    def split(self, text: str) -> list[str]:
+        return self.cut.split(" " + text)
+
+    def a_ids(self, chunks: list[str]) -> list[list[int]]:
+        out = [self.fast(c) if c.isascii() or max(c) < "\u0250" else None for c in chunks]
+        odd = [i for i, ids in enumerate(out) if ids is None]
+        for i, e in zip(odd, self.a.encode_batch([chunks[i] for i in odd], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    def b_ids(self, chunks: list[str]) -> list[list[int]]:
+        """The encoder puts a space before every text: chunks that begin with
+        one are given without it, others behind a line break, which is always a
+        token of its own."""
+        drop = [0 if c[0] == " " else 1 if c[0] == "\n" else 2 for c in chunks]
+        given = [c[1:] if d == 0 else c if d == 1 else "\n" + c for c, d in zip(chunks, drop)]
+        return [ids[d:] if d else ids for ids, d in zip(self.b.encode(given, num_threads=1), drop)]
+
+
+@lru_cache(maxsize=1)
+def _vocabularies(a_path: str, b_path: str) -> _Vocabularies:
+    return _Vocabularies(a_path, b_path)
 
 
 class _Aligner:
-    """Aligned chunks: (A tokens, B tokens, groups, links, groups as text, pair ids as bytes)."""
+    """Aligned chunks of text, remembered by number.
+
+    ``counts`` holds a chunk's A tokens, B tokens and groups; its links are the
+    run ``first`` .. of ``keys``; ``shown`` is its groups as text, each with a
+    closing ``;`` (None: the bytes do not agree).
+    """
 
     def __init__(self, a_path: str, b_path: str, links: str):
-        self.a_encode, self.a_bytes, self.b_encode, self.b_bytes = _vocabularies(a_path, b_path)
-        self.pairs, self.known = _PAIRS[links], {}
-
-    def chunks(self, chunks: list[str]) -> dict:
-        """Align chunks (given without their leading space) together."""
-        out, fit = {}, []
-        spaced = [" " + c for c in chunks]
-        for chunk, text, a, b in zip(chunks, spaced, self.a_encode(spaced), self.b_encode(chunks)):
-            a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_bytes) == b"".join(b_bytes) == text.encode():
-                fit.append((chunk, a, b, a_bytes, b_bytes))
-            else:
-                out[chunk] = None
-        if not fit:
-            return out
-        a_ids = np.concatenate([np.asarray(f[1], dtype=np.int64) for f in fit])
-        b_ids = np.concatenate([np.asarray(f[2], dtype=np.int64) for f in fit])
-        a_ends = np.cumsum([len(x) for f in fit for x in f[3]])         # one byte line over all chunks
-        b_ends = np.cumsum([len(x) for f in fit for x in f[4]])
-        starts = np.concatenate([[0], a_ends[:-1], [0], b_ends[:-1]])
-        order, group = coalesce(starts, np.concatenate([a_ends, b_ends]))
-        group_of = np.empty(len(order), dtype=np.int64)
-        group_of[order] = group
-        a_group, b_group = group_of[:len(a_ids)], group_of[len(a_ids):]
-        a_cut = np.searchsorted(a_group, np.arange(group[-1] + 2)).tolist()
-        b_cut = np.searchsorted(b_group, np.arange(group[-1] + 2)).tolist()
-        a_text, b_text = a_ids.astype(str).tolist(), b_ids.astype(str).tolist()
-        shown = [f"{','.join(a_text[p:q])}|{','.join(b_text[r:s])}"
-                 for p, q, r, s in zip(a_cut, a_cut[1:], b_cut, b_cut[1:])]
+        self.v, self.pairs = _vocabularies(a_path, b_path), _PAIRS[links]
+        # texts of ids by (side, last of its group's side)
+        n_a, n_b = len(self.v.a_bytes), len(self.v.b_bytes)
+        self.texts_of = [f"{i}{sep}" for n, seps in ((n_a, ",|"), (n_b, ",;")) for sep in seps for i in range(n)]
+        self.offsets = np.asarray([0, n_a, 2 * n_a, 2 * n_a + n_b])
+        self.text_len = np.asarray([len(x) for x in self.texts_of])
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.shown: list = []
+        self.counts = np.zeros((0, 3), dtype=np.int64)
+        self.first = np.zeros(1, dtype=np.int64)
+        self.keys = np.zeros(0, dtype=np.int64)
+
+    def _fitting(self, chunks, a, b):
+        """Chunks whose joined A and B bytes are the chunk itself."""
+        whole = "".join(chunks).encode()
+        if b"".join([self.v.a_bytes[i] for ids in a for i in ids]) == whole \
+                and b"".join([self.v.b_bytes[i] for ids in b for i in ids]) == whole:
+            return [True] * len(chunks)
+        return [b"".join([self.v.a_bytes[i] for i in x]) == b"".join([self.v.b_bytes[i] for i in y]) == c.encode()
+                for c, x, y in zip(chunks, a, b)]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Align new chunks together: one line of bytes over all of them."""
+        a, b = self.v.a_ids(chunks), self.v.b_ids(chunks)
+        fits = self._fitting(chunks, a, b)
+        if not all(fits):
+            a = [x if f else [] for x, f in zip(a, fits)]
+            b = [x if f else [] for x, f in zip(b, fits)]
+        n_a = np.fromiter(map(len, a), np.int64, len(a))
+        n_b = np.fromiter(map(len, b), np.int64, len(b))
+        a_ids = np.fromiter(chain.from_iterable(a), np.int64, int(n_a.sum()))
+        b_ids = np.fromiter(chain.from_iterable(b), np.int64, int(n_b.sum()))
+        a_ends = np.cumsum(np.asarray([len(x) for x in self.v.a_bytes])[a_ids])
+        b_ends = np.cumsum(np.asarray([len(x) for x in self.v.b_bytes])[b_ids])
+        starts = np.concatenate([[0], a_ends[:-1], [0], b_ends[:-1]]) if len(a_ids) else np.zeros(0, np.int64)
+        order, sorted_group = coalesce(starts, np.concatenate([a_ends, b_ends]))
+        group = np.empty(len(order), dtype=np.int64)
+        group[order] = sorted_group
+        side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
+        # groups as text: A's tokens, then B's, a separator behind each
+        line = np.lexsort((np.arange(len(group)), side, group))
+        last = np.ones(len(line), dtype=np.int64)
+        last[:-1] = (group[line][1:] != group[line][:-1]) | (side[line][1:] != side[line][:-1])
+        code = np.concatenate([a_ids, b_ids])[line] + self.offsets[side[line] * 2 + last]
+        text = "".join([self.texts_of[c] for c in code.tolist()])
+        text_end = np.cumsum(self.text_len[code])
+        done = np.cumsum(n_a + n_b)                         # tokens up to each chunk's end, in `line` too
+        cut = np.concatenate([[0], text_end])[np.concatenate([[0], done])].tolist()
+        self.shown += [text[p:q] if f else None for p, q, f in zip(cut, cut[1:], fits)]
+        a_done = np.concatenate([[0], np.cumsum(n_a)])
+        opens = np.concatenate([group[:len(a_ids)], [sorted_group[-1] + 1 if len(order) else 0]])
+        n_groups = np.diff(opens[a_done])                   # groups begin with an A token each
         a_at, b_at = self.pairs(a_ends, b_ends)
-        keys = (a_ids[a_at] << 32) | b_ids[b_at]
-        a_done = b_done = 0
-        for chunk, a, b, _, _ in fit:
-            lo, a_done, b_done = a_done, a_done + len(a), b_done + len(b)
-            g0, g1 = int(a_group[lo]), int(a_group[a_done - 1]) + 1
-            k0, k1 = np.searchsorted(a_at, (lo, a_done))
-            out[chunk] = (len(a), len(b), g1 - g0, int(k1 - k0), ";".join(shown[g0:g1]), keys[k0:k1].tobytes())
-        return out
-
-    def texts(self, texts: list[bytes]) -> list:
-        """Per text: the aligned chunks, or None if it has no tokens."""
+        first = np.searchsorted(a_at, a_done)
+        known = len(self.number)
+        self.number.update(zip(chunks, range(known, known + len(chunks))))
+        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups], 1)])
+        self.first = np.concatenate([self.first, self.first[-1] + first[1:]])
+        self.keys = np.concatenate([self.keys, (a_ids[a_at] << 32) | b_ids[b_at]])
+
+    def texts(self, texts: list[bytes]):
+        """Per text None (no tokens) or (A tokens, B tokens, groups, links,
+        groups as text, id pairs, times of each)."""
         split = []
         for raw in texts:
             try:
-                split.append(_LONE_SPACE.split(raw.decode()) if raw else None)
+                split.append(self.v.split(raw.decode()) if raw else None)
             except UnicodeDecodeError:
                 split.append(None)
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        new = list(dict.fromkeys(c for cs in split if cs for c in cs if c not in self.known))
-        fresh = {}
-        for lo in range(0, len(new), 20_000):
-            fresh.update(self.chunks(new[lo:lo + 20_000]))
-        self.known.update((c, v) for c, v in fresh.items() if len(c) <= LONG_CHUNK)
+        if len(self.number) > CACHE_CHUNKS or len(self.keys) > 8 * CACHE_CHUNKS:
+            self.forget()
+        new = list(dict.fromkeys(c for cs in split if cs for c in cs if c not in self.number))
+        for lo in range(0, len(new), 50_000):
+            self.learn(new[lo:lo + 50_000])
         out = []
         for cs in split:
-            got = [fresh[c] if c in fresh else self.known[c] for c in cs] if cs else [None]
-            out.append(None if None in got else got)
+            if cs is None:
+                out.append(None)
+                continue
+            numbers = list(map(self.number.__getitem__, cs))
+            shown = list(map(self.shown.__getitem__, numbers))
+            if None in shown:
+                out.append(None)
+                continue
+            at = np.asarray(numbers)
+            lo, n = self.first[at], self.first[at + 1] - self.first[at]
+            total = int(n.sum())
+            keys = self.keys[np.arange(total) + np.repeat(lo - (np.cumsum(n) - n), n)]
+            out.append((*(int(x) for x in self.counts[at].sum(0)), total, "".join(shown)[:-1],
+                        *np.unique(keys, return_counts=True)))
         return out
 
 
@@ -187,14 +267,10 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id"
             texts = byte_texts(batch.column(1))
             for got in aligner.texts(texts):
                 if got is None:
-                    values = (0, 0, 0, 0, "", "", np.zeros(0, np.int64), np.zeros(0, np.int32))
-                else:
-                    groups = ";".join(map(itemgetter(4), got))
-                    keys, times = np.unique(np.frombuffer(b"".join(map(itemgetter(5), got)), dtype=np.int64),
-                                            return_counts=True)
-                    values = (*(sum(map(itemgetter(i), got)) for i in range(4)), groups if with_groups else None,
-                              sha256(groups.encode()).hexdigest(), keys, times)
-                for col, v in zip(cols, values):
+                    got = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32))
+                *counts, groups, keys, times = got
+                digest = sha256(groups.encode()).hexdigest() if groups else ""
+                for col, v in zip(cols, (*counts, groups if with_groups else None, digest, keys, times)):
                     col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(range(row, row + len(texts)), pa.int64()),
