@@ -5,6 +5,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -110,19 +111,73 @@ def with_row_number(df: DataFrame, order_cols: Sequence[str | Column] | None = N
             .drop("__mono", "__pid", "__pos", "__off"))
 
 
-def slice_rows(df: DataFrame, order: Sequence[Column], limit: int = 0, offset: int = 0) -> DataFrame:
+@dataclass(frozen=True)
+class PageIndex:
+    """A table written once in a stated order, with the ordinals its parts
+    begin at; a page reads the parts it lies in and nothing else."""
+    spark: SparkSession
+    path: str
+    starts: tuple[int, ...]             # rows before each part
+    parts: tuple[int, ...]
+    total: int
+
+    def page(self, limit: int = 0, offset: int = 0) -> DataFrame:
+        """Rows ``offset`` .. ``offset + limit`` (0: to the end), in order."""
+        if offset < 0 or limit < 0:
+            raise ValueError("offset and limit must be >= 0")
+        end = min(offset + limit, self.total) if limit else self.total
+        ends = (*self.starts[1:], self.total)
+        hit = [(p, lo) for p, lo, hi in zip(self.parts, self.starts, ends) if lo < end and hi > offset]
+        rows = self.spark.read.option("basePath", f"{self.path}/rows")
+        if not hit:
+            return rows.parquet(f"{self.path}/rows").where(F.lit(False)).drop("__part", "__pos")
+        x = rows.parquet(*[f"{self.path}/rows/__part={p}" for p, _ in hit])
+        start = F.create_map(*[F.lit(v) for p, lo in hit for v in (p, lo)])[F.col("__part").cast("int")]
+        x = x.withColumn("__ord", start.cast("long") + F.col("__pos"))
+        return (x.where((F.col("__ord") >= offset) & (F.col("__ord") < end)).orderBy("__ord")
+                .drop("__part", "__pos", "__ord"))
+
+
+def build_page_index(df: DataFrame, order: Sequence[str | Column], path: str, parts: int | None = None) -> PageIndex:
+    """Write ``df`` under ``path`` in range partitions of ``order``
+    (one folder per part, each row with its place in the part) and the number
+    of rows of every part beside it.  Pages of one index are stable: rows that
+    are equal in ``order`` keep the places they were written at."""
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mono = F.monotonically_increasing_id()
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .withColumn("__part", F.shiftright(mono, 33).cast("int"))
+     .withColumn("__pos", mono.bitwiseAND(F.lit((1 << 33) - 1)))
+     .write.partitionBy("__part").parquet(f"{path}/rows"))
+    df.sparkSession.read.parquet(f"{path}/rows").groupBy("__part").count().coalesce(1).write.parquet(f"{path}/parts")
+    return open_page_index(df.sparkSession, path)
+
+
+def open_page_index(spark: SparkSession, path: str) -> PageIndex:
+    rows = sorted((int(r["__part"]), r["count"]) for r in spark.read.parquet(f"{path}/parts").collect())   # one per part
+    starts, total = [], 0
+    for _, n in rows:
+        starts.append(total)
+        total += n
+    return PageIndex(spark, path, tuple(starts), tuple(p for p, _ in rows), total)
+
+
+def slice_rows(df: DataFrame, order: Sequence[Column], limit: int = 0, offset: int = 0,
+               index: PageIndex | None = None) -> DataFrame:
     """``offset`` then ``limit`` rows (0 = all) of a stated order, with
     ``total`` and ``has_more = offset + returned < total`` on every row.
 
     ``total`` is one count (a scalar); ``returned`` follows from it, so both
-    columns are literals on the page (no join).
+    columns are literals on the page (no join).  With ``index`` (a
+    ``build_page_index`` of the same table and order) the page is read from
+    its parts, without sorting or counting again.
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must be >= 0")
-    total = df.count()
+    total = index.total if index else df.count()
     left = max(total - offset, 0)
     returned = min(limit, left) if limit else left
-    page = page_rows(df, order, limit, offset)
+    page = index.page(limit, offset) if index else page_rows(df, order, limit, offset)
     return page.withColumn("total", F.lit(total).cast("long")) \
                .withColumn("has_more", F.lit(offset + returned < total))
 

@@ -3,8 +3,8 @@
 Physical strategy is Catalyst's and AQE's: equi-joins become sort-merge or
 (broadcast) hash joins, and AQE converts to broadcast at runtime when the
 measured side is small, or splits skewed partitions.  Range joins (J4, J12, J18)
-never fall back to a nested loop: both sides get a bucket key and are
-equi-joined on it, then filtered exactly.
+and glob matches (J9) never fall back to a nested loop: both sides get a key
+(tree node, prefix, literal piece), are equi-joined on it, then filtered exactly.
 """
 
 from __future__ import annotations
@@ -48,23 +48,67 @@ def _num(col: Column, dtype: str) -> Column:
     return col.cast("double")
 
 
+TOP_LEVEL = 4               # a node of the interval tree spans at most 2^TOP_LEVEL blocks
+
+
+def _meet(points: DataFrame, ranges: DataFrame, cuts, point: Column, tie: Column, lo: Column, hi: Column,
+          inclusive_hi: bool) -> DataFrame:
+    """Points x ranges that share a node of a tree over equi-depth blocks; a
+    superset of the pairs with lo <= point < hi (or <= hi), each pair once.
+
+    A point is at its block and the block's ancestors up to ``TOP_LEVEL``; a
+    range is at the nodes that make up its run of blocks: at most two per
+    level and one per top node it contains, so a long range is not copied per
+    block, let alone per unit of time.
+    """
+    p = cuts.with_block(points, point, tie, "__p")
+    p = p.select("*", F.explode(F.array(*[F.struct(F.lit(k).alias("l"), F.shiftright(F.col("__p"), k).alias("i"))
+                                          for k in range(TOP_LEVEL + 1)])).alias("__node"))
+    r = cuts.with_last_below(cuts.with_block(ranges, lo, None, "__lo"), hi, "__hi", inclusive_hi)
+    nodes = []
+    for k in range(TOP_LEVEL + 1):
+        left, right = F.shiftright(F.col("__lo") + (2 ** k - 1), k), F.shiftright(F.col("__hi") + 1, k)
+        some = left < right
+        node = lambda i: F.struct(F.lit(k).alias("l"), i.cast("int").alias("i"))  # noqa: B023, E731
+        if k < TOP_LEVEL:
+            nodes.append(F.when(some & (left % 2 == 1), F.array(node(left))).otherwise(F.array()))
+            nodes.append(F.when(some & (right % 2 == 1), F.array(node(right - 1))).otherwise(F.array()))
+        else:
+            nodes.append(F.when(some, F.transform(F.sequence(left, right - 1), node)).otherwise(F.array()))
+    r = r.select("*", F.explode(F.array_distinct(F.concat(*nodes))).alias("__node"))
+    return p.join(r.drop("__lo", "__hi"), "__node").drop("__node", "__p")
+
+
 def range_join(points: DataFrame, point_col: str, ranges: DataFrame, lo_col: str, hi_col: str,
-               width: float, inclusive_hi: bool = True) -> DataFrame:
+               width: float | None = None, inclusive_hi: bool = True, blocks: int | None = None) -> DataFrame:
     """Pair each point with every range ``lo <= x <= hi`` (or ``< hi``).
 
-    Ranges are exploded into the fixed-width buckets they cover and joined
-    to the point's bucket on equality, so the plan is a hash/sort-merge join
-    with an exact residual filter, not a nested loop.  ``width`` should be
-    near the typical range length (a range covering k buckets is copied k
-    times).
+    By default points are cut into equi-depth blocks and meet the ranges at
+    the nodes of a tree over them (``_meet``): a burst of points is spread
+    over blocks and a wide range costs a few copies.  With ``width``, ranges
+    are copied into the fixed-width buckets they cover, which is cheaper when
+    all ranges have about that length.  Either way the plan is an equi-join
+    with an exact filter, not a nested loop.
     """
     pt = dict(points.dtypes)[point_col]
     lt = dict(ranges.dtypes)[lo_col]
-    p = points.withColumn("__b", _bucket(_num(F.col(point_col), pt), width))
-    r = ranges.withColumn("__b", F.explode(F.sequence(
-        _bucket(_num(F.col(lo_col), lt), width), _bucket(_num(F.col(hi_col), lt), width))))
     cond_hi = F.col(point_col) <= F.col(hi_col) if inclusive_hi else F.col(point_col) < F.col(hi_col)
-    return p.join(r, "__b").filter((F.col(point_col) >= F.col(lo_col)) & cond_hi).drop("__b")
+    exact = (F.col(point_col) >= F.col(lo_col)) & cond_hi
+    if width is not None:
+        p = points.withColumn("__b", _bucket(_num(F.col(point_col), pt), width))
+        r = ranges.withColumn("__b", F.explode(F.sequence(
+            _bucket(_num(F.col(lo_col), lt), width), _bucket(_num(F.col(hi_col), lt), width))))
+        return p.join(r, "__b").filter(exact).drop("__b")
+    from .blocks import equi_depth
+    at, tie = _num(F.col(point_col), pt), F.xxhash64(*[F.col(c) for c in points.columns]).cast("double")
+    cuts = equi_depth(points, at, tie, blocks or _block_count(points))
+    known = ranges.filter(F.col(lo_col).isNotNull() & F.col(hi_col).isNotNull())
+    return _meet(points.filter(F.col(point_col).isNotNull()), known, cuts, at, tie, _num(F.col(lo_col), lt),
+                 _num(F.col(hi_col), lt), inclusive_hi).filter(exact)
+
+
+def _block_count(df: DataFrame) -> int:
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 # ------------------------------------------------------- J5 lookups
@@ -129,42 +173,44 @@ def acl_exposure(objects: DataFrame, acl: DataFrame, object_key: str = "object_i
 
 # ------------------------------------------ J8 effective capabilities
 def role_closure(inherits: DataFrame, role_col: str = "role", parent_col: str = "inherits",
-                 max_rounds: int = 100_000) -> DataFrame:
+                 max_rounds: int = 64) -> DataFrame:
     """Transitive closure ``(role, ancestor)`` (each role is its own ancestor)
-    by semi-naive iteration: each round joins only the pairs found in the
-    previous round to the edges and keeps what is new.
+    by path doubling: with the pairs joined by a walk of fewer than n steps and
+    those joined by a walk of exactly n, one round gives the same for 2 n, so
+    a chain of 1,000 roles takes 11 rounds.  Cycles terminate: the rounds end
+    when one adds no pair.
 
     Every round is written as a table (``round=<k>``) under the shared
     checkpoint folder and read back, which cuts lineage (a lost executor
     recomputes one round, not the chain) and makes the accumulated closure
-    a plain file scan.  Stops when a round adds nothing (cycles terminate).
+    a plain file scan.
     """
     from ..session import scratch_path
     spark = inherits.sparkSession
     root = scratch_path(spark, "closure")
     base = inherits.select(F.col(role_col).alias("r"), F.col(parent_col).alias("p"))
-    seed = F.array(F.struct(F.col("r").alias("role"), F.col("r").alias("ancestor")),
-                   F.struct(F.col("r").alias("role"), F.col("p").alias("ancestor")),
+    ends = F.array(F.struct(F.col("r").alias("role"), F.col("r").alias("ancestor")),
                    F.struct(F.col("p").alias("role"), F.col("p").alias("ancestor")))
-    (base.select(F.explode(seed).alias("x")).select("x.*")
-     .filter(F.col("role").isNotNull() & F.col("ancestor").isNotNull()).distinct()
-     .write.mode("overwrite").parquet(f"{root}/round=0"))
-    (base.filter(F.col("p").isNotNull()).select(F.col("r").alias("role"), F.col("p").alias("ancestor"))
-     .distinct().write.mode("overwrite").parquet(f"{root}/edges"))
-    edges = spark.read.parquet(f"{root}/edges")
-    frontier = edges
+    (base.select(F.explode(ends).alias("x")).select("x.*")
+     .filter(F.col("role").isNotNull()).distinct().write.mode("overwrite").parquet(f"{root}/round=0"))
+    (base.filter(F.col("p").isNotNull() & F.col("r").isNotNull())
+     .select(F.col("r").alias("role"), F.col("p").alias("ancestor"))
+     .distinct().write.mode("overwrite").parquet(f"{root}/step=0"))
     for k in range(1, max_rounds + 1):
         closure = spark.read.parquet(*[f"{root}/round={i}" for i in range(k)])
-        step = (frontier.alias("f").join(edges.alias("e"), F.col("f.ancestor") == F.col("e.role"))
-                .select(F.col("f.role").alias("role"), F.col("e.ancestor").alias("ancestor")).distinct())
-        step.join(closure, ["role", "ancestor"], "left_anti").write.mode("overwrite").parquet(f"{root}/round={k}")
-        frontier = spark.read.parquet(f"{root}/round={k}")
-        if frontier.isEmpty():
-            break
-    else:
-        # never return a partial closure
-        raise RuntimeError(f"role closure did not converge in {max_rounds} rounds")
-    return spark.read.parquet(*[f"{root}/round={i}" for i in range(k + 1)])
+        step = spark.read.parquet(f"{root}/step={k - 1}")          # walks of exactly 2^(k-1) steps
+
+        def then(pairs: DataFrame) -> DataFrame:
+            return (pairs.alias("f").join(step.alias("e"), F.col("f.ancestor") == F.col("e.role"))      # noqa: B023
+                    .select(F.col("f.role").alias("role"), F.col("e.ancestor").alias("ancestor")).distinct())
+
+        (then(closure).join(closure, ["role", "ancestor"], "left_anti")
+         .write.mode("overwrite").parquet(f"{root}/round={k}"))
+        if spark.read.parquet(f"{root}/round={k}").isEmpty():
+            return closure
+        then(step).write.mode("overwrite").parquet(f"{root}/step={k}")
+    # never return a partial closure
+    raise RuntimeError(f"role closure did not converge in {max_rounds} rounds")
 
 
 def effective_capabilities(user_groups: DataFrame, group_roles: DataFrame, role_inherits: DataFrame,
@@ -184,12 +230,56 @@ def effective_capabilities(user_groups: DataFrame, group_roles: DataFrame, role_
 
 
 # --------------------------------------------- J9 class/pattern match
-def _pattern_hits(clients: DataFrame, patterns: DataFrame, match_col: str) -> DataFrame:
-    """(client columns, pattern) for every glob that matches the client.
+GRAM = 3                    # characters of a literal piece that index a glob
+
+
+def _grams(text: Column, n: Column) -> Column:
+    """Distinct runs of ``n`` characters of a text."""
+    last = F.length(text) - n + 1
+    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
+                                                          lambda i: F.substring(text, i, n)))).otherwise(F.array())
+
+
+def _inner_hits(clients: DataFrame, p: DataFrame, match_col: str) -> DataFrame:
+    """Globs with wildcards inside.  Each is indexed by one run of up to
+    ``GRAM`` characters of its literal pieces, the one that the fewest client
+    names hold; names meet it by equality and the glob is then checked.  A
+    glob without a literal says only how long a name is and meets the names by
+    their length."""
+    name = F.col(match_col)
+    regex = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(
+        F.regexp_replace(F.col("pattern"), r"([.\\+^$()\[\]{}|])", r"\\$1"), r"\*", ".*"), r"\?", "."), F.lit("$"))
+    own = p.filter(F.col("kind") == "inner").select("pattern", regex.alias("__re"), F.filter(
+        F.split("pattern", r"[*?]+"), lambda x: x != "").alias("pieces"))
+    own = own.withColumn("n", F.when(F.size("pieces") > 0, F.least(F.lit(GRAM), F.array_max(F.transform("pieces", F.length)))))
+    sizes = [r["n"] for r in own.where("n is not null").select("n").distinct().collect()]       # 1..GRAM
+    names = clients.select(match_col).filter(name.isNotNull()).distinct()
+    hits = clients.sparkSession.createDataFrame([], f"pattern string, `{match_col}` string")
+    if sizes:
+        held = names.select(match_col, F.explode(F.concat(*[_grams(name, F.lit(n)) for n in sizes])).alias("gram"))
+        choices = own.where("n is not null").select("pattern", "__re", F.explode("pieces").alias("piece"), "n") \
+            .select("pattern", "__re", F.explode(_grams(F.col("piece"), F.col("n"))).alias("gram")).distinct()
+        seen = held.join(choices.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
+        chosen = (choices.join(seen, "gram")            # a gram that no name holds: the glob matches none
+                  .groupBy("pattern", "__re").agg(F.min_by("gram", F.struct("names", "gram")).alias("gram"),
+                                                  F.count(F.lit(1)).alias("held"))
+                  .join(choices.groupBy("pattern").agg(F.count(F.lit(1)).alias("all")), "pattern")
+                  .where("held = all").select("pattern", "__re", "gram"))
+        hits = held.join(chosen, "gram").where(F.expr(f"`{match_col}` RLIKE __re")).select("pattern", match_col)
+    bare = own.where("n is null").select("pattern", F.length(F.regexp_replace("pattern", r"\*", "")).alias("least"),
+                                         F.col("pattern").contains("*").alias("more"))
+    longest = names.agg(F.max(F.length(name)).alias("m")).first()["m"] or 0
+    lengths = bare.where(F.col("least") <= longest).select("pattern", F.explode(F.sequence(
+        "least", F.when(F.col("more"), F.lit(longest)).otherwise(F.col("least")))).alias("__n"))
+    by_length = names.withColumn("__n", F.length(name)).join(lengths, "__n").select("pattern", match_col)
+    return clients.join(hits.unionByName(by_length), match_col)
 
-    Literal patterns and those with one leading or trailing ``*`` meet the
-    clients by equality of a prefix or suffix of the pattern's length; only
-    globs with wildcards inside are tried one by one."""
+
+def _pattern_hits(clients: DataFrame, patterns: DataFrame, match_col: str) -> DataFrame:
+    """(client columns, pattern) for every glob that matches the client, by
+    equi-joins only: literal patterns by equality, those with one leading or
+    trailing ``*`` by a prefix or suffix of the pattern's length, others by a
+    literal piece (``_inner_hits``)."""
     p = patterns.select("pattern").distinct()
     head, tail = F.col("pattern").startswith("*"), F.col("pattern").endswith("*")
     core = F.regexp_replace("pattern", r"^\*|\*$", "")
@@ -200,21 +290,21 @@ def _pattern_hits(clients: DataFrame, patterns: DataFrame, match_col: str) -> Da
 
     def by_part(kind: str, part) -> DataFrame:
         own = p.filter(F.col("kind") == kind).select("core", "pattern", F.length("core").alias("n"))
-        lengths = own.agg(F.sort_array(F.collect_set("n")).alias("ns"))     # one short array: host names are short
-        cut = clients.join(F.broadcast(lengths.withColumn("__one", F.lit(1))), F.lit(1) == F.col("__one")).drop("__one")
-        cut = cut.withColumn("n", F.explode(F.filter("ns", lambda n: n <= F.length(name)))).drop("ns")
-        return (cut.withColumn("core", part(F.col("n"))).join(own, ["core", "n"]).drop("core", "n"))
+        sizes = [r["n"] for r in own.select("n").distinct().collect()]      # lengths of patterns: a short list
+        cut = clients.withColumn("n", F.explode(F.filter(F.array(*[F.lit(n) for n in sizes]).cast("array<int>"),
+                                                         lambda n: n <= F.length(name))))
+        return cut.withColumn("core", part(F.col("n"))).join(own, ["core", "n"]).drop("core", "n")
 
     literal = clients.join(p.filter(F.col("kind") == "literal").select("pattern"), name == F.col("pattern"))
     start = by_part("prefix", lambda n: F.substring(name, F.lit(1), n))
     end = by_part("suffix", lambda n: F.substring(name, F.length(name) - n + 1, n))
-    regex = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace(
-        F.regexp_replace(F.col("pattern"), r"([.\\+^$()\[\]{}|])", r"\\$1"), r"\*", ".*"), r"\?", "."), F.lit("$"))
-    inner = clients.join(p.filter(F.col("kind") == "inner").select("pattern", regex.alias("__re")),
-                         F.expr(f"`{match_col}` RLIKE __re")).drop("__re")
+    inner = _inner_hits(clients, p, match_col).select(*literal.columns)
     return literal.unionByName(start).unionByName(end).unionByName(inner)
 
 
+SPREAD = 16                 # parts of the list of targets
+
+
 def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "client",
                   match_col: str = "hostname") -> DataFrame:
     """Server-class membership.
@@ -227,20 +317,27 @@ def match_classes(clients: DataFrame, rules: DataFrame, client_key: str = "clien
     membership), the app's allow rules - if it has any - also match, and no
     applicable deny rule at any level matches (deny wins).
 
-    Each distinct pattern is matched once; its hits meet the rules and the
-    targets by equi-joins on pattern and class.
+    Each distinct pattern is matched once and the hits are written once;
+    they meet the rules and the targets by equi-joins on pattern and class.
+    Clients that a global rule denies leave before anything is expanded; those
+    that one allows meet the targets part by part.
     """
+    from ..session import scratch_path
+    spark = clients.sparkSession
     app_rules = rules.filter(F.col("level") == "app")
     targets = app_rules.select("class", "app").distinct()
-    hits = (_pattern_hits(clients.select(client_key, match_col), rules, match_col).select(client_key, "pattern")
-            .join(rules, "pattern").select(client_key, "level", "class", "app", "kind").distinct())
+    where = scratch_path(spark, "class-hits")
+    (_pattern_hits(clients.select(client_key, match_col), rules, match_col).select(client_key, "pattern")
+     .join(rules, "pattern").select(client_key, "level", "class", "app", "kind").distinct().write.parquet(where))
+    hits = spark.read.parquet(where)
     level = lambda name, kind: hits.filter((F.col("level") == name) & (F.col("kind") == kind))
-    by_class = level("class", "allow").select(client_key, "class").join(targets, "class")
+    denied = level("global", "deny").select(client_key).distinct()
+    by_class = level("class", "allow").select(client_key, "class").join(denied, client_key, "left_anti").join(targets, "class")
     # a global allow reaches every target: as many rows as the answer needs
-    everywhere = (level("global", "allow").select(client_key, F.lit(1).alias("__t"))
-                  .join(targets.withColumn("__t", F.lit(1)), "__t").drop("__t"))
+    everywhere = (level("global", "allow").select(client_key).distinct().join(denied, client_key, "left_anti")
+                  .withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+                  .join(targets.withColumn("__part", F.pmod(F.xxhash64("class", "app"), F.lit(SPREAD)).cast("int")), "__part"))
     member = by_class.select(client_key, "class", "app").unionByName(everywhere.select(client_key, "class", "app")).distinct()
-    member = member.join(level("global", "deny").select(client_key).distinct(), client_key, "left_anti")
     member = member.join(level("class", "deny").select(client_key, "class").distinct(), [client_key, "class"], "left_anti")
     member = member.join(level("app", "deny").select(client_key, "class", "app").distinct(),
                          [client_key, "class", "app"], "left_anti")
@@ -276,26 +373,33 @@ def join_findings(findings: DataFrame, inventory: DataFrame, remediation: DataFr
 
 # -------------------------------------------- J12 interval conflicts
 def interval_conflicts(a: DataFrame, b: DataFrame, a_start: str = "start", a_end: str = "end",
-                       b_start: str = "start", b_end: str = "end", width_seconds: float = 86400.0,
-                       a_prefix: str = "a_", b_prefix: str = "b_") -> DataFrame:
+                       b_start: str = "start", b_end: str = "end", width_seconds: float | None = None,
+                       a_prefix: str = "a_", b_prefix: str = "b_", blocks: int | None = None) -> DataFrame:
     """Every pair with ``a.start < b.end and b.start < a.end``.
 
-    Both sides are exploded into the day (``width_seconds``) buckets they
-    cover and equi-joined on the bucket; each pair is kept only in the first
-    bucket both cover, so no pair is duplicated and no nested loop is used.
+    In such a pair either b starts inside a (a.start <= b.start) or a starts
+    inside b (b.start < a.start): two joins of points with ranges over
+    equi-depth blocks of all starts (``_meet``), which no pair passes twice.  A
+    burst of intervals at one instant is spread over blocks, and an interval of
+    many years costs a few copies.  ``width_seconds`` is accepted and not
+    needed.  Intervals without a start or an end conflict with none.
     """
+    from .blocks import equi_depth
     a2 = a.select(*[F.col(c).alias(a_prefix + c) for c in a.columns])
     b2 = b.select(*[F.col(c).alias(b_prefix + c) for c in b.columns])
     ta, tb = dict(a.dtypes)[a_start], dict(b.dtypes)[b_start]
     sa, ea = _num(F.col(a_prefix + a_start), ta), _num(F.col(a_prefix + a_end), ta)
     sb, eb = _num(F.col(b_prefix + b_start), tb), _num(F.col(b_prefix + b_end), tb)
-    a3 = a2.withColumn("__b", F.explode(F.sequence(_bucket(sa, width_seconds), _bucket(ea, width_seconds))))
-    b3 = b2.withColumn("__b", F.explode(F.sequence(_bucket(sb, width_seconds), _bucket(eb, width_seconds))))
-    j = a3.join(b3, "__b")
+    a2, b2 = a2.filter(sa.isNotNull() & ea.isNotNull()), b2.filter(sb.isNotNull() & eb.isNotNull())
+    tie_a = F.xxhash64(*[F.col(c) for c in a2.columns]).cast("double")
+    tie_b = F.xxhash64(*[F.col(c) for c in b2.columns]).cast("double")
+    starts = a2.select(sa.alias("v"), tie_a.alias("t")).unionByName(b2.select(sb.alias("v"), tie_b.alias("t")))
+    cuts = equi_depth(starts, F.col("v"), F.col("t"), blocks or _block_count(a))
     overlap = (F.col(a_prefix + a_start) < F.col(b_prefix + b_end)) & \
               (F.col(b_prefix + b_start) < F.col(a_prefix + a_end))
-    first = F.col("__b") == F.greatest(_bucket(sa, width_seconds), _bucket(sb, width_seconds))
-    return j.filter(overlap & first).drop("__b")
+    inside_a = _meet(b2, a2, cuts, sb, tie_b, sa, ea, False).filter(overlap & (sa <= sb))
+    inside_b = _meet(a2, b2, cuts, sa, tie_a, sb, eb, False).filter(overlap & (sb < sa))
+    return inside_a.unionByName(inside_b).select(*a2.columns, *b2.columns)
 
 
 # ------------------------------------------- J13 baseline vs post
@@ -424,29 +528,78 @@ def cidr_bounds(col: Column) -> Column:
     return F.when(ip.isNotNull() & bits.between(0, 32), F.struct(lo.alias("lo"), (lo + size - 1).alias("hi")))
 
 
+SHORT_BITS = 16             # prefixes of so many bits or fewer hold the busy keys: at most 131,071 different ones
+SHORT_ROWS = 200_000        # rows of them that are broadcast at most
+
+
+def _cidr_keys(df: DataFrame, col: Column) -> DataFrame:
+    """``df`` plus (__bits, __prefix) of a valid IPv4 CIDR."""
+    bits = F.coalesce(F.get(F.split(col, "/"), 1).cast("int"), F.lit(32))
+    x = df.withColumn("__r", cidr_bounds(col)).filter(F.col("__r").isNotNull()).withColumn("__bits", bits)
+    return x.withColumn("__prefix", F.expr("shiftright(__r.lo, 32 - __bits)")).drop("__r")
+
+
+def _bits_present(cidrs: DataFrame) -> list[int]:
+    return sorted(r[0] for r in cidrs.select("__bits").distinct().collect())        # 33 values at most
+
+
 def cidr_match(traffic: DataFrame, ip_col: str, cidrs: DataFrame, cidr_col: str = "cidr") -> DataFrame:
-    """Pair each address with every CIDR containing it.  Each CIDR is
-    exploded into the /16 buckets it covers (at most 65536 for a /0, one
-    for anything /16 or longer) and equi-joined on the address's /16."""
-    c = cidrs.withColumn("__r", cidr_bounds(F.col(cidr_col))).filter(F.col("__r").isNotNull())
-    c = c.withColumn("__b", F.explode(F.sequence(F.shiftright(F.col("__r.lo"), 16),
-                                                 F.shiftright(F.col("__r.hi"), 16))))
-    t = traffic.withColumn("__ip", ipv4_to_long(F.col(ip_col))).withColumn("__b", F.shiftright(F.col("__ip"), 16))
-    return (t.join(c, "__b").filter(F.col("__ip").between(F.col("__r.lo"), F.col("__r.hi")))
-            .drop("__b", "__ip", "__r"))
+    """Pair each address with every CIDR containing it, by equality of
+    (prefix length, prefix) over the lengths that the list holds: an address
+    has at most 33 keys and a CIDR one, whatever its size.  Keys that much of
+    the traffic shares are those of short prefixes; they are broadcast after a
+    check of their number, longer ones are joined by shuffle."""
+    c = _cidr_keys(cidrs, F.col(cidr_col))
+    t = traffic.withColumn("__ip", ipv4_to_long(F.col(ip_col))).filter(F.col("__ip").isNotNull())
+    present = _bits_present(c)
+
+    def pairs(bits: list[int], own: DataFrame) -> DataFrame:
+        keys = F.array(*[F.struct(F.lit(n).alias("b"), F.shiftright(F.col("__ip"), 32 - n).alias("p")) for n in bits])
+        x = t.withColumn("__k", F.explode(keys)).withColumn("__bits", F.col("__k.b")).withColumn("__prefix", F.col("__k.p"))
+        return x.join(own, ["__bits", "__prefix"]).drop("__k", "__bits", "__prefix", "__ip")
+
+    out = None
+    for bits, own in (([n for n in present if n <= SHORT_BITS], c.filter(F.col("__bits") <= SHORT_BITS)),
+                      ([n for n in present if n > SHORT_BITS], c.filter(F.col("__bits") > SHORT_BITS))):
+        if bits:
+            few = bits[-1] <= SHORT_BITS and own.count() <= SHORT_ROWS
+            part = pairs(bits, F.broadcast(own) if few else own)
+            out = part if out is None else out.unionByName(part)
+    if out is None:                             # no valid CIDR
+        from pyspark.sql.types import StructType
+        return traffic.sparkSession.createDataFrame([], StructType(traffic.schema.fields + cidrs.schema.fields))
+    return out
+
+
+def longest_prefix(traffic: DataFrame, ip_col: str, cidrs: DataFrame, cidr_col: str = "cidr",
+                   out: str = "network") -> DataFrame:
+    """Every traffic row with the most specific CIDR containing its
+    address (null if none; equal prefixes written differently: the least
+    text).  Distinct addresses are matched, then joined back."""
+    ips = traffic.select(F.col(ip_col)).filter(F.col(ip_col).isNotNull()).distinct()
+    bits = F.coalesce(F.get(F.split(F.col(cidr_col), "/"), 1).cast("int"), F.lit(32))
+    best = (cidr_match(ips, ip_col, cidrs.select(cidr_col), cidr_col)
+            .groupBy(ip_col).agg(F.max(bits).alias("__b"), F.collect_set(cidr_col).alias("__all")))
+    # at most 33 prefixes contain an address
+    named = F.array_min(F.filter("__all", lambda c: F.coalesce(F.get(F.split(c, "/"), 1).cast("int"), F.lit(32)) == F.col("__b")))
+    return traffic.join(best.select(ip_col, named.alias(out)), ip_col, "left")
 
 
 def cidr_overlaps(a: DataFrame, b: DataFrame, col: str = "cidr") -> DataFrame:
-    """Pairs of overlapping CIDRs from two lists (same /16 bucketing)."""
-    def prep(df, p):
-        x = df.select(F.col(col).alias(p + col)).withColumn(p + "r", cidr_bounds(F.col(p + col)))
-        x = x.filter(F.col(p + "r").isNotNull())
-        return x.withColumn("__b", F.explode(F.sequence(F.shiftright(F.col(p + "r.lo"), 16),
-                                                        F.shiftright(F.col(p + "r.hi"), 16))))
-    j = prep(a, "a_").join(prep(b, "b_"), "__b")
-    first = F.col("__b") == F.greatest(F.shiftright(F.col("a_r.lo"), 16), F.shiftright(F.col("b_r.lo"), 16))
-    ov = (F.col("a_r.lo") <= F.col("b_r.hi")) & (F.col("b_r.lo") <= F.col("a_r.hi"))
-    return j.filter(ov & first).select("a_" + col, "b_" + col)
+    """Pairs of overlapping CIDRs from two lists.  Of two such networks
+    one contains the other, so the narrower one's prefix, cut to the wider
+    one's length, is equal to it."""
+    x = _cidr_keys(a.select(F.col(col).alias("a_" + col)), F.col("a_" + col))
+    y = _cidr_keys(b.select(F.col(col).alias("b_" + col)), F.col("b_" + col))
+
+    def within(inner: DataFrame, outer: DataFrame, strictly: bool) -> DataFrame:
+        bits = F.array(*[F.lit(n) for n in _bits_present(outer)]).cast("array<int>")
+        fits = F.filter(bits, lambda n: (n < F.col("__bits")) if strictly else (n <= F.col("__bits")))
+        cut = inner.withColumn("__n", F.explode(fits)).withColumn("__cut", F.expr("shiftright(__prefix, __bits - __n)"))
+        cut = cut.drop("__bits", "__prefix").withColumnsRenamed({"__n": "__bits", "__cut": "__prefix"})
+        return cut.join(outer, ["__bits", "__prefix"]).select("a_" + col, "b_" + col)
+
+    return within(x, y, False).unionByName(within(y, x, True))
 
 
 # ------------------------------------------------------ J19 chains

@@ -29,25 +29,73 @@ def save_rollup(rollup: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("bucket_day").parquet(path))
 
 
+MAX_RANGES = 1_000          # covered ranges that become a filter on the raw rows' time
+
+
+def _span_micros(df: DataFrame, span: str) -> int:
+    return df.sparkSession.range(1).select(F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {span}"))).first()[0]
+
+
+def covered_ranges(coverage: DataFrame, span: str = "1 hour") -> DataFrame:
+    """(start, end) of the whole buckets that a table of covered intervals
+    (start, end; half-open, in any order, overlapping or not) covers: merged,
+    then shrunk to bucket bounds.  A bucket that is covered in part counts as
+    not covered."""
+    from .windows import merge_intervals
+    width = _span_micros(coverage, span)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    merged = merge_intervals(coverage.select(F.col("start").cast("timestamp").alias("start"),
+                                             F.col("end").cast("timestamp").alias("end")))
+    # ceiling and floor in whole numbers
+    first = -F.floor(-micros("start") / F.lit(width)) * width
+    last = F.floor(micros("end") / F.lit(width)) * width
+    return (merged.select(F.timestamp_micros(first.cast("long")).alias("start"), F.timestamp_micros(last.cast("long")).alias("end"))
+            .where("start < end"))
+
+
 def query_rollup(rollup: DataFrame, raw: DataFrame | None, ts: str, dims: Sequence[str],
                  measures: Sequence[str], span: str = "1 hour", covered_until=None,
-                 summaries_only: bool = True, group: Sequence[str] | None = None) -> DataFrame:
+                 summaries_only: bool = True, group: Sequence[str] | None = None,
+                 coverage: DataFrame | None = None) -> DataFrame:
     """A10: answer ``count, sum, min, max`` by ``group`` from the rollup.
 
     ``summaries_only=True`` uses the rollup alone (uncovered time is simply
-    absent).  ``False`` adds raw rows for buckets the rollup does not cover
-    (bucket >= ``covered_until``): those raw rows are rolled up with the same
-    code and unioned before the final re-aggregation, so covered data is
-    never counted twice.
+    absent).  ``False`` adds raw rows for the buckets that the rollup does not
+    cover: they are rolled up with the same code and unioned before the final
+    re-aggregation, so covered data is never counted twice.
+
+    What is covered is every bucket before ``covered_until``, or the whole
+    buckets inside the intervals of ``coverage`` (start, end), which may leave
+    holes anywhere.  Up to ``MAX_RANGES`` covered ranges become a filter on the
+    time column, which reaches the scan of the raw rows; more are joined by
+    bucket.  Rows without a time are in no bucket and are not counted.
     """
     group = list(group if group is not None else dims)
-    parts = rollup
-    if covered_until is not None:
-        parts = parts.filter(F.col("bucket") < F.lit(covered_until).cast("timestamp"))
-    if not summaries_only and raw is not None:
-        fresh = raw
-        if covered_until is not None:
-            fresh = raw.filter(F.col(ts).cast("timestamp") >= F.lit(covered_until).cast("timestamp"))
+    parts, fresh = rollup, raw
+    at = F.col(ts).cast("timestamp")
+    if coverage is not None:
+        ranges = covered_ranges(coverage, span)
+        listed = ranges.limit(MAX_RANGES + 1).collect()
+        if len(listed) <= MAX_RANGES:
+            def inside(c):
+                out = F.lit(False)
+                for r in listed:
+                    out = out | ((c >= F.lit(r["start"])) & (c < F.lit(r["end"])))
+                return out
+            parts = parts.filter(inside(F.col("bucket")))
+            fresh = fresh.filter(~inside(at)) if fresh is not None else None
+        else:
+            buckets = ranges.select(F.explode(F.sequence("start", F.col("end") - F.expr(f"INTERVAL {span}"),
+                                                         F.expr(f"INTERVAL {span}"))).alias("bucket"))
+            parts = parts.join(buckets, "bucket", "left_semi")
+            if fresh is not None:
+                fresh = (fresh.withColumn("bucket", F.window(at, span).start).join(buckets, "bucket", "left_anti")
+                         .drop("bucket"))
+    elif covered_until is not None:
+        until = F.lit(covered_until).cast("timestamp")
+        parts = parts.filter(F.col("bucket") < until)
+        fresh = fresh.filter(at >= until) if fresh is not None else None
+    if not summaries_only and fresh is not None:
         parts = parts.unionByName(build_rollup(fresh, ts, dims, measures, span))
     aggs = [F.sum("n").alias("n")]
     for m in measures:

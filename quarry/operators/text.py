@@ -39,7 +39,6 @@ TICKET_RE = r"^([A-Za-z]{2,8})([0-9]{3,})$"
 TICKET_PREFIXES = ("cinc", "config", "inc", "msb", "piinc", "rm", "scp", "spl", "to", "vuln")
 FIELDS = ("title", "body", "metadata", "context")
 FIELD_WEIGHTS = {"title": 4.0, "body": 2.0, "metadata": 1.0, "context": 0.25}
-REFERENCE_CAPS = {"title": 600, "body": 20000, "context": 6000}
 TITLE_FIELDS = ("_time", "host", "source", "sourcetype", "component", "service", "operation", "severity", "level")
 BODY_FIELDS = ("_raw", "message", "error", "exception", "request_id", "requestId", "trace_id", "traceId")
 FALLBACK_TITLE_FIELDS = (
@@ -60,6 +59,34 @@ def index_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(INDEX_TOKEN_RE), 0)
 
 
+def _accent_rule() -> tuple[str, str]:
+    """Letters with diacritics (Latin, Greek, Cyrillic) and their base
+    letters, from their canonical decomposition; combining marks come last
+    and have no counterpart, so ``translate`` deletes them."""
+    import unicodedata
+    pairs = []
+    for code in [*range(0xC0, 0x530), *range(0x1E00, 0x2000)]:
+        parts = unicodedata.normalize("NFD", chr(code))
+        if len(parts) > 1 and parts[0].isalpha() and all(unicodedata.combining(c) for c in parts[1:]):
+            pairs.append((chr(code), parts[0]))
+    marks = "".join(chr(c) for c in range(0x300, 0x370))
+    return "".join(a for a, _ in pairs) + marks, "".join(b for _, b in pairs)
+
+
+_ACCENTED, _PLAIN = _accent_rule()
+
+
+def fold(text: Column) -> Column:
+    """Lower case without diacritics (``Café`` -> ``cafe``)."""
+    return F.translate(F.lower(F.coalesce(text, F.lit(""))), _ACCENTED, _PLAIN)
+
+
+def match_tokens(text: Column) -> Column:
+    """The tokens that the index and queries are matched by: index tokens
+    without diacritics.  Coverage and explanations compare words as written."""
+    return F.regexp_extract_all(fold(text), F.lit(INDEX_TOKEN_RE), 0)
+
+
 def query_tokens(text: Column) -> Column:
     """Query terms (letters, digits, ``_``, inner apostrophes), as typed."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(QUERY_TOKEN_RE), 0)
@@ -113,8 +140,8 @@ def build_documents(df: DataFrame, table_name: str, row_col: str = "_row",
     fallback field, else a constant); body = the body fields in order, then
     every remaining field as ``key value`` in key order; metadata is empty;
     context = the table-name forms plus the search metadata as ``key value``.
-    Whitespace is collapsed.  Texts are indexed whole unless ``caps`` (e.g.
-    ``REFERENCE_CAPS``) asks for the reference's character caps.
+    Whitespace is collapsed.  Texts are indexed whole unless ``caps`` names a
+    most number of characters per field.
     """
     caps = dict(caps or {})
     cols = [c for c in df.columns if c not in (row_col, "_json") and c]
@@ -154,13 +181,12 @@ def query_phrases(queries: DataFrame, query_id: str = "query_id", text: str = "t
 
     Term ``t`` is the phrase of its index tokens (alternative 0); a ticket id
     also gets alternative 1 = prefix AND number (two one-token parts).  A
-    query without any term is an error row (``n_terms = 0``) and never
-    matches.
+    query without any term has no row here; ``query_errors`` lists it.
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.posexplode(query_tokens(F.col(text))).alias("term_idx", "term"))
     ok, prefix, number = ticket_parts(F.col("term"))
     alts = F.array(
-        F.struct(F.lit(0).alias("alt"), F.array(index_tokens(F.col("term"))).alias("parts")),
+        F.struct(F.lit(0).alias("alt"), F.array(match_tokens(F.col("term"))).alias("parts")),
         F.struct(F.lit(1).alias("alt"), F.when(ok, F.array(F.array(prefix), F.array(number)))
                  .otherwise(F.array().cast("array<array<string>>")).alias("parts")))
     x = q.select("query_id", "term_idx", "term", F.explode(alts).alias("a"))
@@ -172,6 +198,15 @@ def query_phrases(queries: DataFrame, query_id: str = "query_id", text: str = "t
                     F.posexplode("tokens").alias("offset", "token"))
 
 
+NO_TERM = "the query needs at least one searchable word or number"
+
+
+def query_errors(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
+    """``(query_id, error)`` for every query that holds no word or number."""
+    return queries.where(F.size(query_tokens(F.col(text))) == 0).select(
+        F.col(query_id).alias("query_id"), F.lit(NO_TERM).alias("error"))
+
+
 def query_term_counts(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
     return queries.select(F.col(query_id).alias("query_id"), F.size(query_tokens(F.col(text))).alias("n_terms"))
 
@@ -185,7 +220,7 @@ def doc_tokens(docs: DataFrame, length_row: bool = False) -> DataFrame:
     row length in tokens over all fields (``doc_len``).  ``length_row`` adds
     an element with no tokens, which explodes to one marker row per document
     (field ``__len``, null token) carrying ``doc_len``."""
-    items = [F.struct(F.lit(f).alias("field"), index_tokens(F.col(f)).alias("toks")) for f in FIELDS]
+    items = [F.struct(F.lit(f).alias("field"), match_tokens(F.col(f)).alias("toks")) for f in FIELDS]
     x = docs.select("doc_id", F.array(*items).alias("__f"))
     x = x.withColumn("doc_len", F.aggregate("__f", F.lit(0).cast("long"),
                                             lambda acc, s: acc + F.size(s["toks"])))
@@ -224,21 +259,48 @@ def token_stats(docs: DataFrame) -> DataFrame:
     return p.groupBy("token").agg(F.count_distinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("occurrences"))
 
 
+FIELD_SPAN = 1 << 28        # a position is field number x FIELD_SPAN + place in the field
+
+
+def place(field: Column, pos: Column) -> Column:
+    """One integer per (field, position): neighbours in a field differ by one,
+    and no two fields meet."""
+    number = F.create_map(*[x for i, f in enumerate(FIELDS) for x in (F.lit(f), F.lit(i * FIELD_SPAN))])
+    return number[field] + pos
+
+
+def place_weight(places: Column, weights: Mapping[str, float]) -> Column:
+    """Summed field weights of an array of places."""
+    per_field = F.array(*[F.lit(float(weights[f])) for f in FIELDS])
+    return F.aggregate(places, F.lit(0.0), lambda acc, p: acc + F.get(per_field, (p / FIELD_SPAN).cast("int")))
+
+
+def phrase_places(lists: Column) -> Column:
+    """Where a phrase starts, from ``array<struct<offset, places>>`` of its
+    tokens in one document: the place lists, shifted by their offsets,
+    intersected."""
+    shifted = F.transform(lists, lambda x: F.transform(x["places"], lambda p: p - x["offset"]))
+    return F.aggregate(F.slice(shifted, 2, F.greatest(F.size(shifted) - 1, F.lit(0))), F.get(shifted, 0), F.array_intersect)
+
+
 def term_index(docs: DataFrame, tokens: DataFrame, weights: Mapping[str, float] | None = None,
                broadcast_tokens: bool = True) -> DataFrame:
-    """``(doc_id, token, wtf, doc_len)`` for the given tokens (weighted term
-    frequency over the fields), plus one row per document with a null token
-    carrying its length: everything BM25 needs from one pass over the text.
-    The token list is broadcast when the caller has checked its size
-    (it grows with the query batch, not the corpus)."""
+    """``(doc_id, token, wtf, doc_len, places)`` for the given tokens (weighted
+    term frequency over the fields), plus one row per document with a null
+    token carrying its length: everything BM25 needs from one pass over the
+    text.  ``places`` lists where the tokens that ``tokens`` flags in
+    ``in_phrase`` stand (null for others).  The token list is broadcast when
+    the caller has checked its size (it grows with the query batch, not the
+    corpus)."""
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
     post = _explode_postings(doc_tokens(docs, length_row=True))
-    need = tokens.select("token").distinct().withColumn("__need", F.lit(True))
+    need = tokens.groupBy("token").agg(F.bool_or("in_phrase").alias("in_phrase")).withColumn("__need", F.lit(True))
     flagged = post.join(F.broadcast(need) if broadcast_tokens else need, "token", "left")
     kept = flagged.filter(F.col("__need") | (F.col("field") == LEN_FIELD))
-    return kept.groupBy("doc_id", "token").agg(F.sum(wcol[F.col("field")]).alias("wtf"),
-                                               F.first("doc_len").alias("doc_len"))
+    return kept.groupBy("doc_id", "token").agg(
+        F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len"),
+        F.collect_list(F.when(F.col("in_phrase"), place(F.col("field"), F.col("pos")))).alias("places"))
 
 
 def corpus_stats(docs: DataFrame) -> tuple[int, float]:
@@ -252,7 +314,8 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
                 query_id: str = "query_id", text: str = "text",
                 weights: Mapping[str, float] | None = None, k1: float = BM25_K1, b: float = BM25_B,
                 max_broadcast_tokens: int = 2_000_000, explain: bool = False,
-                postings: DataFrame | None = None, stats: tuple[int, float] | None = None) -> DataFrame:
+                postings: DataFrame | None = None, stats: tuple[int, float] | None = None,
+                table_name: str | None = None) -> DataFrame:
     """BM25 top-k per query, all terms ANDed.
 
     ``docs``: doc_id, title, body, metadata, context.  ``queries``: query_id,
@@ -270,8 +333,8 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
       documents holding it can satisfy the AND rule, so only
       (candidate document x query term) pairs are scored - never the full
       posting list of a common word times every query using it;
-    * multi-word terms (``a_b``, ``don't``) are matched by position, and
-      only when the batch has any.
+    * multi-word terms (``a_b``, ``don't``) intersect the place lists that the
+      pass kept for their words; the text is not read again.
     """
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
     pkey = ["query_id", "term_idx", "alt", "part"]
@@ -281,7 +344,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     # the phrase table grows with the query batch, not with the corpus; it is
     # broadcast while its checked size allows, else joined by shuffle
     bc = (lambda d: F.broadcast(d)) if n_ph <= max_broadcast_tokens else (lambda d: d)
-    needed = ph.select("token").distinct()
+    needed = ph.select("token", (F.col("n_tokens") > 1).alias("in_phrase"))
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
     spark = docs.sparkSession
 
@@ -298,12 +361,12 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
             st = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
             stats = (int(st["n"] or 0), float(st["avgdl"] or 0.0))
         dt = idx.filter(F.col("token").isNotNull())
-        post = None
     else:
         buckets = [r[0] for r in ph.select(F.pmod(F.xxhash64("token"), F.lit(256))).distinct().collect()]
         post = postings.filter(F.col("bucket").isin(buckets)).join(bc(needed), "token", "left_semi")
-        dt = post.groupBy("doc_id", "token").agg(F.sum(wcol[F.col("field")]).alias("wtf"),
-                                                 F.first("doc_len").alias("doc_len"))
+        dt = post.groupBy("doc_id", "token").agg(
+            F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len"),
+            F.collect_list(place(F.col("field"), F.col("pos"))).alias("places"))
     n_docs, avgdl = stats if stats is not None else corpus_stats(docs)
     if n_docs == 0:
         return _empty_hits(spark)
@@ -314,15 +377,17 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     multi_ppd = None
     if has_multi:
         mph = ph.filter(F.col("n_tokens") > 1)
-        if post is None:
-            post = _explode_postings(doc_tokens(docs))
-        occ = (post.join(bc(mph), "token").withColumn("start", F.col("pos") - F.col("offset"))
-               .groupBy(*pkey, "doc_id", "field", "start")
-               .agg(F.count(F.lit(1)).alias("hit_parts"), F.first("n_tokens").alias("n_tokens"),
-                    F.first("doc_len").alias("doc_len"))
-               .filter(F.col("hit_parts") == F.col("n_tokens")))
-        multi_ppd = occ.groupBy(*pkey, "doc_id").agg(F.sum(wcol[F.col("field")]).alias("wfreq"),
-                                                     F.first("doc_len").alias("doc_len"))
+        # equal phrases of the batch are matched once
+        named = mph.groupBy(*pkey).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "token"))),
+                                                                lambda x: x["token"]), " ").alias("phrase"))
+        parts = (mph.join(named, pkey).select("phrase", "n_tokens", "offset", "token").distinct())
+        found = (dt.join(bc(parts), "token").groupBy("phrase", "doc_id")
+                 .agg(F.collect_list(F.struct("offset", "places")).alias("lists"), F.first("n_tokens").alias("n_tokens"),
+                      F.first("doc_len").alias("doc_len"))
+                 .filter(F.size("lists") == F.col("n_tokens"))
+                 .withColumn("starts", phrase_places(F.col("lists"))).filter(F.size("starts") > 0)
+                 .select("phrase", "doc_id", place_weight(F.col("starts"), weights).alias("wfreq"), "doc_len"))
+        multi_ppd = found.join(bc(named), "phrase").select(*pkey, "doc_id", "wfreq", "doc_len")
         all_multi = mph.select(*pkey).distinct()
         mdf = all_multi.join(multi_ppd.groupBy(*pkey).agg(F.count(F.lit(1)).alias("n_hit")), pkey, "left")
         phrase_df = phrase_df.unionByName(mdf.select(*pkey, F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit")))
@@ -374,7 +439,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     if not explain:
         return ranked
     qtext = queries.select(F.col(query_id).alias("query_id"), F.col(text).alias("query_text"))
-    return explain_hits(ranked.join(qtext, "query_id").join(docs, "doc_id"))
+    return explain_hits(ranked.join(qtext, "query_id").join(docs, "doc_id"), table_name=table_name)
 
 
 def _empty_hits(spark) -> DataFrame:
@@ -391,11 +456,18 @@ def strong_single_token(token: Column) -> Column:
             | token.rlike("[a-z].*[A-Z]") | (F.octet_length(token) >= 8))
 
 
-def explain_hits(hits: DataFrame, query_text: str = "query_text") -> DataFrame:
+def context_title(table_name: str, source: str = "", kind: str = "search") -> str:
+    """Title of a hit that only the table's context brought: where the table
+    came from, what it holds, its name."""
+    return " ".join(x for x in ("table context", source, kind, table_name) if x)
+
+
+def explain_hits(hits: DataFrame, query_text: str = "query_text", table_name: str | None = None) -> DataFrame:
     """T10-T13 for a (small) hit set carrying the query text and the
     document fields: per-field coverage, ``match_scope``,
     ``context_adds_terms``, ``row_text_query``, ``row_content_query`` and a
-    ``snippet``.  A context-only hit gets a context title."""
+    ``snippet``.  With ``table_name``, a context-only hit gets
+    ``context_title(table_name)`` as its title."""
     q = F.col(query_text)
     qtok = F.array_distinct(index_tokens(q))
     sets = {f: F.array_distinct(index_tokens(F.col(f))) for f in FIELDS}
@@ -462,6 +534,8 @@ def explain_hits(hits: DataFrame, query_text: str = "query_text") -> DataFrame:
     ctx_only = ((F.col("coverage_body") == 0) & (F.col("coverage_title") == 0) & (F.col("coverage_metadata") == 0)
                 & (F.col("coverage_context") > 0))
     x = x.withColumn("context_only", ctx_only)
+    if table_name is not None:
+        x = x.withColumn("title", F.when(ctx_only, F.lit(context_title(table_name))).otherwise(F.col("title")))
     return x.drop(*[c for c in x.columns if c.startswith("__")])
 
 

@@ -9,11 +9,11 @@ Operators that need a value per row (running counts, carried values,
 islands) use a *blocked* scan: rows are partitioned by (key, block of the order column);
 each block is scanned by a window; a per-(key, block) summary (one row per
 block, far smaller than the data) supplies what happened in earlier blocks.
-The block bounds are approximate quantiles of the data, so every block holds
-about the same number of rows and a hot key, a burst or an operator without a
-key is spread over as many tasks as there are blocks.  Keys and order values
-may be null: null keys form a group of their own, rows without an order value
-form the first block.
+The block bounds are approximate quantiles of (order value, tie-break), so
+every block holds about the same number of rows: a hot key, a burst at one
+instant, rows without a time or an operator without a key are spread over as
+many tasks as there are blocks.  Keys and order values may be null: null keys
+form a group of their own, rows without an order value come first.
 """
 
 from __future__ import annotations
@@ -23,33 +23,44 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import _bucket, _num
+from .blocks import equi_depth
+from .joins import _num
+
+def _tie_number(df: DataFrame, ties: Sequence[str]) -> Column:
+    """A number that never decreases along the first tie-break column (nulls
+    least; a text by its first six bytes), or a hash of the row without one.
+    Blocks may cut one instant by it."""
+    types = dict(df.dtypes)
+    if not ties:
+        return F.xxhash64(*[F.col(c) for c, k in df.dtypes if "map<" not in k and "variant" not in k]).cast("double")
+    col, dtype = F.col(ties[0]), types[ties[0]]
+    if dtype == "string":
+        first = F.substring(F.rpad(F.hex(col.cast("binary")), 12, "0"), 1, 12)
+        value = F.conv(first, 16, 10).cast("double")
+    elif dtype == "boolean":
+        value = col.cast("int").cast("double")
+    elif dtype.startswith(("timestamp", "date")) or dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") \
+            or dtype.startswith("decimal"):
+        value = _num(col, dtype).cast("double")
+    else:
+        value = F.lit(0.0)                      # other types are not cut inside an instant
+    return F.coalesce(value, F.lit(float("-inf")))
 
-QUANTILE_ACCURACY = 10_000
 
+def _with_block(df: DataFrame, t: str, blocks: int | None, ties: Sequence[str] = (), flag: str | None = None) -> DataFrame:
+    """``df`` plus ``__blk``, which increases along (t, flag, tie), nulls of
+    ``t`` first, and ``__tie``, to order by after ``t`` (and ``flag``, a 0/1
+    column).
 
-def _bounds(df: DataFrame, t: str, blocks: int | None) -> list[float]:
-    """Strictly increasing inner block bounds of column ``t`` (as a number):
-    one aggregate that returns ``blocks - 1`` values."""
+    A time that fills more than one quantile (a burst at one instant, or rows
+    without a time) is cut further by the tie number, so it is spread over as
+    many blocks as its share of the rows.
+    """
     n = blocks or max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    at = _num(F.col(t), dict(df.dtypes)[t])
-    got = df.select(F.percentile_approx(at, [i / n for i in range(1, n)], QUANTILE_ACCURACY)).first()
-    return sorted({float(x) for x in (got[0] or []) if x == x})
-
-
-def _with_block(df: DataFrame, t: str, blocks: int | None) -> DataFrame:
-    """``df`` plus ``__blk``, increasing with ``t``; null values are in block -1."""
-    from pyspark.ml.feature import Bucketizer
-    bounds = _bounds(df, t, blocks) if blocks is None or blocks > 1 else []
-    x = df.withColumn("__num", _num(F.col(t), dict(df.dtypes)[t]).cast("double"))
-    if bounds:
-        cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="__num", outputCol="__blk",
-                         handleInvalid="keep")
-        x = cut.transform(x)
-    else:
-        x = x.withColumn("__blk", F.lit(0.0))
-    return (x.withColumn("__blk", F.when(F.col("__num").isNull(), -1).otherwise(F.col("__blk").cast("int")))
-            .drop("__num"))
+    x = (df.withColumn("__num", _num(F.col(t), dict(df.dtypes)[t]).cast("double"))
+         .withColumn("__tie", _tie_number(df, ties)))
+    cuts = equi_depth(x, F.col("__num"), F.col("__tie"), n, flag is not None)
+    return cuts.with_block(x, F.col("__num"), F.col("__tie"), "__blk", F.col(flag) if flag else None).drop("__num")
 
 
 def _join_blocks(x: DataFrame, per: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -70,19 +81,21 @@ def _earlier(keys: Sequence[str]):
 
 # ------------------------------------------------------ blocked helpers
 def blocked_running_sum(df: DataFrame, keys: Sequence[str], t: str, value: Column | None,
-                        out: str, tiebreak: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
-    """Running sum of ``value`` (1 per row when None) per key, in (t, tiebreak)
-    order (nulls first), inclusive of the current row."""
+                        out: str, tiebreak: Sequence[str] = (), blocks: int | None = None,
+                        flag: str | None = None) -> DataFrame:
+    """Running sum of ``value`` (1 per row when None) per key, in (t, flag,
+    tiebreak) order (nulls first), inclusive of the current row."""
     keys = list(keys)
     v = F.lit(1).cast("long") if value is None else value
-    x = _with_block(df, t, blocks).withColumn("__v", v)
-    w_in = (Window.partitionBy(*keys, "__blk").orderBy(*[F.col(c) for c in (t, *tiebreak)])
+    x = _with_block(df, t, blocks, tiebreak, flag).withColumn("__v", v)
+    order = [t, *([flag] if flag else []), "__tie", *tiebreak]
+    w_in = (Window.partitionBy(*keys, "__blk").orderBy(*[F.col(c) for c in order])
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("__in", F.sum("__v").over(w_in))
     per = x.groupBy(*keys, "__blk").agg(F.sum("__v").alias("__bs"))
     offsets = per.select(*keys, "__blk", F.coalesce(F.sum("__bs").over(_earlier(keys)), F.lit(0)).alias("__off"))
     return (_join_blocks(x, offsets, keys).withColumn(out, F.col("__off") + F.coalesce(F.col("__in"), F.lit(0)))
-            .drop("__blk", "__v", "__in", "__off"))
+            .drop("__blk", "__tie", "__v", "__in", "__off"))
 
 
 def blocked_last(df: DataFrame, keys: Sequence[str], t: str, is_obs: str, obs: str,
@@ -92,15 +105,50 @@ def blocked_last(df: DataFrame, keys: Sequence[str], t: str, is_obs: str, obs: s
     before other rows at an equal time, equal-time observations by their
     values (the greatest is carried)."""
     keys = list(keys)
-    x = _with_block(df, t, blocks)
-    w_in = (Window.partitionBy(*keys, "__blk").orderBy(F.col(t), F.col(is_obs).desc(), F.col(obs))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    x = x.withColumn("__in", F.last(F.col(obs), ignorenulls=True).over(w_in))
+    # the newest is the greatest (time, values), so the order of equal-time observations does not matter
     newest = F.when(F.col(obs).isNotNull(), F.struct(F.col(t).alias("t"), F.col(obs).alias("o")))
-    per = x.groupBy(*keys, "__blk").agg(F.max(newest)["o"].alias("__bl"))
+    x = _with_block(df.withColumn("__late", 1 - F.col(is_obs).cast("int")), t, blocks, flag="__late")
+    w_in = (Window.partitionBy(*keys, "__blk").orderBy(F.col(t), F.col("__late"), F.col("__tie"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    x = x.withColumn("__in", F.max(newest).over(w_in))
+    per = x.groupBy(*keys, "__blk").agg(F.max(newest).alias("__bl"))
+    prev = per.select(*keys, "__blk", F.max("__bl").over(_earlier(keys)).alias("__prev"))
+    return (_join_blocks(x, prev, keys).withColumn(out, F.coalesce(F.col("__in"), F.col("__prev"))["o"])
+            .drop("__blk", "__tie", "__late", "__in", "__prev"))
+
+
+def blocked_lag(df: DataFrame, keys: Sequence[str], t: str, value: Column, out: str,
+                tiebreak: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
+    """``value`` of the row before, per key in (t, tiebreak) order (null for a
+    key's first row)."""
+    keys = list(keys)
+    x = _with_block(df, t, blocks, tiebreak).withColumn("__v", F.struct(value.alias("v")))
+    order = [F.col(c) for c in (t, "__tie", *tiebreak)]
+    x = x.withColumn("__in", F.lag("__v").over(Window.partitionBy(*keys, "__blk").orderBy(*order)))
+    per = x.groupBy(*keys, "__blk").agg(F.max_by("__v", F.struct(*order)).alias("__bl"))
     prev = per.select(*keys, "__blk", F.last("__bl", ignorenulls=True).over(_earlier(keys)).alias("__prev"))
-    return (_join_blocks(x, prev, keys).withColumn(out, F.coalesce(F.col("__in"), F.col("__prev")))
-            .drop("__blk", "__in", "__prev"))
+    return (_join_blocks(x, prev, keys).withColumn(out, F.coalesce("__in", "__prev")["v"])
+            .drop("__blk", "__tie", "__v", "__in", "__prev"))
+
+
+def merge_intervals(df: DataFrame, start: str = "start", end: str = "end", blocks: int | None = None) -> DataFrame:
+    """(start, end): overlapping and touching intervals merged.  An interval
+    begins a new one when it starts after every earlier end; both the greatest
+    earlier end and the numbering are blocked scans.  Intervals without a
+    bound, or that end before they start, are left out."""
+    x = df.select(F.col(start).alias("start"), F.col(end).alias("end")).where("start <= end")
+    x = _with_block(x, "start", blocks, ["end"])
+    order = Window.partitionBy("__blk").orderBy("start", "__tie", "end")
+    x = x.withColumn("__in", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    tops = x.groupBy("__blk").agg(F.max("end").alias("__top"))
+    before = tops.select("__blk", F.max("__top").over(_earlier([])).alias("__before"))
+    x = _join_blocks(x, before, []).withColumn("__far", F.greatest("__in", "__before")).drop("__in", "__before")
+    x = x.withColumn("__new", F.when(F.col("start") <= F.col("__far"), 0).otherwise(1).cast("long"))
+    x = x.withColumn("__in", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    sums = x.groupBy("__blk").agg(F.sum("__new").alias("__bs"))
+    offsets = sums.select("__blk", F.coalesce(F.sum("__bs").over(_earlier([])), F.lit(0)).alias("__off"))
+    x = _join_blocks(x, offsets, []).withColumn("__island", F.col("__off") + F.col("__in"))
+    return x.groupBy("__island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__island")
 
 
 # ------------------------------------------------------------- W1, W2
@@ -172,12 +220,11 @@ def series_trend(df: DataFrame, ts: str, value: str, by: Sequence[str] = (), spa
 
 def series_lag(df: DataFrame, ts: str, value: str, by: Sequence[str] = (), span: str = "1 day") -> DataFrame:
     """W3 (long form): one row per bucket with the previous bucket's value
-    and the change.  The lag window runs over bucketed rows only."""
+    and the change, by a blocked lag over the buckets."""
     by = list(by)
     b = df.groupBy(*by, F.window(F.col(ts).cast("timestamp"), span).start.alias("bucket")) \
           .agg(F.sum(F.col(value)).alias("v"))
-    w = Window.partitionBy(*by).orderBy("bucket") if by else Window.orderBy("bucket")
-    return b.withColumn("prev", F.lag("v").over(w)).withColumn("delta", F.col("v") - F.col("prev"))
+    return blocked_lag(b, by, "bucket", F.col("v"), "prev").withColumn("delta", F.col("v") - F.col("prev"))
 
 
 # ------------------------------------------------------------------ W4
@@ -195,56 +242,122 @@ PROGRESS_SECONDS = 10.0
 PROGRESS_COLUMNS = ("ts", "phase", "state", "percent", "fetched", "written", "total")
 
 
-def keep_progress(event: tuple, last: tuple | None) -> bool:
-    """Whether a progress event is kept, given the last *kept* one of its job;
-    both are (microseconds, phase, state, percent, fetched, written, total)."""
-    if last is None or event[1:3] != last[1:3]:
-        return True
-    at, phase, _, percent, fetched, written, total = event
-    gained = percent - last[3] >= PROGRESS_STEP or percent >= 100 > last[3]
-    # the first and the last row of a transfer, told by the counter that moved
-    rows, before = {"fetch": (fetched, last[4]), "write": (written, last[5])}.get(phase, (0, 0))
-    edge = total > 0 and rows != before and not 0 < rows < total
-    return gained or edge or at - last[0] >= PROGRESS_SECONDS * 1_000_000
-
-
-def progress_events(columns: Sequence[Sequence]) -> list[tuple]:
-    """Rows of (ts, phase, state, percent, fetched, written, total) lists, ts
-    in microseconds; an unknown number is 0."""
-    number = lambda c: [0 if v is None or v != v else v for v in c]
-    ts, phase, state, *rest = columns
-    return list(zip(number(ts), phase, state, *map(number, rest)))
+class ProgressRule:
+    """The thinning rule over arrays of progress events in time order: an
+    event is kept when, against the last *kept* one, phase or state differ,
+    the percentage gained ``PROGRESS_STEP`` or first reached 100, a fetch or
+    write begins or ends (its row counter moved to 0 or to the total), or
+    ``PROGRESS_SECONDS`` passed.  Unknown numbers are 0."""
+
+    def __init__(self, at, phase, state, percent, fetched, written, total):
+        import numpy as np
+        number = lambda c: np.nan_to_num(np.asarray([0 if v is None else v for v in c], dtype=float))
+        self.at = np.asarray([0 if v is None else v for v in at], dtype=np.int64)       # microseconds
+        self.phase, self.state = np.asarray(phase, dtype=object), np.asarray(state, dtype=object)
+        self.percent, self.fetched, self.written, self.total = map(number, (percent, fetched, written, total))
+        self.is_fetch, self.is_write = self.phase == "fetch", self.phase == "write"
+        self.rows = np.where(self.is_fetch, self.fetched, np.where(self.is_write, self.written, 0))
+
+    def event(self, i: int) -> tuple:
+        return (int(self.at[i]), self.phase[i], self.state[i], *(float(c[i]) for c in (self.percent, self.fetched, self.written, self.total)))
+
+    def _kept(self, lo: int, hi: int, last: tuple):
+        import numpy as np
+        s = slice(lo, hi)
+        at, phase, state, percent, fetched, written, _ = last
+        before = np.where(self.is_fetch[s], fetched, np.where(self.is_write[s], written, 0))
+        edge = (self.total[s] > 0) & (self.rows[s] != before) & ~((self.rows[s] > 0) & (self.rows[s] < self.total[s]))
+        return (edge | (self.phase[s] != phase) | (self.state[s] != state) | (self.percent[s] - percent >= PROGRESS_STEP)
+                | ((self.percent[s] >= 100) & (percent < 100)) | (self.at[s] - at >= PROGRESS_SECONDS * 1_000_000))
+
+    def keep(self, lo: int, hi: int, last: tuple | None):
+        """(flags of events lo..hi, last kept event); ``last`` is the event
+        kept before them, None at a start.  Each step looks for the next kept
+        event in windows that double."""
+        import numpy as np
+        flags = np.zeros(hi - lo, dtype=bool)
+        i = lo
+        if last is None and lo < hi:
+            flags[0], last, i = True, self.event(lo), lo + 1
+        width = 32
+        while i < hi:
+            found = self._kept(i, min(i + width, hi), last)
+            j = int(found.argmax())
+            if found[j]:
+                i += j
+                flags[i - lo], last, width = True, self.event(i), 32
+                i += 1
+            else:
+                i, width = i + len(found), width * 2
+        return flags, last
+
+
+def progress_segments(df: DataFrame, job: str = "job", columns: Sequence[str] = PROGRESS_COLUMNS,
+                      tiebreak: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
+    """``df`` plus ``__seg``, the number of the segment an event belongs to,
+    and ``__tie`` (order after the time).
+
+    An event whose phase or state differs from the event before it, or that
+    comes ``PROGRESS_SECONDS`` after it, is kept whatever was kept before:
+    the event before is either kept itself or agrees with the last kept one.
+    Such an event starts a segment that can be thinned on its own.  Both the
+    event before and the numbering come from blocked scans over one set of
+    blocks, so a busy job is cut up without a per-job window.
+    """
+    ts, phase, state = columns[:3]
+    micros = F.coalesce(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(0))
+    x = _with_block(df, ts, blocks, tiebreak)
+    x = x.withColumn("__v", F.struct(micros.alias("at"), F.col(phase).alias("p"), F.col(state).alias("s")))
+    order = [F.col(c) for c in (ts, "__tie", *tiebreak)]
+    w = Window.partitionBy(job, "__blk").orderBy(*order)
+    x = x.withColumn("__in", F.lag("__v").over(w))
+    per = x.groupBy(job, "__blk").agg(F.max_by("__v", F.struct(*order)).alias("__bl"))
+    prev = per.select(job, "__blk", F.last("__bl", ignorenulls=True).over(_earlier([job])).alias("__prev"))
+    x = _join_blocks(x, prev, [job]).withColumn("__b", F.coalesce("__in", "__prev"))
+    same = (F.col("__v.p").eqNullSafe(F.col("__b.p")) & F.col("__v.s").eqNullSafe(F.col("__b.s"))
+            & (F.col("__v.at") - F.col("__b.at") < int(PROGRESS_SECONDS * 1_000_000)))
+    x = x.withColumn("__new", F.when(F.col("__b").isNotNull() & same, 0).otherwise(1).cast("long")).drop("__in", "__prev", "__b", "__v")
+    x = x.withColumn("__in", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    sums = x.groupBy(job, "__blk").agg(F.sum("__new").alias("__bs"))
+    offsets = sums.select(job, "__blk", F.coalesce(F.sum("__bs").over(_earlier([job])), F.lit(0)).alias("__off"))
+    return _join_blocks(x, offsets, [job]).withColumn("__seg", F.col("__off") + F.col("__in")).drop("__blk", "__new", "__in", "__off")
 
 
 def thin_progress(df: DataFrame, job: str = "job", columns: Sequence[str] = PROGRESS_COLUMNS,
-                  tiebreak: Sequence[str] = ()) -> DataFrame:
+                  tiebreak: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
     """Keep a progress event when it is its job's first, phase or state
     changed, the percentage gained 10 points or first reached 100 since the
     last *kept* event, a fetch or write begins or ends (its row counter moved
     to 0 or to the total), or 10 s passed since the last kept event.
 
     ``columns`` name time, phase, state, percent, fetched, written and total
-    rows.  The rule reads the last kept event, so each job is walked in time
-    order: rows are sorted inside the partitions and pass batch by batch, with
-    one event of state per job."""
+    rows.  Jobs are cut into segments that do not depend on each other
+    (``progress_segments``), dealt over the tasks by (job, segment) and
+    thinned there by array code, with one event of state between batches."""
+    names = df.columns
+
     def run(batches):
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
-        current, last = object(), None
+        key, last = None, None
         for b in batches:
             at = lambda c: b.column(b.schema.get_field_index(c))
             times = pc.cast(pc.cast(at(columns[0]), pa.timestamp("us", at(columns[0]).type.tz)), pa.int64())
-            events = progress_events([times.to_pylist(), *[at(c).to_pylist() for c in columns[1:]]])
-            keep = []
-            for key, event in zip(at(job).to_pylist(), events):
-                if key != current:
-                    current, last = key, None
-                keep.append(keep_progress(event, last))
-                if keep[-1]:
-                    last = event
-            yield b.filter(pa.array(keep, pa.bool_()))
-
-    return (df.repartition(job).sortWithinPartitions(job, columns[0], *tiebreak)
+            rule = ProgressRule(times.to_pylist(), *[at(c).to_pylist() for c in columns[1:]])
+            jobs, segs = np.asarray(at(job).to_pylist(), dtype=object), np.asarray(at("__seg"))
+            cuts = [0, *(np.flatnonzero((jobs[1:] != jobs[:-1]) | (segs[1:] != segs[:-1])) + 1).tolist(), len(segs)]
+            flags = []
+            for lo, hi in zip(cuts, cuts[1:]):
+                if lo < hi:
+                    if key != (jobs[lo], segs[lo]):
+                        key, last = (jobs[lo], segs[lo]), None
+                    kept, last = rule.keep(lo, hi, last)
+                    flags.append(kept)
+            yield b.filter(pa.array(np.concatenate(flags) if flags else np.zeros(0, bool))).select(names)
+
+    x = progress_segments(df, job, columns, tiebreak, blocks)
+    return (x.repartition(job, "__seg").sortWithinPartitions(job, "__seg", columns[0], "__tie", *tiebreak)
             .mapInArrow(run, df.schema))
 
 
@@ -284,7 +397,7 @@ def concurrency(df: DataFrame, start: str, end: str, tiebreak: Sequence[str] = (
     ends = (known.filter(F.col(end).isNotNull())
             .select(*df.columns, F.col(end).alias("__t"), F.lit(-1).alias("__d"), F.lit(0).alias("__s")))
     r = blocked_running_sum(ev.unionByName(ends), [], "__t", F.col("__d").cast("long"), "concurrent",
-                            ["__s", *tiebreak], blocks)
+                            tiebreak, blocks, flag="__s")
     unknown = df.filter(F.col(start).isNull()).withColumn("concurrent", F.lit(None).cast("long"))
     return r.filter(F.col("__s") == 1).drop("__t", "__d", "__s").unionByName(unknown)
 
@@ -296,7 +409,8 @@ def cadence(df: DataFrame, key: str, ts: str, blocks: int | None = None) -> Data
     busy key is spread over its blocks.  Rows without a time count as
     invocations and have no gap."""
     t = _num(F.col(ts), dict(df.dtypes)[ts])
-    x = _with_block(df.select(F.col(key), F.col(ts)), ts, blocks).withColumn("__t", t)
+    cut = [c for c in df.columns if c not in (key, ts)]         # rows of one instant are told apart by the other columns
+    x = _with_block(df.select(F.col(key), F.col(ts), *cut), ts, blocks).withColumn("__t", t).select(F.col(key), "__blk", "__t")
     x = x.withColumn("__in", F.lag("__t").over(Window.partitionBy(key, "__blk").orderBy("__t")))
     per = x.groupBy(key, "__blk").agg(F.max("__t").alias("__last"))
     prev = per.select(key, "__blk", F.max("__last").over(_earlier([key])).alias("__prev"))
@@ -314,7 +428,8 @@ def state_runs(df: DataFrame, key: str, ts: str, state: str, tiebreak: Sequence[
     length; runs shorter than ``min_length`` are dropped.  A null state is a
     state like any other."""
     a = blocked_running_sum(df, [key], ts, None, "__n1", tiebreak, blocks)
-    b = blocked_running_sum(a, [key, state], ts, None, "__n2", tiebreak, blocks)
+    # the first ordinal is the order from here on
+    b = blocked_running_sum(a, [key, state], ts, None, "__n2", ["__n1"], blocks)
     isl = b.withColumn("__run", F.col("__n1") - F.col("__n2"))
     runs = isl.groupBy(key, state, "__run").agg(
         F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("length"))

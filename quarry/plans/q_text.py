@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import rollups as ru
 from ..operators import text as tx
-from ..session import spread
+from ..operators import text_index as ti
+from ..session import scratch_path, spread
 from .registry import register, rounded, table
 
 
@@ -23,7 +24,7 @@ def benchmark_queries(spark, sf_dir):
 
 
 # The SQL below restates the same definitions independently: documents,
-# index tokens, query terms (with ticket-id alternatives), phrase matching by
+# index tokens without diacritics, query terms (with ticket-id alternatives), phrase matching by
 # position, FTS5-style BM25 (weights 4/2/1/0.25, k1 1.2, b 0.75, row length
 # over all fields), the AND rule, and rank by score then doc_id.
 _SQL_DOCS = r"""
@@ -38,10 +39,10 @@ docs AS (
          'table documents' AS context
   FROM documents),
 fields AS (
-  SELECT doc_id, 'title' AS field, 4.0 AS w, regexp_extract_all(lower(title), '[\p{L}\p{N}]+') AS toks FROM docs
-  UNION ALL SELECT doc_id, 'body', 2.0, regexp_extract_all(lower(body), '[\p{L}\p{N}]+') FROM docs
-  UNION ALL SELECT doc_id, 'metadata', 1.0, regexp_extract_all(lower(metadata), '[\p{L}\p{N}]+') FROM docs
-  UNION ALL SELECT doc_id, 'context', 0.25, regexp_extract_all(lower(context), '[\p{L}\p{N}]+') FROM docs),
+  SELECT doc_id, 'title' AS field, 4.0 AS w, regexp_extract_all(strip_accents(lower(title)), '[\p{L}\p{N}]+') AS toks FROM docs
+  UNION ALL SELECT doc_id, 'body', 2.0, regexp_extract_all(strip_accents(lower(body)), '[\p{L}\p{N}]+') FROM docs
+  UNION ALL SELECT doc_id, 'metadata', 1.0, regexp_extract_all(strip_accents(lower(metadata)), '[\p{L}\p{N}]+') FROM docs
+  UNION ALL SELECT doc_id, 'context', 0.25, regexp_extract_all(strip_accents(lower(context)), '[\p{L}\p{N}]+') FROM docs),
 lens AS (SELECT doc_id, sum(len(toks)) AS doc_len FROM fields GROUP BY doc_id),
 corpus AS (SELECT count(*) AS n, avg(doc_len) AS avgdl FROM lens),
 postings AS (
@@ -54,7 +55,7 @@ terms AS (
   SELECT query_id, unnest(terms) AS term, generate_subscripts(terms, 1) - 1 AS term_idx FROM qt),
 nterms AS (SELECT query_id, len(terms) AS n_terms FROM qt),
 alts AS (
-  SELECT query_id, term_idx, 0 AS alt, 0 AS part, regexp_extract_all(lower(term), '[\p{L}\p{N}]+') AS toks FROM terms
+  SELECT query_id, term_idx, 0 AS alt, 0 AS part, regexp_extract_all(strip_accents(lower(term)), '[\p{L}\p{N}]+') AS toks FROM terms
   UNION ALL
   SELECT query_id, term_idx, 1, 0, [lower(regexp_extract(term, '^([A-Za-z]{2,8})([0-9]{3,})$', 1))] FROM terms
   WHERE regexp_matches(term, '^([A-Za-z]{2,8})([0-9]{3,})$')
@@ -233,3 +234,170 @@ FROM ex GROUP BY query_id
 def a17_hit_scope_counts(spark, sf_dir):
     hits = tx.search_text(search_docs(spark, sf_dir), benchmark_queries(spark, sf_dir), k=20, explain=True)
     return ru.hit_scope_counts(hits)
+
+
+# ------------------------------------------------- block-max index and phrases
+def _terms_sql(queries: str) -> str:
+    """The terms of a table of queries given as a SELECT of (item_id, text)."""
+    return _SQL_TERMS.replace("FROM benchmark)", f"FROM ({queries}))")
+
+
+def _hits_sql(k: int) -> str:
+    return f"""SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank, n_hits > {k} AS truncated
+FROM ranked WHERE rank <= {k}"""
+
+
+def _search(spark, docs, queries, k):
+    """Build the block-max index of ``docs`` and answer ``queries`` with it."""
+    index = ti.build_index(docs, scratch_path(spark, "text-index"))
+    hits, _ = ti.search_index(index, queries, k=k)
+    return rounded(hits.select("query_id", "doc_id", "score", "rank", "truncated"))
+
+
+@register("t9_block_max_search", sql=f"WITH {_SQL_DOCS}, {_SQL_TERMS}, {_SQL_SCORE} {_hits_sql(20)}")
+def t9_block_max_search(spark, sf_dir):
+    """The queries of t9_search_text answered from a stored index that skips
+    blocks below the score of the k-th hit."""
+    return _search(spark, search_docs(spark, sf_dir), benchmark_queries(spark, sf_dir), 20)
+
+
+# Every document whose id is divisible by 100 asks for three of its words as
+# one term and for another of its words.
+_PHRASES = r"""SELECT doc_id AS item_id, w[3] || '_' || w[4] || chr(39) || w[5] || ' ' || w[8] AS text FROM (
+  SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{N}]+') AS w FROM documents WHERE doc_id % 100 = 0) WHERE len(w) >= 8"""
+
+
+def _phrase_queries(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").where("doc_id % 100 = 0")
+    w = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), 0)
+    at = lambda i: F.get("w", i - 1)
+    return (d.select(F.col("doc_id").alias("query_id"), w.alias("w")).where(F.size("w") >= 8)
+            .select("query_id", F.concat(at(3), F.lit("_"), at(4), F.lit("'"), at(5), F.lit(" "), at(8)).alias("text")))
+
+
+@register("t3_phrase_search", sql=f"WITH {_SQL_DOCS}, {_terms_sql(_PHRASES)}, {_SQL_SCORE} {_hits_sql(5)}")
+def t3_phrase_search(spark, sf_dir):
+    """Terms of three words, found by intersecting place lists in the pass
+    over the text."""
+    hits = tx.search_text(search_docs(spark, sf_dir), _phrase_queries(spark, sf_dir), k=5)
+    return rounded(hits.select("query_id", "doc_id", "score", "rank", "truncated"))
+
+
+@register("t3_phrase_index_search", sql=f"WITH {_SQL_DOCS}, {_terms_sql(_PHRASES)}, {_SQL_SCORE} {_hits_sql(5)}")
+def t3_phrase_index_search(spark, sf_dir):
+    """The same from the place lists of the stored index."""
+    return _search(spark, search_docs(spark, sf_dir), _phrase_queries(spark, sf_dir), 5)
+
+
+# Words with diacritics of the same documents, asked for without them and in capitals.
+_ACCENTS = r"""SELECT item_id, upper(strip_accents(lower(w[1]))) || coalesce(' ' || strip_accents(lower(w[2])), '') AS text FROM (
+  SELECT doc_id AS item_id, list_filter(regexp_extract_all(text, '\p{L}+'), lambda x: x <> strip_accents(x)) AS w
+  FROM documents WHERE doc_id % 100 = 0) WHERE len(w) > 0"""
+
+
+def _accent_queries(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").where("doc_id % 100 = 0")
+    words = F.filter(F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0), lambda x: F.lower(x) != tx.fold(x))
+    second = F.when(F.size("w") > 1, F.concat(F.lit(" "), tx.fold(F.get("w", 1)))).otherwise(F.lit(""))
+    return (d.select(F.col("doc_id").alias("query_id"), words.alias("w")).where(F.size("w") > 0)
+            .select("query_id", F.concat(F.upper(tx.fold(F.get("w", 0))), second).alias("text")))
+
+
+@register("t7_accent_search", sql=f"WITH {_SQL_DOCS}, {_terms_sql(_ACCENTS)}, {_SQL_SCORE} {_hits_sql(5)}")
+def t7_accent_search(spark, sf_dir):
+    """French, German and Spanish words found by their unaccented spelling."""
+    hits = tx.search_text(search_docs(spark, sf_dir), _accent_queries(spark, sf_dir), k=5)
+    return rounded(hits.select("query_id", "doc_id", "score", "rank", "truncated"))
+
+
+# Orders as tickets: a row of its own mentions INC-<key> or RM<key>.
+_SQL_TICKETS = """
+docs AS (
+  SELECT o_orderkey AS doc_id, 'ticket ' || CASE WHEN o_orderkey % 2 = 0 THEN 'INC-' ELSE 'RM' END
+           || CAST(o_orderkey AS VARCHAR) || ' status ' || o_orderstatus AS title,
+         'message ticket ' || CASE WHEN o_orderkey % 2 = 0 THEN 'INC-' ELSE 'RM' END || CAST(o_orderkey AS VARCHAR)
+           || ' status ' || o_orderstatus AS body, '' AS metadata, 'table tickets' AS context FROM orders),"""
+_TICKETS = """SELECT o_orderkey AS item_id, CASE WHEN o_orderkey % 200 = 0 THEN 'inc' ELSE 'Rm' END || CAST(
+  CASE WHEN o_orderkey % 200 = 0 THEN o_orderkey ELSE o_orderkey + 1 END AS VARCHAR) AS text FROM orders WHERE o_orderkey % 100 = 0"""
+
+
+@register("t2_ticket_search", sql=f"""
+WITH {_SQL_TICKETS} {_SQL_DOCS.split("FROM documents),", 1)[1]}, {_terms_sql(_TICKETS)}, {_SQL_SCORE} {_hits_sql(5)}
+""")
+def t2_ticket_search(spark, sf_dir):
+    """``inc1200`` finds the row with INC-1200 by prefix and number, ``Rm1301``
+    the one with RM1301 as one word."""
+    key = F.col("o_orderkey")
+    mention = F.concat(F.lit("ticket "), F.when(key % 2 == 0, F.lit("INC-")).otherwise(F.lit("RM")), key.cast("string"),
+                       F.lit(" status "), F.col("o_orderstatus"))
+    o = table(spark, sf_dir, "orders")
+    # no title field: the message is the fallback title, and stays in the body as ``message ...``
+    docs = tx.build_documents(o.select("o_orderkey", mention.alias("text")), "tickets", row_col="o_orderkey")
+    docs = docs.withColumn("body", F.regexp_replace("body", "^text ", "message "))
+    q = o.where(key % 100 == 0).select(
+        key.alias("query_id"), F.concat(F.when(key % 200 == 0, F.lit("inc")).otherwise(F.lit("Rm")),
+                                        F.when(key % 200 == 0, key).otherwise(key + 1).cast("string")).alias("text"))
+    hits = tx.search_text(docs, q, k=5)
+    return rounded(hits.select("query_id", "doc_id", "score", "rank", "truncated"))
+
+
+@register("t1_query_errors", sql=r"""
+SELECT conv_id * 1000 + turn AS query_id, 'the query needs at least one searchable word or number' AS error
+FROM (SELECT conv_id, turn, CASE WHEN role = 'user' THEN regexp_replace(text, '[\p{L}\p{N}_]+', '', 'g') ELSE text END AS text
+      FROM conversations)
+WHERE NOT regexp_matches(coalesce(text, ''), '[\p{L}\p{N}_]')
+""")
+def t1_query_errors(spark, sf_dir):
+    """Turns as queries; the users' are left with their punctuation only."""
+    c = table(spark, sf_dir, "conversations")
+    text = F.when(F.col("role") == "user", F.regexp_replace("text", r"[\p{L}\p{N}_]+", "")).otherwise(F.col("text"))
+    return tx.query_errors(c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), text.alias("text")))
+
+
+@register("t5_row_documents", sql="""
+SELECT event_id AS doc_id, event_type AS title,
+  trim('name ' || event_type || ' props ' || props || ' user_id ' || CAST(user_id AS VARCHAR)) AS body,
+  '' AS metadata, 'table web_logs-7 web logs 7 app shop count 3' AS context
+FROM events
+""")
+def t5_row_documents(spark, sf_dir):
+    """Rows as search documents: a fallback title, ``key value`` pairs in key
+    order, the table name split up and the search's metadata as context."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("event_type").alias("name"), "props")
+    return tx.build_documents(e, "web_logs-7", row_col="event_id", metadata={"count": 3, "app": "shop", "none": None})
+
+
+_SQL_SNIPPET = r"""
+hits AS (SELECT r.query_id, r.doc_id, q.text AS query_text, d.title, d.body, d.context
+  FROM ranked r JOIN queries q ON q.item_id = r.query_id JOIN docs d ON d.doc_id = r.doc_id WHERE r.rank <= 5),
+tok AS (SELECT *, list_distinct(regexp_extract_all(lower(query_text), '[\p{L}\p{N}]+')) AS q FROM hits),
+src AS (SELECT query_id, doc_id, q, regexp_split_to_array(trim(CASE
+    WHEN len(list_intersect(q, regexp_extract_all(lower(body), '[\p{L}\p{N}]+'))) > 0 THEN body
+    WHEN len(list_intersect(q, regexp_extract_all(lower(title), '[\p{L}\p{N}]+'))) > 0 THEN title ELSE context END), '\s+') AS w FROM tok),
+marked AS (SELECT *, coalesce(NULLIF(list_position(list_transform(w, lambda x:
+    len(list_intersect(regexp_extract_all(lower(x), '[\p{L}\p{N}]+'), q)) > 0), true), 0), 1) AS hit FROM src),
+cut AS (SELECT *, greatest(1, least(hit - 6, len(w) - 23)) AS s FROM marked)
+SELECT query_id, doc_id, CASE WHEN s > 1 THEN '... ' ELSE '' END || array_to_string(w[s:s + 23], ' ')
+  || CASE WHEN s + 23 < len(w) THEN ' ...' ELSE '' END AS snippet FROM cut
+"""
+
+
+@register("t10_snippets", sql=f"WITH queries AS ({_PHRASES}), {_SQL_DOCS}, {_terms_sql(_PHRASES)}, {_SQL_SCORE}, {_SQL_SNIPPET}")
+def t10_snippets(spark, sf_dir):
+    """The words around the first match in the field that explains the hit."""
+    hits = tx.search_text(search_docs(spark, sf_dir), _phrase_queries(spark, sf_dir), k=5, explain=True)
+    return hits.select("query_id", "doc_id", "snippet")
+
+
+@register("t12_context_titles", sql=f"""
+WITH {_SQL_DOCS}, {_terms_sql("SELECT CAST(0 AS BIGINT) AS item_id, 'table documents' AS text")}, {_SQL_SCORE}
+SELECT r.doc_id, CASE WHEN regexp_matches(' ' || lower(d.title || ' ' || d.body) || ' ', '[^\\p{{L}}\\p{{N}}](table|documents)[^\\p{{L}}\\p{{N}}]')
+  THEN d.title ELSE 'table context search documents' END AS title
+FROM ranked r JOIN docs d ON d.doc_id = r.doc_id
+""")
+def t12_context_titles(spark, sf_dir):
+    """A query that only the table's name answers: every document is a hit of
+    its context and gets the context title."""
+    q = spark.createDataFrame([(0, "table documents")], "query_id long, text string")
+    hits = tx.search_text(search_docs(spark, sf_dir), q, k=None, explain=True, table_name="documents")
+    return hits.select("doc_id", "title")
