@@ -113,37 +113,61 @@ def mark_stale(ledger: DataFrame, anchor, horizon: str) -> DataFrame:
                  .withColumn("current", F.when(t.isNotNull(), t >= cutoff))
 
 
-# Source kinds and the evidence label each gives.
+# Source kinds and the evidence label each gives, unless the caller brings their own.
 SOURCE_LABELS = {"live": "observed", "export": "observed", "inventory": "observed", "scan": "observed",
                  "documentation": "documented", "advisory": "documented", "release_notes": "documented",
                  "inference": "inferred", "heuristic": "inferred"}
 
 
-def label_evidence(ledger: DataFrame, source_kind: str = "source") -> DataFrame:
+def label_evidence(ledger: DataFrame, source_kind: str = "source", labels: Mapping[str, str] | None = None) -> DataFrame:
     """Observed / documented / inferred / missing.  A null value is
-    ``missing``; an unlisted source kind is ``inferred`` (never observed)."""
-    m = F.create_map(*[x for k, v in SOURCE_LABELS.items() for x in (F.lit(k), F.lit(v))])
+    ``missing``; a source kind that ``labels`` does not list is ``inferred``
+    (never observed)."""
+    m = F.create_map(*[x for k, v in (labels or SOURCE_LABELS).items() for x in (F.lit(k), F.lit(v))])
     label = F.when(F.col("value").isNull(), "missing") \
              .otherwise(F.coalesce(m[F.lower(F.col(source_kind))], F.lit("inferred")))
     return ledger.withColumn("evidence_label", label)
 
 
 # ------------------------------------------------------------------- G7
+def report_facts(ledger: DataFrame) -> DataFrame:
+    """G7 (long form): the supported facts, one row per object, field, value
+    and source."""
+    return ledger.where(F.col("value").isNotNull()).select("object_id", "field", "value", "source").distinct()
+
+
 def report_rows(ledger: DataFrame, decisions: DataFrame | None = None,
-                missing: DataFrame | None = None) -> DataFrame:
-    """One report row per object: supported facts (field, value,
-    source), unknowns (missing fields over all decisions), and - when given -
-    the decision and next step columns of ``decisions`` (object_id, ...)."""
-    facts = ledger.groupBy("object_id").agg(F.array_sort(F.collect_list(
-        F.struct("field", "value", "source"))).alias("facts"))
-    out = facts
+                missing: DataFrame | None = None, disputed: DataFrame | None = None) -> DataFrame:
+    """One report row per object: how many supported facts it has
+    (``report_facts`` lists them), its ``unknowns`` (missing fields over all
+    decisions, as many as the rules name), the columns of ``decisions``
+    (object_id, ..., perhaps ``next_step``) and the next step.
+
+    A conflict comes first (``disputed``: object_id, field, as ``conflicts``
+    gives them), then the first unknown, then the decision's own step; an
+    object without any of them needs none (null)."""
+    out = report_facts(ledger).groupBy("object_id").agg(F.count(F.lit(1)).alias("n_facts"))
+    out = ledger.select("object_id").distinct().join(out, "object_id", "left").fillna(0, ["n_facts"])
+    steps = []
+    if disputed is not None:
+        per = disputed.groupBy("object_id").agg(F.min("field").alias("__disputed"))
+        out = out.join(per, "object_id", "left")
+        steps.append(F.when(F.col("__disputed").isNotNull(), F.concat(F.lit("resolve "), F.col("__disputed"))))
     if missing is not None:
-        unk = missing.groupBy("object_id").agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("missing")))).alias("unknowns"))
-        out = out.join(unk, "object_id", "left")
+        # distinct fields first: their number is bounded by the rules
+        unk = (missing.select("object_id", F.explode("missing").alias("field")).distinct()
+               .groupBy("object_id").agg(F.array_sort(F.collect_list("field")).alias("unknowns")))
+        out = out.join(unk, "object_id", "left").withColumn(
+            "unknowns", F.coalesce("unknowns", F.array().cast("array<string>")))
+        steps.append(F.when(F.size("unknowns") > 0, F.concat(F.lit("collect "), F.get("unknowns", 0))))
     if decisions is not None:
-        out = out.join(decisions, "object_id", "left")
-    return out
+        d = decisions
+        if "next_step" in d.columns:
+            d = d.withColumnRenamed("next_step", "__step")
+            steps.append(F.col("__step"))
+        out = out.join(d, "object_id", "left")
+    out = out.withColumn("next_step", F.coalesce(*steps) if steps else F.lit(None).cast("string"))
+    return out.drop("__disputed", "__step")
 
 
 # ------------------------------------------------------------------- G8
@@ -159,7 +183,7 @@ HEALTH_LANES = {
     "security": ["indicator", "surface", "time", "message"],
     "workload_management": ["indicator", "pool_class", "saturation", "affected_searches", "time", "impact"],
 }
-# Check-name patterns mapped to a lane, first match wins.
+# Check-name patterns mapped to a lane (first match wins), unless the caller brings their own.
 LANE_PATTERNS = (
     ("(?i)index|ingest|parsing", "indexing"), ("(?i)search|scheduler|skipped", "search"),
     ("(?i)forwarder|tcpin|receiver", "forwarder"), ("(?i)disk|volume|space", "disk"),
@@ -169,12 +193,12 @@ LANE_PATTERNS = (
 
 
 def health_lanes(checks: DataFrame, check_col: str = "check", ledger: DataFrame | None = None,
-                 id_col: str | None = None) -> DataFrame:
-    """Lane per check (first matching pattern; else ``unmapped``), the
+                 id_col: str | None = None, patterns: Sequence[tuple[str, str]] = LANE_PATTERNS) -> DataFrame:
+    """Lane per check (first matching of ``patterns``; else ``unmapped``), the
     smallest evidence that lane needs, and - with a ledger keyed by
     ``id_col`` - which of it is missing (G3)."""
     lane = None
-    for pat, name in LANE_PATTERNS:
+    for pat, name in patterns:
         cond = F.col(check_col).rlike(pat)
         lane = F.when(cond, F.lit(name)) if lane is None else lane.when(cond, F.lit(name))
     lane = lane.otherwise(F.lit("unmapped"))

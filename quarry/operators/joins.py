@@ -151,24 +151,28 @@ def orphans(objects: DataFrame, users: DataFrame, owner_col: str = "owner", user
 
 
 # ------------------------------------------------------- J7 ACL
-def acl_exposure(objects: DataFrame, acl: DataFrame, object_key: str = "object_id",
-                 sharing_col: str = "sharing", roles_col: str = "write_roles") -> DataFrame:
-    """Write exposure per object from its ACL rows.
-
-    ``acl`` holds (object_id, role, can_read, can_write); roles may also be a
-    comma-separated list.  Exposure is stated only when both sharing and
-    ACL evidence exist; otherwise ``exposure`` is ``unknown``.
-    """
+def acl_roles(acl: DataFrame, object_key: str = "object_id") -> DataFrame:
+    """J7 (long form): one row per object and role with what it may do;
+    ``role`` may be a comma-separated list in the input."""
     roles = acl.withColumn("role", F.explode(F.split(F.col("role"), r"\s*,\s*")))
-    per_obj = roles.groupBy(object_key).agg(
-        F.array_sort(F.collect_set(F.when(F.col("can_write"), F.col("role")))).alias(roles_col),
-        F.array_sort(F.collect_set(F.when(F.col("can_read"), F.col("role")))).alias("read_roles"))
+    return roles.groupBy(object_key, "role").agg(F.bool_or("can_read").alias("can_read"), F.bool_or("can_write").alias("can_write"))
+
+
+def acl_exposure(objects: DataFrame, acl: DataFrame, object_key: str = "object_id",
+                 sharing_col: str = "sharing") -> DataFrame:
+    """Write exposure per object from its ACL rows (object_id, role,
+    can_read, can_write; see ``acl_roles`` for the roles themselves): the
+    number of roles that may write and read, and ``exposure``.  It is stated
+    only when both sharing and ACL evidence exist, else ``unknown``.  Only
+    counts are kept per object, however many roles it lists."""
+    per_obj = acl_roles(acl, object_key).groupBy(object_key).agg(
+        F.count_if(F.col("can_write")).alias("n_write_roles"), F.count_if(F.col("can_read")).alias("n_read_roles"),
+        F.bool_or(F.col("can_write") & F.col("role").isin("*", "user")).alias("__broad"))
     j = objects.join(per_obj, object_key, "left")
-    exposure = (F.when(F.col(sharing_col).isNull() | F.col(roles_col).isNull(), "unknown")
-                .when(F.array_contains(F.col(roles_col), "*") | F.array_contains(F.col(roles_col), "user"), "broad_write")
-                .when(F.size(F.col(roles_col)) > 0, "restricted_write")
+    exposure = (F.when(F.col(sharing_col).isNull() | F.col("n_write_roles").isNull(), "unknown")
+                .when(F.col("__broad"), "broad_write").when(F.col("n_write_roles") > 0, "restricted_write")
                 .otherwise("read_only"))
-    return j.withColumn("exposure", exposure)
+    return j.withColumn("exposure", exposure).drop("__broad")
 
 
 # ------------------------------------------ J8 effective capabilities

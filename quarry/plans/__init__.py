@@ -8,4 +8,5 @@ from . import q_text  # noqa: F401
 from . import q_evidence  # noqa: F401
 from . import q_sources  # noqa: F401
 from . import q_decisions  # noqa: F401
+from . import q_scale  # noqa: F401
 from .registry import REGISTRY  # noqa: F401
