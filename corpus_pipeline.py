@@ -49,11 +49,18 @@ STAGES = [
     ("pack sequences", pack_sequences),
 ]
 
+# Rows of an Arrow batch between Spark and Python workers: texts are long, and
+# each task holds such batches outside the heap.
+BATCH_ROWS = 1_000
+
 # Fingerprints, the sampling draw and tokens have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

@@ -55,7 +55,7 @@ class Subwords:
 
     def __init__(self, tokenizer_path: str):
         from .packing import _tokenizer
-        chunks = _tokenizer(tokenizer_path)[2]
+        chunks = _tokenizer(tokenizer_path)[1]
         self.encode = chunks.encode
         self.end = 2 * 50_000_000                                # no subword id is that large
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import release, slices, stash
 
 SEQ_LEN = 2048
-CACHE_CHUNKS = 400_000      # tokenised chunks a worker remembers (speed only)
+CACHE_CHUNKS = 200_000      # tokenised chunks a worker remembers (speed only)
 
 _PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
            "task int, task_rank bigint")
@@ -44,29 +44,36 @@ _PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 big
 SPLIT_PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
+def _whole(path: str):
+    """The tokenizer itself, for texts that are encoded whole."""
+    import os
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=1)
 def _tokenizer(path: str):
-    """(tokenizer, special texts, chunks remembered by tiktoken running the same merges).
+    """(special texts, chunks remembered by tiktoken running the same merges).
 
     tiktoken gives the same ids several times faster for single chunks; the
     tests hold both against each other.
     """
     import json
-    import os
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
     import tiktoken
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
+        spec = json.load(f)
+    vocab = spec["model"]["vocab"]
     # byte-level vocabularies write each byte as a printable character
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     byte_of = {chr(b): b for b in shown}
     byte_of.update({chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(shown)))})
-    specials = [t.content for t in tok.get_added_tokens_decoder().values()]
+    specials = [t["content"] for t in spec["added_tokens"]]
     ranks = {bytes(byte_of[c] for c in word): i for word, i in vocab.items() if word not in specials}
     fast = tiktoken.Encoding("chunks", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return tok, specials, _Chunks(fast.encode_ordinary)
+    return specials, _Chunks(fast.encode_ordinary)
 
 
 class _Chunks(dict):
@@ -102,7 +109,7 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     independently and remembered.  Texts with other white space, or with the
     text of a special token, are encoded whole.
     """
-    tok, specials, cache = _tokenizer(path)
+    specials, cache = _tokenizer(path)
     if len(cache) > CACHE_CHUNKS:
         cache.clear()
     chunk_ids, feed = cache.__getitem__, cache["\n"]
@@ -112,7 +119,7 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
             out.append(b"")
         elif any(s in text for s in _NO_CUT) or text[0] in " \n" or text[-1] in " \n" \
                 or any(s in text for s in specials):
-            out.append(_id_bytes(tok.encode(text, add_special_tokens=False).ids))
+            out.append(_id_bytes(_whole(path).encode(text, add_special_tokens=False).ids))
         else:
             out.append(feed.join([b"".join(map(chunk_ids, line.replace(" ", "\0 ").split("\0")))
                                   for line in text.split("\n")]))
@@ -152,7 +159,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, e
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(cols, kinds)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "task", "task_rank"])
-        _tokenizer(tokenizer_path)[2].clear()
+        _tokenizer(tokenizer_path)[1].clear()
         release()
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),

@@ -107,7 +107,7 @@ def host_verdicts(measured: DataFrame, host_col: str = "source",
 
 def assess(measured: DataFrame, host_col: str = "source",
            max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``measured`` (with ``__q``) plus ``__failed``, ``host_rate`` and ``__kept``."""
+    """``measured`` (with ``__q``) plus ``__failed``, ``__host_rate`` and ``__kept``."""
     q = F.col("__q")
     measured = measured.withColumn(
         "__failed", (q.n_words < MIN_WORDS) | (100 * q.n_repeat_words > MAX_REPEAT_PCT * q.n_words))
@@ -117,9 +117,10 @@ def assess(measured: DataFrame, host_col: str = "source",
             & (q.n_dup_lines <= MAX_DUP_LINES)
             & (q.word_chars >= MEAN_WORD_CHARS[0] * q.n_words)
             & (q.word_chars <= MEAN_WORD_CHARS[1] * q.n_words))
-    joined = measured.join(hosts.select("__host", "host_rate", "strict"),
-                           F.col(host_col).eqNullSafe(F.col("__host")), "left").drop("__host")
-    return (joined.withColumn("__kept", ~F.col("__failed") & (~F.col("strict") | soft)).drop("strict"))
+    # every helper column is prefixed: the documents' own may have any name
+    own = hosts.select("__host", F.col("host_rate").alias("__host_rate"), F.col("strict").alias("__strict"))
+    joined = measured.join(own, F.col(f"`{host_col}`").eqNullSafe(F.col("__host")), "left").drop("__host")
+    return (joined.withColumn("__kept", ~F.col("__failed") & (~F.col("__strict") | soft)).drop("__strict"))
 
 
 def quality_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, release, slices
+from .common import byte_texts, release, slices, stash
 
 WINDOW = 35
 GRAM = 8
@@ -318,9 +318,12 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, max_cells: int = MAX_
     runs = docs.select("doc_id", "text_hash", "text").mapInArrow(emit, _RUNS)
     found = (runs.repartition("anchor").sortWithinPartitions("anchor")
              .mapInArrow(group, "doc_id bigint, text_hash bigint, lo int, hi int"))
-    # ranges of one document: bounded by its words
-    return found.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    # ranges of one document: bounded by its words.  Written here, so that the
+    # sketch can leave the executors and their workers.
+    out = stash(found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges")),
+                "repeated-ranges")
+    held.destroy()
+    return out
 
 
 def _cut(n: int, ranges) -> np.ndarray:
