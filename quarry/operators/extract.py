@@ -224,15 +224,30 @@ def event_types(df: DataFrame, predicates: Mapping[str, str], out: str = "eventt
     return df.withColumn(out, F.array_compact(arr))
 
 
+INLINE_RULES = 200          # tag rules given as a list that are looked up without a join
+
+
 def add_tags(df: DataFrame, rules: DataFrame | Sequence[tuple], out: str = "tag") -> DataFrame:
     """Rules ``(field, value, tag)``; a row gets the sorted distinct tags
     of every rule whose field has that value (as text; null matches nothing).
 
-    Per rule field the tags are first combined per value and then joined to
-    the rows on that value; Spark picks the join from the measured size.
+    A short list of rules becomes one map per field, looked up in the row; a
+    table of rules is combined per value and joined to the rows on that value
+    (Spark picks the join from the measured size).
     """
+    text = lambda v: None if v is None else str(v)
+    none = F.array().cast("array<string>")
+    if not isinstance(rules, DataFrame) and len(rules) <= INLINE_RULES:
+        per: dict = {}
+        for name, value, tag in rules:
+            if name in df.columns and value is not None:
+                per.setdefault(name, {}).setdefault(text(value), set()).add(tag)
+        found = []
+        for name, values in per.items():
+            pairs = [x for v, ts in values.items() for x in (F.lit(v), F.array(*[F.lit(t) for t in sorted(ts)]))]
+            found.append(F.coalesce(F.create_map(*pairs)[F.col(name).cast("string")], none))
+        return df.withColumn(out, F.array_sort(F.array_distinct(F.concat(none, *found))))
     if not isinstance(rules, DataFrame):
-        text = lambda v: None if v is None else str(v)
         rules = df.sparkSession.createDataFrame([(f, text(v), t) for f, v, t in rules],
                                                 "field string, value string, tag string")
     rules = rules.toDF("field", "value", "tag").withColumn("value", F.col("value").cast("string"))
@@ -244,7 +259,6 @@ def add_tags(df: DataFrame, rules: DataFrame | Sequence[tuple], out: str = "tag"
                .agg(F.collect_set("tag").alias(f"__t{k}")))
         df = df.join(per, F.col(name).cast("string") == F.col(f"__v{k}"), "left").drop(f"__v{k}")
         held.append(f"__t{k}")
-    none = F.array().cast("array<string>")
     tags = [F.coalesce(F.col(c), none) for c in held]
     return df.withColumn(out, F.array_sort(F.array_distinct(F.concat(none, *tags)))).drop(*held)
 

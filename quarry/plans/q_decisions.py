@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import decisions as dc
 from ..operators import rollups as ru
+from ..operators import windows as wn
 from .registry import register, table
 
 
@@ -195,21 +196,25 @@ def d9_change_readiness(spark, sf_dir):
 WITH pp AS (SELECT l_orderkey, l_suppkey, sum(l_quantity) AS s FROM lineitem GROUP BY 1, 2),
 peer AS (SELECT l_orderkey, max(s) / avg(s) AS imbalance FROM pp GROUP BY 1),
 job AS (SELECT l_orderkey, count(*) AS concurrent, sum(l_quantity) / sum(l_linenumber) AS scan_to_result
-        FROM lineitem GROUP BY 1)
+        FROM lineitem GROUP BY 1),
+gaps AS (SELECT l_orderkey, min(gap) AS min_gap FROM (
+  SELECT l_orderkey, epoch(l_shipdate) - lag(epoch(l_shipdate)) OVER (PARTITION BY l_orderkey ORDER BY l_shipdate) AS gap FROM lineitem) GROUP BY 1)
 SELECT j.l_orderkey AS search_id,
-  CASE WHEN p.imbalance > 1.8 THEN 'platform' WHEN j.concurrent > 6 THEN 'workload'
+  CASE WHEN p.imbalance > 1.8 THEN 'platform' WHEN j.concurrent > 6 THEN 'workload' WHEN g.min_gap < 172800 THEN 'invocation'
        WHEN j.scan_to_result > 8 THEN 'query' ELSE 'unknown' END AS cost_owner
-FROM job j JOIN peer p ON p.l_orderkey = j.l_orderkey
+FROM job j JOIN peer p ON p.l_orderkey = j.l_orderkey JOIN gaps g ON g.l_orderkey = j.l_orderkey
 """)
 def d10_cost_owner(spark, sf_dir):
     """Orders as searches: per-supplier quantities are peer timings (A12),
-    line count is concurrency, quantity per result is the scan ratio (A11)."""
+    line count is concurrency, shipping dates are invocations (W7), quantity
+    per result is the scan ratio (A11)."""
     li = table(spark, sf_dir, "lineitem")
     skew = ru.peer_skew(li, "l_orderkey", "l_suppkey", "l_quantity").select("l_orderkey", "imbalance")
     job = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("concurrent"),
                                       (F.sum("l_quantity") / F.sum("l_linenumber")).alias("scan_to_result"))
-    x = job.join(skew, "l_orderkey")
-    out = dc.cost_owner(x, imbalance_limit=1.8, concurrency_limit=6, scan_ratio_limit=8.0)
+    gaps = wn.cadence(li.select("l_orderkey", "l_shipdate"), "l_orderkey", "l_shipdate").select("l_orderkey", "min_gap")
+    x = job.join(skew, "l_orderkey").join(gaps, "l_orderkey")
+    out = dc.cost_owner(x, imbalance_limit=1.8, cadence_limit_s=172800.0, concurrency_limit=6, scan_ratio_limit=8.0)
     return out.select(F.col("l_orderkey").alias("search_id"), "cost_owner")
 
 

@@ -224,28 +224,34 @@ def e9_mvexpand(spark, sf_dir):
 
 @register("e14_normalize", sql="""
 WITH n AS (
-  SELECT event_id, event_type, event_type AS action, value,
-         CASE WHEN value >= 100 THEN 'high' ELSE 'low' END AS value_band
-  FROM events)
-SELECT event_id, action, value_band,
+  SELECT e.event_id, event_type, event_type AS action, value, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS k,
+         CASE WHEN value >= 100 THEN 'high' ELSE 'low' END AS value_band, coalesce(c.c_mktsegment, 'NONE') AS segment
+  FROM events e LEFT JOIN customer c ON c.c_custkey = e.user_id)
+SELECT event_id, action, k, value_band, segment,
        array_to_string(list_filter([CASE WHEN event_type = 'error' THEN 'failure' END,
                                     CASE WHEN event_type = 'purchase' AND value > 50 THEN 'money' END], lambda x: x IS NOT NULL), ',') AS eventtype,
        array_to_string(list_sort(list_distinct(list_filter([
             CASE WHEN event_type = 'error' THEN 'alert' END,
             CASE WHEN event_type = 'purchase' THEN 'commerce' END,
+            CASE WHEN segment = 'MACHINERY' THEN 'heavy' END,
             CASE WHEN value_band = 'high' THEN 'notable' END], lambda x: x IS NOT NULL))), ',') AS tag
 FROM n
 """)
 def e14_normalize(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    """All six steps: a value pulled out of the payload, an alias, a
+    calculated band, the user's segment looked up, event types and tags."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    segments = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
     spec = ex.NormalizeSpec(
+        extractions=[("props", r'"k":\s*"?(?<k>[^",}]+)')],
         aliases={"event_type": "action"},
         calculated={"value_band": "CASE WHEN value >= 100 THEN 'high' ELSE 'low' END"},
+        lookups=[(segments, "user_id", ["segment"], "NONE")],
         eventtypes={"failure": "event_type = 'error'", "money": "event_type = 'purchase' AND value > 50"},
         tags=[("event_type", "error", "alert"), ("event_type", "purchase", "commerce"),
-              ("value_band", "high", "notable")])
+              ("segment", "MACHINERY", "heavy"), ("value_band", "high", "notable")])
     out = ex.normalize(e, spec)
-    return out.select("event_id", "action", "value_band", F.array_join("eventtype", ",").alias("eventtype"),
+    return out.select("event_id", "action", "k", "value_band", "segment", F.array_join("eventtype", ",").alias("eventtype"),
                       F.array_join("tag", ",").alias("tag"))
 
 
@@ -327,14 +333,17 @@ def e15_url_ports(spark, sf_dir):
 
 @register("e16_conformance", sql="""
 SELECT event_id,
-       array_to_string(list_filter([CASE WHEN props IS NULL THEN 'props' END, 'dest'], lambda x: x IS NOT NULL), ',') AS missing_fields,
-       CASE WHEN event_type = 'error' THEN '' ELSE 'alert' END AS missing_tags,
-       false AS conforms
+       CASE WHEN event_type = 'view' THEN 'dest' ELSE '' END AS missing_fields,
+       CASE WHEN event_type = 'error' OR value > 100 THEN '' ELSE 'alert' END AS missing_tags,
+       event_type <> 'view' AND (event_type = 'error' OR value > 100) AS conforms
 FROM events WHERE value > 20
 """)
 def e16_conformance(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "props")
-    tagged = ex.add_tags(e, [("event_type", "error", "alert")])
+    """Views have no destination; errors and high values are alerts."""
+    e = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "value", "props", F.when(F.col("event_type") != "view", F.lit("web")).alias("dest"),
+        F.when(F.col("value") > 100, "high").otherwise("low").alias("band"))
+    tagged = ex.add_tags(e, [("event_type", "error", "alert"), ("band", "high", "alert")])
     out = ex.conformance(tagged, ["props", "dest"], ["alert"], constraint="value > 20")
     return out.select("event_id", F.array_join("missing_fields", ",").alias("missing_fields"),
                       F.array_join("missing_tags", ",").alias("missing_tags"), "conforms")
