@@ -10,6 +10,10 @@ whatever the corpus holds:
 2. best-fit the residual lengths, longest first, into the open bin with the
    least sufficient room.
 
+Exact combinations can spend the short pieces that longer ones need, so the
+histogram is also packed by best fit alone and the plan of fewer sequences is
+taken.
+
 Each piece then finds its place from its rank among the pieces of equal
 length.  Ranks come from per-task counters plus per-(task, length) offsets,
 so no length, however frequent, is gathered in one place.
@@ -175,6 +179,10 @@ class _Fill:
         for length, n in counts.items():
             self.left[length] = n
         self.bins: list[tuple[dict[int, int], int]] = []       # ({length: times}, number of bins)
+        # index of the sums that two and three available lengths can make
+        have = (self.left > 0).astype(float)
+        self.pair_sums = np.convolve(have, have)[:seq_len + 1] > 0.5
+        self.triple_sums = np.convolve(self.pair_sums.astype(float), have)[:seq_len + 1] > 0.5
 
     def consume(self, *lengths: int) -> bool:
         """Make as many bins of this combination as the counts allow."""
@@ -209,14 +217,14 @@ class _Fill:
                 continue
             if gap <= a:
                 self.consume(a, gap)                                  # single fills the gap
-            if self.left[a]:
+            if self.left[a] and self.pair_sums[gap]:
                 for b, c in self.pair(gap, a):                        # a pair fills it
                     self.consume(a, b, c)
                     if not self.left[a]:
                         break
-            if self.left[a]:
+            if self.left[a] and self.triple_sums[gap]:
                 for b in range(min(a, gap - 2), (gap + 2) // 3 - 1, -1):   # a triple fills it
-                    if not self.left[b]:
+                    if not self.left[b] or not self.pair_sums[gap - b]:
                         continue
                     for c, d in self.pair(gap - b, b):
                         self.consume(a, b, c, d)
@@ -259,10 +267,14 @@ class _Fill:
 
 def plan_bins(counts: dict[int, int], seq_len: int = SEQ_LEN) -> list[tuple[dict[int, int], int]]:
     """``[({length: times}, number of equal bins), ...]`` using every piece once."""
-    fill = _Fill(counts, seq_len)
-    fill.exact()
-    fill.best_fit()
-    return fill.bins
+    plans = []
+    for combine in (True, False):
+        fill = _Fill(counts, seq_len)
+        if combine:
+            fill.exact()
+        fill.best_fit()
+        plans.append(fill.bins)
+    return min(plans, key=lambda bins: sum(n for _, n in bins))         # the first of equals
 
 
 def _slots(bins) -> np.ndarray:

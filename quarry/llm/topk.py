@@ -8,14 +8,20 @@ the query's floor leave, and the survivors are compacted before the next
 group.  A query's floor is its k-th best score against one bounded block of
 candidates, so it never removes a true result; ties at the floor stay.
 
-Blocks travel as binary rows and are joined on (query block, candidate
-block): every task holds one pair of bounded blocks, whatever the table size
-or however many vectors are equal.  The k best of each pair are ranked by one
-window per query.
+Blocks travel as binary rows.  Groups of about ``GROUP`` candidate blocks meet
+groups of about ``GROUP`` query blocks in the cells of a grid (cogrouped): a
+block is copied once per group of the other side, and a task holds one cell,
+whatever the table size or however many vectors are equal.  The k best of each
+pair of blocks are ranked by one window per query.
+
+Components are kept as 32-bit integers, or as 64-bit ones in blocks that need
+them; where sums of products leave what a double holds exactly, survivors are
+scored again in 64-bit integers and the bounds get room for rounding.
 
 Defined cases: a vector that is null or holds a null or non-finite component
-takes no part, nor does a row without id; shorter vectors count as padded by
-zeros; rows with the query's own id are not its candidates; each query row
+takes no part, nor does a row without id or one with a component beyond 64 bits once
+scaled; a score beyond 64 bits is not defined; shorter vectors count as padded
+by zeros; rows with the query's own id are not its candidates; each query row
 gets its own ranks; with fewer than k candidates all are returned; an empty
 table gives no rows; further columns are ignored.
 """
@@ -32,6 +38,8 @@ QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
 DIM_GROUP = 16
 SCALE = 64
+GROUP = 16                  # blocks of a side in a cell of the grid, about
+EXACT = float(1 << 53)      # integers below are exact in a double
 
 _BLOCK = "block string, n int, dims int, ids binary, cells binary"
 
@@ -43,7 +51,7 @@ def quantize(values: np.ndarray, scale: int = SCALE) -> np.ndarray:
 
 def _blocks(vectors: DataFrame, size: int, scale: int) -> DataFrame:
     """Rows (block, n, dims, ids, cells): at most ``size`` vectors each,
-    ``cells`` holding int32 values dimension by dimension."""
+    ``cells`` holding int32 or int64 values dimension by dimension."""
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -54,7 +62,8 @@ def _blocks(vectors: DataFrame, size: int, scale: int) -> DataFrame:
         def flush():
             nonlocal made, ids, rows
             dims = max(map(len, rows))
-            cells = np.zeros((dims, len(rows)), dtype=np.int32)
+            wide = max((float(np.abs(r).max()) for r in rows if len(r)), default=0.0) >= 2 ** 31 - 1
+            cells = np.zeros((dims, len(rows)), dtype=np.int64 if wide else np.int32)
             for j, row in enumerate(rows):
                 cells[:len(row), j] = row
             out = pa.RecordBatch.from_pydict({
@@ -71,8 +80,11 @@ def _blocks(vectors: DataFrame, size: int, scale: int) -> DataFrame:
                 x = vec.values.to_numpy(zero_copy_only=False)
                 if not np.isfinite(x).all():
                     continue
+                row = quantize(x, scale)
+                if len(row) and np.abs(row).max() >= 2.0 ** 63:
+                    continue
                 ids.append(i)
-                rows.append(quantize(x, scale))
+                rows.append(row)
                 if len(rows) == size:
                     yield flush()
         if rows:
@@ -82,8 +94,8 @@ def _blocks(vectors: DataFrame, size: int, scale: int) -> DataFrame:
 
 
 def _matrix(n: int, dims: int, ids: bytes, cells: bytes):
-    return (np.frombuffer(ids, dtype=np.int64),
-            np.frombuffer(cells, dtype=np.int32).reshape(dims, n).astype(np.float64))
+    kind = np.int32 if len(cells) == 4 * n * dims else np.int64
+    return np.frombuffer(ids, dtype=np.int64), np.frombuffer(cells, dtype=kind).reshape(dims, n)
 
 
 def _same_dims(q: np.ndarray, c: np.ndarray):
@@ -95,20 +107,24 @@ def _same_dims(q: np.ndarray, c: np.ndarray):
 def _rest(m: np.ndarray) -> np.ndarray:
     """Row d: norm of each vector over dimensions d.. (one more row of zeros)."""
     mass = np.zeros((len(m) + 1, m.shape[1]))
-    mass[:-1] = np.cumsum((m ** 2)[::-1], axis=0)[::-1]
+    mass[:-1] = np.cumsum((m.astype(np.float64) ** 2)[::-1], axis=0)[::-1]
     return np.sqrt(mass)
 
 
 def block_topk(qids, q, cids, c, floor, k: int, group: int = DIM_GROUP):
     """(query index, candidate id, score) of the k best per query of a block pair."""
-    q, c = _same_dims(q, c)
+    whole_q, whole_c = _same_dims(q, c)
+    q, c = whole_q.astype(np.float64), whole_c.astype(np.float64)
     dims = len(q)
     left_q, left_c = _rest(q), _rest(c)
+    most = (left_q[0].max() if q.size else 0.0) * (left_c[0].max() if c.size else 0.0)
+    exact = most < EXACT / 4
+    # room for rounding: of the norms, and of the sums where they are not exact (scores are integers)
+    room = 1 + (0 if exact else most * 2.0 ** -40)
     step = min(group, dims)
     partial = q[:step].T @ c[:step]
     alive = cids[None, :] != qids[:, None]
-    # + 1: room for rounding of the norms (scores are integers)
-    alive &= partial + left_q[step][:, None] * left_c[step][None, :] + 1 >= floor[:, None]
+    alive &= partial + left_q[step][:, None] * left_c[step][None, :] + room >= floor[:, None]
     qi, ci = np.nonzero(alive)                       # compaction: only survivors from here on
     score = partial[qi, ci]
     while step < dims and len(qi):
@@ -116,15 +132,22 @@ def block_topk(qids, q, cids, c, floor, k: int, group: int = DIM_GROUP):
         for d in range(step, end):
             score += q[d, qi] * c[d, ci]
         step = end
-        keep = score + left_q[step, qi] * left_c[step, ci] + 1 >= floor[qi]
+        keep = score + left_q[step, qi] * left_c[step, ci] + room >= floor[qi]
         qi, ci, score = qi[keep], ci[keep], score[keep]
-    keep = score >= floor[qi]
-    qi, ids, score = qi[keep], cids[ci[keep]], score[keep]
+    keep = score + (0 if exact else room) >= floor[qi]
+    qi, ci, score = qi[keep], ci[keep], score[keep]
+    if exact:
+        score = score.astype(np.int64)
+    else:
+        score = np.zeros(len(qi), dtype=np.int64)
+        for d in range(dims):                        # 64-bit sums wrap, and are right if the score fits
+            score += whole_q[d, qi].astype(np.int64) * whole_c[d, ci].astype(np.int64)
+    ids = cids[ci]
     order = np.lexsort((ids, -score, qi))
     qi, ids, score = qi[order], ids[order], score[order]
     first = np.searchsorted(qi, qi, side="left")
     best = np.arange(len(qi)) - first < k
-    return qi[best], ids[best], score[best].astype(np.int64)
+    return qi[best], ids[best], score[best]
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE,
@@ -159,29 +182,31 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE,
                                              names=[*batch.schema.names, "floor"])
 
     queries = stash(queries.mapInArrow(floors, _BLOCK + ", floor binary"), "topk-floors")
-    # grid: a candidate block is dealt to one row and every column, a query
-    # block to one column and every row; each cell holds about one pair
-    n_rows, n_cols = max(cands.count(), 1), max(queries.count(), 1)
+    # grid of groups: a block goes to its group's cells, once per group of the other side
+    n_rows, n_cols = (max(1, -(-t.count() // GROUP)) for t in (cands, queries))
     slot = lambda n: F.pmod(F.xxhash64("block"), F.lit(n)).cast("int")
     dealt_c = cands.select(slot(n_rows).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1))).alias("s"),
-                           F.struct("n", "dims", "ids", "cells").alias("c"))
+                           "n", "dims", "ids", "cells")
     dealt_q = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))).alias("r"), slot(n_cols).alias("s"),
-                             F.col("block").alias("qb"), F.struct("n", "dims", "ids", "cells", "floor").alias("q"))
-    held = dealt_q.join(dealt_c, ["r", "s"]).select("qb", "q", "c")
+                             "block", "n", "dims", "ids", "cells", "floor")
 
-    def search(batches):
+    def search(asked, held):
         import pyarrow as pa
-        for batch in batches:
-            for r in batch.to_pylist():
-                qv, cv = r["q"], r["c"]
-                qids, q = _matrix(qv["n"], qv["dims"], qv["ids"], qv["cells"])
-                cids, c = _matrix(cv["n"], cv["dims"], cv["ids"], cv["cells"])
+        empty = pa.schema([("qb", pa.string()), ("qi", pa.int32()), ("query_id", pa.int64()), ("vec_id", pa.int64()),
+                           ("score", pa.int64())])
+        out = []
+        for i in range(asked.num_rows):
+            qv = {c: asked.column(c)[i].as_py() for c in ("block", "n", "dims", "ids", "cells", "floor")}
+            qids, q = _matrix(qv["n"], qv["dims"], qv["ids"], qv["cells"])
+            for j in range(held.num_rows):
+                cids, c = _matrix(*(held.column(x)[j].as_py() for x in ("n", "dims", "ids", "cells")))
                 qi, ids, score = block_topk(qids, q, cids, c, np.frombuffer(qv["floor"]), k)
-                yield pa.RecordBatch.from_pydict({
-                    "qb": pa.array([r["qb"]] * len(qi), pa.string()), "qi": pa.array(qi.astype(np.int32)),
-                    "query_id": pa.array(qids[qi]), "vec_id": pa.array(ids), "score": pa.array(score)})
+                out.append(pa.Table.from_pydict({"qb": [qv["block"]] * len(qi), "qi": qi.astype(np.int32),
+                                                 "query_id": qids[qi], "vec_id": ids, "score": score}, schema=empty))
+        return pa.concat_tables(out) if out else empty.empty_table()
 
-    found = held.mapInArrow(search, "qb string, qi int, query_id bigint, vec_id bigint, score bigint")
+    found = dealt_q.groupBy("r", "s").cogroup(dealt_c.groupBy("r", "s")).applyInArrow(
+        search, "qb string, qi int, query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("qb", "qi").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

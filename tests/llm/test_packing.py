@@ -82,3 +82,29 @@ def test_pack_round_trip(spark, cap):
 
 def test_pack_empty(spark):
     assert packing.pack(docs_frame(spark, []), PATH).count() == 0
+
+
+def best_fit_count(counts, cap):
+    """Sequences of plain best-fit decreasing, piece by piece."""
+    import bisect
+    rooms = []
+    for x in sorted((x for x, n in counts.items() for _ in range(n)), reverse=True):
+        at = bisect.bisect_left(rooms, x)
+        room = rooms.pop(at) if at < len(rooms) else cap
+        if room - x:
+            bisect.insort(rooms, room - x)
+        else:
+            pass
+    used = sum(x * n for x, n in counts.items())
+    return (used + sum(rooms)) // cap
+
+
+@pytest.mark.parametrize("kind", ["uniform", "middle", "lognormal", "short"])
+def test_never_more_sequences_than_best_fit(kind):
+    rng = random.Random(7)
+    draw = {"uniform": lambda: rng.randint(1, 2048), "middle": lambda: rng.randint(600, 1400),
+            "lognormal": lambda: min(2048, max(1, int(rng.lognormvariate(6, 1)))), "short": lambda: rng.randint(1, 200)}[kind]
+    counts = Counter(draw() for _ in range(6000))
+    bins = packing.plan_bins(counts, 2048)
+    made = sum(n for _, n in bins)
+    assert -(-sum(x * n for x, n in counts.items()) // 2048) <= made <= best_fit_count(counts, 2048)

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 from helpers_llm import corpus, docs_frame
+from pyspark.sql import functions as F
 
 from quarry.llm import quality
 
@@ -53,3 +54,14 @@ def test_plan_is_native(spark):
     df = quality.quality_rows(docs_frame(spark, corpus()))
     plan = df._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_columns_named_like_helpers_stay(spark):
+    rows = corpus(20)
+    df = docs_frame(spark, rows)
+    for c in ("strict", "host_rate", "docs", "failed", "n_words", "kept"):
+        df = df.withColumn(c, F.lit(c))
+    out = quality.filter_documents(df)
+    assert out.columns == df.columns
+    plain = sorted(str(r["doc_id"]) for r in quality.filter_documents(docs_frame(spark, rows)).collect())
+    assert sorted(str(r["doc_id"]) for r in out.where("strict = 'strict' AND host_rate = 'host_rate'").collect()) == plain
