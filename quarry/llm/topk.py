@@ -8,11 +8,13 @@ the query's floor leave, and the survivors are compacted before the next
 group.  A query's floor is its k-th best score against one bounded block of
 candidates, so it never removes a true result; ties at the floor stay.
 
-Blocks travel as binary rows.  Groups of about ``GROUP`` candidate blocks meet
-groups of about ``GROUP`` query blocks in the cells of a grid (cogrouped): a
-block is copied once per group of the other side, and a task holds one cell,
-whatever the table size or however many vectors are equal.  The k best of each
-pair of blocks are ranked by one window per query.
+Blocks travel as binary rows.  Groups of at most about ``GROUP`` candidate
+blocks meet groups of query blocks in the cells of a grid (cogrouped) with at
+least as many cells as shuffle partitions, if there are that many pairs: a block
+is copied once per group of the other side, and a task holds one cell, whatever
+the table size or however many vectors are equal.  Inside a cell the floors rise
+from block to block.  The k best of each pair of blocks are ranked by one window
+per query.
 
 Components are kept as 32-bit integers, or as 64-bit ones in blocks that need
 them; where sums of products leave what a double holds exactly, survivors are
@@ -28,6 +30,8 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,6 +154,15 @@ def block_topk(qids, q, cids, c, floor, k: int, group: int = DIM_GROUP):
     return qi[best], ids[best], score[best]
 
 
+def _floors(qi: np.ndarray, score: np.ndarray, n: int, k: int) -> np.ndarray:
+    """The k-th best score of every query that has k of them, else -inf; a
+    little less where a double does not hold the score."""
+    worst = np.full(n, np.inf)
+    np.minimum.at(worst, qi, np.nextafter(score.astype(np.float64), -np.inf) if len(score) and np.abs(score).max() >= EXACT
+                  else score.astype(np.float64))
+    return np.where(np.bincount(qi, minlength=n) >= k, worst, -np.inf)
+
+
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE,
           id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k highest inner products of each vector whose id is divisible by
@@ -172,18 +185,16 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE,
                 qids, q = _matrix(r["n"], r["dims"], r["ids"], r["cells"])
                 cids, c = _matrix(*pilot)
                 qi, _, score = block_topk(qids, q, cids, c, np.full(len(qids), -np.inf), k)
-                floor = np.full(len(qids), -np.inf)
-                full = np.bincount(qi, minlength=len(qids)) >= k
-                worst = np.full(len(qids), np.inf)
-                np.minimum.at(worst, qi, score)
-                floor[full] = worst[full]
-                out.append(floor.tobytes())
+                out.append(_floors(qi, score, len(qids), k).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                              names=[*batch.schema.names, "floor"])
 
     queries = stash(queries.mapInArrow(floors, _BLOCK + ", floor binary"), "topk-floors")
     # grid of groups: a block goes to its group's cells, once per group of the other side
-    n_rows, n_cols = (max(1, -(-t.count() // GROUP)) for t in (cands, queries))
+    nc, nq = max(1, cands.count()), max(1, queries.count())
+    cells = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_rows = min(nc, max(-(-nc // GROUP), math.isqrt(cells * nc // nq) + 1))
+    n_cols = min(nq, max(-(-nq // GROUP), -(-cells // n_rows)))
     slot = lambda n: F.pmod(F.xxhash64("block"), F.lit(n)).cast("int")
     dealt_c = cands.select(slot(n_rows).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(n_cols - 1))).alias("s"),
                            "n", "dims", "ids", "cells")
@@ -198,14 +209,19 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = SCALE,
         for i in range(asked.num_rows):
             qv = {c: asked.column(c)[i].as_py() for c in ("block", "n", "dims", "ids", "cells", "floor")}
             qids, q = _matrix(qv["n"], qv["dims"], qv["ids"], qv["cells"])
+            floor = np.frombuffer(qv["floor"])
             for j in range(held.num_rows):
                 cids, c = _matrix(*(held.column(x)[j].as_py() for x in ("n", "dims", "ids", "cells")))
-                qi, ids, score = block_topk(qids, q, cids, c, np.frombuffer(qv["floor"]), k)
+                qi, ids, score = block_topk(qids, q, cids, c, floor, k)
+                floor = np.maximum(floor, _floors(qi, score, len(qids), k))
                 out.append(pa.Table.from_pydict({"qb": [qv["block"]] * len(qi), "qi": qi.astype(np.int32),
                                                  "query_id": qids[qi], "vec_id": ids, "score": score}, schema=empty))
         return pa.concat_tables(out) if out else empty.empty_table()
 
-    found = dealt_q.groupBy("r", "s").cogroup(dealt_c.groupBy("r", "s")).applyInArrow(
+    # cells are heavy in work, not in bytes: a stated number of partitions is not merged
+    parts = n_rows * n_cols if n_rows * n_cols < 2 * cells else 2 * cells
+    found = dealt_q.repartition(parts, "r", "s").groupBy("r", "s").cogroup(
+        dealt_c.repartition(parts, "r", "s").groupBy("r", "s")).applyInArrow(
         search, "qb string, qi int, query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("qb", "qi").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
