@@ -47,7 +47,7 @@ class Cuts:
             return df.withColumn(out, F.lit(0))
         from pyspark.ml.feature import Bucketizer
         # Bucketizer wants three splits at least and no infinite inner bound
-        finite = [v for v in self.values if v != LEAST]
+        finite = [v for v in self.values if abs(v) != -LEAST]
         x = df.withColumn("__bz", F.when(value == F.lit(LEAST), F.lit(None)).when(F.isnan(value), F.lit(-LEAST))
                           .otherwise(value).cast("double"))
         if finite:
@@ -56,8 +56,11 @@ class Cuts:
             at = F.col("__bo").cast("int")
         else:
             x, at = x.withColumn("__bo", F.lit(0)), F.lit(0)
-        low = len(self.values) - len(finite)
-        return x.withColumn(out, F.when(F.col("__bz").isNull(), F.lit(low)).otherwise(at + low)).drop("__bz", "__bo")
+        low = 1 if self.values[0] == LEAST else 0
+        span = F.when(F.col("__bz").isNull(), F.lit(low))
+        if self.values[-1] == -LEAST:
+            span = span.when(F.col("__bz") == F.lit(-LEAST), F.lit(len(self.values)))
+        return x.withColumn(out, span.otherwise(at + low)).drop("__bz", "__bo")
 
     def with_block(self, df: DataFrame, value: Column, tie: Column | None, out: str, flag: Column | None = None) -> DataFrame:
         """``df`` plus the block of (value, flag, tie).  Without a tie: the

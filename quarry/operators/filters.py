@@ -10,6 +10,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .summary import limit_flagged
 
@@ -130,7 +131,7 @@ class PageIndex:
         hit = [(p, lo) for p, lo, hi in zip(self.parts, self.starts, ends) if lo < end and hi > offset]
         rows = self.spark.read.option("basePath", f"{self.path}/rows")
         if not hit:
-            return rows.parquet(f"{self.path}/rows").where(F.lit(False)).drop("__part", "__pos")
+            return self.spark.read.parquet(f"{self.path}/columns")
         x = rows.parquet(*[f"{self.path}/rows/__part={p}" for p, _ in hit])
         start = F.create_map(*[F.lit(v) for p, lo in hit for v in (p, lo)])[F.col("__part").cast("int")]
         x = x.withColumn("__ord", start.cast("long") + F.col("__pos"))
@@ -149,8 +150,12 @@ def build_page_index(df: DataFrame, order: Sequence[str | Column], path: str, pa
      .withColumn("__part", F.shiftright(mono, 33).cast("int"))
      .withColumn("__pos", mono.bitwiseAND(F.lit((1 << 33) - 1)))
      .write.partitionBy("__part").parquet(f"{path}/rows"))
-    df.sparkSession.read.parquet(f"{path}/rows").groupBy("__part").count().coalesce(1).write.parquet(f"{path}/parts")
-    return open_page_index(df.sparkSession, path)
+    spark = df.sparkSession
+    df.limit(0).coalesce(1).write.parquet(f"{path}/columns")
+    columns = StructType([*df.schema.fields, StructField("__pos", LongType()), StructField("__part", IntegerType())])
+    stored = spark.read.schema(columns).parquet(f"{path}/rows")
+    stored.groupBy("__part").count().coalesce(1).write.parquet(f"{path}/parts")
+    return open_page_index(spark, path)
 
 
 def open_page_index(spark: SparkSession, path: str) -> PageIndex:

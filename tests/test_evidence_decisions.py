@@ -33,7 +33,13 @@ def test_ledger_round_trip_conflicts_staleness(spark):
         led.union(led.limit(1).withColumn("source", F.lit("documentation")))).collect()}
     assert lab == {"export": "observed", "documentation": "documented"}
     rep = ev.report_rows(led, missing=miss).filter("object_id = 'o2'").collect()[0]
-    assert rep["unknowns"] == ["owner", "user_status"] and len(rep["facts"]) == 2
+    assert rep["unknowns"] == ["owner", "user_status"] and rep["n_facts"] == 2 and rep["next_step"] == "collect owner"
+    assert ev.report_facts(led).filter("object_id = 'o2'").count() == 2
+    decided = led.select("object_id").distinct().withColumn("next_step", F.lit("archive"))
+    disputed = spark.createDataFrame([("o2", "owner")], "object_id string, field string")
+    steps = {r["object_id"]: r["next_step"] for r in ev.report_rows(led, decided, None, disputed).collect()}
+    assert steps.pop("o2") == "resolve owner" and set(steps.values()) <= {"archive"}
+    assert {r["next_step"] for r in ev.report_rows(led).collect()} == {None}
 
 
 def test_health_lanes(spark):
