@@ -5,7 +5,8 @@ query block meets a candidate block dimension group by dimension group: after
 each group the partial products plus the product of the norms of the
 remaining dimensions bound what a candidate can still reach, candidates below
 the query's floor leave, and the survivors are compacted before the next
-group.  A query's floor is its k-th best score against one bounded block of
+group: first to the queries and candidates that still have a pair, then, when
+few are left, to the pairs themselves.  A query's floor is its k-th best score against one bounded block of
 candidates, so it never removes a true result; ties at the floor stay.
 
 Blocks travel as binary rows.  Groups of at most about ``GROUP`` candidate
@@ -44,6 +45,7 @@ DIM_GROUP = 16
 SCALE = 64
 GROUP = 16                  # blocks of a side in a cell of the grid, about
 EXACT = float(1 << 53)      # integers below are exact in a double
+SPARSE = 0.02               # share of surviving pairs below which they are carried on one by one
 
 _BLOCK = "block string, n int, dims int, ids binary, cells binary"
 
@@ -126,11 +128,25 @@ def block_topk(qids, q, cids, c, floor, k: int, group: int = DIM_GROUP):
     # room for rounding: of the norms, and of the sums where they are not exact (scores are integers)
     room = 1 + (0 if exact else most * 2.0 ** -40)
     step = min(group, dims)
+    rows, cols = np.arange(q.shape[1]), np.arange(c.shape[1])
     partial = q[:step].T @ c[:step]
-    alive = cids[None, :] != qids[:, None]
-    alive &= partial + left_q[step][:, None] * left_c[step][None, :] + room >= floor[:, None]
-    qi, ci = np.nonzero(alive)                       # compaction: only survivors from here on
-    score = partial[qi, ci]
+    other = cids[None, :] != qids[:, None]
+    while True:
+        alive = other & (partial + left_q[step][rows, None] * left_c[step][None, cols] + room >= floor[rows, None])
+        if step >= dims or alive.sum() <= SPARSE * alive.size:
+            break
+        # compaction: queries and candidates without a surviving pair leave
+        some_q, some_c = alive.any(1), alive.any(0)
+        if not (some_q.all() and some_c.all()):
+            rows, cols = rows[some_q], cols[some_c]
+            partial, other = partial[some_q][:, some_c], alive[some_q][:, some_c]
+        else:
+            other = alive
+        end = min(step + group, dims)
+        partial += q[step:end, rows].T @ c[step:end, cols]
+        step = end
+    at_q, at_c = np.nonzero(alive)                   # few pairs are left: only they are carried on
+    qi, ci, score = rows[at_q], cols[at_c], partial[at_q, at_c]
     while step < dims and len(qi):
         end = min(step + group, dims)
         for d in range(step, end):
