@@ -5,15 +5,21 @@ import pytest
 from quarry.operators import events as ev
 from quarry.operators import filters as fl
 
-EVENTS = [("2026-04-28T10:02:00Z", "session-1", "trace-1", "api", "db", "INFO", "db query"),
-          ("2026-04-28T10:01:00Z", "session-1", "trace-1", "api", "start", "INFO", "start"),
-          ("2026-04-28T10:03:00Z", "session-2", "trace-2", "api", "start", "INFO", "other"),
-          ("2026-04-28T10:04:00Z", "session-1", "trace-3", "api", "finish", "ERROR", "finish")]
-EVENTS_SCHEMA = "_time string, session_id string, trace_id string, component string, operation string, severity string, message string"
-JSON_EVENTS = [("2026-04-28T10:01:00Z", '{"requestId":"req-json","sessionId":"json-session"}', "api", "json start"),
-               ("2026-04-28T10:02:00Z", '{"requestId":"other","sessionId":"other"}', "api", "other"),
-               ("2026-04-28T10:02:30Z", "plain text", "api", "plain"),
-               ("2026-04-28T10:03:00Z", '{"requestId":"req-json","sessionId":"json-session"}', "api", "json finish")]
+# A kiln plant's log: one burn with two steps at the same second, one without a time, another burn between them.
+STEPS = [("2025-11-02T04:30:10Z", "burn-7", "tr-a", "kiln", "heat", "INFO", "heat up"),
+         ("2025-11-02T04:20:00Z", "burn-7", "tr-a", "kiln", "load", "INFO", "load bricks"),
+         ("2025-11-02T04:30:10Z", "burn-7", "tr-b", "fan", "blow", "WARN", "fan late"),
+         ("2025-11-02T04:25:00Z", "burn-8", "tr-c", "kiln", "load", "INFO", "other load"),
+         (None, "burn-7", None, "kiln", "note", "INFO", "undated note"),
+         ("2025-11-02T05:00:00Z", None, "tr-a", "kiln", "idle", "INFO", "no burn")]
+STEPS_SCHEMA = "_time string, session_id string, trace_id string, component string, operation string, severity string, message string"
+# Payloads: two of one order, one of another, one cut off, one a bare number, one missing.
+PAYLOADS = [("2025-11-02T06:00:00Z", '{"requestId":"ord-55","cart":{"id":"c-9"}}', "shop", "cart opened"),
+            ("2025-11-02T06:00:05Z", '{"requestId":"ord-56","cart":{"id":"c-8"}}', "shop", "other cart"),
+            ("2025-11-02T06:00:06Z", '{"requestId":"ord-55"', "shop", "cut off"),
+            ("2025-11-02T06:00:07Z", "17", "shop", "number"), ("2025-11-02T06:00:08Z", None, "shop", "nothing"),
+            ("2025-11-02T06:00:09Z", '{"requestId":"ord-55","cart":{"id":"c-9"}}', "till", "cart paid")]
+PAYLOADS_SCHEMA = "_time string, _raw string, component string, message string"
 
 
 def with_rows(spark, data, schema):
@@ -22,37 +28,40 @@ def with_rows(spark, data, schema):
 
 
 def test_field_match_sequence(spark):
-    df = with_rows(spark, EVENTS, EVENTS_SCHEMA)
-    out = ev.event_sequence(df, field="session_id", value="session-1")
+    df = with_rows(spark, STEPS, STEPS_SCHEMA)
+    out = ev.event_sequence(df, field="session_id", value="burn-7")
     assert out.columns[:3] == ["matched_value", "_row", "_time"]
     msgs = [r["message"] for r in out.collect()]
-    assert msgs == ["start", "db query", "finish"]
+    assert set(msgs) == {"load bricks", "heat up", "fan late", "undated note"}
+    # equal seconds keep the order of arrival
+    assert [m for m in msgs if m != "undated note"] == ["load bricks", "heat up", "fan late"]
+    assert ev.event_sequence(df, field="session_id", value="burn-9").count() == 0
 
 
 def test_request_id_from_raw_json(spark):
-    df = with_rows(spark, JSON_EVENTS, "_time string, _raw string, component string, message string")
-    m = ev.resolve_matcher(df, request_id="req-json")
+    df = with_rows(spark, PAYLOADS, PAYLOADS_SCHEMA)
+    m = ev.resolve_matcher(df, request_id="ord-55")
     assert (m.mode, m.field) == ("request_id", "json:auto")
-    out = ev.event_sequence(df, request_id="req-json").collect()
-    assert len(out) == 2
+    out = ev.event_sequence(df, request_id="ord-55").collect()
+    assert [r["message"] for r in out] == ["cart opened", "cart paid"]
 
 
 def test_request_id_prefers_existing_column(spark):
-    df = with_rows(spark, EVENTS, EVENTS_SCHEMA)
-    m = ev.resolve_matcher(df, request_id="trace-1")
+    df = with_rows(spark, STEPS, STEPS_SCHEMA)
+    m = ev.resolve_matcher(df, request_id="tr-a")
     assert (m.mode, m.field) == ("request_id", "trace_id")
-    assert ev.match_request_id(df, "trace-1").count() == 2
+    assert ev.match_request_id(df, "tr-a").count() == 3
 
 
 def test_json_path_match(spark):
-    df = with_rows(spark, JSON_EVENTS, "_time string, _raw string, component string, message string")
-    out = ev.event_sequence(df, json_field="$.sessionId", value="json-session").collect()
-    assert len(out) == 2 and out[0]["message"] == "json start"
+    df = with_rows(spark, PAYLOADS, PAYLOADS_SCHEMA)
+    out = ev.event_sequence(df, json_field="$.cart.id", value="c-9").collect()
+    assert len(out) == 2 and out[0]["message"] == "cart opened"
 
 
 def test_numbers_match_as_text(spark):
-    df = spark.createDataFrame([(200.0,), (201.5,)], "status double")
-    assert ev.match_field(df, "status", "200").count() == 1
+    df = spark.createDataFrame([(73.0,), (73.25,), (None,)], "status double")
+    assert ev.match_field(df, "status", "73").count() == 1
 
 
 @pytest.mark.parametrize("kwargs,msg", [
@@ -66,14 +75,14 @@ def test_numbers_match_as_text(spark):
     (dict(json_field="$.a", value="x"), "needs one of the columns _raw"),
 ])
 def test_selector_conflicts(spark, kwargs, msg):
-    df = with_rows(spark, EVENTS, EVENTS_SCHEMA)
+    df = with_rows(spark, STEPS, STEPS_SCHEMA)
     with pytest.raises(ValueError, match=msg):
         ev.resolve_matcher(df, **kwargs)
 
 
 def test_bounded_sql_limit_flag(spark):
-    df = spark.createDataFrame([("login", "identity"), ("logout", "identity")], "event string, service string")
-    out = fl.query_results(spark, df, "SELECT event, service FROM results LIMIT 1000", limit=1,
+    df = spark.createDataFrame([("ash", 3), ("elm", 4), ("oak", None)], "tree string, rings int")
+    out = fl.query_results(spark, df, "SELECT tree, rings FROM results LIMIT 700", limit=1,
                            flag_truncation=True).collect()
     assert len(out) == 1 and out[0]["truncated"] is True
 
@@ -116,11 +125,11 @@ def test_row_number_and_slice(spark):
 
 def test_relative_time(spark):
     from pyspark.sql import functions as F
-    df = spark.createDataFrame([("2026-05-18 12:34:56",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
+    df = spark.createDataFrame([("2025-03-01 07:08:09",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
     r = df.select(fl.relative_time(F.col("t"), "-24h@h").alias("a"), fl.relative_time(F.col("t"), "-15m").alias("b"),
                   fl.relative_time(F.col("t"), "@d").alias("c")).collect()[0]
-    assert str(r["a"]) == "2026-05-17 12:00:00" and str(r["b"]) == "2026-05-18 12:19:56"
-    assert str(r["c"]) == "2026-05-18 00:00:00"
+    assert str(r["a"]) == "2025-02-28 07:00:00" and str(r["b"]) == "2025-03-01 06:53:09"
+    assert str(r["c"]) == "2025-03-01 00:00:00"
     with pytest.raises(ValueError):
         fl.relative_time(F.col("t"), "yesterday")
 

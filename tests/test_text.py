@@ -1,15 +1,14 @@
-"""Text recall (T1-T13) on the reference's fixture rows."""
+"""Text recall (T1-T13) on literal rows."""
 
 from pyspark.sql import functions as F
 
 from quarry.operators import filters as fl
 from quarry.operators import text as tx
 
-META = {"url": "https://search.example.com", "app": "search", "sid": "sid-text", "query": "search index=textsearch",
-        "earliest": "-15m", "latest": "now", "result_count": 2, "returned_rows": 2,
-        "source_command": "result search"}
-ROWS = [("2026-05-18T12:00:00Z", "identity", "ordinary login"),
-        ("2026-05-18T12:01:00Z", "identity", "request_remote_tok returned 401 Unauthorized")]
+META = {"origin": "harbour", "query": "cargo index=manifests", "pages": 3, "blank": " "}
+ROWS = [("2025-11-02T06:00:00Z", "gate", "lorry waits"),
+        ("2025-11-02T06:01:00Z", "gate", "seal_code_x7 refused 503 Missing paper"), (None, None, None)]
+COLUMNS = "_time string, service string, message string"
 
 
 def docs_of(spark, rows, schema, name, meta=META):
@@ -23,30 +22,29 @@ def search(spark, docs, q, k=10, explain=True):
 
 
 def test_phrase_and_terms_hit_body(spark):
-    docs = docs_of(spark, ROWS, "_time string, service string, message string", "text_logs")
-    hits = search(spark, docs, "request_remote_tok 401 Unauthorized")
+    docs = docs_of(spark, ROWS, COLUMNS, "gate_book")
+    hits = search(spark, docs, "seal_code_x7 503 Missing")
     assert len(hits) == 1 and hits[0]["doc_id"] == 2 and not hits[0]["truncated"]
-    assert "body" in hits[0]["match_scope"] and "request_remote_tok" in hits[0]["snippet"]
-    assert hits[0]["row_text_query"] == "request_remote_tok 401 Unauthorized"
+    assert "body" in hits[0]["match_scope"] and "seal_code_x7" in hits[0]["snippet"]
+    assert hits[0]["row_text_query"] == "seal_code_x7 503 Missing"
 
 
 def test_context_only_hits(spark):
-    docs = docs_of(spark, ROWS, "_time string, service string, message string", "context_logs")
-    hits = search(spark, docs, "index textsearch")
-    assert len(hits) == 2 and all(h["match_scope"] == "table_context" for h in hits)
+    docs = docs_of(spark, ROWS, COLUMNS, "gate_book")
+    hits = search(spark, docs, "manifests cargo")
+    assert len(hits) == 3 and all(h["match_scope"] == "table_context" for h in hits)
     assert all(h["context_only"] for h in hits)
 
 
 def test_query_syntax_is_plain_text_and_ticket_ids_split(spark):
-    docs = docs_of(spark, [("NEAR operator text with quoted phrase and CINC-66363 incident",)], "message string",
-                   "syntax_logs")
-    hits = search(spark, docs, 'NEAR "quoted" CINC66363')
-    assert len(hits) == 1
+    docs = docs_of(spark, [("the crane OR the belt, see RM-4410 tonight",), ("RM 44100 elsewhere",), ("4410 without its letters",)],
+                   "message string", "notes")
+    assert [h["doc_id"] for h in search(spark, docs, 'OR "crane" rm4410')] == [1]
 
 
 def test_phrase_requires_adjacency(spark):
-    docs = docs_of(spark, [("remote request tok",), ("request remote tok",)], "message string", "p")
-    hits = search(spark, docs, "request_remote_tok")
+    docs = docs_of(spark, [("red blue green",), ("blue red green",), ("blue green red",)], "message string", "p")
+    hits = search(spark, docs, "blue_red_green")
     assert [h["doc_id"] for h in hits] == [2]
 
 
@@ -58,34 +56,34 @@ def test_title_weight_ranks_first_and_limit_truncates(spark):
 
 
 def test_no_match_returns_nothing(spark):
-    docs = docs_of(spark, ROWS, "_time string, service string, message string", "text_logs")
-    assert search(spark, docs, "zzzznotthere") == []
+    docs = docs_of(spark, ROWS, COLUMNS, "gate_book")
+    assert search(spark, docs, "submarine") == []
 
 
 def test_document_fields(spark):
-    rows = [("2026-05-18T12:01:00Z", "identity", "boom", "x1", True)]
-    d = docs_of(spark, rows, "_time string, service string, message string, extra string, flag boolean", "web-logs.v2",
+    rows = [("2025-11-02T06:01:00Z", "gate", "bump", "k9", False)]
+    d = docs_of(spark, rows, "_time string, service string, message string, extra string, flag boolean", "dock-book.v3",
                 meta={}).collect()[0]
-    assert d["title"] == "2026-05-18T12:01:00Z identity"
-    assert d["body"] == "boom extra x1 flag true"
-    assert d["context"] == "table web-logs.v2 web logs v2 web logs v 2"
+    assert d["title"] == "2025-11-02T06:01:00Z gate"
+    assert d["body"] == "bump extra k9 flag false"
+    assert d["context"] == "table dock-book.v3 dock book v3 dock book v 3"
     assert d["metadata"] == ""
 
 
 def test_fallback_title(spark):
-    d = docs_of(spark, [("  ", "job-7")], "message string, name string", "t", meta={}).collect()[0]
-    assert d["title"] == "job-7"
+    d = docs_of(spark, [("  ", "lot-12")], "message string, name string", "t", meta={}).collect()[0]
+    assert d["title"] == "lot-12"
     d = docs_of(spark, [(1.5,)], "x double", "t", meta={}).collect()[0]
     assert d["title"] == tx.FALLBACK_TITLE
 
 
 def test_strong_single_token(spark):
-    df = spark.createDataFrame([("abc",), ("ab12",), ("fooBar",), ("a_b",), ("longwords",), ("Abc",)], "t string")
+    df = spark.createDataFrame([("fig",), ("qr48",), ("palmTree",), ("x_y",), ("driftwood",), ("Fig",)], "t string")
     got = [r[0] for r in df.select(tx.strong_single_token(F.col("t"))).collect()]
     assert got == [False, True, True, True, True, False]
 
 
 def test_row_specific_query_drops_weak_single_word(spark):
-    docs = docs_of(spark, ROWS, "_time string, service string, message string", "text_logs")
-    hits = search(spark, docs, "login")
+    docs = docs_of(spark, ROWS, COLUMNS, "gate_book")
+    hits = search(spark, docs, "lorry")
     assert len(hits) == 1 and hits[0]["row_text_query"] == ""
