@@ -77,8 +77,10 @@ _ACCENTED, _PLAIN = _accent_rule()
 
 
 def fold(text: Column) -> Column:
-    """Lower case without diacritics (``Café`` -> ``cafe``)."""
-    return F.translate(F.lower(F.coalesce(text, F.lit(""))), _ACCENTED, _PLAIN)
+    """Lower case without diacritics (``Café`` -> ``cafe``).  A text of
+    ASCII only has none and is not searched for them."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.when(F.octet_length(low) == F.length(low), low).otherwise(F.translate(low, _ACCENTED, _PLAIN))
 
 
 def match_tokens(text: Column) -> Column:
@@ -284,12 +286,12 @@ def phrase_places(lists: Column) -> Column:
 
 
 def term_index(docs: DataFrame, tokens: DataFrame, weights: Mapping[str, float] | None = None,
-               broadcast_tokens: bool = True) -> DataFrame:
+               broadcast_tokens: bool = True, with_places: bool = True) -> DataFrame:
     """``(doc_id, token, wtf, doc_len, places)`` for the given tokens (weighted
     term frequency over the fields), plus one row per document with a null
     token carrying its length: everything BM25 needs from one pass over the
-    text.  ``places`` lists where the tokens that ``tokens`` flags in
-    ``in_phrase`` stand (null for others).  The token list is broadcast when
+    text.  ``places`` (only ``with_places``: lists cost a slower aggregate) says
+    where the tokens that ``tokens`` flags in ``in_phrase`` stand.  The token list is broadcast when
     the caller has checked its size (it grows with the query batch, not the
     corpus)."""
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
@@ -298,9 +300,10 @@ def term_index(docs: DataFrame, tokens: DataFrame, weights: Mapping[str, float]
     need = tokens.groupBy("token").agg(F.bool_or("in_phrase").alias("in_phrase")).withColumn("__need", F.lit(True))
     flagged = post.join(F.broadcast(need) if broadcast_tokens else need, "token", "left")
     kept = flagged.filter(F.col("__need") | (F.col("field") == LEN_FIELD))
-    return kept.groupBy("doc_id", "token").agg(
-        F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len"),
-        F.collect_list(F.when(F.col("in_phrase"), place(F.col("field"), F.col("pos")))).alias("places"))
+    aggs = [F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len")]
+    if with_places:
+        aggs.append(F.collect_list(F.when(F.col("in_phrase"), place(F.col("field"), F.col("pos")))).alias("places"))
+    return kept.groupBy("doc_id", "token").agg(*aggs)
 
 
 def corpus_stats(docs: DataFrame) -> tuple[int, float]:
@@ -354,7 +357,7 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         # one length row per document.  Stats, IDF and scoring all read it.
         from ..session import scratch_path
         path = scratch_path(spark, "text-index")
-        term_index(docs, needed, weights, broadcast_tokens=n_ph <= max_broadcast_tokens).write.parquet(path)
+        term_index(docs, needed, weights, n_ph <= max_broadcast_tokens, has_multi).write.parquet(path)
         idx = spark.read.parquet(path)
         lens = idx.filter(F.col("token").isNull())
         if stats is None:
@@ -364,9 +367,9 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     else:
         buckets = [r[0] for r in ph.select(F.pmod(F.xxhash64("token"), F.lit(256))).distinct().collect()]
         post = postings.filter(F.col("bucket").isin(buckets)).join(bc(needed), "token", "left_semi")
+        listed = [F.collect_list(place(F.col("field"), F.col("pos"))).alias("places")] if has_multi else []
         dt = post.groupBy("doc_id", "token").agg(
-            F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len"),
-            F.collect_list(place(F.col("field"), F.col("pos"))).alias("places"))
+            F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len"), *listed)
     n_docs, avgdl = stats if stats is not None else corpus_stats(docs)
     if n_docs == 0:
         return _empty_hits(spark)
