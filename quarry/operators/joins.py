@@ -533,7 +533,7 @@ def cidr_bounds(col: Column) -> Column:
 
 
 SHORT_BITS = 16             # prefixes of so many bits or fewer hold the busy keys: at most 131,071 different ones
-SHORT_ROWS = 200_000        # rows of them that are broadcast at most
+BROADCAST_ROWS = 200_000    # networks that are broadcast at most
 
 
 def _cidr_keys(df: DataFrame, col: Column) -> DataFrame:
@@ -547,12 +547,21 @@ def _bits_present(cidrs: DataFrame) -> list[int]:
     return sorted(r[0] for r in cidrs.select("__bits").distinct().collect())        # 33 values at most
 
 
+def _join_keys(exploded: DataFrame, own: DataFrame) -> DataFrame:
+    """Join keys exploded from one table with a list of networks.  The list is
+    broadcast after a check of its number, else both sides are shuffled; the
+    exploded side is never broadcast (Spark takes it for no larger than the
+    table it was made from)."""
+    few = own.count() <= BROADCAST_ROWS
+    return exploded.join(F.broadcast(own) if few else own.hint("merge"), ["__bits", "__prefix"])
+
+
 def cidr_match(traffic: DataFrame, ip_col: str, cidrs: DataFrame, cidr_col: str = "cidr") -> DataFrame:
     """Pair each address with every CIDR containing it, by equality of
     (prefix length, prefix) over the lengths that the list holds: an address
     has at most 33 keys and a CIDR one, whatever its size.  Keys that much of
-    the traffic shares are those of short prefixes; they are broadcast after a
-    check of their number, longer ones are joined by shuffle."""
+    the traffic shares are those of short prefixes; they are joined apart from
+    the longer ones, each list broadcast after a check of its number."""
     c = _cidr_keys(cidrs, F.col(cidr_col))
     t = traffic.withColumn("__ip", ipv4_to_long(F.col(ip_col))).filter(F.col("__ip").isNotNull())
     present = _bits_present(c)
@@ -560,14 +569,13 @@ def cidr_match(traffic: DataFrame, ip_col: str, cidrs: DataFrame, cidr_col: str
     def pairs(bits: list[int], own: DataFrame) -> DataFrame:
         keys = F.array(*[F.struct(F.lit(n).alias("b"), F.shiftright(F.col("__ip"), 32 - n).alias("p")) for n in bits])
         x = t.withColumn("__k", F.explode(keys)).withColumn("__bits", F.col("__k.b")).withColumn("__prefix", F.col("__k.p"))
-        return x.join(own, ["__bits", "__prefix"]).drop("__k", "__bits", "__prefix", "__ip")
+        return _join_keys(x, own).drop("__k", "__bits", "__prefix", "__ip")
 
     out = None
     for bits, own in (([n for n in present if n <= SHORT_BITS], c.filter(F.col("__bits") <= SHORT_BITS)),
                       ([n for n in present if n > SHORT_BITS], c.filter(F.col("__bits") > SHORT_BITS))):
         if bits:
-            few = bits[-1] <= SHORT_BITS and own.count() <= SHORT_ROWS
-            part = pairs(bits, F.broadcast(own) if few else own)
+            part = pairs(bits, own)
             out = part if out is None else out.unionByName(part)
     if out is None:                             # no valid CIDR
         from pyspark.sql.types import StructType
@@ -601,7 +609,7 @@ def cidr_overlaps(a: DataFrame, b: DataFrame, col: str = "cidr") -> DataFrame:
         fits = F.filter(bits, lambda n: (n < F.col("__bits")) if strictly else (n <= F.col("__bits")))
         cut = inner.withColumn("__n", F.explode(fits)).withColumn("__cut", F.expr("shiftright(__prefix, __bits - __n)"))
         cut = cut.drop("__bits", "__prefix").withColumnsRenamed({"__n": "__bits", "__cut": "__prefix"})
-        return cut.join(outer, ["__bits", "__prefix"]).select("a_" + col, "b_" + col)
+        return _join_keys(cut, outer).select("a_" + col, "b_" + col)
 
     return within(x, y, False).unionByName(within(y, x, True))
 

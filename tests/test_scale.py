@@ -306,6 +306,16 @@ def test_prefix_join_has_one_key_per_length(spark):
     assert jn.cidr_match(t, "ip", spark.createDataFrame([("x",)], "cidr string")).count() == 0
 
 
+def test_exploded_prefix_keys_are_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(jn, "BROADCAST_ROWS", 0, raising=False)
+    t = spark.createDataFrame([(i, f"10.1.2.{i}") for i in range(20)], "id int, ip string")
+    c = spark.createDataFrame([("10.0.0.0/8",), ("10.1.2.0/28",), ("10.1.2.0/24",)], "cidr string")
+    for m in (jn.cidr_match(t, "ip", c), jn.cidr_overlaps(c, c)):
+        plan = m._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert jn.cidr_match(t, "ip", c).count() == 20 + 16 + 20
+
+
 # ----------------------------------------------------------- A10, S4
 @pytest.mark.parametrize("most", [1000, 1])
 def test_rollup_with_holes(spark, most, monkeypatch):
