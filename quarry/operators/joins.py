@@ -587,14 +587,20 @@ def longest_prefix(traffic: DataFrame, ip_col: str, cidrs: DataFrame, cidr_col:
                    out: str = "network") -> DataFrame:
     """Every traffic row with the most specific CIDR containing its
     address (null if none; equal prefixes written differently: the least
-    text).  Distinct addresses are matched, then joined back."""
+    text).  Equal prefixes become one network, written once, before the
+    distinct addresses are matched, so an address has at most 33 pairs; the
+    result is joined back."""
+    from ..session import scratch_path
+    spark = traffic.sparkSession
     ips = traffic.select(F.col(ip_col)).filter(F.col(ip_col).isNotNull()).distinct()
+    nets = (_cidr_keys(cidrs.select(cidr_col), F.col(cidr_col)).groupBy("__bits", "__prefix")
+            .agg(F.min(cidr_col).alias(cidr_col)).select(cidr_col))
+    path = scratch_path(spark, "networks")
+    nets.write.parquet(path)
+    nets = spark.read.parquet(path)
     bits = F.coalesce(F.get(F.split(F.col(cidr_col), "/"), 1).cast("int"), F.lit(32))
-    best = (cidr_match(ips, ip_col, cidrs.select(cidr_col), cidr_col)
-            .groupBy(ip_col).agg(F.max(bits).alias("__b"), F.collect_set(cidr_col).alias("__all")))
-    # at most 33 prefixes contain an address
-    named = F.array_min(F.filter("__all", lambda c: F.coalesce(F.get(F.split(c, "/"), 1).cast("int"), F.lit(32)) == F.col("__b")))
-    return traffic.join(best.select(ip_col, named.alias(out)), ip_col, "left")
+    best = cidr_match(ips, ip_col, nets, cidr_col).groupBy(ip_col).agg(F.max_by(cidr_col, bits).alias(out))
+    return traffic.join(best, ip_col, "left")
 
 
 def cidr_overlaps(a: DataFrame, b: DataFrame, col: str = "cidr") -> DataFrame:

@@ -316,6 +316,18 @@ def test_exploded_prefix_keys_are_never_broadcast(spark, monkeypatch):
     assert jn.cidr_match(t, "ip", c).count() == 20 + 16 + 20
 
 
+def test_longest_prefix_pairs_an_address_once_per_length(spark, monkeypatch):
+    """200 texts of one /0 and 200 of one /8 are two networks."""
+    pairs = []
+    match = jn.cidr_match
+    monkeypatch.setattr(jn, "cidr_match", lambda *a: pairs.append(match(*a)) or pairs[-1])
+    t = spark.createDataFrame([(i, f"10.1.2.{i % 9}") for i in range(20)] + [(20, "11.0.0.1"), (21, None)], "id int, ip string")
+    c = spark.createDataFrame([(f"10.0.{i}.1/{b}",) for i in range(200) for b in (0, 8)], "cidr string")
+    got = {r["id"]: r["network"] for r in jn.longest_prefix(t, "ip", c).collect()}
+    assert got == {**{i: "10.0.0.1/8" for i in range(20)}, 20: "10.0.0.1/0", 21: None}
+    assert pairs[0].count() == 9 * 2 + 1
+
+
 # ----------------------------------------------------------- A10, S4
 @pytest.mark.parametrize("most", [1000, 1])
 def test_rollup_with_holes(spark, most, monkeypatch):
