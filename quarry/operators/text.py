@@ -8,9 +8,9 @@ Shape of the plan (for a *batch* of queries; one query is a one-row table):
 2. documents (T4, T5) are tokenised per field and exploded with positions,
    then filtered to the tokens any query needs (broadcast semi-join of a
    size-checked token list) - the only full pass over the text;
-3. phrase occurrences come from an equi-join on token (the phrase side is
-   broadcast, so a very common token is never a hot shuffle key) and a
-   group-by on (phrase, doc, field, start);
+3. phrases of several words are equal to runs of as many words of a field,
+   found by an equi-join (the phrase side is broadcast, so a very common token
+   is never a hot shuffle key) and a group-by on (phrase, doc);
 4. BM25 per (query, doc) uses the field weights, the row length in tokens
    over all fields and the phrase document frequency (T8);
 5. the AND rule keeps documents that satisfy every term; the top k + 1 per
@@ -25,7 +25,7 @@ No documents x queries product is ever formed.
 from __future__ import annotations
 
 import re
-from typing import Mapping
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -217,15 +217,27 @@ def query_term_counts(queries: DataFrame, query_id: str = "query_id", text: str
 LEN_FIELD = "__len"
 
 
-def doc_tokens(docs: DataFrame, length_row: bool = False) -> DataFrame:
+def grams(tokens: Column, n: int) -> Column:
+    """The runs of ``n`` neighbouring tokens, each joined by spaces, in order."""
+    if n == 1:
+        return tokens
+    firsts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+    return F.transform(firsts, lambda _, i: F.array_join(F.slice(tokens, i + 1, n), " "))
+
+
+def doc_tokens(docs: DataFrame, length_row: bool = False, lengths: Sequence[int] = (1,)) -> DataFrame:
     """Per document, in one pass: ``__f`` = array of (field, tokens) and the
     row length in tokens over all fields (``doc_len``).  ``length_row`` adds
     an element with no tokens, which explodes to one marker row per document
-    (field ``__len``, null token) carrying ``doc_len``."""
+    (field ``__len``, null token) carrying ``doc_len``.  ``lengths``: instead
+    of the tokens, the runs of so many tokens."""
     items = [F.struct(F.lit(f).alias("field"), match_tokens(F.col(f)).alias("toks")) for f in FIELDS]
     x = docs.select("doc_id", F.array(*items).alias("__f"))
     x = x.withColumn("doc_len", F.aggregate("__f", F.lit(0).cast("long"),
                                             lambda acc, s: acc + F.size(s["toks"])))
+    if tuple(lengths) != (1,):
+        x = x.withColumn("__f", F.flatten(F.transform("__f", lambda s: F.array(
+            *[F.struct(s["field"].alias("field"), grams(s["toks"], n).alias("toks")) for n in lengths]))))
     if length_row:
         marker = F.struct(F.lit(LEN_FIELD).alias("field"), F.array().cast("array<string>").alias("toks"))
         x = x.withColumn("__f", F.concat(F.col("__f"), F.array(marker)))
@@ -286,26 +298,51 @@ def phrase_places(lists: Column) -> Column:
 
 
 def term_index(docs: DataFrame, tokens: DataFrame, weights: Mapping[str, float] | None = None,
-               broadcast_tokens: bool = True, with_places: bool = True) -> DataFrame:
-    """``(doc_id, token, wtf, doc_len, places)`` for the given tokens (weighted
+               broadcast_tokens: bool = True, with_places: bool = False, lengths: Sequence[int] = (1,)) -> DataFrame:
+    """``(doc_id, token, wtf, doc_len, n)`` for the given tokens (weighted
     term frequency over the fields), plus one row per document with a null
-    token carrying its length: everything BM25 needs from one pass over the
-    text.  ``places`` (only ``with_places``: lists cost a slower aggregate) says
-    where the tokens that ``tokens`` flags in ``in_phrase`` stand.  The token list is broadcast when
-    the caller has checked its size (it grows with the query batch, not the
-    corpus)."""
+    token carrying its length and in ``n`` the number of rows with its id:
+    everything BM25 needs from one pass over the text.  A token of several
+    words joined by spaces is a phrase; ``lengths`` names the numbers of words
+    that tokens have.  With ``with_places`` (lists cost a slower aggregate),
+    ``places`` says where the tokens that ``tokens`` flags in ``in_phrase``
+    stand.  The token list is broadcast when the caller has checked its size
+    (it grows with the query batch, not the corpus)."""
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
-    post = _explode_postings(doc_tokens(docs, length_row=True))
-    need = tokens.groupBy("token").agg(F.bool_or("in_phrase").alias("in_phrase")).withColumn("__need", F.lit(True))
-    flagged = post.join(F.broadcast(need) if broadcast_tokens else need, "token", "left")
+    post = _explode_postings(doc_tokens(docs, length_row=True, lengths=lengths))
+    flag = F.col("in_phrase") if with_places else F.lit(False)
+    need = tokens.groupBy(F.col("token").alias("__token")).agg(F.bool_or(flag).alias("in_phrase")).withColumn("__need", F.lit(True))
+    # rows without a token are dealt by their document
+    key = F.coalesce(F.col("token"), F.concat(F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    flagged = post.join(F.broadcast(need) if broadcast_tokens else need.hint("merge"), key == F.col("__token"), "left")
     kept = flagged.filter(F.col("__need") | (F.col("field") == LEN_FIELD))
-    aggs = [F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len")]
+    aggs = [F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len"), F.count(F.lit(1)).alias("n")]
     if with_places:
         aggs.append(F.collect_list(F.when(F.col("in_phrase"), place(F.col("field"), F.col("pos")))).alias("places"))
     return kept.groupBy("doc_id", "token").agg(*aggs)
 
 
+def _placed_phrases(index: DataFrame, phrases: DataFrame, weights: Mapping[str, float], bc) -> DataFrame:
+    """``(doc_id, token, wtf, doc_len)`` of the phrases (pkey, n_tokens,
+    offset, token; several words), from place lists of their words."""
+    pkey = ["query_id", "term_idx", "alt", "part"]
+    parts = phrases.join(_named(phrases).withColumnRenamed("token", "phrase"), pkey) \
+        .select("phrase", "n_tokens", "offset", "token").distinct()       # equal phrases of the batch are matched once
+    return (index.join(bc(parts), "token").groupBy("phrase", "doc_id")
+            .agg(F.collect_list(F.struct("offset", "places")).alias("lists"), F.first("n_tokens").alias("n_tokens"),
+                 F.first("doc_len").alias("doc_len"))
+            .filter(F.size("lists") == F.col("n_tokens"))
+            .withColumn("starts", phrase_places(F.col("lists"))).filter(F.size("starts") > 0)
+            .select("doc_id", F.col("phrase").alias("token"), place_weight(F.col("starts"), weights).alias("wtf"), "doc_len"))
+
+
+def _named(phrases: DataFrame) -> DataFrame:
+    """(pkey, token): the words of each phrase joined by spaces."""
+    words = F.transform(F.array_sort(F.collect_set(F.struct("offset", "token"))), lambda x: x["token"])
+    return phrases.groupBy("query_id", "term_idx", "alt", "part").agg(F.array_join(words, " ").alias("token"))
+
+
 def corpus_stats(docs: DataFrame) -> tuple[int, float]:
     """Row count and average row length in tokens (two scalars)."""
     st = doc_tokens(docs).agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
@@ -316,7 +353,7 @@ def corpus_stats(docs: DataFrame) -> tuple[int, float]:
 def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
                 query_id: str = "query_id", text: str = "text",
                 weights: Mapping[str, float] | None = None, k1: float = BM25_K1, b: float = BM25_B,
-                max_broadcast_tokens: int = 2_000_000, explain: bool = False,
+                max_broadcast_tokens: int = 300_000, max_broadcast_pairs: int = 200_000, explain: bool = False,
                 postings: DataFrame | None = None, stats: tuple[int, float] | None = None,
                 table_name: str | None = None) -> DataFrame:
     """BM25 top-k per query, all terms ANDed.
@@ -336,81 +373,84 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
       documents holding it can satisfy the AND rule, so only
       (candidate document x query term) pairs are scored - never the full
       posting list of a common word times every query using it;
-    * multi-word terms (``a_b``, ``don't``) intersect the place lists that the
-      pass kept for their words; the text is not read again.
+    * multi-word terms (``a_b``, ``don't``) are looked up, like words, among
+      the runs of as many words of each field, so no document meets a phrase
+      that it does not hold.  Documents of several rows, and saved postings,
+      intersect place lists instead.
     """
     weights = dict(FIELD_WEIGHTS, **(weights or {}))
     pkey = ["query_id", "term_idx", "alt", "part"]
     ph = query_phrases(queries, query_id, text).select(*pkey, "n_tokens", "offset", "token")
-    shape = ph.agg(F.count(F.lit(1)).alias("n"), F.max("n_tokens").alias("longest")).first()
-    n_ph, has_multi = int(shape["n"]), (shape["longest"] or 0) > 1
+    shape = ph.agg(F.count(F.lit(1)).alias("n"), F.collect_set("n_tokens").alias("lengths"),
+                   F.count_distinct("query_id").alias("queries")).first()
+    n_ph, lengths = int(shape["n"]), sorted(shape["lengths"]) or [1]
+    has_multi = lengths[-1] > 1
     # the phrase table grows with the query batch, not with the corpus; it is
     # broadcast while its checked size allows, else joined by shuffle
     bc = (lambda d: F.broadcast(d)) if n_ph <= max_broadcast_tokens else (lambda d: d)
-    needed = ph.select("token", (F.col("n_tokens") > 1).alias("in_phrase"))
+    # units: a word, or the words of a phrase joined by spaces
+    units, mph = ph.filter(F.col("n_tokens") == 1).select(*pkey, "token"), ph.filter(F.col("n_tokens") > 1)
+    if has_multi:
+        units = units.unionByName(_named(mph))
+    in_phrase = ph.select("token", (F.col("n_tokens") > 1).alias("in_phrase"))
     wcol = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.lit(float(weights[f])))])
     spark = docs.sparkSession
 
+    from ..session import scratch_path
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     if postings is None:
         # one pass over the text, written to the shared checkpoint folder:
-        # (doc, token) -> weighted term frequency for the needed tokens and
+        # (doc, unit) -> weighted term frequency for the needed units and
         # one length row per document.  Stats, IDF and scoring all read it.
-        from ..session import scratch_path
-        path = scratch_path(spark, "text-index")
-        term_index(docs, needed, weights, n_ph <= max_broadcast_tokens, has_multi).write.parquet(path)
-        idx = spark.read.parquet(path)
+        idx = keep(term_index(docs, units, weights, n_ph <= max_broadcast_tokens, lengths=lengths), "text-index")
         lens = idx.filter(F.col("token").isNull())
-        if stats is None:
-            st = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl")).first()
-            stats = (int(st["n"] or 0), float(st["avgdl"] or 0.0))
-        dt = idx.filter(F.col("token").isNotNull())
+        st = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl"), F.max("n").alias("most")).first()
+        stats = stats or (int(st["n"] or 0), float(st["avgdl"] or 0.0))
+        dt = idx.filter(F.col("token").isNotNull()).select("doc_id", "token", "wtf", "doc_len")
+        if has_multi and (st["most"] or 0) > 1:
+            # rows with one id are one document, whose words of one place are
+            # alternatives: its phrases are found by place lists
+            again = lens.filter(F.col("n") > 1).select(F.col("doc_id").alias("__again"))
+            same = F.col("doc_id").eqNullSafe(F.col("__again"))
+            placed = term_index(docs.join(again, same, "left_semi"), in_phrase, weights, n_ph <= max_broadcast_tokens, True)
+            several = F.col("token").contains(" ")
+            dt = (dt.filter(~several).unionByName(dt.filter(several).join(again, same, "left_anti"))
+                  .unionByName(_placed_phrases(placed.filter(F.col("token").isNotNull()), mph, weights, bc)))
     else:
         buckets = [r[0] for r in ph.select(F.pmod(F.xxhash64("token"), F.lit(256))).distinct().collect()]
-        post = postings.filter(F.col("bucket").isin(buckets)).join(bc(needed), "token", "left_semi")
+        post = postings.filter(F.col("bucket").isin(buckets)).join(bc(in_phrase), "token", "left_semi")
         listed = [F.collect_list(place(F.col("field"), F.col("pos"))).alias("places")] if has_multi else []
         dt = post.groupBy("doc_id", "token").agg(
             F.sum(wcol[F.col("field")]).alias("wtf"), F.first("doc_len").alias("doc_len"), *listed)
+        if has_multi:
+            dt = dt.drop("places").unionByName(_placed_phrases(dt, mph, weights, bc))
     n_docs, avgdl = stats if stats is not None else corpus_stats(docs)
     if n_docs == 0:
         return _empty_hits(spark)
-    single = ph.filter(F.col("n_tokens") == 1).select(*pkey, "token")
     tdf = dt.groupBy("token").agg(F.count(F.lit(1)).alias("n_hit"))
-    phrase_df = single.join(bc(tdf), "token", "left").select(
-        *pkey, F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit"))
-    multi_ppd = None
-    if has_multi:
-        mph = ph.filter(F.col("n_tokens") > 1)
-        # equal phrases of the batch are matched once
-        named = mph.groupBy(*pkey).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "token"))),
-                                                                lambda x: x["token"]), " ").alias("phrase"))
-        parts = (mph.join(named, pkey).select("phrase", "n_tokens", "offset", "token").distinct())
-        found = (dt.join(bc(parts), "token").groupBy("phrase", "doc_id")
-                 .agg(F.collect_list(F.struct("offset", "places")).alias("lists"), F.first("n_tokens").alias("n_tokens"),
-                      F.first("doc_len").alias("doc_len"))
-                 .filter(F.size("lists") == F.col("n_tokens"))
-                 .withColumn("starts", phrase_places(F.col("lists"))).filter(F.size("starts") > 0)
-                 .select("phrase", "doc_id", place_weight(F.col("starts"), weights).alias("wfreq"), "doc_len"))
-        multi_ppd = found.join(bc(named), "phrase").select(*pkey, "doc_id", "wfreq", "doc_len")
-        all_multi = mph.select(*pkey).distinct()
-        mdf = all_multi.join(multi_ppd.groupBy(*pkey).agg(F.count(F.lit(1)).alias("n_hit")), pkey, "left")
-        phrase_df = phrase_df.unionByName(mdf.select(*pkey, F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit")))
+    phrase_df = units.join(bc(tdf), "token", "left").select(
+        *pkey, "token", F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit"))
 
     # driver term per query: smallest (documents with alternative 0) +
     # (documents with the first part of alternative 1); ties -> lowest term
-    size = phrase_df.filter(F.col("part") == 0).groupBy("query_id", "term_idx").agg(F.sum("n_hit").alias("size"))
+    lead = phrase_df.filter(F.col("part") == 0)
+    size = lead.groupBy("query_id", "term_idx").agg(F.sum("n_hit").alias("size"))
     driver = size.groupBy("query_id").agg(
         F.min_by(F.col("term_idx"), F.struct(F.col("size"), F.col("term_idx"))).alias("term_idx"))
-    drv = phrase_df.filter(F.col("part") == 0).join(bc(driver), ["query_id", "term_idx"]).select(*pkey)
-    cands = dt.join(bc(single.join(drv, pkey)), "token").select("query_id", "doc_id")
-    if multi_ppd is not None:
-        cands = cands.unionByName(multi_ppd.join(bc(drv), pkey).select("query_id", "doc_id"))
-    cands = cands.distinct()
-
-    # score candidate documents only: (candidate x query term) joined to dt
-    need = cands.join(bc(single), "query_id")
-    ppd = need.join(dt, ["doc_id", "token"]).select(*pkey, "doc_id", F.col("wtf").alias("wfreq"), "doc_len")
-    if multi_ppd is not None:
-        ppd = ppd.unionByName(multi_ppd.join(cands, ["query_id", "doc_id"], "left_semi"))
+    drv = lead.join(bc(driver), ["query_id", "term_idx"]).select("query_id", "token")
+    cands = keep(dt.join(bc(drv), "token").select("query_id", "doc_id").distinct(), "text-candidates")
+
+    # score candidate documents only: (candidate x query term) joined to dt,
+    # which stays where it is while the candidates are few
+    need = cands.join(bc(units), "query_id")
+    few = cands.count() <= max_broadcast_pairs
+    ppd = dt.join(F.broadcast(need) if few else need, ["doc_id", "token"]).select(
+        *pkey, "doc_id", F.col("wtf").alias("wfreq"), "doc_len")
 
     idf = F.log((F.lit(float(n_docs)) - F.col("n_hit") + 0.5) / (F.col("n_hit") + 0.5))
     idf_t = phrase_df.select(*pkey, F.when(idf <= 0, F.lit(1e-6)).otherwise(idf).alias("idf"))
@@ -442,7 +482,8 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     if not explain:
         return ranked
     qtext = queries.select(F.col(query_id).alias("query_id"), F.col(text).alias("query_text"))
-    return explain_hits(ranked.join(qtext, "query_id").join(docs, "doc_id"), table_name=table_name)
+    hits = ranked.join(qtext, "query_id")
+    return explain_hits(hits.join(docs, "doc_id"), table_name=table_name)
 
 
 def _empty_hits(spark) -> DataFrame:

@@ -87,3 +87,40 @@ def test_row_specific_query_drops_weak_single_word(spark):
     docs = docs_of(spark, ROWS, COLUMNS, "gate_book")
     hits = search(spark, docs, "lorry")
     assert len(hits) == 1 and hits[0]["row_text_query"] == ""
+
+
+# -------------------------------------------- growing batches of queries
+def _docs(spark, texts):
+    rows = [(i, "src", t, "", "table t") for i, t in texts]
+    return spark.createDataFrame(rows, "doc_id long, title string, body string, metadata string, context string")
+
+
+def _scratch(monkeypatch):
+    from quarry import session
+    paths, make = {}, session.scratch_path
+
+    def named(spark, name):
+        paths[name] = make(spark, name)
+        return paths[name]
+    monkeypatch.setattr(session, "scratch_path", named)
+    return paths
+
+
+def test_phrases_are_kept_only_where_they_stand(spark, monkeypatch):
+    """Every document holds all three words, one holds the phrase."""
+    paths = _scratch(monkeypatch)
+    docs = _docs(spark, [(i, "red blue green red") for i in range(30)] + [(30, "a red green blue"), (31, "red green"), (32, None)])
+    q = spark.createDataFrame([(1, "red_green'blue"), (2, "green_blue a"), (3, "blue_table")], "query_id long, text string")
+    hits = tx.search_text(docs, q, k=5).collect()
+    assert sorted((r["query_id"], r["doc_id"]) for r in hits) == [(1, 30), (2, 30)]
+    index = spark.read.parquet(paths["text-index"]).where("token is not null")
+    assert sorted(r["token"] for r in index.collect()) == ["a", "green blue", "red green blue"]
+
+
+def test_phrases_of_rows_that_share_an_id(spark):
+    """Rows with one id are one document, its places are merged."""
+    docs = _docs(spark, [(1, "one two"), (1, "one two"), (2, "one x"), (2, "y two"), (3, "two one"), (None, "one two"), (None, "one two")])
+    q = spark.createDataFrame([(7, "one_two")], "query_id long, text string")
+    hits = tx.search_text(docs, q, k=5).collect()
+    assert sorted(r["doc_id"] for r in hits) == [1, 2]
+    assert len({round(r["score"], 9) for r in hits}) == 1
