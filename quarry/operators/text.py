@@ -437,8 +437,10 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         *pkey, "token", F.coalesce(F.col("n_hit"), F.lit(0)).alias("n_hit"))
 
     # driver term per query: smallest (documents with alternative 0) +
-    # (documents with the first part of alternative 1); ties -> lowest term
-    lead = phrase_df.filter(F.col("part") == 0)
+    # (documents with the rarer part of alternative 1, which needs both);
+    # ties -> lowest term
+    lead = phrase_df.groupBy("query_id", "term_idx", "alt").agg(
+        F.min_by("token", F.struct("n_hit", "part")).alias("token"), F.min("n_hit").alias("n_hit"))
     size = lead.groupBy("query_id", "term_idx").agg(F.sum("n_hit").alias("size"))
     driver = size.groupBy("query_id").agg(
         F.min_by(F.col("term_idx"), F.struct(F.col("size"), F.col("term_idx"))).alias("term_idx"))

@@ -124,3 +124,12 @@ def test_phrases_of_rows_that_share_an_id(spark):
     hits = tx.search_text(docs, q, k=5).collect()
     assert sorted(r["doc_id"] for r in hits) == [1, 2]
     assert len({round(r["score"], 9) for r in hits}) == 1
+
+
+def test_ticket_candidates_hold_the_rarer_part(spark, monkeypatch):
+    paths = _scratch(monkeypatch)
+    docs = _docs(spark, [(i, f"ticket INC-{1000 + i} open") for i in range(60)] + [(60, "RM1007 1007"), (61, "inc1007")])
+    q = spark.createDataFrame([(i, f"inc{1000 + i}") for i in range(20)], "query_id long, text string")
+    hits = tx.search_text(docs, q, k=5).collect()
+    assert sorted((r["query_id"], r["doc_id"]) for r in hits) == sorted([(i, i) for i in range(20)] + [(7, 61)])
+    assert spark.read.parquet(paths["text-candidates"]).count() == 22
