@@ -485,6 +485,8 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         return ranked
     qtext = queries.select(F.col(query_id).alias("query_id"), F.col(text).alias("query_text"))
     hits = ranked.join(qtext, "query_id")
+    # at most k hits a query: broadcast when few, so that the texts stay where they are
+    hits = F.broadcast(hits) if k and k * shape["queries"] <= max_broadcast_pairs else hits
     return explain_hits(hits.join(docs, "doc_id"), table_name=table_name)
 
 

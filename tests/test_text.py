@@ -133,3 +133,17 @@ def test_ticket_candidates_hold_the_rarer_part(spark, monkeypatch):
     hits = tx.search_text(docs, q, k=5).collect()
     assert sorted((r["query_id"], r["doc_id"]) for r in hits) == sorted([(i, i) for i in range(20)] + [(7, 61)])
     assert spark.read.parquet(paths["text-candidates"]).count() == 22
+
+
+def test_explained_hits_leave_the_documents_in_place(spark):
+    docs = _docs(spark, [(i, f"word{i} red") for i in range(10)])
+    q = spark.createDataFrame([(1, "red")], "query_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = tx.search_text(docs, q, k=3, explain=True)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [doc_id" in plan and "SortMergeJoin [doc_id" not in plan
+        assert sorted(r["doc_id"] for r in hits.collect()) == [0, 1, 2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
