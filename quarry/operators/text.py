@@ -268,9 +268,24 @@ def save_postings(postings: DataFrame, path: str) -> None:
 
 
 def token_stats(docs: DataFrame) -> DataFrame:
-    """T7 check: per token, documents containing it and total occurrences."""
-    p = build_postings(docs)
-    return p.groupBy("token").agg(F.count_distinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("occurrences"))
+    """T7 check: per token, documents containing it and total occurrences.
+    A row with an id of its own counts once for each of its words, so only
+    tokens are shuffled; rows that share an id are told apart by (token, id)."""
+    count = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null")
+    again = count.select(F.col("doc_id").alias("__again"))
+    same = F.col("doc_id").eqNullSafe(F.col("__again"))
+    shared = again.limit(1).count() > 0
+    alone = docs.join(again, same, "left_anti") if shared else docs
+    toks = doc_tokens(alone).select(F.flatten(F.transform("__f", lambda s: s["toks"])).alias("t"))
+    sets = F.array(F.struct(F.lit(1).alias("d"), F.lit(0).alias("o"), F.array_distinct("t").alias("t")),
+                   F.struct(F.lit(0).alias("d"), F.lit(1).alias("o"), F.col("t").alias("t")))
+    p = (toks.select(F.explode_outer(sets).alias("x")).select("x.d", "x.o", F.explode_outer("x.t").alias("token"))
+         .filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("d").alias("docs"), F.sum("o").alias("occurrences")))
+    if shared:
+        rest = build_postings(docs.join(again, same, "left_semi"))
+        p = (p.unionByName(rest.groupBy("token").agg(F.count_distinct("doc_id").alias("docs"), F.count(F.lit(1)).alias("occurrences")))
+             .groupBy("token").agg(F.sum("docs").alias("docs"), F.sum("occurrences").alias("occurrences")))
+    return p
 
 
 FIELD_SPAN = 1 << 28        # a position is field number x FIELD_SPAN + place in the field
