@@ -239,6 +239,7 @@ def running_count(df: DataFrame, order: str, by: Sequence[str] = (), tiebreak: S
 # Percentage points and seconds after which an event is kept.
 PROGRESS_STEP = 10.0
 PROGRESS_SECONDS = 10.0
+FEW_SEGMENTS = 4            # segments of a batch that are thinned one by one
 PROGRESS_COLUMNS = ("ts", "phase", "state", "percent", "fetched", "written", "total")
 
 
@@ -292,6 +293,42 @@ class ProgressRule:
         return flags, last
 
 
+    def keep_each(self, cuts, last: tuple | None):
+        """(flags, last kept event of the last segment) of the segments between
+        ``cuts``; ``last`` is what was kept of the first one before, None when
+        it starts here.  The n-th events of all segments are judged at once;
+        the longest few are finished one by one."""
+        import numpy as np
+        flags = np.zeros(cuts[-1], dtype=bool)
+        if last is not None:
+            flags[:cuts[1]], last = self.keep(0, cuts[1], last)
+            cuts = cuts[1:]
+        if len(cuts) == 1:
+            return flags, last
+        starts, ends = np.asarray(cuts[:-1]), np.asarray(cuts[1:])
+        by_length = np.argsort(starts - ends, kind="stable")
+        starts, ends = starts[by_length], ends[by_length]
+        kept, flags[starts] = starts.copy(), True
+        step = 1
+        while (n := int(np.searchsorted(starts - ends, -step))) > FEW_SEGMENTS:
+            i, was = starts[:n] + step, kept[:n]
+            before = np.where(self.is_fetch[i], self.fetched[was], np.where(self.is_write[i], self.written[was], 0))
+            edge = (self.total[i] > 0) & (self.rows[i] != before) & ~((self.rows[i] > 0) & (self.rows[i] < self.total[i]))
+            new = (edge | (self.phase[i] != self.phase[was]) | (self.state[i] != self.state[was])
+                   | (self.percent[i] - self.percent[was] >= PROGRESS_STEP)
+                   | ((self.percent[i] >= 100) & (self.percent[was] < 100))
+                   | (self.at[i] - self.at[was] >= PROGRESS_SECONDS * 1_000_000))
+            flags[i[new]] = True
+            kept[:n] = np.where(new, i, was)
+            step += 1
+        final = int(np.argmax(starts))
+        last = self.event(int(kept[final]))
+        for s in range(n):
+            flags[starts[s] + step:ends[s]], left = self.keep(int(starts[s]) + step, int(ends[s]), self.event(int(kept[s])))
+            last = left if s == final else last
+        return flags, last
+
+
 def progress_segments(df: DataFrame, job: str = "job", columns: Sequence[str] = PROGRESS_COLUMNS,
                       tiebreak: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
     """``df`` plus ``__seg``, the number of the segment an event belongs to,
@@ -346,15 +383,12 @@ def thin_progress(df: DataFrame, job: str = "job", columns: Sequence[str] = PROG
             times = pc.cast(pc.cast(at(columns[0]), pa.timestamp("us", at(columns[0]).type.tz)), pa.int64())
             rule = ProgressRule(times.to_pylist(), *[at(c).to_pylist() for c in columns[1:]])
             jobs, segs = np.asarray(at(job).to_pylist(), dtype=object), np.asarray(at("__seg"))
+            if not len(segs):
+                continue
             cuts = [0, *(np.flatnonzero((jobs[1:] != jobs[:-1]) | (segs[1:] != segs[:-1])) + 1).tolist(), len(segs)]
-            flags = []
-            for lo, hi in zip(cuts, cuts[1:]):
-                if lo < hi:
-                    if key != (jobs[lo], segs[lo]):
-                        key, last = (jobs[lo], segs[lo]), None
-                    kept, last = rule.keep(lo, hi, last)
-                    flags.append(kept)
-            yield b.filter(pa.array(np.concatenate(flags) if flags else np.zeros(0, bool))).select(names)
+            flags, last = rule.keep_each(cuts, last if key == (jobs[0], segs[0]) else None)
+            key = (jobs[-1], segs[-1])
+            yield b.filter(pa.array(flags)).select(names)
 
     x = progress_segments(df, job, columns, tiebreak, blocks)
     return (x.repartition(job, "__seg").sortWithinPartitions(job, "__seg", columns[0], "__tie", *tiebreak)
