@@ -6,10 +6,10 @@
 
 ``top`` is the largest value that the token adds to a score in the block,
 before its IDF; ``places`` are the sorted positions of the token in one
-document.  Rows are range-partitioned and sorted by (token, block), so a very
-frequent token is spread over files by its blocks, and a reader prunes files
-and row groups by token.  ``stats`` beside it holds the number of documents
-and their mean length.
+document.  Rows stay in the file of their block, so a very frequent token is
+spread over files by its blocks, and building needs no shuffle and no sort
+that spills.  ``stats`` beside it holds the number of documents and their mean
+length.
 
 ``search_index`` answers a batch of queries with the hits and scores of
 ``text.search_text``, reading few postings:
@@ -22,8 +22,9 @@ and their mean length.
 3. of the remaining blocks, those whose bound reaches that score are scored;
    no other block can hold a hit of the top k.
 
-Terms of several words (``a_b``, ``don't``) intersect place lists inside the
-blocks that hold all their words; the corpus is not tokenised again.
+Terms of several words (``a_b``, ``don't``) are looked up among the runs of
+neighbouring words that the place lists of a block make; the corpus is not
+tokenised again.
 """
 
 from __future__ import annotations
@@ -59,32 +60,125 @@ def _part(wtf, doc_len, mean_len: float, k1: float, b: float):
     return wtf * (k1 + 1.0) / (wtf + norm)
 
 
+def _whole_blocks(batches):
+    """The rows of Arrow batches in tables of whole blocks; rows of a block
+    follow each other."""
+    import numpy as np
+    import pyarrow as pa
+    left = None
+    for b in batches:
+        t = pa.Table.from_batches([b] if left is None else [*left.to_batches(), b])
+        if not t.num_rows:
+            continue
+        block = t.column("block").to_numpy()
+        cut = int(np.flatnonzero(block != block[-1])[-1]) + 1 if (block != block[-1]).any() else 0
+        if cut:
+            yield t.slice(0, cut).combine_chunks()
+        left = t.slice(cut)
+    if left is not None and left.num_rows:
+        yield left.combine_chunks()
+
+
+def _flat(column):
+    """(values, number of values per row) of an Arrow list column."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten(), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+
+
+def _documents(block, doc_id, doc_len):
+    """Numbers of the different (block, doc_id, doc_len) in their order, and
+    where each stands first."""
+    import numpy as np
+    import pyarrow.compute as pc
+    codes = pc.fill_null(pc.dictionary_encode(doc_id).indices, -1).to_numpy(zero_copy_only=False)
+    key = np.stack([block, codes, doc_len])
+    order = np.lexsort(key[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = (key[:, order[1:]] != key[:, order[:-1]]).any(axis=0)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
+
+
+def _block_rows(weights: list[float]):
+    """(token, block, postings) of documents (block, doc_id, tokens by
+    field), for ``mapInArrow``; the row with a null token holds every document
+    of the block."""
+    span = tx.FIELD_SPAN
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        per_field = np.asarray(weights)
+
+        def lists(values, starts, total):
+            return pa.ListArray.from_arrays(pa.array(np.append(starts, total), pa.int32()), values)
+
+        for t in _whole_blocks(batches):
+            fields, n_fields = _flat(t.column("f"))
+            words, n_words = _flat(fields)
+            row = np.repeat(np.arange(t.num_rows), n_fields)
+            field = np.arange(len(row)) - np.repeat(np.cumsum(n_fields) - n_fields, n_fields)
+            doc_len = np.bincount(row, weights=n_words, minlength=t.num_rows).astype(np.int64)
+            block = t.column("block").to_numpy()
+            doc, first = _documents(block, t.column("doc_id").combine_chunks(), doc_len)
+            ids = pc.take(t.column("doc_id").combine_chunks(), pa.array(first))
+            ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
+            lens, blocks = doc_len[first], block[first]
+
+            def postings(docs, wtf, places):
+                return pa.StructArray.from_arrays([pc.take(ids, pa.array(docs)), pa.array(lens[docs]), pa.array(wtf), places],
+                                                  names=["doc_id", "doc_len", "wtf", "places"])
+
+            def batch(tokens, in_block, values):
+                return pa.RecordBatch.from_arrays([tokens, pa.array(in_block), values], names=["token", "block", "postings"])
+
+            # every document once, without a token
+            n = len(first)
+            start = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
+            none = lists(pa.array([], pa.int32()), np.zeros(n, np.int32), 0)
+            yield batch(pa.nulls(len(start), pa.string()), blocks[start],
+                        lists(postings(np.arange(n), np.zeros(n), none), start, n))
+            if not len(words):
+                continue
+            coded = pc.dictionary_encode(words)
+            code = coded.indices.to_numpy()
+            at = np.arange(len(code)) - np.repeat(np.cumsum(n_words) - n_words, n_words)
+            in_field = np.repeat(field, n_words)
+            doc = np.repeat(doc[row], n_words)
+            place = in_field * span + at
+            order = np.lexsort((place, doc, code, blocks[doc]))
+            code, doc, place, in_field = code[order], doc[order], place[order].astype(np.int32), in_field[order]
+            new = np.append(True, (doc[1:] != doc[:-1]) | (code[1:] != code[:-1]))
+            post = np.flatnonzero(new)                                  # where a posting begins
+            p_code, p_doc = code[post], doc[post]
+            p_block = blocks[p_doc]
+            out = np.flatnonzero(np.append(True, (p_code[1:] != p_code[:-1]) | (p_block[1:] != p_block[:-1])))
+            values = postings(p_doc, np.add.reduceat(per_field[in_field], post), lists(pa.array(place), post, len(place)))
+            yield batch(pc.take(coded.dictionary, pa.array(p_code[out])), p_block[out], lists(values, out, len(post)))
+    return run
+
+
 def build_index(docs: DataFrame, path: str, weights: Mapping[str, float] | None = None, k1: float = tx.BM25_K1,
                 b: float = tx.BM25_B, block_docs: int = BLOCK_DOCS) -> TextIndex:
     """Write the index of search documents (doc_id, title, body, metadata,
     context) under ``path`` and open it.
 
-    Documents are blocked in the order they are read.  The texts are moved
-    once, by block; tokens are then exploded and grouped without another
-    shuffle.  Weights and BM25 parameters are fixed here, as ``top`` depends
-    on them.
+    Documents are blocked in the order they are read; a block lies in one
+    partition and its tokens are sorted there by array code, so neither texts
+    nor single tokens are shuffled.  Weights and BM25 parameters are fixed
+    here, as ``top`` depends on them.
     """
     spark = docs.sparkSession
     weights = dict(tx.FIELD_WEIGHTS, **(weights or {}))
     blocked = docs.withColumn("block", F.expr(f"monotonically_increasing_id() div {int(block_docs)}"))
-    fields = [F.struct(F.lit(i * tx.FIELD_SPAN).alias("base"), tx.match_tokens(F.col(f)).alias("toks"))
-              for i, f in enumerate(tx.FIELDS)]
-    # one more element without tokens: explodes to a row with a null token that carries the document's length
-    fields.append(F.struct(F.lit(0).alias("base"), F.array().cast("array<string>").alias("toks")))
-    tok = (blocked.repartition("block").select("block", "doc_id", F.array(*fields).alias("f"))
-           .withColumn("doc_len", F.aggregate("f", F.lit(0).cast("long"), lambda acc, s: acc + F.size(s["toks"]))))
-    tokens = (tok.select("block", "doc_id", "doc_len", F.explode_outer("f").alias("x"))
-              .select("block", "doc_id", "doc_len", F.col("x.base").alias("base"),
-                      F.posexplode_outer("x.toks").alias("pos", "token")))
-    per_doc = (tokens.groupBy("block", "token", "doc_id", "doc_len")
-               .agg(F.array_sort(F.collect_list(F.col("base") + F.col("pos"))).alias("places")))
-    rows = (per_doc.withColumn("wtf", tx.place_weight(F.col("places"), weights))
-            .groupBy("token", "block").agg(F.collect_list(F.struct("doc_id", "doc_len", "wtf", "places")).alias("postings")))
+    toks = blocked.select("block", "doc_id", F.array(*[tx.match_tokens(F.col(f)) for f in tx.FIELDS]).alias("f"))
+    doc_type = dict(docs.dtypes)["doc_id"]
+    rows = toks.mapInArrow(_block_rows([float(weights[f]) for f in tx.FIELDS]),
+                           f"token string, block long, postings array<struct<doc_id:{doc_type},doc_len:long,wtf:double,places:array<int>>>")
     raw = scratch_path(spark, "text-blocks")
     rows.write.parquet(raw)
     stored = spark.read.parquet(raw)
@@ -94,7 +188,7 @@ def build_index(docs: DataFrame, path: str, weights: Mapping[str, float] | None
     top = F.array_max(F.transform("postings", lambda p: _part(p["wtf"], p["doc_len"], mean_len, k1, b)))
     (stored.where("token is not null")
      .select("token", "block", F.size("postings").alias("n_docs"), top.alias("top"), "postings")
-     .repartitionByRange("token", "block").sortWithinPartitions("token", "block").write.parquet(f"{path}/rows"))
+     .write.parquet(f"{path}/rows"))
     spark.createDataFrame([(n_docs, mean_len, k1, b, weights)],
                           "n_docs long, mean_len double, k1 double, b double, weights map<string,double>") \
         .coalesce(1).write.parquet(f"{path}/stats")
@@ -176,9 +270,11 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
         .select("unit", F.coalesce("df", F.lit(0)).alias("df"))
     idf = F.log((F.lit(float(index.n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     asked = keep(units.drop("tokens").join(df, "unit").withColumn("idf", F.when(idf <= 0, F.lit(1e-6)).otherwise(idf)), "text-asked")
-    size = asked.where("part = 0").groupBy("query_id", "term_idx").agg(F.sum("df").alias("size"))
-    lead = size.groupBy("query_id").agg(F.min_by("term_idx", F.struct("size", "term_idx")).alias("term_idx"))
-    leading = asked.where("part = 0").join(lead, ["query_id", "term_idx"]).select("query_id", "unit")
+    lead = asked.groupBy("query_id", "term_idx", "alt").agg(       # alternative 1 needs both parts: the rarer one leads
+        F.min_by("unit", F.struct("df", "part")).alias("unit"), F.min("df").alias("df"))
+    size = lead.groupBy("query_id", "term_idx").agg(F.sum("df").alias("size"))
+    chosen = size.groupBy("query_id").agg(F.min_by("term_idx", F.struct("size", "term_idx")).alias("term_idx"))
+    leading = lead.join(chosen, ["query_id", "term_idx"]).select("query_id", "unit")
     n_terms = tx.query_term_counts(queries, query_id, text)
 
     # blocks that hold all terms of a query, with a bound of every score in them
