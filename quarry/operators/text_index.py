@@ -209,20 +209,70 @@ def _units(queries: DataFrame, query_id: str, text: str) -> DataFrame:
             .withColumn("unit", F.array_join("tokens", " ")))
 
 
-def _phrase_rows(index: TextIndex, phrases: DataFrame) -> DataFrame:
-    """Index rows of phrases of several words, from the place lists of the
-    blocks that hold all of them: (unit, block, n_docs, top, postings)."""
-    parts = phrases.select("unit", F.size("tokens").alias("n_tokens"), F.posexplode("tokens").alias("offset", "token"))
-    heads = index.rows.select("token", "block").join(F.broadcast(parts), "token")
-    whole = heads.groupBy("unit", "block").agg(F.count(F.lit(1)).alias("n"), F.first("n_tokens").alias("n_tokens")) \
-        .where("n = n_tokens").select("unit", "block")
-    lists = (index.rows.select("token", "block", "postings").join(F.broadcast(parts), "token").join(whole, ["unit", "block"])
-             .select("unit", "block", "n_tokens", "offset", F.explode("postings").alias("p")))
-    docs = (lists.groupBy("unit", "block", "p.doc_id", "p.doc_len")
-            .agg(F.collect_list(F.struct("offset", F.col("p.places").alias("places"))).alias("lists"),
-                 F.first("n_tokens").alias("n_tokens"))
-            .where(F.size("lists") == F.col("n_tokens"))
-            .withColumn("places", tx.phrase_places(F.col("lists"))).where(F.size("places") > 0)
+def _word_runs(lengths: list[int]):
+    """(unit, block, doc_id, doc_len, place) of the runs of neighbouring words
+    in index rows (token, block, postings) that lie together by block, for
+    ``mapInArrow``; a run has as many words as ``lengths`` says."""
+    def run(batches):
+        from itertools import product
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for t in _whole_blocks(batches):
+            posts, n_posts = _flat(t.column("postings"))
+            places, n_places = _flat(pc.struct_field(posts, [3]))
+            row = np.repeat(np.arange(t.num_rows), n_posts)
+            block, ids = t.column("block").to_numpy()[row], pc.struct_field(posts, [0])
+            doc_len = pc.struct_field(posts, [1]).to_numpy(zero_copy_only=False)
+            doc, first = _documents(block, ids, doc_len)
+            word = pc.dictionary_encode(t.column("token").combine_chunks())
+            codes, names = word.indices.to_numpy(zero_copy_only=False), word.dictionary
+            x = np.stack([np.repeat(doc, n_places), places.to_numpy(zero_copy_only=False), np.repeat(codes[row], n_places)])
+            x = x[:, np.lexsort(x[::-1])]
+            x = x[:, np.append(True, (x[:, 1:] != x[:, :-1]).any(axis=0))[:x.shape[1]]]
+            # a place has two words where rows with one id were merged
+            twice = np.unique(x[0, 1:][(x[0, 1:] == x[0, :-1]) & (x[1, 1:] == x[1, :-1])])
+            merged = x[:, np.isin(x[0], twice)]
+            x = x[:, ~np.isin(x[0], twice)]
+
+            def batch(units, docs, at):
+                head = pa.array(first[docs])
+                return pa.RecordBatch.from_arrays(
+                    [units, pa.array(block[first[docs]]), pc.take(ids, head), pa.array(doc_len[first[docs]]), pa.array(at.astype(np.int32))],
+                    names=["unit", "block", "doc_id", "doc_len", "place"])
+
+            for n in lengths:
+                i = np.arange(max(x.shape[1] - n + 1, 0))
+                i = i[(x[0, i] == x[0, i + n - 1]) & (x[1, i + n - 1] - x[1, i] == n - 1)]
+                for lo in range(0, len(i), 100_000):
+                    j = i[lo:lo + 100_000]
+                    yield batch(pc.binary_join_element_wise(*[pc.take(names, pa.array(x[2, j + k])) for k in range(n)], " "),
+                                x[0, j], x[1, j])
+            for d in twice:
+                own = merged[1:, merged[0] == d]
+                at = {int(p): own[1, own[0] == p] for p in np.unique(own[0])}
+                for n in lengths:
+                    for p in at:
+                        if all(p + k in at for k in range(n)):
+                            units = [" ".join(names[int(c)].as_py() for c in cs) for cs in product(*[at[p + k] for k in range(n)])]
+                            yield batch(pa.array(units, pa.string()), np.full(len(units), d), np.full(len(units), p))
+    return run
+
+
+def _phrase_rows(index: TextIndex, phrases: DataFrame, few) -> DataFrame:
+    """Index rows of phrases of several words, from the place lists of their
+    words: (unit, block, n_docs, top, postings).  The lists meet by block, and
+    the runs of words in each document are looked up among the phrases, so no
+    document meets a phrase that it does not hold."""
+    words = phrases.select(F.explode("tokens").alias("token")).distinct()
+    lengths = [r[0] for r in phrases.select(F.size("tokens")).distinct().collect()]     # one number per length
+    doc_type = index.rows.schema["postings"].dataType.elementType["doc_id"].dataType.simpleString()
+    lists = (index.rows.select("token", "block", "postings").join(few(words), "token", "left_semi")
+             .repartition("block").sortWithinPartitions("block"))
+    runs = lists.mapInArrow(_word_runs(lengths), f"unit string, block long, doc_id {doc_type}, doc_len long, place int")
+    docs = (runs.join(few(phrases.select("unit").distinct()), "unit", "left_semi").groupBy("unit", "block", "doc_id", "doc_len")
+            .agg(F.array_sort(F.collect_list("place")).alias("places"))
             .withColumn("wtf", tx.place_weight(F.col("places"), index.weights)))
     top = F.max(_part(F.col("wtf"), F.col("doc_len"), index.mean_len, index.k1, index.b))
     return docs.groupBy("unit", "block").agg(
@@ -262,7 +312,7 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
         few(units.where(F.size("tokens") == 1).select("unit").distinct()), "unit", "left_semi")
     if (shape["longest"] or 0) > 1:
         phrases = units.where(F.size("tokens") > 1).select("unit", "tokens").distinct()
-        rows = rows.unionByName(keep(_phrase_rows(index, phrases), "text-phrases"))
+        rows = rows.unionByName(keep(_phrase_rows(index, phrases, few), "text-phrases"))
     heads = keep(rows.select("unit", "block", "n_docs", "top"), "text-heads")
 
     # exact document frequencies and IDF; the rarest term of each query leads
