@@ -212,3 +212,25 @@ def test_as_of_with_hot_key_matches_pandas(spark):
     exp = pd.merge_asof(d, o, on="t", by="k", direction="backward")
     for did, v in zip(exp["did"], exp["v"]):
         assert (got[did] is None and pd.isna(v)) or got[did] == v
+
+
+def test_segments_of_a_progress_log_are_thinned_together():
+    """The same events are kept as one segment after the other keeps."""
+    import random
+    rng = random.Random(3)
+    n, lengths = 0, [1, 2, 40, 3, 7, 7, 1, 25, 300, 5, 60, 2]
+    cuts = [0]
+    for k in lengths:
+        cuts.append(cuts[-1] + k)
+    n = cuts[-1]
+    rule = wn.ProgressRule([i * 2_000_000 for i in range(n)], [rng.choice(["search", "fetch", "write", None]) for _ in range(n)],
+                           ["RUNNING"] * n, [rng.randint(0, 104) for _ in range(n)], [rng.choice([0, 5, 10, None]) for _ in range(n)],
+                           [rng.choice([0, 10]) for _ in range(n)], [10] * n)
+    for before in (None, rule.event(0)):
+        want, last = [], before
+        for i, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            kept, last = rule.keep(lo, hi, before if i == 0 else None)
+            want.extend(kept.tolist())
+        flags, left = rule.keep_each(cuts, before)
+        assert flags.tolist() == want and left == last
+    assert rule.keep_each([0, 3], None)[0].tolist() == rule.keep(0, 3, None)[0].tolist()

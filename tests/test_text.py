@@ -147,3 +147,18 @@ def test_explained_hits_leave_the_documents_in_place(spark):
         assert sorted(r["doc_id"] for r in hits.collect()) == [0, 1, 2]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_token_stats_shuffle_tokens_only(spark):
+    docs = _docs(spark, [(i, "red Red blue") for i in range(20)])
+    out = tx.token_stats(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(token" in plan and "hashpartitioning(doc_id" not in plan and ", doc_id" not in plan.split("hashpartitioning", 1)[1]
+    got = {r["token"]: (r["docs"], r["occurrences"]) for r in out.collect()}
+    assert got == {"red": (20, 40), "blue": (20, 20), "src": (20, 20), "table": (20, 20), "t": (20, 20)}
+
+
+def test_token_stats_of_shared_and_missing_ids(spark):
+    docs = _docs(spark, [(1, "a a"), (1, "a b"), (2, "b"), (None, "a"), (None, "c"), (3, None)])
+    got = {r["token"]: (r["docs"], r["occurrences"]) for r in tx.token_stats(docs).collect()}
+    assert got == {"a": (1, 4), "b": (2, 2), "c": (0, 1), "src": (3, 6), "table": (3, 6), "t": (3, 6)}

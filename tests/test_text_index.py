@@ -118,3 +118,37 @@ def test_frequent_token_is_spread_over_files(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     per_file = [r["count"] for r in index.rows.groupBy(F.input_file_name()).count().collect()]
     assert sum(per_file) >= 400 and max(per_file) < 0.5 * sum(per_file)
+
+
+def test_rows_of_a_block_stay_in_one_file(spark):
+    docs = spark.createDataFrame(corpus(200, seed=5), DOCS).repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = ti.build_index(docs, scratch_path(spark, "test-index"), block_docs=16)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = index.rows.withColumn("file", F.input_file_name()).groupBy("block").agg(F.count_distinct("file").alias("n"), F.count(F.lit(1)).alias("rows"),
+                                            F.count_distinct("token").alias("tokens")).collect()
+    assert len(files) > 10 and all(r["n"] == 1 and r["rows"] == r["tokens"] for r in files)
+    got = {(r["token"], r["doc_id"]): r["places"] for r in index.rows.select("token", F.explode("postings").alias("p"))
+           .select("token", "p.doc_id", "p.places").collect()}
+    want = {}
+    for r in docs.select("doc_id", *[tx.match_tokens(F.col(f)).alias(f) for f in tx.FIELDS]).collect():
+        for i, f in enumerate(tx.FIELDS):
+            for j, t in enumerate(r[f]):
+                want.setdefault((t, r["doc_id"]), []).append(i * tx.FIELD_SPAN + j)
+    assert got == want
+
+
+def test_phrase_rows_come_from_runs_of_words(spark):
+    """Rows of one id and length in a block are one document; a field's last
+    word and the next one's first are no neighbours."""
+    rows = [(1, "", "one two one two", "", "two"), (2, "", "one x", "", ""), (2, "", "y two", "", ""), (3, "one", "two", "", ""),
+            (None, "", "one two", "", ""), (4, "", None, "", "")]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    index = ti.build_index(docs, scratch_path(spark, "test-index"))
+    words = index.rows.where("token in ('one', 'two')").select("token", "block", "postings")
+    runs = words.coalesce(1).mapInArrow(ti._word_runs([2]), "unit string, block long, doc_id long, doc_len long, place int").collect()
+    span = tx.FIELD_SPAN
+    assert sorted((str(r["doc_id"]), r["unit"], r["place"] - span) for r in runs) == [
+        ("1", "one two", 0), ("1", "one two", 2), ("1", "two one", 1), ("2", "one two", 0), ("None", "one two", 0)]
