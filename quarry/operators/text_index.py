@@ -340,7 +340,9 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
 
     def score(chosen: DataFrame) -> DataFrame:
         need = chosen.join(few(asked), "query_id")
-        docs = (need.join(rows.select("unit", "block", "postings"), ["unit", "block"])
+        # few chosen blocks are broadcast, so that the postings stay where they are
+        need = F.broadcast(need) if need.count() <= max_broadcast_units else need
+        docs = (rows.select("unit", "block", "postings").join(need, ["unit", "block"])
                 .select("query_id", "term_idx", "alt", "part", "idf", F.explode("postings").alias("p")))
         share = _part(F.col("p.wtf"), F.col("p.doc_len"), index.mean_len, index.k1, index.b)
         return (docs.groupBy("query_id", F.col("p.doc_id").alias("doc_id"))
