@@ -18,10 +18,12 @@ corpora several times, up to ``STEPS`` steps); and the mixture weights, by EM on
 the last round's documents before the network is trained on them.  Averages
 depend slightly on how the documents are dealt to tasks.
 
-Documents travel as blocks of about ``BLOCK_WORDS`` words.  Only the distinct
-words of a block are exchanged: their counts are summed per word and the sums
-go back to the blocks, so neither a text nor a (document, word) pair is ever
-shuffled, and a word used everywhere has one row per block.
+Documents travel as blocks of about ``BLOCK_WORDS`` words, as compressed
+arrays.  The distinct words of a block are dealt to buckets by their hash, one
+row per block and bucket; a bucket sums the counts, spells each word once and
+sends both back to the blocks, which are shuffled once, without their words.  So
+neither a text nor a row per word is ever shuffled, and a word used everywhere
+is one entry per block.
 
 Defined cases: null and wordless texts are just the end; repeated rows count
 repeatedly; without training documents N is 0, base_score is 0 per token and
@@ -31,20 +33,23 @@ columns are ignored.
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, fold, stash
+from .common import fold, slices, stash
 
 HELD_OUT = (7, 2)           # crc32(id) mod 7 == 2 is held out
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 1_000_000
+BUCKETS = 48                # of words, or one for so many blocks if that is more
 CONTEXT, STRIDE = 8, 24
 WIDTH = 16                  # model dimension
 CLASSES = 64
 SINGLE = 24                 # classes of one frequent symbol each
 ROWS = 8192                 # embedding rows; rarer symbols share rows by hash
-STEPS, BATCH = 1500, 48    # least steps, and the least a task gets before another one trains beside it
+STEPS, BATCH = 750, 96    # least steps, and the least a task gets before another one trains beside it
 ROUNDS = 4                  # averages of the tasks' networks; the last round's documents set the mixture first
 SALT = 16                   # groups in which the tasks' networks are summed first
 _WINDOWS = 64              # windows scored at once
@@ -147,39 +152,74 @@ class Network:
         np.exp(z, out=z)
         return own - np.log(z @ np.ones(z.shape[1], z.dtype))
 
-    def step(self, rows, target, weight):
-        """Gradients of the weighted mean log-loss of one batch of windows."""
+    def gradients(self, rows, target, weight):
+        """Loss and gradients of the weighted mean log-loss of one batch of
+        windows; those of the embedding as (rows used, their gradients)."""
         p = self.p
-        z, (x, q, k, v, a, mix, h, u, g) = self.forward(rows, self.tables(), keep=True)
-        log_p, prob = _softmax_loss(z, target)
         n = max(float(weight.sum()), 1.0)
-        dz = prob
-        dz[np.arange(len(target)), target] -= 1
-        dz *= (weight / n)[:, None].astype(np.float32)
-        grad = {"out": g.T @ dz, "prior": dz.sum(0)}
+        share = (weight / n).astype(p["emb"].dtype)[:, None]
+        flat = rows.reshape(-1)
+        full = p["emb"].take(flat, axis=0)
+        part = full.reshape(*rows.shape, WIDTH)[:, CONTEXT:].reshape(-1, WIDTH)
+        cut = lambda x: x.reshape(len(rows), -1, WIDTH)
+        q, k, v = cut(part @ p["q"]), cut(full @ p["k"]), cut(full @ p["v"])
+        a = q @ k.transpose(0, 2, 1)
+        a += np.where(self.hidden, np.float32(-1e9), p["bias"][self.gap])
+        if a.max() > 60 or a[:, -1].max(-1).min() < -60:
+            a -= a.max(-1, keepdims=True)
+        np.exp(a, out=a)
+        a *= 1 / (a @ np.ones((a.shape[2], 1), a.dtype))
+        mix = (a @ v).reshape(-1, WIDTH)
+        h = mix @ p["o"]
+        h += part
+        u = h @ p["up"]
+        np.maximum(u, 0, out=u)
+        g = u @ p["down"]
+        g += h
+        z = g @ p["out"]
+        z += p["prior"]
+        if z.max() > 60 or z.min() < -60:
+            z -= z.max(-1, keepdims=True)
+        at = np.arange(len(target))
+        own = z[at, target]
+        dz = np.exp(z, out=z)
+        total = dz @ np.ones((dz.shape[1], 1), dz.dtype)
+        loss = float(((np.log(total) - own[:, None]) * share).sum())
+        dz *= share / total
+        dz[at, target] -= share[:, 0]
+        grad = {"out": g.T @ dz, "prior": np.ones(len(dz), dz.dtype) @ dz}
         dg = dz @ p["out"].T
-        du = (dg @ p["down"].T) * (u > 0)
+        du = dg @ p["down"].T
+        du *= u > 0
         grad["down"], grad["up"] = u.T @ dg, h.T @ du
-        dh = dg + du @ p["up"].T
-        grad["o"] = mix.T @ dh
-        dm = (dh @ p["o"].T).reshape(len(rows), STRIDE, WIDTH)
-        da = dm @ v.transpose(0, 2, 1)
-        ds = a * (da - (da * a).sum(-1, keepdims=True))
-        dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm
+        dg += du @ p["up"].T                                         # now by h
+        grad["o"] = mix.T @ dg
+        dm = cut(dg @ p["o"].T)
+        dv = (a.transpose(0, 2, 1) @ dm).reshape(-1, WIDTH)
+        ds = dm @ v.transpose(0, 2, 1)
+        ds -= ((dm * cut(mix)) @ np.ones((WIDTH, 1), dm.dtype))      # the rows' sums of a * da
+        ds *= a
+        dq, dk = (ds @ k).reshape(-1, WIDTH), (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
         grad["bias"] = np.bincount(self.gap[~self.hidden], weights=ds.sum(0)[~self.hidden],
-                                   minlength=len(p["bias"])).astype(np.float32)
-        full, part = p["emb"][rows].reshape(-1, WIDTH), x.reshape(-1, WIDTH)
-        dq, dk, dv = dq.reshape(-1, WIDTH), dk.reshape(-1, WIDTH), dv.reshape(-1, WIDTH)
+                                   minlength=len(p["bias"])).astype(ds.dtype)
         grad["q"], grad["k"], grad["v"] = part.T @ dq, full.T @ dk, full.T @ dv
-        de = dk @ p["k"].T + dv @ p["v"].T
-        scored = dh + dq @ p["q"].T
-        flat = rows.reshape(-1)
-        emb = np.zeros_like(p["emb"])
-        for j in range(WIDTH):
-            emb[:, j] = (np.bincount(flat, weights=de[:, j], minlength=len(emb))
-                         + np.bincount(rows[:, CONTEXT:].reshape(-1), weights=scored[:, j], minlength=len(emb)))
-        grad["emb"] = emb
-        return float(-(log_p * weight).sum() / n), grad
+        de = dk @ p["k"].T
+        de += dv @ p["v"].T
+        dg += dq @ p["q"].T
+        de.reshape(*rows.shape, WIDTH)[:, CONTEXT:] += cut(dg)
+        order = np.argsort(flat.astype(np.int16) if len(p["emb"]) < 1 << 15 else flat, kind="stable")
+        used = flat[order]
+        start = np.flatnonzero(np.diff(used, prepend=-1))
+        grad["emb"] = used[start], np.add.reduceat(de.take(order, axis=0), start, axis=0)
+        return loss, grad
+
+    def step(self, rows, target, weight):
+        """``gradients`` with one row per row of the embedding."""
+        loss, grad = self.gradients(rows, target, weight)
+        at, part = grad["emb"]
+        grad["emb"] = np.zeros_like(self.p["emb"])
+        grad["emb"][at] = part
+        return loss, grad
 
 
 class Model:
@@ -206,10 +246,13 @@ class Model:
 
     def positions(self, symbols: np.ndarray) -> np.ndarray:
         """Index of known symbols, -1 for symbols the training corpus lacks."""
-        if not len(self.symbols):
-            return np.full(len(symbols), -1)
-        at = np.minimum(np.searchsorted(self.symbols, symbols), len(self.symbols) - 1)
-        return np.where(self.symbols[at] == symbols, at, -1)
+        if not hasattr(self, "place"):                       # by symbol; the end and unknown ones come last
+            plain = self.symbols[self.symbols < self.end]
+            self.place = np.full((int(plain[-1]) if len(plain) else 0) + 3, -1)
+            self.place[plain] = np.arange(len(plain))
+            if len(plain) < len(self.symbols):
+                self.place[-1] = len(plain)
+        return self.place[np.where(symbols >= self.end, len(self.place) - 1, np.minimum(symbols, len(self.place) - 2))]
 
     def set_classes(self, feats: np.ndarray, total: np.ndarray, seed: int = 5) -> None:
         """The most frequent symbols alone; the rest by k-means over their
@@ -245,17 +288,16 @@ class Model:
         size = np.bincount(self.kind, weights=self.counts, minlength=CLASSES + 2)
         self.inside = np.log(np.maximum(self.counts, 1e-9)) - np.log(np.maximum(size[self.kind], 1e-9))
 
-    def windows(self, symbols: np.ndarray, first: np.ndarray, size: np.ndarray):
-        """(input rows, target positions, slots) of documents' windows.  Slot
+    def windows(self, at: np.ndarray, first: np.ndarray, size: np.ndarray):
+        """(input rows, slots) of the windows of documents' positions.  Slot
         s of a window predicts symbol s of its stride; documents start on a
         fresh window behind CONTEXT + 1 start rows."""
-        at = self.positions(symbols)
         rows = np.where(at >= 0, self.row[np.maximum(at, 0)], 0) if len(self.symbols) else np.zeros(len(at), np.int32)
         per = -(-size // STRIDE)
         base = np.cumsum(per) - per
         n = int(per.sum())
         inputs = np.zeros(n * STRIDE + 1, dtype=np.int32)
-        place = np.repeat(base * STRIDE - first, size) + np.arange(len(symbols))
+        place = np.repeat(base * STRIDE - first, size) + np.arange(len(at))
         inputs[place + 1] = rows
         starts = np.zeros(n, bool)
         starts[base] = True
@@ -265,14 +307,19 @@ class Model:
         idx = np.arange(n)[:, None] * STRIDE + np.arange(CONTEXT + STRIDE)[None, :]
         out = lead[idx]
         out[starts, :CONTEXT] = 0
-        return out, at, place
+        return out, place
 
     def log_probs(self, symbols: np.ndarray, first: np.ndarray, size: np.ndarray):
         """Natural log-probabilities of each symbol and of its class, and the
         class; each symbol is scored once."""
-        rows, at, place = self.windows(symbols, first, size)
-        kind = np.full(len(rows) * STRIDE, 0, dtype=np.int64)
-        kind[place] = np.where(at >= 0, self.kind[np.maximum(at, 0)], CLASSES) if len(self.symbols) else CLASSES
+        return self.log_probs_at(self.positions(symbols), first, size)
+
+    def log_probs_at(self, at: np.ndarray, first: np.ndarray, size: np.ndarray):
+        """``log_probs`` of symbols given by their positions."""
+        rows, place = self.windows(at, first, size)
+        own = np.where(at >= 0, self.kind[np.maximum(at, 0)], CLASSES) if len(self.symbols) else np.full(len(at), CLASSES)
+        kind = np.zeros(len(rows) * STRIDE, dtype=np.int64)
+        kind[place] = own
         got = np.zeros(len(kind))
         tables = self.net.scoring_tables()
         for lo in range(0, len(rows), _WINDOWS):
@@ -281,19 +328,19 @@ class Model:
         # symbols the corpus lacks share their class evenly (ids of the vocabulary, either flag)
         inside = self.inside[np.maximum(at, 0)] if len(self.symbols) else 0.0
         of_class = got[place]
-        return of_class + np.where(at >= 0, inside, -np.log(2.0 * 65536)), of_class, kind[place]
+        return of_class + np.where(at >= 0, inside, -np.log(2.0 * 65536)), of_class, own
 
-    def ways(self, symbols, first, size, word_first, total, n_all: int) -> np.ndarray:
+    def ways(self, at, first, size, word_first, total, n_all: int) -> np.ndarray:
         """(3, words): probabilities of each word, whose symbols start at
         ``word_first``, in the three ways; ``total`` are training counts."""
-        lp, of_class, kind = self.log_probs(symbols, first, size)
+        lp, of_class, kind = self.log_probs_at(at, first, size)
         tokens = np.maximum(self.class_tokens[kind[word_first]], 1)
         return np.stack([np.exp(of_class[word_first]) * np.minimum(total / tokens, 1.0), total / max(n_all, 1),
                          np.exp(np.add.reduceat(lp, word_first))])
 
-    def train(self, symbols: np.ndarray, size: np.ndarray, state: "Adam", repeat: int, rate: float) -> None:
+    def train(self, at: np.ndarray, size: np.ndarray, state: "Adam", repeat: int, rate: float) -> None:
         """Adam over the windows of documents, ``repeat`` times in random order."""
-        rows, at, place = self.windows(symbols, np.cumsum(size) - size, size)
+        rows, place = self.windows(at, np.cumsum(size) - size, size)
         target = np.zeros(len(rows) * STRIDE, dtype=np.int64)
         weight = np.zeros(len(rows) * STRIDE, dtype=np.float32)
         target[place] = np.where(at >= 0, self.kind[np.maximum(at, 0)], CLASSES)
@@ -303,7 +350,7 @@ class Model:
             for lo in range(0, len(order), BATCH):
                 pick = order[lo:lo + BATCH]
                 slots = (pick[:, None] * STRIDE + np.arange(STRIDE)).reshape(-1)
-                _, grad = self.net.step(rows[pick], target[slots], weight[slots])
+                _, grad = self.net.gradients(rows[pick], target[slots], weight[slots])
                 state.update(self.net.p, grad, rate)
         state.windows += len(rows)
         state.used += np.bincount(rows.reshape(-1), minlength=ROWS)
@@ -319,143 +366,219 @@ class Adam:
         self.rng = np.random.default_rng(seed)
 
     def update(self, p: dict, grad: dict, rate: float) -> None:
+        """One step; embedding rows that the batch lacks stay as they are."""
         self.t += 1
         rate, t = rate * min(1.0, self.t / 20), self.t
         for k, g in grad.items():
+            at, g = g if k == "emb" else (slice(None), g)
             g = np.clip(g, -1, 1)
-            m, s = self.m[k], self.s[k]
+            m, s = self.m[k][at], self.s[k][at]
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
-            p[k] -= (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-6)).astype(np.float32)
+            self.m[k][at], self.s[k][at] = m, s
+            p[k][at] -= (rate / (1 - 0.9 ** t) * m / (np.sqrt(s * np.float32(1 / (1 - 0.99 ** t))) + np.float32(1e-6))).astype(np.float32)
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes, behind their number."""
+    import pyarrow as pa
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+    return len(x).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if len(x) else b"")
+
+
+def _unpack(data: bytes, kind) -> np.ndarray:
+    import pyarrow as pa
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    if not n:
+        return np.zeros(0, dtype=kind)
+    planes = np.frombuffer(pa.decompress(data[8:], n * width, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).reshape(-1).view(kind)
+
+
+def _pack_words(words) -> tuple[bytes, bytes]:
+    """(bytes, lengths) of an Arrow array of words."""
+    import pyarrow as pa
+    words = pa.concat_arrays([words.cast(pa.large_binary())])
+    at = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset:words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    flat = np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]] if data is not None and len(words) else np.zeros(0, np.uint8)
+    return _pack(flat), _pack(np.diff(at).astype(np.int32))
+
+
+def _unpack_words(data: list, lengths: list):
+    """(Arrow array of words, number of words of each pair)."""
+    import pyarrow as pa
+    size = [_unpack(x, np.int32) for x in lengths]
+    flat = np.concatenate([_unpack(x, np.uint8) for x in data])
+    at = np.concatenate([[0], np.cumsum(np.concatenate(size), dtype=np.int64)]).astype(np.int64)
+    return (pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(flat)]),
+            [len(x) for x in size])
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """(block, ids, nulls, held, sizes, locals, words, counts): documents as
-    indexes into the block's distinct words, and how often training documents
-    of the block use each."""
+    """(block, ids, nulls, held, sizes, locals, words, lengths, counts, slots,
+    uses): documents as indexes into the block's distinct words, how often
+    training documents of the block use each (uses: all), and the words'
+    hashes, which deal them to buckets."""
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
         task, made = TaskContext.get().partitionId(), 0
-        ids, held, sizes, flat, vocab = [], [], [], [], {}
+        ids, nulls, held, sizes, flat, n_flat = [], [], [], [], [], 0
 
         def flush():
-            nonlocal made, ids, held, sizes, flat, vocab
-            out = np.array(flat, dtype=np.int32)
-            train = np.repeat(~np.array(held, dtype=bool), sizes)
-            counts = np.bincount(out[train], minlength=len(vocab))
+            nonlocal made, ids, nulls, held, sizes, flat, n_flat
+            coded = pa.concat_arrays(flat).dictionary_encode()
+            codes, vocab = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+            blank = np.flatnonzero(pc.binary_length(vocab).to_numpy() == 0)
+            if not len(blank):
+                vocab, blank = pa.concat_arrays([vocab, pa.array([""], vocab.type)]), [len(vocab)]
+            keep = codes != blank[0]                                 # outside the outer words there is nothing
+            doc = np.repeat(np.arange(sum(map(len, sizes))), np.concatenate(sizes))[keep]
+            size = np.bincount(doc, minlength=sum(map(len, sizes))) + 1
+            out = np.full(int(size.sum()), blank[0])                 # the ends
+            out[np.arange(len(doc)) + doc] = codes[keep]
+            hold = np.concatenate(held)
+            counts = np.bincount(out[np.repeat(~hold, size)], minlength=len(vocab))
             order = np.argsort(-np.bincount(out, minlength=len(vocab)), kind="stable")   # small numbers: frequent words
             rank = np.empty(len(order), dtype=np.int32)
             rank[order] = np.arange(len(order), dtype=np.int32)
-            words = list(vocab)
+            words = vocab.cast(pa.large_binary()).take(pa.array(order))
+            data, lengths = _pack_words(words)
             row = pa.RecordBatch.from_pydict({
                 "block": pa.array([(task << 24) + made], pa.int64()),
-                "ids": [np.array([0 if i is None else i for i in ids], dtype=np.int64).tobytes()],
-                "nulls": [np.array([i is None for i in ids], dtype=bool).tobytes()],
-                "held": [np.array(held, dtype=bool).tobytes()],
-                "sizes": [np.array(sizes, dtype=np.int32).tobytes()], "locals": [rank[out].tobytes()],
-                "words": [b" ".join(words[k] for k in order)],
-                "counts": [counts[order].astype(np.int32).tobytes()]})
+                "ids": [_pack(np.concatenate(ids))], "nulls": [_pack(np.concatenate(nulls))], "held": [_pack(hold)],
+                "sizes": [_pack(size.astype(np.int32))], "locals": [_pack(rank[out])],
+                "words": [data], "lengths": [lengths], "counts": [_pack(counts[order].astype(np.int32))],
+                "slots": [_pack(np.array([crc32(w) & 0xffff for w in words.to_pylist()], dtype=np.uint16))],
+                "uses": pa.array([int(counts.sum())], pa.int64())})
             made += 1
-            ids, held, sizes, flat, vocab = [], [], [], [], {}
+            ids, nulls, held, sizes, flat, n_flat = [], [], [], [], [], 0
             return row
 
         for b in batches:
-            for i, h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), byte_texts(b.column(2))):
-                words = t.lower().split()
-                words.append(b"")                                    # the end
-                flat.extend([vocab.setdefault(w, len(vocab)) for w in words])
-                ids.append(i)
-                held.append(h)
-                sizes.append(len(words))
-                if len(flat) >= BLOCK_WORDS:
+            for x in slices(b, 64):
+                i = x.column(0)
+                split = pc.ascii_split_whitespace(pc.ascii_lower(x.column(2).fill_null("")))
+                nulls.append(i.is_null().to_numpy(zero_copy_only=False))
+                ids.append(i.fill_null(0).to_numpy())
+                held.append(x.column(1).to_numpy(zero_copy_only=False).astype(bool))
+                sizes.append(np.diff(split.offsets.to_numpy()))
+                flat.append(split.flatten().cast(pa.large_string()))
+                n_flat += len(flat[-1]) + len(x)
+                if n_flat >= BLOCK_WORDS:
                     yield flush()
         if ids:
             yield flush()
 
-    return docs.mapInArrow(run, "block bigint, ids binary, nulls binary, held binary, sizes binary, "
-                                "locals binary, words binary, counts binary")
+    return docs.mapInArrow(run, "block bigint, ids binary, nulls binary, held binary, sizes binary, locals binary, "
+                                "words binary, lengths binary, counts binary, slots binary, uses bigint")
 
 
-def _totals(blocks: DataFrame) -> DataFrame:
-    """(block, local, word, total, lead): corpus-wide training count of each
-    distinct word of each block; lead marks one row per word."""
-    def run(batches):
+def _totals(blocks: DataFrame, buckets: int, tokenizer_path: str) -> DataFrame:
+    """(block, bucket, totals, per, symbols, fresh): corpus-wide training
+    counts and symbols of the distinct words of a block that fall into a
+    bucket; the sum of fresh is the number of distinct training words."""
+    def send(batches):
         import pyarrow as pa
         for b in batches:
-            for r in b.to_pylist():
-                words = r["words"].split(b" ")
-                n = np.frombuffer(r["counts"], dtype=np.int32)
-                for lo in range(0, len(words), 50_000):
-                    w = words[lo:lo + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["block"]] * len(w), pa.int64()),
-                         pa.array(np.arange(lo, lo + len(w), dtype=np.int32)), pa.array(w, pa.binary()),
-                         pa.array(n[lo:lo + len(w)])], names=["block", "local", "word", "n"])
-
-    rows = blocks.select("block", "words", "counts").mapInArrow(run, "block bigint, local int, word binary, n int")
-    each = Window.partitionBy("word")                                # one row per block: small groups
-    return rows.select("block", "local", "word", F.sum("n").over(each).alias("total"),
-                       (F.row_number().over(each.orderBy("block")) == 1).alias("lead"))
-
-
-def _symbol_counts(totals: DataFrame, tokenizer_path: str):
-    """Corpus-wide counts of subword symbols, from the distinct words."""
-    def run(batches):
+            for j in range(len(b)):
+                r = b.slice(j, 1).to_pylist()[0]
+                words, counts = _unpack_words([r["words"]], [r["lengths"]])[0], _unpack(r["counts"], np.int32)
+                bucket = _unpack(r["slots"], np.uint16) % buckets
+                order = np.argsort(bucket, kind="stable")
+                words, counts = words.take(pa.array(order)), counts[order]
+                start = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+                rows = []
+                for k in np.flatnonzero(np.diff(start)).tolist():
+                    lo, hi = int(start[k]), int(start[k + 1])
+                    rows.append((k, r["block"], *_pack_words(words.slice(lo, hi - lo)), _pack(counts[lo:hi])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.int64(), *[pa.binary()] * 3))],
+                    names=["bucket", "block", "words", "lengths", "counts"])
+
+    def add(table):
         import pyarrow as pa
+        words, size = _unpack_words(table.column("words").to_pylist(), table.column("lengths").to_pylist())
+        coded = words.dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary
+        counts = np.concatenate([_unpack(x, np.int32) for x in table.column("counts").to_pylist()])
+        total = np.bincount(codes, weights=counts, minlength=len(words)).astype(np.int64)
         sub = Subwords(tokenizer_path)
-        sums: dict[int, list] = {}
-        for b in batches:
-            symbols, size = sub.flat(b.column(0).to_pylist())
-            total = b.column(1).to_numpy()
-            weight = np.repeat(total, size)
-            lead = np.zeros(len(symbols))
-            lead[np.cumsum(size) - size] = total
-            u, back = np.unique(symbols, return_inverse=True)
-            for x, c, f in zip(u.tolist(), np.bincount(back, weights=weight).tolist(),
-                               np.bincount(back, weights=lead).tolist()):
-                held = sums.setdefault(x, [0, 0])
-                held[0] += int(c)
-                held[1] += int(f)
-        keys = list(sums)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array([sums[k][0] for k in keys], pa.int64()),
-             pa.array([sums[k][1] for k in keys], pa.int64())], names=["symbol", "n", "f"])
-
-    got = (totals.where("lead AND total > 0").select("word", "total")
-           .mapInArrow(run, "symbol bigint, n bigint, f bigint")
+        got = [sub.flat(words.slice(lo, 50_000).to_pylist()) for lo in range(0, len(words), 50_000)]
+        symbols, per = (np.concatenate(x) for x in zip(*got))
+        symbols, first = symbols.astype(np.int32), np.cumsum(per) - per
+        out, at = [], 0
+        for n in size:
+            c = codes[at:at + n]
+            at += n
+            out.append((_pack(total[c]), _pack(per[c].astype(np.int32)), _pack(symbols[_runs(first[c], per[c])])))
+        return pa.table({"block": table.column("block"), "bucket": table.column("bucket"),
+                         **{c: pa.array(x, pa.binary()) for c, x in zip(("totals", "per", "symbols"), zip(*out))},
+                         "fresh": pa.array([int((total > 0).sum())] + [0] * (len(out) - 1), pa.int64())})
+
+    return (blocks.select("block", "words", "lengths", "counts", "slots")
+            .mapInArrow(send, "bucket int, block bigint, words binary, lengths binary, counts binary")
+            .groupBy("bucket").applyInArrow(add, "block bigint, bucket int, totals binary, per binary, "
+                                                 "symbols binary, fresh bigint"))
+
+
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (size[0] of them), first[1], ..."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _symbol_counts(counted: DataFrame):
+    """Corpus-wide counts of subword symbols in the training documents, and
+    of those that start a token."""
+    def run(batches):
+        import pyarrow as pa
+        for block in _each(batches):
+            uses = np.bincount(block.locals[np.repeat(~block.held, block.sizes)], minlength=len(block.per))
+            lead = np.zeros(len(block.symbols))
+            lead[block.off] = uses
+            u, back = np.unique(block.symbols, return_inverse=True)
+            n = np.bincount(back, weights=np.repeat(uses, block.per)).astype(np.int64)
+            f = np.bincount(back, weights=lead).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(u[n > 0]), pa.array(n[n > 0]), pa.array(f[n > 0])],
+                                             names=["symbol", "n", "f"])
+
+    got = (counted.mapInArrow(run, "symbol bigint, n bigint, f bigint")
            .groupBy("symbol").agg(F.sum("n").alias("n"), F.sum("f").alias("f")).orderBy("symbol").collect())
     # vocabulary x 2 rows at most
     return (np.array([r["symbol"] for r in got], dtype=np.int64), np.array([r["n"] for r in got], dtype=np.float64),
             np.array([r["f"] for r in got], dtype=np.float64))
 
 
-def _counted(blocks: DataFrame, totals: DataFrame, tokenizer_path: str) -> DataFrame:
+def _counted(blocks: DataFrame, totals: DataFrame, buckets: int) -> DataFrame:
     """The blocks with their words' training counts (totals) and symbols
     (symbols, per) in place of the words."""
     def run(key, left, right):
         import pyarrow as pa
-        r = left.slice(0, 1)
-        words = r.column("words")[0].as_py().split(b" ")
-        total = np.zeros(len(words), dtype=np.int64)
-        total[right.column("local").to_numpy()] = right.column("total").to_numpy()
-        symbols, per = Subwords(tokenizer_path).flat(words)
-        same = {c: r.column(c) for c in ("block", "ids", "nulls", "held", "sizes", "locals")}
-        return pa.table({**same, "totals": [total.tobytes()], "symbols": [symbols.astype(np.int32).tobytes()],
-                         "per": [per.astype(np.int32).tobytes()]})
-
-    return (blocks.select("block", "ids", "nulls", "held", "sizes", "locals", "words").groupBy("block")
-            .cogroup(totals.select("block", "local", "total").groupBy("block")).applyInArrow(
-                run, "block bigint, ids binary, nulls binary, held binary, sizes binary, locals binary, "
-                     "totals binary, symbols binary, per binary"))
+        right = sorted(right.to_pylist(), key=lambda r: r["bucket"])
+        order = np.argsort(_unpack(left.column("slots")[0].as_py(), np.uint16) % buckets, kind="stable")
+        read = lambda c, kind: np.concatenate([_unpack(r[c], kind) for r in right])
+        total, per = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        first, got = np.empty(len(order), np.int64), read("per", np.int32).astype(np.int64)
+        total[order], per[order], first[order] = read("totals", np.int64), got, np.cumsum(got) - got
+        same = {c: left.column(c) for c in ("block", "ids", "nulls", "held", "sizes", "locals", "uses")}
+        return pa.table({**same, "totals": [_pack(total)], "symbols": [_pack(read("symbols", np.int32)[_runs(first, per)])],
+                         "per": [_pack(per.astype(np.int32))],
+                         "fresh": pa.array([sum(r["fresh"] for r in right)], pa.int64())})
+
+    return (blocks.select("block", "ids", "nulls", "held", "sizes", "locals", "slots", "uses").groupBy("block")
+            .cogroup(totals.groupBy("block")).applyInArrow(
+                run, "block bigint, ids binary, nulls binary, held binary, sizes binary, locals binary, uses bigint, "
+                     "totals binary, symbols binary, per binary, fresh bigint"))
 
 
 class _Block:
     """A row of ``_counted``."""
 
     def __init__(self, r: dict):
-        read = lambda c, kind: np.frombuffer(r[c], dtype=kind)
-        self.number = r["block"]
+        read = lambda c, kind: _unpack(r[c], kind)
+        self.number, self.ids, self.nulls = r["block"], read("ids", np.int64), read("nulls", bool)
         self.held, self.locals = read("held", bool), read("locals", np.int32)
         self.sizes = read("sizes", np.int32).astype(np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
@@ -469,24 +592,33 @@ class _Block:
         k = (self.number + (self.number >> 24) + np.arange(len(self.sizes))) % ROUNDS
         return np.where(self.held, -1, k)
 
-    def parts(self, which: np.ndarray, most: int = 400_000):
-        """(documents, words, symbols, symbols per word) of whole documents."""
-        docs = np.flatnonzero(which)
+    def parts(self, which: np.ndarray, model: Model, most: int = 400_000):
+        """(documents, words, the model's positions of their symbols, symbols
+        per word) of whole documents."""
+        docs, known = np.flatnonzero(which), model.positions(self.symbols)
         done = np.cumsum(self.spelled[docs])
         lo = 0
         while lo < len(docs):
             hi = max(lo + 1, int(np.searchsorted(done, most + (done[lo - 1] if lo else 0))))
             d = docs[lo:hi]
-            size = self.sizes[d]
-            at = np.repeat(self.first[d] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            w = self.locals[at]
+            w = self.locals[_runs(self.first[d], self.sizes[d])]
             k = self.per[w]
-            flat = self.symbols[np.repeat(self.off[w] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
-            yield d, w, flat, k
+            yield d, w, known[_runs(self.off[w], k)], k
             lo = hi
 
 
+def _keep_memory() -> None:
+    """Let the worker keep a batch's arrays for the next batch, in place of
+    giving them back to the system and asking for them again at each step."""
+    import ctypes
+    tune = getattr(ctypes.CDLL(None), "mallopt", None)               # glibc only
+    if tune is not None:
+        tune(-3, 16 << 20)                                           # M_MMAP_THRESHOLD
+        tune(-1, 64 << 20)                                           # M_TRIM_THRESHOLD
+
+
 def _each(batches):
+    _keep_memory()
     for b in batches:
         for k in range(len(b)):
             yield _Block(b.slice(k, 1).to_pylist()[0])
@@ -504,8 +636,7 @@ def _neighbours(counted: DataFrame, model: Model):
         import pyarrow as pa
         feats = np.zeros(-(-n // _GROUP) * _GROUP * 256, dtype=np.int32)
         for block in _each(batches):
-            for d, _, flat, _ in block.parts(~block.held):
-                at = model.positions(flat)
+            for d, _, at, _ in block.parts(~block.held, model):
                 size = block.spelled[d]
                 inner = np.ones(len(at), dtype=bool)
                 inner[np.cumsum(size) - size] = False                # its left neighbour is another document's
@@ -528,8 +659,7 @@ def _neighbours(counted: DataFrame, model: Model):
         root = np.sqrt(total / np.maximum(size, 1)[:, None]).astype(np.float16)
         return pa.table({"g": table.column("g")[:1], "size": [size.tobytes()], "root": [root.tobytes()]})
 
-    rows = (counted.select("block", "ids", "nulls", "held", "sizes", "locals", "totals", "symbols", "per")
-            .mapInArrow(run, "g int, counts binary").groupBy("g")
+    rows = (counted.mapInArrow(run, "g int, counts binary").groupBy("g")
             .applyInArrow(add, "g int, size binary, root binary").collect())     # 512 bytes a symbol of the vocabulary
     feats = np.zeros((-(-n // _GROUP) * _GROUP, 256), dtype=np.float32)
     total = np.zeros(len(feats))
@@ -554,12 +684,12 @@ def _train_round(counted: DataFrame, model: Model, k: int, repeat: int) -> int:
         task = TaskContext.get().partitionId()
         own = copy.deepcopy(model)
         state = Adam(own.net.p, 1000 * k + task)
-        rate = 0.02 * (1 - 0.9 * k / ROUNDS)
+        rate = 0.03 * (1 - 0.9 * k / ROUNDS)
         for block in _each(batches):
             when = block.round()
             # small corpora: all but the last round's documents again and again, then all
             which = when == k if repeat == 1 else (when >= 0) & ((when < ROUNDS - 1) | (k == ROUNDS - 1))
-            for d, _, flat, _ in block.parts(which):
+            for d, _, flat, _ in block.parts(which, own):
                 own.train(flat, block.spelled[d], state, -(-repeat // ROUNDS), rate)
         if state.windows:
             p = own.net.p
@@ -600,7 +730,7 @@ def _fit_mixture(counted: DataFrame, model: Model, n_tokens: int) -> None:
         for block in _each(batches):
             ways = [model.ways(flat, np.cumsum(block.spelled[d]) - block.spelled[d], block.spelled[d],
                                np.cumsum(k) - k, np.maximum(block.total[w] - 1, 0), n_tokens - 1)
-                    for d, w, flat, k in block.parts(block.round() == ROUNDS - 1)]
+                    for d, w, flat, k in block.parts(block.round() == ROUNDS - 1, model)]
             if ways:
                 p = np.maximum(np.concatenate(ways, axis=1), 1e-300)
                 mixture = model.mixture
@@ -619,9 +749,9 @@ def _fit_mixture(counted: DataFrame, model: Model, n_tokens: int) -> None:
         model.mixture = np.array(got[:3]) / sum(got[:3])
 
 
-def fit(counted: DataFrame, totals: DataFrame, n_tokens: int, tokenizer_path: str) -> Model:
-    """Train on the blocks of ``_counted``; ``totals`` as from ``_totals``."""
-    model = Model(*_symbol_counts(totals, tokenizer_path), 2 * 50_000_000)
+def fit(counted: DataFrame, n_tokens: int) -> Model:
+    """Train on the blocks of ``_counted``."""
+    model = Model(*_symbol_counts(counted), 2 * 50_000_000)
     model.learned = 0                                                # windows the network was trained on
     if not n_tokens:
         model.set_classes(np.zeros((0, 256), np.float32), np.zeros(0))
@@ -645,29 +775,26 @@ def score(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col
                        (fold(id_col, every) == rest).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
     blocks = stash(_blocks(slim), "lm-blocks")
-    totals = stash(_totals(blocks), "lm-totals")
-    size = totals.where("lead").agg(F.sum("total").alias("n"), F.sum((F.col("total") > 0).cast("long")).alias("v")).first()
+    buckets = min(max(BUCKETS, blocks.count() // 16), 1 << 16)
+    counted = stash(_counted(blocks, _totals(blocks, buckets, tokenizer_path), buckets), "lm-counted")
+    size = counted.agg(F.sum("uses").alias("n"), F.sum("fresh").alias("v")).first()
     n_all, n_kinds = int(size["n"] or 0), int(size["v"] or 0)
-    counted = stash(_counted(blocks, totals, tokenizer_path), "lm-counted")
-    model = fit(counted, totals, n_all, tokenizer_path)
+    model = fit(counted, n_all)
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            for j in range(len(b)):
-                r = b.slice(j, 1).to_pylist()[0]
-                block = _Block(r)
+            for block in _each([b]):
                 total, loc, first = block.total, block.locals, block.first
                 base = np.log10((total + 1) / (n_all + n_kinds + 1))
                 mixture = model.mixture if n_all else np.array([0.0, 0.0, 1.0])  # no training tokens: the model alone
                 # spell the documents out and score them in slices of whole documents
                 lm = [np.log10(np.maximum(mixture @ model.ways(
                     flat, np.cumsum(block.spelled[d]) - block.spelled[d], block.spelled[d], np.cumsum(k) - k,
-                    total[w], n_all), 1e-300)) for d, w, flat, k in block.parts(np.ones(len(first), dtype=bool))]
+                    total[w], n_all), 1e-300)) for d, w, flat, k in block.parts(np.ones(len(first), dtype=bool), model)]
                 sums = lambda x: np.add.reduceat(x, first)
-                nulls = np.frombuffer(r["nulls"], dtype=bool)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(r["ids"], dtype=np.int64), mask=nulls), pa.array(block.held),
+                    [pa.array(block.ids, mask=block.nulls), pa.array(block.held),
                      pa.array(block.sizes), pa.array(sums((total[loc] > 0).astype(np.int64))),
                      pa.array(np.full(len(first), n_all)), pa.array(sums(base[loc])), pa.array(sums(np.concatenate(lm)))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

@@ -209,3 +209,41 @@ def test_all_training_documents_are_learned_from(spark, monkeypatch):
     asked = set(np.concatenate(docs).tolist())                           # each has neighbours, so a class of its kind
     assert asked == set(model.symbols.tolist()) and (model.kind < attention.CLASSES).all()
     assert len(set(model.kind.tolist())) > attention.SINGLE + 10
+
+
+def test_words_travel_packed(spark, monkeypatch):
+    monkeypatch.setattr(attention, "BLOCK_WORDS", 2000)
+    odd = ["", None, " \t ", "A\x0bb\x1cc\x85d\x00 İX e f\r\n  a", "a " * 70]
+    rows = [(i, odd[i] if i < len(odd) else prose(random.Random(i), i % 90), "en", "s", 1) for i in range(400)]
+    docs = docs_frame(spark, rows + rows[:3]).repartition(2).selectExpr("doc_id", "crc32(cast(doc_id as string)) % 7 = 2 AS held", "text")
+    blocks = attention.stash(attention._blocks(docs), "test-blocks")
+    totals = attention._totals(blocks, 5, PATH)
+    kinds = len({w for r in rows for w in (r[1] or "").encode().lower().split() + [b""]})
+    n_blocks = blocks.count()
+    assert n_blocks > 3 and totals.count() <= 5 * n_blocks < kinds       # not a row for each block and word
+    train, seen, fresh, uses, sub = Counter(), Counter(), 0, 0, attention.Subwords(PATH)
+    for r in rows + rows[:3]:
+        if fold_of(r[0], 7) != 2:
+            train.update((r[1] or "").encode().lower().split() + [b""])
+    text = {r[0]: r[1] for r in rows}
+    for r in attention._counted(blocks, totals, 5).collect():
+        block, fresh, uses = attention._Block(r.asDict()), fresh + r.fresh, uses + r.uses
+        for k, i in enumerate(block.ids.tolist()):
+            words = (text[i] or "").encode().lower().split() + [b""]
+            at = block.locals[block.first[k]:block.first[k] + block.sizes[k]]
+            assert block.total[at].tolist() == [train[w] for w in words]
+            symbols = np.concatenate([block.symbols[block.off[x]:block.off[x] + block.per[x]] for x in at])
+            assert symbols.tolist() == sub.flat(words)[0].tolist()
+            seen[i] += 1
+    assert seen == Counter(r[0] for r in rows + rows[:3]) and (fresh, uses) == (len(train), sum(train.values()))
+
+
+def test_embedding_rows_outside_a_batch_keep_still():
+    rng = np.random.default_rng(6)
+    net = attention.Network(40, 5)
+    before, state = net.p["emb"].copy(), attention.Adam(net.p, 1)
+    for _ in range(2):
+        rows = rng.integers(0, 20, (4, attention.CONTEXT + attention.STRIDE))
+        _, grad = net.gradients(rows, rng.integers(0, 5, 4 * attention.STRIDE), np.ones(4 * attention.STRIDE, np.float32))
+        state.update(net.p, grad, 0.01)
+    assert (net.p["emb"][20:] == before[20:]).all() and (net.p["emb"][:20] != before[:20]).any(axis=1).all()
