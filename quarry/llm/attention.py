@@ -42,14 +42,14 @@ from pyspark.sql import functions as F
 from .common import fold, slices, stash
 
 HELD_OUT = (7, 2)           # crc32(id) mod 7 == 2 is held out
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 400_000
 BUCKETS = 48                # of words, or one for so many blocks if that is more
 CONTEXT, STRIDE = 8, 24
 WIDTH = 16                  # model dimension
 CLASSES = 64
 SINGLE = 24                 # classes of one frequent symbol each
 ROWS = 8192                 # embedding rows; rarer symbols share rows by hash
-STEPS, BATCH = 750, 96    # least steps, and the least a task gets before another one trains beside it
+STEPS, BATCH = 1500, 48    # least steps, and the least a task gets before another one trains beside it
 ROUNDS = 4                  # averages of the tasks' networks; the last round's documents set the mixture first
 SALT = 16                   # groups in which the tasks' networks are summed first
 _WINDOWS = 64              # windows scored at once
@@ -152,74 +152,39 @@ class Network:
         np.exp(z, out=z)
         return own - np.log(z @ np.ones(z.shape[1], z.dtype))
 
-    def gradients(self, rows, target, weight):
-        """Loss and gradients of the weighted mean log-loss of one batch of
-        windows; those of the embedding as (rows used, their gradients)."""
+    def step(self, rows, target, weight):
+        """Gradients of the weighted mean log-loss of one batch of windows."""
         p = self.p
+        z, (x, q, k, v, a, mix, h, u, g) = self.forward(rows, self.tables(), keep=True)
+        log_p, prob = _softmax_loss(z, target)
         n = max(float(weight.sum()), 1.0)
-        share = (weight / n).astype(p["emb"].dtype)[:, None]
-        flat = rows.reshape(-1)
-        full = p["emb"].take(flat, axis=0)
-        part = full.reshape(*rows.shape, WIDTH)[:, CONTEXT:].reshape(-1, WIDTH)
-        cut = lambda x: x.reshape(len(rows), -1, WIDTH)
-        q, k, v = cut(part @ p["q"]), cut(full @ p["k"]), cut(full @ p["v"])
-        a = q @ k.transpose(0, 2, 1)
-        a += np.where(self.hidden, np.float32(-1e9), p["bias"][self.gap])
-        if a.max() > 60 or a[:, -1].max(-1).min() < -60:
-            a -= a.max(-1, keepdims=True)
-        np.exp(a, out=a)
-        a *= 1 / (a @ np.ones((a.shape[2], 1), a.dtype))
-        mix = (a @ v).reshape(-1, WIDTH)
-        h = mix @ p["o"]
-        h += part
-        u = h @ p["up"]
-        np.maximum(u, 0, out=u)
-        g = u @ p["down"]
-        g += h
-        z = g @ p["out"]
-        z += p["prior"]
-        if z.max() > 60 or z.min() < -60:
-            z -= z.max(-1, keepdims=True)
-        at = np.arange(len(target))
-        own = z[at, target]
-        dz = np.exp(z, out=z)
-        total = dz @ np.ones((dz.shape[1], 1), dz.dtype)
-        loss = float(((np.log(total) - own[:, None]) * share).sum())
-        dz *= share / total
-        dz[at, target] -= share[:, 0]
-        grad = {"out": g.T @ dz, "prior": np.ones(len(dz), dz.dtype) @ dz}
+        dz = prob
+        dz[np.arange(len(target)), target] -= 1
+        dz *= (weight / n)[:, None].astype(np.float32)
+        grad = {"out": g.T @ dz, "prior": dz.sum(0)}
         dg = dz @ p["out"].T
-        du = dg @ p["down"].T
-        du *= u > 0
+        du = (dg @ p["down"].T) * (u > 0)
         grad["down"], grad["up"] = u.T @ dg, h.T @ du
-        dg += du @ p["up"].T                                         # now by h
-        grad["o"] = mix.T @ dg
-        dm = cut(dg @ p["o"].T)
-        dv = (a.transpose(0, 2, 1) @ dm).reshape(-1, WIDTH)
-        ds = dm @ v.transpose(0, 2, 1)
-        ds -= ((dm * cut(mix)) @ np.ones((WIDTH, 1), dm.dtype))      # the rows' sums of a * da
-        ds *= a
-        dq, dk = (ds @ k).reshape(-1, WIDTH), (ds.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
+        dh = dg + du @ p["up"].T
+        grad["o"] = mix.T @ dh
+        dm = (dh @ p["o"].T).reshape(len(rows), STRIDE, WIDTH)
+        da = dm @ v.transpose(0, 2, 1)
+        ds = a * (da - (da * a).sum(-1, keepdims=True))
+        dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm
         grad["bias"] = np.bincount(self.gap[~self.hidden], weights=ds.sum(0)[~self.hidden],
-                                   minlength=len(p["bias"])).astype(ds.dtype)
+                                   minlength=len(p["bias"])).astype(np.float32)
+        full, part = p["emb"][rows].reshape(-1, WIDTH), x.reshape(-1, WIDTH)
+        dq, dk, dv = dq.reshape(-1, WIDTH), dk.reshape(-1, WIDTH), dv.reshape(-1, WIDTH)
         grad["q"], grad["k"], grad["v"] = part.T @ dq, full.T @ dk, full.T @ dv
-        de = dk @ p["k"].T
-        de += dv @ p["v"].T
-        dg += dq @ p["q"].T
-        de.reshape(*rows.shape, WIDTH)[:, CONTEXT:] += cut(dg)
-        order = np.argsort(flat.astype(np.int16) if len(p["emb"]) < 1 << 15 else flat, kind="stable")
-        used = flat[order]
-        start = np.flatnonzero(np.diff(used, prepend=-1))
-        grad["emb"] = used[start], np.add.reduceat(de.take(order, axis=0), start, axis=0)
-        return loss, grad
-
-    def step(self, rows, target, weight):
-        """``gradients`` with one row per row of the embedding."""
-        loss, grad = self.gradients(rows, target, weight)
-        at, part = grad["emb"]
-        grad["emb"] = np.zeros_like(self.p["emb"])
-        grad["emb"][at] = part
-        return loss, grad
+        de = dk @ p["k"].T + dv @ p["v"].T
+        scored = dh + dq @ p["q"].T
+        flat = rows.reshape(-1)
+        emb = np.zeros_like(p["emb"])
+        for j in range(WIDTH):
+            emb[:, j] = (np.bincount(flat, weights=de[:, j], minlength=len(emb))
+                         + np.bincount(rows[:, CONTEXT:].reshape(-1), weights=scored[:, j], minlength=len(emb)))
+        grad["emb"] = emb
+        return float(-(log_p * weight).sum() / n), grad
 
 
 class Model:
@@ -350,7 +315,7 @@ class Model:
             for lo in range(0, len(order), BATCH):
                 pick = order[lo:lo + BATCH]
                 slots = (pick[:, None] * STRIDE + np.arange(STRIDE)).reshape(-1)
-                _, grad = self.net.gradients(rows[pick], target[slots], weight[slots])
+                _, grad = self.net.step(rows[pick], target[slots], weight[slots])
                 state.update(self.net.p, grad, rate)
         state.windows += len(rows)
         state.used += np.bincount(rows.reshape(-1), minlength=ROWS)
@@ -366,17 +331,14 @@ class Adam:
         self.rng = np.random.default_rng(seed)
 
     def update(self, p: dict, grad: dict, rate: float) -> None:
-        """One step; embedding rows that the batch lacks stay as they are."""
         self.t += 1
         rate, t = rate * min(1.0, self.t / 20), self.t
         for k, g in grad.items():
-            at, g = g if k == "emb" else (slice(None), g)
             g = np.clip(g, -1, 1)
-            m, s = self.m[k][at], self.s[k][at]
+            m, s = self.m[k], self.s[k]
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
-            self.m[k][at], self.s[k][at] = m, s
-            p[k][at] -= (rate / (1 - 0.9 ** t) * m / (np.sqrt(s * np.float32(1 / (1 - 0.99 ** t))) + np.float32(1e-6))).astype(np.float32)
+            p[k] -= (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-6)).astype(np.float32)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -461,14 +423,19 @@ def _blocks(docs: DataFrame) -> DataFrame:
             for x in slices(b, 64):
                 i = x.column(0)
                 split = pc.ascii_split_whitespace(pc.ascii_lower(x.column(2).fill_null("")))
-                nulls.append(i.is_null().to_numpy(zero_copy_only=False))
-                ids.append(i.fill_null(0).to_numpy())
-                held.append(x.column(1).to_numpy(zero_copy_only=False).astype(bool))
-                sizes.append(np.diff(split.offsets.to_numpy()))
-                flat.append(split.flatten().cast(pa.large_string()))
-                n_flat += len(flat[-1]) + len(x)
-                if n_flat >= BLOCK_WORDS:
-                    yield flush()
+                words, at = split.flatten().cast(pa.large_string()), split.offsets.to_numpy()
+                real = np.concatenate([[0], np.cumsum(pc.binary_length(words).to_numpy() > 0)])[at]
+                hold, none = x.column(1).to_numpy(zero_copy_only=False).astype(bool), i.is_null().to_numpy(zero_copy_only=False)
+                i, done, lo = i.fill_null(0).to_numpy(), real + np.arange(len(at)), 0       # done: words and ends so far
+                while lo < len(x):
+                    hi = min(int(np.searchsorted(done, done[lo] + BLOCK_WORDS - n_flat)), len(x))
+                    for to, y in ((ids, i), (nulls, none), (held, hold), (sizes, np.diff(at))):
+                        to.append(y[lo:hi])
+                    flat.append(words.slice(at[lo], at[hi] - at[lo]))
+                    n_flat += int(done[hi] - done[lo])
+                    lo = hi
+                    if n_flat >= BLOCK_WORDS:
+                        yield flush()
         if ids:
             yield flush()
 
@@ -607,18 +574,7 @@ class _Block:
             lo = hi
 
 
-def _keep_memory() -> None:
-    """Let the worker keep a batch's arrays for the next batch, in place of
-    giving them back to the system and asking for them again at each step."""
-    import ctypes
-    tune = getattr(ctypes.CDLL(None), "mallopt", None)               # glibc only
-    if tune is not None:
-        tune(-3, 16 << 20)                                           # M_MMAP_THRESHOLD
-        tune(-1, 64 << 20)                                           # M_TRIM_THRESHOLD
-
-
 def _each(batches):
-    _keep_memory()
     for b in batches:
         for k in range(len(b)):
             yield _Block(b.slice(k, 1).to_pylist()[0])
@@ -684,7 +640,7 @@ def _train_round(counted: DataFrame, model: Model, k: int, repeat: int) -> int:
         task = TaskContext.get().partitionId()
         own = copy.deepcopy(model)
         state = Adam(own.net.p, 1000 * k + task)
-        rate = 0.03 * (1 - 0.9 * k / ROUNDS)
+        rate = 0.02 * (1 - 0.9 * k / ROUNDS)
         for block in _each(batches):
             when = block.round()
             # small corpora: all but the last round's documents again and again, then all
