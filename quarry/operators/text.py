@@ -30,6 +30,7 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import matching as mt
 from .extract import compact_text
 
 # Token patterns, ticket-id prefixes, field weights and caps.
@@ -387,7 +388,9 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     * per query the term with the fewest documents is the *driver*: only
       documents holding it can satisfy the AND rule, so only
       (candidate document x query term) pairs are scored - never the full
-      posting list of a common word times every query using it;
+      posting list of a common word times every query using it; they are
+      scored inside the tasks (``matching``), which let out the best k + 1
+      hits of each query, so that the pairs are never shuffled or written;
     * multi-word terms (``a_b``, ``don't``) are looked up, like words, among
       the runs of as many words of each field, so no document meets a phrase
       that it does not hold.  Documents of several rows, and saved postings,
@@ -460,32 +463,20 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     driver = size.groupBy("query_id").agg(
         F.min_by(F.col("term_idx"), F.struct(F.col("size"), F.col("term_idx"))).alias("term_idx"))
     drv = lead.join(bc(driver), ["query_id", "term_idx"]).select("query_id", "token")
-    cands = keep(dt.join(bc(drv), "token").select("query_id", "doc_id").distinct(), "text-candidates")
-
-    # score candidate documents only: (candidate x query term) joined to dt,
-    # which stays where it is while the candidates are few
-    need = cands.join(bc(units), "query_id")
-    few = cands.count() <= max_broadcast_pairs
-    ppd = dt.join(F.broadcast(need) if few else need, ["doc_id", "token"]).select(
-        *pkey, "doc_id", F.col("wtf").alias("wfreq"), "doc_len")
+    # postings of the driver terms: only their documents can be hits
+    cands = keep(dt.join(bc(drv.select("token").distinct()), "token", "left_semi").select("doc_id", "token"), "text-candidates")
+    if cands.count() <= max_broadcast_pairs:
+        dt = dt.join(F.broadcast(cands.select("doc_id").distinct()), "doc_id", "left_semi")
 
+    # the documents of a task meet all queries there; only the best k + 1 of
+    # each query leave it, so no (query, document) pairs are shuffled
     idf = F.log((F.lit(float(n_docs)) - F.col("n_hit") + 0.5) / (F.col("n_hit") + 0.5))
     idf_t = phrase_df.select(*pkey, F.when(idf <= 0, F.lit(1e-6)).otherwise(idf).alias("idf"))
-    norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("doc_len") / F.lit(avgdl if avgdl > 0 else 1.0))
-    contrib = F.col("idf") * (F.col("wfreq") * (k1 + 1.0)) / (F.col("wfreq") + norm)
-    scored = ppd.join(bc(idf_t), pkey).withColumn("contrib", contrib)
-
-    # AND rule and score in one aggregation: a term holds when alternative 0
-    # matched, or both parts of alternative 1 did
-    t0 = F.collect_set(F.when(F.col("alt") == 0, F.col("term_idx")))
-    t10 = F.collect_set(F.when((F.col("alt") == 1) & (F.col("part") == 0), F.col("term_idx")))
-    t11 = F.collect_set(F.when((F.col("alt") == 1) & (F.col("part") == 1), F.col("term_idx")))
-    per_doc = scored.groupBy("query_id", "doc_id").agg(
-        F.size(F.array_union(t0, F.array_intersect(t10, t11))).alias("ok_terms"),
-        F.sum("contrib").alias("score"))
-    n_terms = query_term_counts(queries, query_id, text)
-    hits = (per_doc.join(bc(n_terms), "query_id")
-            .filter(F.col("ok_terms") == F.col("n_terms")).select("query_id", "doc_id", "score"))
+    asked = units.join(bc(idf_t), pkey).withColumnRenamed("token", "unit")
+    parts = mt.collect_queries(asked, drv.withColumnRenamed("token", "unit"), query_term_counts(queries, query_id, text))
+    hits = mt.best_documents(dt, parts, k + 1 if k else None, avgdl, k1, b)
+    if hits is None:
+        hits = _empty_hits(spark).select("query_id", "doc_id", "score")
 
     # top k + 1 per query (partial per-group limit before the shuffle)
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
