@@ -9,7 +9,7 @@ before its IDF; ``places`` are the sorted positions of the token in one
 document.  Rows stay in the file of their block, so a very frequent token is
 spread over files by its blocks, and building needs no shuffle and no sort
 that spills.  ``stats`` beside it holds the number of documents and their mean
-length.
+length, ``shared`` the ids that several documents have.
 
 ``search_index`` answers a batch of queries with the hits and scores of
 ``text.search_text``, reading few postings:
@@ -22,6 +22,10 @@ length.
 3. of the remaining blocks, those whose bound reaches that score are scored;
    no other block can hold a hit of the top k.
 
+Bounds (1) and the remaining blocks (3) are worked out inside the tasks
+(``matching``), each with some whole blocks and the query batch: (query, block)
+and (query, document) pairs are neither shuffled nor written.
+
 Terms of several words (``a_b``, ``don't``) are looked up among the runs of
 neighbouring words that the place lists of a block make; the corpus is not
 tokenised again.
@@ -36,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import matching as mt
 from . import text as tx
 
 BLOCK_DOCS = 64             # documents of a block at most
@@ -52,6 +57,7 @@ class TextIndex:
     weights: Mapping[str, float]
     k1: float
     b: float
+    shared: DataFrame           # (doc_id): ids that several documents have
 
 
 def _part(wtf, doc_len, mean_len: float, k1: float, b: float):
@@ -60,23 +66,10 @@ def _part(wtf, doc_len, mean_len: float, k1: float, b: float):
     return wtf * (k1 + 1.0) / (wtf + norm)
 
 
-def _whole_blocks(batches):
+def _whole_blocks(batches, least: int = 1):
     """The rows of Arrow batches in tables of whole blocks; rows of a block
     follow each other."""
-    import numpy as np
-    import pyarrow as pa
-    left = None
-    for b in batches:
-        t = pa.Table.from_batches([b] if left is None else [*left.to_batches(), b])
-        if not t.num_rows:
-            continue
-        block = t.column("block").to_numpy()
-        cut = int(np.flatnonzero(block != block[-1])[-1]) + 1 if (block != block[-1]).any() else 0
-        if cut:
-            yield t.slice(0, cut).combine_chunks()
-        left = t.slice(cut)
-    if left is not None and left.num_rows:
-        yield left.combine_chunks()
+    return mt.whole_groups(batches, "block", least)
 
 
 def _flat(column):
@@ -185,6 +178,8 @@ def build_index(docs: DataFrame, path: str, weights: Mapping[str, float] | None
     st = (stored.where("token is null").select(F.explode("postings.doc_len").alias("n"))
           .agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean")).first())
     n_docs, mean_len = int(st["docs"]), float(st["mean"] or 0.0)
+    (stored.where("token is null").select(F.explode("postings.doc_id").alias("doc_id")).groupBy("doc_id")
+     .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id").write.parquet(f"{path}/shared"))
     top = F.array_max(F.transform("postings", lambda p: _part(p["wtf"], p["doc_len"], mean_len, k1, b)))
     (stored.where("token is not null")
      .select("token", "block", F.size("postings").alias("n_docs"), top.alias("top"), "postings")
@@ -197,7 +192,8 @@ def build_index(docs: DataFrame, path: str, weights: Mapping[str, float] | None
 
 def open_index(spark: SparkSession, path: str) -> TextIndex:
     st = spark.read.parquet(f"{path}/stats").first()
-    return TextIndex(spark.read.parquet(f"{path}/rows"), st["n_docs"], st["mean_len"], st["weights"], st["k1"], st["b"])
+    return TextIndex(spark.read.parquet(f"{path}/rows"), st["n_docs"], st["mean_len"], st["weights"], st["k1"], st["b"],
+                     spark.read.parquet(f"{path}/shared"))
 
 
 def _units(queries: DataFrame, query_id: str, text: str) -> DataFrame:
@@ -289,6 +285,122 @@ def _holds_all(alt, part, idx):
     return F.size(F.array_union(whole, F.array_intersect(left, right)))
 
 
+def _each_part(rows: DataFrame, parts: list, run, columns: str) -> DataFrame:
+    """``rows`` against every part of the query batch."""
+    out = None
+    for part in parts:
+        found = rows.mapInArrow(run(part), f"query_id {mt._sql_type(part.ids.type)}, {columns}")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _counts(n, queries):
+    """(queries, counts) of those that have any, as Arrow arrays."""
+    import numpy as np
+    import pyarrow as pa
+    some = np.flatnonzero(n)
+    return queries.ids.take(pa.array(some)), pa.array(n[some])
+
+
+def _best_blocks(queries, first: int):
+    """(query_id, block, bound, candidates) of index heads (unit, block, top)
+    that lie together by block, for ``mapInArrow``: the ``first`` blocks of each
+    query with the highest bounds, and in a row without a block the number of
+    blocks that hold all its terms."""
+    names = ["query_id", "block", "bound", "candidates"]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        best, n = mt.Best(len(queries.ids), first, digits=None), np.zeros(len(queries.ids), np.int64)
+        for t in _whole_blocks(batches, mt.CHUNK):
+            number, at = np.unique(t.column("block").to_numpy(), return_inverse=True)
+            unit, have = mt.units_of(queries, t.column("unit"))
+            for q, block, bound in queries.matches(unit, at[have], len(number), t.column("top").to_numpy()[have]):
+                n += np.bincount(q, minlength=len(n))
+                best.add(q, bound, pa.array(number[block]))
+        for q, bound, block in best.rows():
+            yield pa.RecordBatch.from_arrays([queries.ids.take(pa.array(q)), block, pa.array(bound), pa.nulls(len(q), pa.int64())], names=names)
+        ids, n = _counts(n, queries)
+        yield pa.RecordBatch.from_arrays([ids, pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64()), n], names=names)
+    return run
+
+
+def _rest_of_blocks(queries, k: int, floors, seen, apart, index: TextIndex):
+    """(query_id, doc_id, score, block, copies, read) of index rows (unit, block,
+    top, postings) that lie together by block, for ``mapInArrow``.  Blocks with
+    a bound that reaches the query's score in ``floors`` (query_id, floor) and
+    that were not ``seen`` (query_id, block) are read: rows with a score are
+    the best ``k`` of their documents, rows with ``read`` say how many there
+    were.  Documents whose id is in ``apart`` (any id where it is None) are left
+    to the caller: rows with ``copies`` name their blocks."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    whole = lambda c: c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+    number = lambda c: pc.fill_null(pc.index_in(whole(c), value_set=queries.ids), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    at, least = number(floors["query_id"]), np.full(len(queries.ids), -np.inf)
+    least[at[at >= 0]] = floors["floor"].to_numpy()[at >= 0] - SLACK
+    seen_q, seen_block = number(seen["query_id"]), seen["block"].to_numpy()
+    seen_q, seen_block = seen_q[seen_q >= 0], seen_block[seen_q >= 0]
+    mean_len, k1, b = index.mean_len, index.k1, index.b
+    names = ["query_id", "doc_id", "score", "block", "copies", "read"]
+
+    def run(batches):
+        best, n = mt.Best(len(queries.ids), k, floor=least), np.zeros(len(queries.ids), np.int64)
+        doc_type = None
+        for t in _whole_blocks(batches, mt.CHUNK // 16):
+            blocks, at = np.unique(t.column("block").to_numpy(), return_inverse=True)
+            unit, have = mt.units_of(queries, t.column("unit"))
+            t, at = t.take(pa.array(have)).combine_chunks(), at[have]
+            posts, n_posts = _flat(t.column("postings"))
+            ids, doc_len, wtf = (whole(pc.struct_field(posts, [i])) for i in range(3))
+            doc_type = ids.type
+            # the blocks to read, and how often the query asks for them
+            here = np.searchsorted(blocks, seen_block)
+            here = np.where(blocks[np.minimum(here, len(blocks) - 1)] == seen_block, here, -1)
+            done = np.unique((seen_q * len(blocks) + here)[here >= 0])
+            pairs = [np.empty(0, np.int64)]
+            for q, block, bound in queries.matches(unit, at, len(blocks), t.column("top").to_numpy()):
+                key = (q * len(blocks) + block)[bound >= least[q]]
+                pairs.append(key[~np.isin(key, done)])
+            pair, copies = np.unique(np.concatenate(pairs), return_counts=True)
+            if not len(pair):
+                continue
+            n += np.bincount(pair // len(blocks), weights=copies, minlength=len(n)).astype(np.int64)
+            unit, in_block = np.repeat(unit, n_posts), np.repeat(at, n_posts)
+            theirs = np.ones(len(unit), bool) if apart is None else pc.is_in(ids, value_set=apart).to_numpy(zero_copy_only=False)
+            if theirs.any():
+                put = np.isin(pair % len(blocks), in_block[theirs])
+                yield pa.RecordBatch.from_arrays(
+                    [queries.ids.take(pa.array(pair[put] // len(blocks))), pa.nulls(int(put.sum()), doc_type), pa.nulls(int(put.sum()), pa.float64()),
+                     pa.array(blocks[pair[put] % len(blocks)]), pa.array(copies[put]), pa.nulls(int(put.sum()), pa.int64())], names=names)
+                own = np.flatnonzero(~theirs)
+                unit, in_block, ids, doc_len, wtf = unit[own], in_block[own], *(c.take(pa.array(own)) for c in (ids, doc_len, wtf))
+                if not len(unit):
+                    continue
+            doc_len, wtf = doc_len.to_numpy(zero_copy_only=False), wtf.to_numpy(zero_copy_only=False)
+            doc, first = _documents(in_block, ids, doc_len)
+            lies = in_block[first]
+
+            def times(q, d):
+                key = q * len(blocks) + lies[d]
+                x = np.minimum(np.searchsorted(pair, key), len(pair) - 1)
+                return np.where(pair[x] == key, copies[x], 0)
+
+            for q, d, score in queries.matches(unit, doc, len(first), mt.part_of(wtf, doc_len, mean_len, k1, b),
+                                               among=lambda q, d: times(q, d) > 0):
+                best.add(q, score * times(q, d), ids.take(pa.array(first[d])))
+        for q, score, ids in best.rows():
+            empty = pa.nulls(len(q), pa.int64())
+            yield pa.RecordBatch.from_arrays([queries.ids.take(pa.array(q)), ids, pa.array(score), empty, empty, empty], names=names)
+        if doc_type is not None:
+            ids, n = _counts(n, queries)
+            empty = pa.nulls(len(n), pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.nulls(len(n), doc_type), pa.nulls(len(n), pa.float64()), empty, empty, n], names=names)
+    return run
+
+
 def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, query_id: str = "query_id",
                  text: str = "text", first: int = FIRST_BLOCKS,
                  max_broadcast_units: int = 200_000) -> tuple[DataFrame, DataFrame]:
@@ -304,6 +416,7 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
         df.write.parquet(where)
         return spark.read.parquet(where)
 
+    doc_type = index.rows.schema["postings"].dataType.elementType["doc_id"].dataType.simpleString()
     units = keep(_units(queries, query_id, text), "text-units")
     shape = units.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("tokens")).alias("longest")).first()
     # the unit table grows with the query batch, not with the corpus
@@ -328,22 +441,26 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
     n_terms = tx.query_term_counts(queries, query_id, text)
 
     # blocks that hold all terms of a query, with a bound of every score in them
-    led = heads.select("unit", "block").join(few(leading), "unit").select("query_id", "block").distinct()
-    bounds = (led.join(few(asked), "query_id").join(heads.select("unit", "block", "top"), ["unit", "block"])
-              .groupBy("query_id", "block")
-              .agg(_holds_all(F.col("alt"), F.col("part"), F.col("term_idx")).alias("held"),
-                   F.sum(F.col("idf") * F.col("top")).alias("bound"))
-              .join(few(n_terms), "query_id").where("held = n_terms").select("query_id", "block", "bound"))
-    bounds = keep(bounds, "text-bounds")
+    parts = mt.collect_queries(asked, leading, n_terms)
+    if not parts:
+        none = asked.select("query_id").limit(0)
+        return (none.select("query_id", F.lit(None).cast(doc_type).alias("doc_id"), F.lit(0.0).alias("score"), F.lit(1).alias("rank"),
+                            F.lit(False).alias("truncated")),
+                none.select("query_id", F.lit(0).cast("long").alias("candidates"), F.lit(0).cast("long").alias("read")))
+    placed = heads.select("unit", "block", "top").repartition("block").sortWithinPartitions("block")
+    bounds = keep(_each_part(placed, parts, lambda part: _best_blocks(part, first), "block long, bound double, candidates long"), "text-bounds")
     order = Window.partitionBy("query_id").orderBy(F.col("bound").desc(), "block")
-    begun = bounds.withColumn("n", F.row_number().over(order)).where(F.col("n") <= first).select("query_id", "block")
+    begun = keep(bounds.where("block is not null").withColumn("n", F.row_number().over(order)).where(F.col("n") <= first)
+                 .select("query_id", "block"), "text-begun")
 
-    def score(chosen: DataFrame) -> DataFrame:
+    def score(chosen: DataFrame, ids: DataFrame | None = None) -> DataFrame:
         need = chosen.join(few(asked), "query_id")
         # few chosen blocks are broadcast, so that the postings stay where they are
         need = F.broadcast(need) if need.count() <= max_broadcast_units else need
         docs = (rows.select("unit", "block", "postings").join(need, ["unit", "block"])
                 .select("query_id", "term_idx", "alt", "part", "idf", F.explode("postings").alias("p")))
+        if ids is not None:
+            docs = docs.join(few(ids), F.col("p.doc_id").eqNullSafe(ids["doc_id"]), "left_semi")
         share = _part(F.col("p.wtf"), F.col("p.doc_len"), index.mean_len, index.k1, index.b)
         return (docs.groupBy("query_id", F.col("p.doc_id").alias("doc_id"))
                 .agg(_holds_all(F.col("alt"), F.col("part"), F.col("term_idx")).alias("held"),
@@ -354,12 +471,24 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
     first_hits = keep(score(begun).withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n"), "text-hits")
     floor = first_hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")) \
         .where(F.col("n") > k).select("query_id", "floor")
-    rest = keep(bounds.join(begun, ["query_id", "block"], "left_anti").join(floor, "query_id", "left")
-                .where(F.col("floor").isNull() | (F.col("bound") >= F.col("floor") - SLACK)).select("query_id", "block"), "text-rest")
-    hits = first_hits.unionByName(score(rest)).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
+    # the remaining blocks: their best documents, and how many blocks were read
+    again = index.shared.limit(max_broadcast_units + 1).toArrow()["doc_id"].combine_chunks()
+    apart = again if len(again) <= max_broadcast_units else None
+    floors, seen = floor.where("query_id is not null").toArrow(), begun.toArrow()
+    placed = (rows.select("unit", "block", "top", F.transform("postings", lambda p: F.struct(*[p[c].alias(c) for c in ("doc_id", "doc_len", "wtf")])).alias("postings"))
+              .repartition("block").sortWithinPartitions("block"))
+    rest = keep(_each_part(placed, parts, lambda part: _rest_of_blocks(part, k + 1, floors, seen, apart, index),
+                           f"doc_id {doc_type}, score double, block long, copies long, read long"), "text-rest")
+    more = rest.where("score is not null").select("query_id", "doc_id", "score")
+    if len(again):
+        # documents that share an id are one hit, wherever they lie
+        left = rest.where("copies is not null").select("query_id", "block", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
+        more = more.unionByName(score(left, index.shared if apart is not None else None))
+    hits = first_hits.unionByName(more).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k + 1)
     hits = (hits.withColumn("truncated", F.max("rank").over(Window.partitionBy("query_id")) > k).where(F.col("rank") <= k)
             .select("query_id", "doc_id", "score", "rank", "truncated"))
-    read = begun.unionByName(rest).groupBy("query_id").agg(F.count(F.lit(1)).alias("read"))
-    blocks = (bounds.groupBy("query_id").agg(F.count(F.lit(1)).alias("candidates"))
+    read = (begun.select("query_id", F.lit(1).alias("n")).unionByName(rest.where("read is not null").select("query_id", F.col("read").alias("n")))
+            .groupBy("query_id").agg(F.sum("n").alias("read")))
+    blocks = (bounds.where("candidates is not null").groupBy("query_id").agg(F.sum("candidates").alias("candidates"))
               .join(read, "query_id", "left").select("query_id", "candidates", "read"))
     return hits, blocks
