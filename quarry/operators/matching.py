@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 QUERY_ROWS = 200_000        # query terms that a task holds at once
-CHUNK = 1 << 19             # postings searched together
+CHUNK = 1 << 18             # postings searched together
 PIECE = 1 << 19             # (query, document, term) looked up together
 
 
@@ -239,27 +239,32 @@ def part_of(wtf, doc_len, mean_len: float, k1: float, b: float):
     return wtf * (k1 + 1.0) / (wtf + k1 * ((1 - b) + b * doc_len / (mean_len if mean_len > 0 else 1.0)))
 
 
-def best_documents(units: DataFrame, parts: list[Queries], k: int | None, mean_len: float, k1: float, b: float) -> DataFrame | None:
+def best_documents(units: DataFrame, parts: list[Queries], k: int | None, mean_len: float, k1: float, b: float,
+                   span: str | None = None) -> DataFrame:
     """(query_id, doc_id, score): of each task's documents the best ``k`` for
     each query (all of them without ``k``).  ``units``: (doc_id, token, wtf,
-    doc_len), one row for each unit of a document."""
+    doc_len), one row for each unit of a document.  Documents are brought
+    together by id, or with ``span`` they lie together already where that column
+    is equal; the first and last one of a span may go on in another and come
+    out as their rows, without a query."""
     types = dict(units.dtypes)
+    columns = ["doc_id", "token", "wtf", "doc_len"]
 
-    def search(queries: Queries):
+    def search(queries: Queries, edges: bool):
         def run(batches):
             import numpy as np
             import pyarrow as pa
             best = Best(len(queries.ids), k) if k else None
+            names = ["query_id", "doc_id", "score", *columns[1:]]
+            kinds = [pa.string(), pa.float64(), pa.int64()]
 
             def batch(q, score, ids):
-                return pa.RecordBatch.from_arrays([queries.ids.take(pa.array(q)), ids, pa.array(score)], names=["query_id", "doc_id", "score"])
+                return pa.RecordBatch.from_arrays([queries.ids.take(pa.array(q)), ids, pa.array(score), *(pa.nulls(len(q), x) for x in kinds)], names=names)
 
-            for t in whole_groups(batches, "doc_id", CHUNK):
+            def search_rows(t, new):
                 ids = t.column("doc_id").combine_chunks()
-                new = group_starts(ids)
                 doc, n_docs = np.cumsum(new) - 1, int(new.sum())
                 ids = ids.take(pa.array(np.flatnonzero(new)))
-                ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
                 unit, have = units_of(queries, t.column("token"))
                 value = part_of(t.column("wtf").to_numpy()[have], t.column("doc_len").to_numpy()[have], mean_len, k1, b)
                 for q, d, score in queries.matches(unit, doc[have], n_docs, value):
@@ -267,19 +272,139 @@ def best_documents(units: DataFrame, parts: list[Queries], k: int | None, mean_l
                         best.add(q, score, ids.take(pa.array(d)))
                     else:
                         yield batch(q, score, ids.take(pa.array(d)))
+
+            if span is None:
+                for t in whole_groups(batches, "doc_id", CHUNK):
+                    yield from search_rows(t, group_starts(t.column("doc_id")))
+            else:
+                for t in whole_groups(batches, "doc_id", CHUNK):
+                    new = group_starts(t.column("doc_id")) | group_starts(t.column(span))
+                    at, doc = np.flatnonzero(new), np.cumsum(new) - 1
+                    where = t.column(span).to_numpy()[at]
+                    # a table begins and ends somewhere inside a span
+                    edge = np.append(True, where[1:] != where[:-1]) | np.append(where[1:] != where[:-1], True)
+                    out = edge[doc]
+                    if edges:
+                        some = t.take(pa.array(np.flatnonzero(out))).combine_chunks()
+                        own = [pa.nulls(some.num_rows, queries.ids.type), some.column("doc_id"), pa.nulls(some.num_rows, pa.float64()), *(some.column(c) for c in columns[1:])]
+                        yield from pa.table([*own], names=names).combine_chunks().to_batches()
+                    inner = np.flatnonzero(~out)
+                    if len(inner):
+                        yield from search_rows(t.take(pa.array(inner)).combine_chunks(), new[inner])
             if best is not None:
                 for q, score, some in best.rows():
                     yield batch(q, score, some)
         return run
 
-    dealt = units.where(F.col("doc_id").isNotNull()).repartition("doc_id").sortWithinPartitions("doc_id")
+    dealt = units.where(F.col("doc_id").isNotNull())
+    if span is None:
+        dealt = dealt.repartition("doc_id").sortWithinPartitions("doc_id")
     out = None
-    for queries in parts:
-        hits = dealt.mapInArrow(search(queries), f"query_id {_sql_type(queries.ids.type)}, doc_id {types['doc_id']}, score double")
+    for i, queries in enumerate(parts):
+        hits = dealt.mapInArrow(search(queries, i == 0), f"query_id {_sql_type(queries.ids.type)}, doc_id {types['doc_id']}, score double, token string, wtf double, doc_len long")
         out = hits if out is None else out.unionByName(hits)
     return out
 
 
+def _few_words(batch):
+    """A batch of documents in slices of about ``PIECE`` words."""
+    import numpy as np
+    import pyarrow.compute as pc
+    if not batch.num_rows:
+        return
+    n = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    words = pc.fill_null(pc.list_value_length(batch.column(1).flatten()), 0).to_numpy(zero_copy_only=False)
+    total = np.append(0, np.cumsum(words))
+    ends = np.cumsum(n)
+    for lo, hi in _cuts(total[ends] - total[ends - n] + 1, PIECE):
+        yield batch.slice(lo, hi - lo)
+
+
+def unit_rows(phrases: list[str], weights: list[float]):
+    """(doc_id, token, wtf, doc_len, n) of documents (doc_id, tokens by field),
+    for ``mapInArrow``: a row for each unit that a document holds, ``wtf`` the
+    summed weights of its places, and a row without a token for each document.
+    A unit is a word, or neighbouring words of a field joined by spaces."""
+    units = sorted(set(phrases))
+
+    def tables():
+        """Word numbers; of each length (prefix, word) -> run, as sorted keys;
+        unit of each run."""
+        import numpy as np
+        split = [u.split(" ") for u in units]
+        words = {w: i for i, w in enumerate(sorted({w for x in split for w in x}))}
+        levels, run_of = [], np.array([[words[x[0]] for x in split]], np.int64)[0] if units else np.empty(0, np.int64)
+        size = len(words)
+        unit_of = np.full(max(size, 1), -1)
+        for i, x in enumerate(split):
+            if len(x) == 1:
+                unit_of[words[x[0]]] = i
+        levels.append((None, unit_of))
+        for n in range(2, max(map(len, split), default=1) + 1):
+            longer = [i for i, x in enumerate(split) if len(x) >= n]
+            keys = np.array([run_of[i] * size + words[split[i][n - 1]] for i in longer], np.int64)
+            known = np.unique(keys)
+            run_of[longer] = np.searchsorted(known, keys)
+            unit_of = np.full(len(known), -1)
+            for i in longer:
+                if len(split[i]) == n:
+                    unit_of[run_of[i]] = i
+            levels.append((known, unit_of))
+        return words, levels
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        words, levels = tables()
+        per_field, names = np.asarray(weights), pa.array(units, pa.string())
+        for b in (x for b in batches for x in _few_words(b)):
+            fields = b.column(1)
+            n_fields = pc.fill_null(pc.list_value_length(fields), 0).to_numpy(zero_copy_only=False)
+            lists = fields.flatten()
+            n_words = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            coded = pc.dictionary_encode(lists.flatten())
+            row = np.repeat(np.arange(b.num_rows), n_fields)
+            field = np.arange(len(row)) - np.repeat(np.cumsum(n_fields) - n_fields, n_fields)
+            doc_len = np.bincount(row, weights=n_words, minlength=b.num_rows).astype(np.int64)
+            number = np.array([words.get(w, -1) for w in coded.dictionary.to_pylist()] or [-1], np.int64)
+            word = number[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.empty(0, np.int64)
+            which = np.repeat(np.arange(len(row)), n_words)          # list of each word
+            found_unit, found_at = [], []
+            at = np.flatnonzero(word >= 0)
+            runs = word[at]
+            for n, (known, unit_of) in enumerate(levels, 1):
+                if n > 1:
+                    ok = at + n - 1 < len(word)
+                    at, runs = at[ok], runs[ok]
+                    ok = (which[at + n - 1] == which[at]) & (word[at + n - 1] >= 0)
+                    at, runs = at[ok], runs[ok]
+                    key = runs * len(words) + word[at + n - 1]
+                    x = np.minimum(np.searchsorted(known, key), max(len(known) - 1, 0))
+                    ok = known[x] == key
+                    at, runs = at[ok], x[ok]
+                unit = unit_of[runs]
+                found_unit.append(unit[unit >= 0])
+                found_at.append(at[unit >= 0])
+            unit, at = np.concatenate(found_unit), which[np.concatenate(found_at)]
+            doc, wtf = row[at], per_field[field[at]]
+            order = np.lexsort((unit, doc))
+            unit, doc, wtf = unit[order], doc[order], wtf[order]
+            new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (unit[1:] != unit[:-1]))[:len(doc)])
+            wtf = np.add.reduceat(wtf, new) if len(new) else wtf
+            unit, doc = unit[new], doc[new]
+            # a document's own row stands before those of its units
+            n_rows = b.num_rows
+            place = np.lexsort((np.append(np.full(n_rows, -1), unit), np.append(np.arange(n_rows), doc)))
+            doc = np.append(np.arange(n_rows), doc)[place]
+            unit = np.append(np.full(n_rows, -1), unit)[place]
+            wtf = np.append(np.zeros(n_rows), wtf)[place]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(doc)), names.take(pa.array(unit, pa.int64(), mask=unit < 0)), pa.array(wtf),
+                 pa.array(doc_len[doc]), pa.array(np.where(unit < 0, 1, 0))], names=["doc_id", "token", "wtf", "doc_len", "n"])
+    return run
+
+
 def _sql_type(kind) -> str:
     from pyspark.sql.pandas.types import from_arrow_type
     return from_arrow_type(kind).simpleString()

@@ -425,21 +425,48 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
         # one pass over the text, written to the shared checkpoint folder:
         # (doc, unit) -> weighted term frequency for the needed units and
         # one length row per document.  Stats, IDF and scoring all read it.
-        idx = keep(term_index(docs, units, weights, n_ph <= max_broadcast_tokens, lengths=lengths), "text-index")
-        lens = idx.filter(F.col("token").isNull())
+        few = n_ph <= max_broadcast_tokens
+        lies = None
+        if few:
+            # counted inside the rows, which are not dealt anew
+            wanted = [r[0] for r in units.select("token").distinct().collect()]
+            fields = docs.select("doc_id", F.array(*[match_tokens(F.col(f)) for f in FIELDS]).alias("f"))
+            found = fields.mapInArrow(mt.unit_rows(wanted, [float(weights[f]) for f in FIELDS]),
+                                      f"doc_id {dict(docs.dtypes)['doc_id']}, token string, wtf double, doc_len long, n long")
+            idx, lies = keep(found, "text-index"), "__span"
+            lens = idx.filter(F.col("token").isNull()).groupBy("doc_id").agg(F.first("doc_len").alias("doc_len"), F.sum("n").alias("n"))
+        else:
+            idx = keep(term_index(docs, units, weights, few, lengths=lengths), "text-index")
+            lens = idx.filter(F.col("token").isNull())
         st = lens.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avgdl"), F.max("n").alias("most")).first()
         stats = stats or (int(st["n"] or 0), float(st["avgdl"] or 0.0))
         dt = idx.filter(F.col("token").isNotNull()).select("doc_id", "token", "wtf", "doc_len")
-        if has_multi and (st["most"] or 0) > 1:
+        if few:
+            own = idx.withColumn("__span", F.xxhash64(F.input_file_name(), F.expr("input_file_block_start()"))) \
+                .filter(F.col("token").isNotNull()).select("doc_id", "token", "wtf", "doc_len", "__span")
+        if (has_multi or few) and (st["most"] or 0) > 1:
             # rows with one id are one document, whose words of one place are
             # alternatives: its phrases are found by place lists
             again = lens.filter(F.col("n") > 1).select(F.col("doc_id").alias("__again"))
             same = F.col("doc_id").eqNullSafe(F.col("__again"))
-            placed = term_index(docs.join(again, same, "left_semi"), in_phrase, weights, n_ph <= max_broadcast_tokens, True)
             several = F.col("token").contains(" ")
-            dt = (dt.filter(~several).unionByName(dt.filter(several).join(again, same, "left_anti"))
-                  .unionByName(_placed_phrases(placed.filter(F.col("token").isNotNull()), mph, weights, bc)))
+            merged = None
+            if few:
+                merged = (dt.filter(~several).join(again, same, "left_semi").groupBy("doc_id", "token")
+                          .agg(F.sum("wtf").alias("wtf"), F.first("doc_len").alias("doc_len")))
+                own = own.join(again, same, "left_anti")
+                dt = dt.join(again, same, "left_anti").unionByName(merged)
+            else:
+                dt = dt.filter(~several).unionByName(dt.filter(several).join(again, same, "left_anti"))
+            if has_multi:
+                placed = term_index(docs.join(again, same, "left_semi"), in_phrase, weights, few, True)
+                placed = keep(_placed_phrases(placed.filter(F.col("token").isNotNull()), mph, weights, bc), "text-placed")
+                dt = dt.unionByName(placed)
+                merged = merged.unionByName(placed) if merged is not None else None
+        else:
+            merged = None
     else:
+        lies = None
         buckets = [r[0] for r in ph.select(F.pmod(F.xxhash64("token"), F.lit(256))).distinct().collect()]
         post = postings.filter(F.col("bucket").isin(buckets)).join(bc(in_phrase), "token", "left_semi")
         listed = [F.collect_list(place(F.col("field"), F.col("pos"))).alias("places")] if has_multi else []
@@ -465,8 +492,8 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     drv = lead.join(bc(driver), ["query_id", "term_idx"]).select("query_id", "token")
     # postings of the driver terms: only their documents can be hits
     cands = keep(dt.join(bc(drv.select("token").distinct()), "token", "left_semi").select("doc_id", "token"), "text-candidates")
-    if cands.count() <= max_broadcast_pairs:
-        dt = dt.join(F.broadcast(cands.select("doc_id").distinct()), "doc_id", "left_semi")
+    near = F.broadcast(cands.select("doc_id").distinct()) if cands.count() <= max_broadcast_pairs else None
+    only = lambda d: d.join(near, "doc_id", "left_semi") if near is not None else d
 
     # the documents of a task meet all queries there; only the best k + 1 of
     # each query leave it, so no (query, document) pairs are shuffled
@@ -474,9 +501,17 @@ def search_text(docs: DataFrame, queries: DataFrame, k: int | None = DEFAULT_K,
     idf_t = phrase_df.select(*pkey, F.when(idf <= 0, F.lit(1e-6)).otherwise(idf).alias("idf"))
     asked = units.join(bc(idf_t), pkey).withColumnRenamed("token", "unit")
     parts = mt.collect_queries(asked, drv.withColumnRenamed("token", "unit"), query_term_counts(queries, query_id, text))
-    hits = mt.best_documents(dt, parts, k + 1 if k else None, avgdl, k1, b)
-    if hits is None:
+    if not parts:
         hits = _empty_hits(spark).select("query_id", "doc_id", "score")
+    elif lies is None:
+        hits = mt.best_documents(only(dt), parts, k + 1 if k else None, avgdl, k1, b).select("query_id", "doc_id", "score")
+    else:
+        # documents at the ends of a read file's part may be cut: they are brought together
+        best = keep(mt.best_documents(only(own), parts, k + 1 if k else None, avgdl, k1, b, span=lies), "text-best")
+        cut = best.filter(F.col("query_id").isNull()).select("doc_id", "token", "wtf", "doc_len")
+        cut = cut.unionByName(only(merged)) if merged is not None else cut
+        hits = (best.filter(F.col("query_id").isNotNull()).select("query_id", "doc_id", "score")
+                .unionByName(mt.best_documents(cut, parts, k + 1 if k else None, avgdl, k1, b).select("query_id", "doc_id", "score")))
 
     # top k + 1 per query (partial per-group limit before the shuffle)
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
