@@ -2,8 +2,9 @@
 
 ``build_index`` writes one row per (token, block of documents):
 
-    token, block, n_docs, top, postings array<struct<doc_id, doc_len, wtf, places>>
+    token, block, postings array<struct<doc_id, doc_len, wtf, places>>
 
+and a head (token, block, n_docs, top) for each of them in a table of its own.
 ``top`` is the largest value that the token adds to a score in the block,
 before its IDF; ``places`` are the sorted positions of the token in one
 document.  Rows stay in the file of their block, so a very frequent token is
@@ -14,7 +15,7 @@ length, ``shared`` the ids that several documents have.
 ``search_index`` answers a batch of queries with the hits and scores of
 ``text.search_text``, reading few postings:
 
-1. the header columns (all but ``postings``) give document frequencies, and
+1. the heads give document frequencies, and
    for each query the blocks that hold all its terms with an upper bound of
    any score in them; only blocks of the query's rarest term are looked at;
 2. the ``first`` most promising blocks per query are scored, which gives the
@@ -52,6 +53,7 @@ SLACK = 1e-6                # bounds are compared with this much to spare
 class TextIndex:
     """An index opened for reading."""
     rows: DataFrame
+    heads: DataFrame
     n_docs: int
     mean_len: float
     weights: Mapping[str, float]
@@ -172,18 +174,16 @@ def build_index(docs: DataFrame, path: str, weights: Mapping[str, float] | None
     doc_type = dict(docs.dtypes)["doc_id"]
     rows = toks.mapInArrow(_block_rows([float(weights[f]) for f in tx.FIELDS]),
                            f"token string, block long, postings array<struct<doc_id:{doc_type},doc_len:long,wtf:double,places:array<int>>>")
-    raw = scratch_path(spark, "text-blocks")
-    rows.write.parquet(raw)
-    stored = spark.read.parquet(raw)
+    rows.write.parquet(f"{path}/rows")
+    stored = spark.read.parquet(f"{path}/rows")
     st = (stored.where("token is null").select(F.explode("postings.doc_len").alias("n"))
           .agg(F.count(F.lit(1)).alias("docs"), F.avg("n").alias("mean")).first())
     n_docs, mean_len = int(st["docs"]), float(st["mean"] or 0.0)
     (stored.where("token is null").select(F.explode("postings.doc_id").alias("doc_id")).groupBy("doc_id")
      .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id").write.parquet(f"{path}/shared"))
     top = F.array_max(F.transform("postings", lambda p: _part(p["wtf"], p["doc_len"], mean_len, k1, b)))
-    (stored.where("token is not null")
-     .select("token", "block", F.size("postings").alias("n_docs"), top.alias("top"), "postings")
-     .write.parquet(f"{path}/rows"))
+    (stored.where("token is not null").select("token", "block", F.size("postings").alias("n_docs"), top.alias("top"))
+     .write.parquet(f"{path}/heads"))
     spark.createDataFrame([(n_docs, mean_len, k1, b, weights)],
                           "n_docs long, mean_len double, k1 double, b double, weights map<string,double>") \
         .coalesce(1).write.parquet(f"{path}/stats")
@@ -192,7 +192,7 @@ def build_index(docs: DataFrame, path: str, weights: Mapping[str, float] | None
 
 def open_index(spark: SparkSession, path: str) -> TextIndex:
     st = spark.read.parquet(f"{path}/stats").first()
-    return TextIndex(spark.read.parquet(f"{path}/rows"), st["n_docs"], st["mean_len"], st["weights"], st["k1"], st["b"],
+    return TextIndex(spark.read.parquet(f"{path}/rows").where("token is not null"), spark.read.parquet(f"{path}/heads"), st["n_docs"], st["mean_len"], st["weights"], st["k1"], st["b"],
                      spark.read.parquet(f"{path}/shared"))
 
 
@@ -328,7 +328,7 @@ def _best_blocks(queries, first: int):
 
 def _rest_of_blocks(queries, k: int, floors, seen, apart, index: TextIndex):
     """(query_id, doc_id, score, block, copies, read) of index rows (unit, block,
-    top, postings) that lie together by block, for ``mapInArrow``.  Blocks with
+    postings) that lie together by block, for ``mapInArrow``.  Blocks with
     a bound that reaches the query's score in ``floors`` (query_id, floor) and
     that were not ``seen`` (query_id, block) are read: rows with a score are
     the best ``k`` of their documents, rows with ``read`` say how many there
@@ -356,12 +356,14 @@ def _rest_of_blocks(queries, k: int, floors, seen, apart, index: TextIndex):
             posts, n_posts = _flat(t.column("postings"))
             ids, doc_len, wtf = (whole(pc.struct_field(posts, [i])) for i in range(3))
             doc_type = ids.type
+            value = mt.part_of(wtf.to_numpy(zero_copy_only=False), doc_len.to_numpy(zero_copy_only=False), mean_len, k1, b)
+            top = np.maximum.reduceat(value, np.cumsum(n_posts) - n_posts) if len(value) else value
             # the blocks to read, and how often the query asks for them
             here = np.searchsorted(blocks, seen_block)
             here = np.where(blocks[np.minimum(here, len(blocks) - 1)] == seen_block, here, -1)
             done = np.unique((seen_q * len(blocks) + here)[here >= 0])
             pairs = [np.empty(0, np.int64)]
-            for q, block, bound in queries.matches(unit, at, len(blocks), t.column("top").to_numpy()):
+            for q, block, bound in queries.matches(unit, at, len(blocks), top):
                 key = (q * len(blocks) + block)[bound >= least[q]]
                 pairs.append(key[~np.isin(key, done)])
             pair, copies = np.unique(np.concatenate(pairs), return_counts=True)
@@ -376,11 +378,10 @@ def _rest_of_blocks(queries, k: int, floors, seen, apart, index: TextIndex):
                     [queries.ids.take(pa.array(pair[put] // len(blocks))), pa.nulls(int(put.sum()), doc_type), pa.nulls(int(put.sum()), pa.float64()),
                      pa.array(blocks[pair[put] % len(blocks)]), pa.array(copies[put]), pa.nulls(int(put.sum()), pa.int64())], names=names)
                 own = np.flatnonzero(~theirs)
-                unit, in_block, ids, doc_len, wtf = unit[own], in_block[own], *(c.take(pa.array(own)) for c in (ids, doc_len, wtf))
+                unit, in_block, value, ids, doc_len = unit[own], in_block[own], value[own], ids.take(pa.array(own)), doc_len.take(pa.array(own))
                 if not len(unit):
                     continue
-            doc_len, wtf = doc_len.to_numpy(zero_copy_only=False), wtf.to_numpy(zero_copy_only=False)
-            doc, first = _documents(in_block, ids, doc_len)
+            doc, first = _documents(in_block, ids, doc_len.to_numpy(zero_copy_only=False))
             lies = in_block[first]
 
             def times(q, d):
@@ -388,8 +389,7 @@ def _rest_of_blocks(queries, k: int, floors, seen, apart, index: TextIndex):
                 x = np.minimum(np.searchsorted(pair, key), len(pair) - 1)
                 return np.where(pair[x] == key, copies[x], 0)
 
-            for q, d, score in queries.matches(unit, doc, len(first), mt.part_of(wtf, doc_len, mean_len, k1, b),
-                                               among=lambda q, d: times(q, d) > 0):
+            for q, d, score in queries.matches(unit, doc, len(first), value, among=lambda q, d: times(q, d) > 0):
                 best.add(q, score * times(q, d), ids.take(pa.array(first[d])))
         for q, score, ids in best.rows():
             empty = pa.nulls(len(q), pa.int64())
@@ -421,12 +421,14 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
     shape = units.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("tokens")).alias("longest")).first()
     # the unit table grows with the query batch, not with the corpus
     few = F.broadcast if shape["n"] <= max_broadcast_units else (lambda df: df)
-    rows = index.rows.withColumnRenamed("token", "unit").join(
-        few(units.where(F.size("tokens") == 1).select("unit").distinct()), "unit", "left_semi")
+    single = few(units.where(F.size("tokens") == 1).select("unit").distinct())
+    rows = index.rows.select(F.col("token").alias("unit"), "block", "postings").join(single, "unit", "left_semi")
+    heads = index.heads.withColumnRenamed("token", "unit").join(single, "unit", "left_semi")
     if (shape["longest"] or 0) > 1:
         phrases = units.where(F.size("tokens") > 1).select("unit", "tokens").distinct()
-        rows = rows.unionByName(keep(_phrase_rows(index, phrases, few), "text-phrases"))
-    heads = keep(rows.select("unit", "block", "n_docs", "top"), "text-heads")
+        found = keep(_phrase_rows(index, phrases, few), "text-phrases")
+        rows, heads = rows.unionByName(found.select("unit", "block", "postings")), heads.unionByName(found.drop("postings"))
+    heads = keep(heads.select("unit", "block", "n_docs", "top"), "text-heads")
 
     # exact document frequencies and IDF; the rarest term of each query leads
     df = units.select("unit").distinct().join(heads.groupBy("unit").agg(F.sum("n_docs").alias("df")), "unit", "left") \
@@ -475,7 +477,7 @@ def search_index(index: TextIndex, queries: DataFrame, k: int = tx.DEFAULT_K, qu
     again = index.shared.limit(max_broadcast_units + 1).toArrow()["doc_id"].combine_chunks()
     apart = again if len(again) <= max_broadcast_units else None
     floors, seen = floor.where("query_id is not null").toArrow(), begun.toArrow()
-    placed = (rows.select("unit", "block", "top", F.transform("postings", lambda p: F.struct(*[p[c].alias(c) for c in ("doc_id", "doc_len", "wtf")])).alias("postings"))
+    placed = (rows.select("unit", "block", F.transform("postings", lambda p: F.struct(*[p[c].alias(c) for c in ("doc_id", "doc_len", "wtf")])).alias("postings"))
               .repartition("block").sortWithinPartitions("block"))
     rest = keep(_each_part(placed, parts, lambda part: _rest_of_blocks(part, k + 1, floors, seen, apart, index),
                            f"doc_id {doc_type}, score double, block long, copies long, read long"), "text-rest")
